@@ -10,7 +10,7 @@ from tillwatch.functions.json import parse, row_json
 from tillwatch.functions.text import mask_prefix, match_all, match_any
 from tillwatch.functions.times import age_years
 from tillwatch.operators.alerts import alert_windows, throttle, users_of_members, window_users
-from tillwatch.operators.hours import hour_map
+from tillwatch.operators.hours import day_against_previous, hour_map
 from tillwatch.operators.joins import interval_join
 from tillwatch.operators.keyed import latest_per_key, unseen
 from tillwatch.operators.search import max_score, page, ranked
@@ -65,7 +65,7 @@ def _active(spark: SparkSession, sf: str) -> DataFrame:
 
 def _purchases(spark: SparkSession, sf: str) -> DataFrame:
     """Purchases as orders: the order table only knows midnights, hours come from here."""
-    return _logs(spark, sf).where(F.col("evid") == "coupon").select(
+    return _logs(spark, sf).where(F.col("evid") == shop.KINDS[0]).select(
         F.col("logDate").alias("create_date"), F.col("logHour").alias("create_hour"), F.col("value").alias("total_amount")
     )
 
@@ -204,7 +204,7 @@ def seen_anti(spark, sf):
 def hourly_compare(spark, sf):
     """Devices per hour of every day against the day before."""
     hourly = daily_active.active_hourly(_active(spark, sf))
-    return reports.curves_by_day(hourly, "logDate", "logHour", "n")
+    return day_against_previous(hourly, "logDate", "logHour", "n")
 
 
 # Order amounts
@@ -231,7 +231,7 @@ def gmv_by_order_date(spark, sf):
 def amount_compare(spark, sf):
     """Amounts per hour of every day against the day before."""
     hourly = order_amount.amount_hourly(_purchases(spark, sf))
-    return reports.curves_by_day(hourly, "create_date", "create_hour", "amount")
+    return day_against_previous(hourly, "create_date", "create_hour", "amount")
 
 
 @_query
@@ -382,13 +382,13 @@ def union_columns(spark, sf):
 
 @_query
 def alert_windows_all(spark, sf):
-    rows = alert_windows(window_users(_logs(spark, sf), WINDOW, SLIDE))
+    rows = alert_windows(window_users(_logs(spark, sf), WINDOW, SLIDE, shop.KINDS))
     return rows.select(F.date_format("window_start", _SECOND).alias("window_start"), "mid", "n_users")
 
 
 @_query
 def alert_throttled(spark, sf):
-    rows = coupon_alert.alerts(_logs(spark, sf), WINDOW, SLIDE, PERIOD)
+    rows = coupon_alert.alerts(_logs(spark, sf), WINDOW, SLIDE, PERIOD, kinds=shop.KINDS)
     return rows.select(
         F.date_format("period", "yyyy-MM-dd").alias("day"), "mid", F.date_format("window_start", _SECOND).alias("window_start"), "n_users"
     )
@@ -397,14 +397,14 @@ def alert_throttled(spark, sf):
 @_query
 def alert_member_counts(spark, sf):
     logs = _logs(spark, sf)
-    found = coupon_alert.alerts(logs, WINDOW, SLIDE, PERIOD)
-    counts = coupon_alert.member_counts(logs, found, SLIDE_SECONDS)
+    found = coupon_alert.alerts(logs, WINDOW, SLIDE, PERIOD, kinds=shop.KINDS)
+    counts = coupon_alert.member_counts(logs, found, SLIDE_SECONDS, shop.KINDS)
     return counts.select(F.date_format("window_start", _SECOND).alias("window_start"), "mid", "n_items", "n_events")
 
 
 @_query
 def alert_documents(spark, sf):
-    docs = coupon_alert.documents(_logs(spark, sf), WINDOW, SLIDE, SLIDE_SECONDS, PERIOD)
+    docs = coupon_alert.documents(_logs(spark, sf), WINDOW, SLIDE, SLIDE_SECONDS, PERIOD, kinds=shop.KINDS)
     lists = {c: F.array_join(c, ",") for c in ("uids", "itemIds", "events")}
     return docs.withColumns(lists).select("doc_id", "part", "mid", "uids", "itemIds", "events", "ts")
 
@@ -529,7 +529,7 @@ def alert_stream(spark, sf):
     run = shared_dir(spark, "alerts")
     stored = alert_stream_.member_table(f"{run}/table")
     finish(alert_stream_.run_member_replay(_event_stream(spark, sf), stored, f"{run}/state", WINDOW, SLIDE))
-    rows = throttle(alert_windows(users_of_members(stored.read(spark))), PERIOD)
+    rows = throttle(alert_windows(users_of_members(stored.read(spark), shop.KINDS)), PERIOD)
     return rows.select(
         F.date_format("period", "yyyy-MM-dd").alias("day"), "mid", F.date_format("window_start", _SECOND).alias("window_start"), "n_users"
     )

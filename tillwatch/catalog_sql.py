@@ -9,7 +9,7 @@ LOGS = """
 logs AS (
   SELECT event_id, ts AS event_at, CAST(user_id AS VARCHAR) AS mid, json_extract_string(props, '$.k') AS uid,
          CASE WHEN event_type = 'signup' THEN 'startup' ELSE 'event' END AS type,
-         CASE event_type WHEN 'purchase' THEN 'coupon' WHEN 'click' THEN 'clickItem' ELSE event_type END AS evid,
+         event_type AS evid,
          CAST(event_id AS VARCHAR) AS itemid, strftime(ts, '%Y-%m-%d') AS logDate, strftime(ts, '%H') AS logHour,
          epoch_us(ts) // 1000 AS ts, CAST(value AS DECIMAL(18,2)) AS value
   FROM events)"""
@@ -79,9 +79,9 @@ spread AS (
   SELECT *, time_bucket(INTERVAL 6 HOURS, event_at, TIMESTAMP '1970-01-01') - k.i * INTERVAL 6 HOURS AS ws
   FROM logs, generate_series(0, 11) AS k(i)),
 windows AS (
-  SELECT ws, mid, count(DISTINCT CASE WHEN evid = 'coupon' THEN uid END) AS n_users
+  SELECT ws, mid, count(DISTINCT CASE WHEN evid = 'purchase' THEN uid END) AS n_users
   FROM spread GROUP BY ws, mid
-  HAVING count(DISTINCT CASE WHEN evid = 'coupon' THEN uid END) >= 3 AND NOT bool_or(evid = 'clickItem')),
+  HAVING count(DISTINCT CASE WHEN evid = 'purchase' THEN uid END) >= 3 AND NOT bool_or(evid = 'click')),
 throttled AS (
   SELECT *, strftime(ws + INTERVAL 3 DAYS - INTERVAL 1 MICROSECOND, '%Y-%m-%d') AS day FROM windows
   QUALIFY row_number() OVER (PARTITION BY mid, strftime(ws + INTERVAL 3 DAYS - INTERVAL 1 MICROSECOND, '%Y-%m-%d')
@@ -140,7 +140,7 @@ def oracle_sql() -> dict[str, str]:
 SELECT day, mid, strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, n_users FROM throttled"""
     amount_by_day = f"""WITH {ORDERS}
 SELECT create_date, CAST(sum(total_amount) AS DOUBLE) AS amount FROM o GROUP BY create_date"""
-    purchases = "SELECT * FROM logs WHERE evid = 'coupon'"
+    purchases = "SELECT * FROM logs WHERE evid = 'purchase'"
     return {
         "log_route": f"""WITH {LINES}
 SELECT event_id, logDate AS dt, CASE WHEN contains(line, 'startup') THEN 'startup_log' ELSE 'event_log' END AS topic,
@@ -239,15 +239,15 @@ UNION ALL SELECT c_custkey, c_name, NULL, c_mktsegment, 'user' FROM customer""",
         "alert_throttled": alert_rows,
         "alert_member_counts": f"""WITH {WINDOWS}
 SELECT strftime(t.ws, '%Y-%m-%d %H:%M:%S') AS window_start, t.mid,
-       count(DISTINCT CASE WHEN evid = 'coupon' THEN itemid END) AS n_items, count(*) AS n_events
+       count(DISTINCT CASE WHEN evid = 'purchase' THEN itemid END) AS n_items, count(*) AS n_events
 FROM throttled t JOIN spread s ON s.ws = t.ws AND s.mid = t.mid GROUP BY t.ws, t.mid""",
         "alert_documents": f"""WITH {WINDOWS},
 found AS (
   SELECT t.mid, t.day, t.ws, s.uid, s.itemid, s.evid, s.ts,
          t.mid || '_' || (epoch_ms(CAST(t.day AS TIMESTAMP)) // 60000) AS doc_id
   FROM throttled t JOIN spread s ON s.ws = t.ws AND s.mid = t.mid)
-SELECT doc_id, 0 AS part, mid, string_agg(DISTINCT uid, ',' ORDER BY uid) FILTER (WHERE evid = 'coupon') AS uids,
-       string_agg(DISTINCT itemid, ',' ORDER BY itemid) FILTER (WHERE evid = 'coupon') AS itemIds,
+SELECT doc_id, 0 AS part, mid, string_agg(DISTINCT uid, ',' ORDER BY uid) FILTER (WHERE evid = 'purchase') AS uids,
+       string_agg(DISTINCT itemid, ',' ORDER BY itemid) FILTER (WHERE evid = 'purchase') AS itemIds,
        string_agg(evid, ',' ORDER BY ts, evid) AS events, epoch_us(ws + INTERVAL 3 DAYS - INTERVAL 1 MICROSECOND) // 1000 AS ts
 FROM found GROUP BY doc_id, mid, ws""",
         "user_latest": """SELECT o_custkey AS id, o_orderpriority AS user_level, o_orderkey FROM orders

@@ -15,7 +15,8 @@ def _parsed(value: Column, record: Record) -> Column:
 
 def parse(df: DataFrame, record: Record, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Typed columns of `record`, one row per well-formed line; `keep` names columns to carry along."""
-    rows = df.select(*keep, _parsed(F.col(value), record).alias("_j")).where(
+    # A generated row is a column of its own: the filter below reads it, where one on the expression would parse again.
+    rows = df.select(*keep, F.explode(F.array(_parsed(F.col(value), record))).alias("_j")).where(
         F.col("_j").isNotNull() & F.col(f"_j.{_RAW}").isNull()
     )
     fields = [

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, functions as F
 
 # Words are runs of letters and digits, the same on both sides of a match.
 _NOT_WORD = r"[^\p{L}\p{N}]+"
+_BOUNDED = r"(?<![\p{{L}}\p{{N}}])(?:{})(?![\p{{L}}\p{{N}}])"
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -26,9 +29,14 @@ def query_words(keyword: str | None) -> list[str]:
     return list(dict.fromkeys(_WORD.findall((keyword or "").lower())))
 
 
-def _mentions(col: Column, word: str) -> Column:
-    # Cheap substring test that lets most rows skip the split; every real match passes it.
-    return F.contains(F.lower(col), F.lit(word))
+def has_word(col: Column, words: list[str]) -> Column:
+    """True where one of `words` stands in the text as a whole word; null where there is no text.
+
+    A plain substring test comes first and lets most rows skip the pattern; no word list is built.
+    """
+    low = F.lower(col)
+    mentioned = reduce(or_, [F.contains(low, F.lit(word)) for word in words])
+    return mentioned & F.regexp_like(low, F.lit(_BOUNDED.format("|".join(words))))
 
 
 def match_all(col: Column, keyword: str | None) -> Column:
@@ -36,19 +44,10 @@ def match_all(col: Column, keyword: str | None) -> Column:
     words = query_words(keyword)
     if not words:
         return F.lit(False)
-    hit = F.size(F.array_except(F.array(*map(F.lit, words)), tokens(col))) == 0
-    for word in reversed(words):
-        hit = _mentions(col, word) & hit
-    return F.coalesce(hit, F.lit(False))
+    return F.coalesce(reduce(and_, [has_word(col, [word]) for word in words]), F.lit(False))
 
 
 def match_any(col: Column, keyword: str | None) -> Column:
     """True where at least one word of the keyword occurs."""
     words = query_words(keyword)
-    if not words:
-        return F.lit(False)
-    mentioned = _mentions(col, words[0])
-    for word in words[1:]:
-        mentioned = mentioned | _mentions(col, word)
-    hit = F.arrays_overlap(tokens(col), F.array(*map(F.lit, words)))
-    return F.coalesce(mentioned & hit, F.lit(False))
+    return F.coalesce(has_word(col, words), F.lit(False)) if words else F.lit(False)

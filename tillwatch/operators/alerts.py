@@ -10,16 +10,20 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwatch.records import ALERT_PERIOD, ALERT_SLIDE, ALERT_USERS, ALERT_WINDOW, BROWSE, COUPON
 
+KINDS = (COUPON, BROWSE)
 PART_ENTRIES = 10_000
 
 
-def window_users(events: DataFrame, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE) -> DataFrame:
+def window_users(
+    events: DataFrame, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE, kinds: tuple[str, str] = KINDS
+) -> DataFrame:
     """(window, device, user) with two flags, from the two event kinds that decide an alert."""
+    coupon, browse = kinds
     kind = F.col("evid")
     return (
-        events.where(kind.isin(COUPON, BROWSE))
+        events.where(kind.isin(coupon, browse))
         .groupBy(F.window("event_time", window, slide).alias("w"), "mid", "uid")
-        .agg(F.max(kind == COUPON).alias("took"), F.max(kind == BROWSE).alias("browsed"))
+        .agg(F.max(kind == coupon).alias("took"), F.max(kind == browse).alias("browsed"))
         .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "mid", "uid", "took", "browsed")
     )
 
@@ -85,16 +89,20 @@ def count_members(rows: DataFrame) -> DataFrame:
     )
 
 
-def users_of_members(members: DataFrame) -> DataFrame:
+def users_of_members(members: DataFrame, kinds: tuple[str, str] = KINDS) -> DataFrame:
     """`window_users` from counted members."""
+    coupon, browse = kinds
+    kind = F.col("evid")
     return (
-        members.where(F.col("evid").isin(COUPON, BROWSE))
+        members.where(kind.isin(coupon, browse))
         .groupBy("window_start", "window_end", "mid", "uid")
-        .agg(F.max(F.col("evid") == COUPON).alias("took"), F.max(F.col("evid") == BROWSE).alias("browsed"))
+        .agg(F.max(kind == coupon).alias("took"), F.max(kind == browse).alias("browsed"))
     )
 
 
-def alert_documents(alerts: DataFrame, members: DataFrame, part_entries: int = PART_ENTRIES) -> DataFrame:
+def alert_documents(
+    alerts: DataFrame, members: DataFrame, part_entries: int = PART_ENTRIES, kinds: tuple[str, str] = KINDS
+) -> DataFrame:
     """Alerts as documents: distinct users and items that took coupons, all events in time order, alert time.
 
     An alert with more than `part_entries` events comes as several parts of about that size, together whole, so no
@@ -114,7 +122,7 @@ def alert_documents(alerts: DataFrame, members: DataFrame, part_entries: int = P
         .withColumn("n", F.least(F.lit(part_entries), F.col("n") - F.col("_run") * part_entries))
         .withColumn("part", F.pmod(F.xxhash64("evid", "uid", "itemid", "_run"), F.col("_parts")).cast("int"))
     )
-    coupon = F.col("evid") == COUPON
+    coupon = F.col("evid") == kinds[0]
     timed = F.sort_array(F.collect_list(F.struct("first_ts", "evid", F.col("n").cast("int").alias("n"))))
     return (
         rows.groupBy("doc_id", "part", "mid", "ts")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import add, or_
+from operator import add
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillwatch.functions.text import query_words, tokens
+from tillwatch.functions.text import has_word, query_words, tokens
 
 # The usual BM25 parameters.
 K1, B = 1.2, 0.75
@@ -30,21 +30,20 @@ def scored(docs: DataFrame, text: str, keyword: str, digits: int = 6) -> DataFra
     def times(word: str, source: Column) -> Column:
         return F.size(F.filter(source, lambda t: t == word))
 
-    lengths = docs.select(bag.alias("_bag")).select(
+    lengths = docs.where(body.isNotNull()).select(bag.alias("_bag")).select(
         F.size("_bag").alias("_len"),
         *[F.array_contains("_bag", w).cast("bigint").alias(f"_has{i}") for i, w in enumerate(words)],
     )
-    totals = lengths.where(F.col("_len") >= 0).agg(
+    totals = lengths.agg(
         F.struct(
             F.count("*").alias("rows"),
             F.avg("_len").alias("avg_len"),
             *[F.sum(f"_has{i}").alias(f"df{i}") for i in range(len(words))],
         ).alias("stats")
     )
-    mentioned = reduce(or_, [F.contains(F.lower(body), F.lit(w)) for w in words])
     stats = F.col("_stats")
     hits = (
-        docs.where(mentioned)
+        docs.where(has_word(body, words))
         .withColumn("_bag", bag)
         .withColumn("_stats", totals.scalar())
         .withColumn("_norm", F.lit(1 - B) + F.lit(B) * F.size("_bag") / stats["avg_len"])
@@ -57,8 +56,7 @@ def scored(docs: DataFrame, text: str, keyword: str, digits: int = 6) -> DataFra
         return idf * tf * F.lit(K1 + 1) / (tf + F.lit(K1) * F.col("_norm"))
 
     total = reduce(add, [weight(i, w) for i, w in enumerate(words)])
-    found = F.arrays_overlap("_bag", F.array(*map(F.lit, words)))
-    return hits.where(found).withColumn("score", F.round(total, digits)).drop("_bag", "_stats", "_norm")
+    return hits.withColumn("score", F.round(total, digits)).drop("_bag", "_stats", "_norm")
 
 
 def ranked(docs: DataFrame, text: str, keyword: str, id_column: str, size: int = 10) -> DataFrame:

@@ -5,35 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tillwatch.operators.alerts import (
-    PART_ENTRIES, alert_documents, alert_windows, throttle, window_members, window_users,
+    KINDS, PART_ENTRIES, alert_documents, alert_windows, throttle, window_members, window_users,
 )
 from tillwatch.records import ALERT_PERIOD, ALERT_SLIDE, ALERT_USERS, ALERT_WINDOW
 
 
 def alerts(
     events: DataFrame, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE, period: str = ALERT_PERIOD,
-    least: int = ALERT_USERS,
+    least: int = ALERT_USERS, kinds: tuple[str, str] = KINDS,
 ) -> DataFrame:
     """One alert per device and period: its last alerting window."""
-    return throttle(alert_windows(window_users(events, window, slide), least), period)
+    return throttle(alert_windows(window_users(events, window, slide, kinds), least), period)
 
 
 def documents(
     events: DataFrame, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE, slide_seconds: int = 5,
     period: str = ALERT_PERIOD, least: int = ALERT_USERS, part_entries: int = PART_ENTRIES,
+    kinds: tuple[str, str] = KINDS,
 ) -> DataFrame:
     """The alerts with the users, items and events behind them.
 
     Only windows that alert are joined back to the events; the wide event rows are never spread over the windows.
     """
-    found = alerts(events, window, slide, period, least)
-    return alert_documents(found, window_members(events, found, slide_seconds), part_entries)
+    found = alerts(events, window, slide, period, least, kinds)
+    return alert_documents(found, window_members(events, found, slide_seconds), part_entries, kinds)
 
 
-def member_counts(events: DataFrame, found: DataFrame, slide_seconds: int) -> DataFrame:
+def member_counts(
+    events: DataFrame, found: DataFrame, slide_seconds: int, kinds: tuple[str, str] = KINDS
+) -> DataFrame:
     """Per alert: distinct items that took coupons and number of events."""
     members = window_members(events, found, slide_seconds)
-    coupon = F.col("evid") == "coupon"
+    coupon = F.col("evid") == kinds[0]
     return members.groupBy("window_start", "mid").agg(
         F.count_distinct(F.when(coupon, F.col("itemid"))).alias("n_items"), F.sum("n").alias("n_events")
     )

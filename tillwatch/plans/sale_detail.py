@@ -28,16 +28,22 @@ def detail_side(details: DataFrame, *extra: str) -> DataFrame:
 
 def wide(pairs: DataFrame, users: DataFrame, as_of: Column | None = None, *extra: str) -> DataFrame:
     """Matched pairs with their user, in the wide layout, under `order-detail` ids."""
-    rows = with_users(pairs, users, as_of)
+    return _laid_out(with_users(pairs, users, as_of), *extra)
+
+
+def _laid_out(rows: DataFrame, *extra: str) -> DataFrame:
     return rows.select(F.concat_ws("-", "order_id", "order_detail_id").alias("doc_id"), *COLUMNS, *extra)
 
 
 def sale_detail(orders: DataFrame, details: DataFrame, users: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """Details that come twice count once; orders hold one row per id, users one per id."""
+    """Details that come twice count once; orders hold one row per id, users one per id.
+
+    Users are looked up for orders, before the lines multiply them, so lines are shuffled for their order only.
+    """
     rows = detail_side(details)
     lines = latest_per_key(rows, ["_order", "order_detail_id"], ["sku_price", "sku_id", "sku_name"])
-    pairs = order_side(orders).join(lines, F.col("order_id") == F.col("_order"), "inner").drop("_order")
-    return wide(pairs, users, as_of)
+    known = with_users(order_side(orders), users, as_of)
+    return _laid_out(known.join(lines, F.col("order_id") == F.col("_order"), "inner"))
 
 
 def order_coverage(orders: DataFrame, details: DataFrame) -> DataFrame:

@@ -14,6 +14,8 @@ LINEITEM_DDL = (
     "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
     "l_shipdate TIMESTAMP_NTZ"
 )
+# The event kinds that stand for taking a coupon and for browsing.
+KINDS = ("purchase", "click")
 CUSTOMER_DDL = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
 
 
@@ -35,9 +37,8 @@ def _money(name: str) -> Column:
 
 
 def logs(events: DataFrame) -> DataFrame:
-    """Events as logs of the device `user_id`; purchases stand for coupons and clicks for browsing."""
+    """Events as logs of the device `user_id`."""
     kind = F.col("event_type")
-    evid = F.when(kind == "purchase", "coupon").when(kind == "click", "clickItem").otherwise(kind)
     return (
         events.withColumn("event_time", F.col("ts").cast("timestamp"))
         .select(
@@ -45,7 +46,7 @@ def logs(events: DataFrame) -> DataFrame:
             _text("user_id").alias("mid"),
             F.get_json_object("props", "$.k").alias("uid"),
             F.when(kind == "signup", "startup").otherwise("event").alias("type"),
-            evid.alias("evid"),
+            kind.alias("evid"),
             _text("event_id").alias("itemid"),
             F.date_format("event_time", "yyyy-MM-dd").alias("logDate"),
             F.date_format("event_time", "HH").alias("logHour"),

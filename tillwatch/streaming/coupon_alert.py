@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillwatch.operators.alerts import (
-    PART_ENTRIES, alert_documents, alert_windows, throttle, users_of_members,
+    KINDS, PART_ENTRIES, alert_documents, alert_windows, throttle, users_of_members,
 )
 from tillwatch.records import ALERT_INTERVAL, ALERT_PERIOD, ALERT_SLIDE, ALERT_USERS, ALERT_WINDOW
 from tillwatch.sources.keyed_table import KeyedTable
@@ -52,7 +52,7 @@ def current(documents: DataFrame) -> DataFrame:
 def run_alerts(
     events: DataFrame, table: KeyedTable, checkpoint: str, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE,
     period: str = ALERT_PERIOD, late: str = "10 seconds", least: int = ALERT_USERS, part_entries: int = PART_ENTRIES,
-    interval: str | None = ALERT_INTERVAL,
+    kinds: tuple[str, str] = KINDS, interval: str | None = ALERT_INTERVAL,
 ) -> StreamingQuery:
     """Store an alert document as soon as its window is over.
 
@@ -61,8 +61,8 @@ def run_alerts(
     def save(batch: DataFrame, batch_id: int) -> None:
         members = batch.persist()
         try:
-            found = throttle(alert_windows(users_of_members(members), least), period)
-            table.upsert(alert_documents(found, members, part_entries), batch_id, unique=True)
+            found = throttle(alert_windows(users_of_members(members, kinds), least), period)
+            table.upsert(alert_documents(found, members, part_entries, kinds), batch_id, unique=True)
         finally:
             members.unpersist()
 
