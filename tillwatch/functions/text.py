@@ -19,9 +19,9 @@ def mask_prefix(col: Column, keep: int, stars: int) -> Column:
     return F.concat(F.left(col, F.lit(keep)), F.lit("*" * stars))
 
 
-def tokens(col: Column) -> Column:
-    """Lower-case words of a text."""
-    return F.filter(F.split(F.lower(col), _NOT_WORD), lambda word: word != "")
+def tokens(low: Column) -> Column:
+    """Words of a lower-case text."""
+    return F.array_remove(F.split(low, _NOT_WORD), "")
 
 
 def query_words(keyword: str | None) -> list[str]:
@@ -29,25 +29,24 @@ def query_words(keyword: str | None) -> list[str]:
     return list(dict.fromkeys(_WORD.findall((keyword or "").lower())))
 
 
-def has_word(col: Column, words: list[str]) -> Column:
-    """True where one of `words` stands in the text as a whole word; null where there is no text.
+def has_word(low: Column, words: list[str]) -> Column:
+    """True where one of `words` stands in a lower-case text as a whole word; null where there is no text.
 
     A plain substring test comes first and lets most rows skip the pattern; no word list is built.
     """
-    low = F.lower(col)
     mentioned = reduce(or_, [F.contains(low, F.lit(word)) for word in words])
     return mentioned & F.regexp_like(low, F.lit(_BOUNDED.format("|".join(words))))
 
 
 def match_all(col: Column, keyword: str | None) -> Column:
     """True where every word of the keyword occurs; an empty keyword matches nothing."""
-    words = query_words(keyword)
+    words, low = query_words(keyword), F.lower(col)
     if not words:
         return F.lit(False)
-    return F.coalesce(reduce(and_, [has_word(col, [word]) for word in words]), F.lit(False))
+    return F.coalesce(reduce(and_, [has_word(low, [word]) for word in words]), F.lit(False))
 
 
 def match_any(col: Column, keyword: str | None) -> Column:
     """True where at least one word of the keyword occurs."""
     words = query_words(keyword)
-    return F.coalesce(has_word(col, words), F.lit(False)) if words else F.lit(False)
+    return F.coalesce(has_word(F.lower(col), words), F.lit(False)) if words else F.lit(False)

@@ -12,6 +12,7 @@ from tillwatch.records import ALERT_PERIOD, ALERT_SLIDE, ALERT_USERS, ALERT_WIND
 
 KINDS = (COUPON, BROWSE)
 PART_ENTRIES = 10_000
+_ALERT = ("doc_id", "window_start", "window_end", "mid")
 
 
 def window_users(
@@ -41,7 +42,11 @@ def alert_windows(users: DataFrame, least: int = ALERT_USERS) -> DataFrame:
 
 def period_of(window_end: Column, period: str = ALERT_PERIOD) -> Column:
     """Start of the period an alert falls in: that of the last instant of its window."""
-    return F.window(window_end - F.expr("INTERVAL 1 MICROSECOND"), period).getField("start")
+    return F.window(_last_instant(window_end), period).getField("start")
+
+
+def _last_instant(window_end: Column) -> Column:
+    return window_end - F.expr("INTERVAL 1 MICROSECOND")
 
 
 def throttle(windows: DataFrame, period: str = ALERT_PERIOD) -> DataFrame:
@@ -63,30 +68,27 @@ def alert_id(mid: Column, period: Column) -> Column:
     return F.concat_ws("_", mid, F.call_function("div", F.unix_millis(period), F.lit(60_000)).cast("string"))
 
 
-def window_members(events: DataFrame, windows: DataFrame, slide_seconds: int) -> DataFrame:
-    """The events inside the given windows, one row per distinct (window, device, kind, user, item) with its count.
+def window_members(events: DataFrame, alerts: DataFrame, slide_seconds: int) -> DataFrame:
+    """The events behind the given alerts, one row per distinct (alert, kind, user, item) with its count.
 
     Windows start and end on slides, so events meet windows by equality on (device, slide) instead of by range, and a
     hot device is split over its slides.
     """
-    span = F.unix_seconds("window_end") - F.unix_seconds("window_start")
-    steps = F.sequence(F.lit(0), F.call_function("div", span, F.lit(slide_seconds)) - 1)
-    slides = windows.select(
-        "window_start", "window_end", F.col("mid").alias("_mid"),
-        F.explode(F.transform(steps, lambda i: F.unix_seconds("window_start") + i * slide_seconds)).alias("_slide"),
-    )
+    first, last = F.unix_seconds("window_start"), F.unix_seconds("window_end")
+    slides = F.sequence(first, last - slide_seconds, F.lit(slide_seconds).cast("bigint"))
+    spans = alerts.select(*_ALERT, F.explode(slides).alias("_slide"))
     second = F.unix_seconds("event_time")
-    slide_of = second - F.pmod(second, F.lit(slide_seconds))
-    found = events.withColumn("_at", slide_of).join(
-        slides, (F.col("mid") == F.col("_mid")) & (F.col("_at") == F.col("_slide")), "inner"
+    at = events.select(
+        F.col("mid").alias("_mid"), "evid", "uid", "itemid", "ts",
+        (second - F.pmod(second, F.lit(slide_seconds))).alias("_at"),
     )
-    return count_members(found.select("window_start", "window_end", "mid", "evid", "uid", "itemid", "ts"))
+    found = at.join(spans, (F.col("mid") == F.col("_mid")) & (F.col("_at") == F.col("_slide")), "inner")
+    return found.groupBy(*_ALERT, "evid", "uid", "itemid").agg(F.count("*").alias("n"), F.min("ts").alias("first_ts"))
 
 
-def count_members(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("window_start", "window_end", "mid", "evid", "uid", "itemid").agg(
-        F.count("*").alias("n"), F.min("ts").alias("first_ts")
-    )
+def members_of(alerts: DataFrame, members: DataFrame) -> DataFrame:
+    """The same from members counted for all windows."""
+    return members.drop("window_end").join(alerts.select(*_ALERT), ["window_start", "mid"], "inner")
 
 
 def users_of_members(members: DataFrame, kinds: tuple[str, str] = KINDS) -> DataFrame:
@@ -101,23 +103,19 @@ def users_of_members(members: DataFrame, kinds: tuple[str, str] = KINDS) -> Data
 
 
 def alert_documents(
-    alerts: DataFrame, members: DataFrame, part_entries: int = PART_ENTRIES, kinds: tuple[str, str] = KINDS
+    members: DataFrame, part_entries: int = PART_ENTRIES, kinds: tuple[str, str] = KINDS
 ) -> DataFrame:
-    """Alerts as documents: distinct users and items that took coupons, all events in time order, alert time.
+    """Alerts as documents, from their members: distinct users and items that took coupons, all events in time order,
+    and the alert's time.
 
     An alert with more than `part_entries` events comes as several parts of about that size, together whole, so no
     task ever holds more than a part. `part` is 0 for all others.
     """
-    sizes = members.groupBy("window_start", "mid").agg(F.sum("n").alias("_size"))
-    keyed = alerts.join(sizes, ["window_start", "mid"], "inner").select(
-        "doc_id", "window_start", "mid", F.unix_millis(F.col("window_end") - F.expr("INTERVAL 1 MICROSECOND")).alias("ts"),
-        F.ceil(F.col("_size") / part_entries).alias("_parts"),
-    )
+    sizes = members.groupBy("doc_id").agg(F.ceil(F.sum("n") / part_entries).alias("_parts"))
     # A member seen very often is itself cut into runs of at most `part_entries` events.
     runs = F.sequence(F.lit(0).cast("bigint"), F.call_function("div", F.col("n") - 1, F.lit(part_entries)))
     rows = (
-        members.drop("window_end")
-        .join(keyed, ["window_start", "mid"], "inner")
+        members.join(sizes, "doc_id", "inner")
         .withColumn("_run", F.explode(runs))
         .withColumn("n", F.least(F.lit(part_entries), F.col("n") - F.col("_run") * part_entries))
         .withColumn("part", F.pmod(F.xxhash64("evid", "uid", "itemid", "_run"), F.col("_parts")).cast("int"))
@@ -125,11 +123,12 @@ def alert_documents(
     coupon = F.col("evid") == kinds[0]
     timed = F.sort_array(F.collect_list(F.struct("first_ts", "evid", F.col("n").cast("int").alias("n"))))
     return (
-        rows.groupBy("doc_id", "part", "mid", "ts")
+        rows.groupBy("doc_id", "part", "mid", "window_end")
         .agg(
             F.sort_array(F.collect_set(F.when(coupon, F.col("uid")))).alias("uids"),
             F.sort_array(F.collect_set(F.when(coupon, F.col("itemid")))).alias("itemIds"),
             F.flatten(F.transform(timed, lambda e: F.array_repeat(e["evid"], e["n"]))).alias("events"),
         )
+        .withColumn("ts", F.unix_millis(_last_instant(F.col("window_end"))))
         .select("doc_id", "part", "mid", "uids", "itemIds", "events", "ts")
     )

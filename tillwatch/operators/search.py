@@ -24,13 +24,14 @@ def scored(docs: DataFrame, text: str, keyword: str, digits: int = 6) -> DataFra
     words = query_words(keyword)
     if not words:
         return docs.limit(0).withColumn("score", F.lit(None).cast("double"))
-    body = F.col(text)
-    bag = tokens(body)
+    # Generated, the lower-case text is a column of its own, made once however often it is tested below.
+    low = docs.where(F.col(text).isNotNull()).withColumn("_low", F.explode(F.array(F.lower(text))))
+    bag = tokens(F.col("_low"))
 
-    def times(word: str, source: Column) -> Column:
-        return F.size(F.filter(source, lambda t: t == word))
+    def times(word: str) -> Column:
+        return F.size("_bag") - F.size(F.array_remove("_bag", word))
 
-    lengths = docs.where(body.isNotNull()).select(bag.alias("_bag")).select(
+    lengths = low.select(bag.alias("_bag")).select(
         F.size("_bag").alias("_len"),
         *[F.array_contains("_bag", w).cast("bigint").alias(f"_has{i}") for i, w in enumerate(words)],
     )
@@ -43,7 +44,7 @@ def scored(docs: DataFrame, text: str, keyword: str, digits: int = 6) -> DataFra
     )
     stats = F.col("_stats")
     hits = (
-        docs.where(has_word(body, words))
+        low.where(has_word(F.col("_low"), words))
         .withColumn("_bag", bag)
         .withColumn("_stats", totals.scalar())
         .withColumn("_norm", F.lit(1 - B) + F.lit(B) * F.size("_bag") / stats["avg_len"])
@@ -52,11 +53,11 @@ def scored(docs: DataFrame, text: str, keyword: str, digits: int = 6) -> DataFra
     def weight(i: int, word: str) -> Column:
         with_word = stats[f"df{i}"]
         idf = F.log(F.lit(1.0) + (stats["rows"] - with_word + F.lit(0.5)) / (with_word + F.lit(0.5)))
-        tf = times(word, F.col("_bag"))
+        tf = times(word)
         return idf * tf * F.lit(K1 + 1) / (tf + F.lit(K1) * F.col("_norm"))
 
     total = reduce(add, [weight(i, w) for i, w in enumerate(words)])
-    return hits.withColumn("score", F.round(total, digits)).drop("_bag", "_stats", "_norm")
+    return hits.withColumn("score", F.round(total, digits)).drop("_low", "_bag", "_stats", "_norm")
 
 
 def ranked(docs: DataFrame, text: str, keyword: str, id_column: str, size: int = 10) -> DataFrame:

@@ -28,7 +28,7 @@ def documents(
     Only windows that alert are joined back to the events; the wide event rows are never spread over the windows.
     """
     found = alerts(events, window, slide, period, least, kinds)
-    return alert_documents(found, window_members(events, found, slide_seconds), part_entries, kinds)
+    return alert_documents(window_members(events, found, slide_seconds), part_entries, kinds)
 
 
 def member_counts(

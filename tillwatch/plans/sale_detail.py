@@ -38,12 +38,14 @@ def _laid_out(rows: DataFrame, *extra: str) -> DataFrame:
 def sale_detail(orders: DataFrame, details: DataFrame, users: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Details that come twice count once; orders hold one row per id, users one per id.
 
-    Users are looked up for orders, before the lines multiply them, so lines are shuffled for their order only.
+    Users are looked up for orders, before the lines multiply them, so lines are shuffled for their order only. Copies
+    go after the join: by then rows of an order are together and a filter on orders has cut the lines. Where one order
+    is hot, Spark splits its join and shuffles the copies by line, after a first cut in each task.
     """
-    rows = detail_side(details)
-    lines = latest_per_key(rows, ["_order", "order_detail_id"], ["sku_price", "sku_id", "sku_name"])
     known = with_users(order_side(orders), users, as_of)
-    return _laid_out(known.join(lines, F.col("order_id") == F.col("_order"), "inner"))
+    pairs = known.join(detail_side(details), F.col("order_id") == F.col("_order"), "inner").drop("_order")
+    lines = latest_per_key(pairs, ["order_id", "order_detail_id"], ["sku_price", "sku_id", "sku_name"])
+    return _laid_out(lines)
 
 
 def order_coverage(orders: DataFrame, details: DataFrame) -> DataFrame:

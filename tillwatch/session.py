@@ -17,9 +17,11 @@ def build_session(app: str = "tillwatch", master: str | None = None, conf: dict[
         "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         **(conf or {}),
     }
@@ -32,12 +34,14 @@ def build_session(app: str = "tillwatch", master: str | None = None, conf: dict[
 
 
 def prepare(spark: SparkSession, zone: str = "UTC") -> SparkSession:
-    """Pin the two SQL settings that results depend on, on a session built elsewhere.
+    """Set what results depend on, and the skew handling plans count on, in a session built elsewhere.
 
-    Days and hours are cut in `zone`; a log that repeats a JSON key keeps the last value.
+    Days and hours are cut in `zone`; a log that repeats a JSON key keeps the last value; a skewed join is split even
+    where the rows are grouped by the same key afterwards.
     """
     spark.conf.set("spark.sql.session.timeZone", zone)
     spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     return spark
 
 

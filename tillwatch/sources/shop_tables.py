@@ -85,7 +85,7 @@ def details(rows: DataFrame) -> DataFrame:
         key.alias("id"),
         _text("l_orderkey").alias("order_id"),
         _text("l_partkey").alias("sku_id"),
-        _money("l_extendedprice").cast("string").alias("order_price"),
+        F.col("l_extendedprice").alias("order_price"),
         F.col("l_quantity").cast("bigint").cast("string").alias("sku_num"),
         F.col("l_shipdate").cast("timestamp").alias("arrived"),
     )

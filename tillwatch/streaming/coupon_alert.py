@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillwatch.operators.alerts import (
-    KINDS, PART_ENTRIES, alert_documents, alert_windows, throttle, users_of_members,
+    KINDS, PART_ENTRIES, alert_documents, alert_windows, members_of, throttle, users_of_members,
 )
 from tillwatch.records import ALERT_INTERVAL, ALERT_PERIOD, ALERT_SLIDE, ALERT_USERS, ALERT_WINDOW
 from tillwatch.sources.keyed_table import KeyedTable
@@ -62,7 +62,7 @@ def run_alerts(
         members = batch.persist()
         try:
             found = throttle(alert_windows(users_of_members(members, kinds), least), period)
-            table.upsert(alert_documents(found, members, part_entries, kinds), batch_id, unique=True)
+            table.upsert(alert_documents(members_of(found, members), part_entries, kinds), batch_id, unique=True)
         finally:
             members.unpersist()
 
