@@ -19,10 +19,10 @@ from tillwatch.plans import change_feed, coupon_alert, daily_active, log_feed, o
 from tillwatch.records import (
     DETAIL_RECORD, EVENT_LOG, ORDER_DETAIL, ORDER_INFO, STARTUP_LOG, USER_INFO, USER_RECORD,
 )
-from tillwatch.session import prepare, shared_dir
+from tillwatch.session import prepare, shared_dir, stream_session
 from tillwatch.sources import shop_tables as shop
 from tillwatch.sources.keyed_table import KeyedTable
-from tillwatch.sources.tables import scan_all, union_all
+from tillwatch.sources.tables import hit_json, scan_all, union_all
 from tillwatch.sources.topics import of_topic, read_topics
 from tillwatch.streaming import coupon_alert as alert_stream_, daily_active as active_stream, orders as order_stream
 from tillwatch.streaming import routers, sale_detail as sale_stream_
@@ -30,6 +30,7 @@ from tillwatch.streaming.run import finish
 
 # Parameters of the registered queries; the SQL they are checked with uses the same ones.
 AS_OF = "2001-08-01"
+CURVE_DAY = "2024-01-10"
 REPORT_DAY, REPORT_WORD = "1998-10-03", "red"
 SEARCH = "elle und the"
 JOIN_SECONDS = 300 * 86400
@@ -63,6 +64,10 @@ def _active(spark: SparkSession, sf: str) -> DataFrame:
     return daily_active.daily_active(logs, ("ts", "event_id"))
 
 
+def _hours(spark: SparkSession, sf: str) -> DataFrame:
+    return daily_active.active_hours(_logs(spark, sf))
+
+
 def _purchases(spark: SparkSession, sf: str) -> DataFrame:
     """Purchases as orders: the order table only knows midnights, hours come from here."""
     return _logs(spark, sf).where(F.col("evid") == shop.KINDS[0]).select(
@@ -172,24 +177,24 @@ def dau_rows(spark, sf):
 
 @_query
 def dau_total(spark, sf):
-    return daily_active.active_total(_active(spark, sf))
+    return daily_active.active_total(_hours(spark, sf))
 
 
 @_query
 def dau_hourly(spark, sf):
-    return daily_active.active_hourly(_active(spark, sf))
+    return daily_active.active_hourly(_hours(spark, sf))
 
 
 @_query
 def hourly_map(spark, sf):
     """The map hour -> devices of each day, as JSON."""
-    maps = hour_map(daily_active.active_hourly(_active(spark, sf)), "logDate", "logHour", "n")
+    maps = hour_map(daily_active.active_hourly(_hours(spark, sf)), "logDate", "logHour", "n")
     return maps.select("logDate", F.to_json("hours").alias("hours"))
 
 
 @_query
 def new_devices(spark, sf):
-    return daily_active.new_devices(_active(spark, sf))
+    return daily_active.new_devices(_hours(spark, sf))
 
 
 @_query
@@ -203,7 +208,7 @@ def seen_anti(spark, sf):
 @_query
 def hourly_compare(spark, sf):
     """Devices per hour of every day against the day before."""
-    hourly = daily_active.active_hourly(_active(spark, sf))
+    hourly = daily_active.active_hourly(_hours(spark, sf))
     return day_against_previous(hourly, "logDate", "logHour", "n")
 
 
@@ -237,7 +242,20 @@ def amount_compare(spark, sf):
 @_query
 def kpi_list(spark, sf):
     """The three figures of every day."""
-    return reports.kpis_by_day(_active(spark, sf), _purchases(spark, sf))
+    return reports.kpis_by_day(_hours(spark, sf), _purchases(spark, sf))
+
+
+@_query
+def day_curves(spark, sf):
+    """Both metrics of one day and the day before, as maps hour -> value."""
+    active, orders = _hours(spark, sf), _purchases(spark, sf)
+    both = [
+        reports.hourly_curves(metric, active, orders, CURVE_DAY).select(
+            F.lit(metric).alias("metric"), F.to_json("today").alias("today"), F.to_json("yesterday").alias("yesterday")
+        )
+        for metric in ("dau", "order_amount")
+    ]
+    return both[0].unionByName(both[1])
 
 
 @_query
@@ -368,6 +386,14 @@ def union_index_scan(spark, sf):
     })
 
 
+@_query
+def hit_rows(spark, sf):
+    """Ranked articles as JSON objects, the hit's own fields among the article's."""
+    best = ranked(shop.table(spark, sf, "part").select("p_partkey", "p_name"), "p_name", "red plate", "p_partkey", 10)
+    hits = best.withColumns({"index": F.lit("part"), "id": F.col("p_partkey").cast("string")})
+    return hit_json(hits.select("p_partkey", "p_name", "index", "id")).withColumn("rank_id", F.get_json_object("hit", "$.id"))
+
+
 @_query
 def union_columns(spark, sf):
     """The same tables with their columns side by side."""
@@ -439,6 +465,14 @@ def upsert_last_wins(spark, sf):
 # Streams. Each runs over the whole table as a stream into a folder of its own and is read back from there.
 
 
+def _stream_query(fn: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(stream_session(spark), sf_dir)
+
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    return _query(run)
+
+
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
     return shop.logs(shop.table_stream(spark, sf, "events", shop.EVENTS_DDL))
 
@@ -450,7 +484,7 @@ def _order_records(spark: SparkSession, sf: str) -> DataFrame:
     return order_amount.read_orders(lines, keep=("arrived",))
 
 
-@_query
+@_stream_query
 def dau_stream(spark, sf):
     run = shared_dir(spark, "dau")
     schema = "logDate STRING, mid STRING, uid STRING, logHour STRING, ts BIGINT, event_id BIGINT"
@@ -460,7 +494,7 @@ def dau_stream(spark, sf):
     return stored.read(spark)
 
 
-@_query
+@_stream_query
 def first_arrival_stream(spark, sf):
     run = shared_dir(spark, "first")
     stored = KeyedTable(f"{run}/table", "logDate STRING, mid STRING", ["logDate", "mid"], [])
@@ -469,7 +503,7 @@ def first_arrival_stream(spark, sf):
     return stored.read(spark)
 
 
-@_query
+@_stream_query
 def gmv_stream(spark, sf):
     """Orders kept by id from a stream, summed per day."""
     run = shared_dir(spark, "gmv")
@@ -478,7 +512,7 @@ def gmv_stream(spark, sf):
     return order_amount.amount_total(stored.read(spark))
 
 
-@_query
+@_stream_query
 def user_snapshot_stream(spark, sf):
     """Users from the change feed, through their topic, into the table lookups read."""
     run = shared_dir(spark, "users")
@@ -490,7 +524,7 @@ def user_snapshot_stream(spark, sf):
     return stored.read(spark).drop("arrived")
 
 
-@_query
+@_stream_query
 def log_router_stream(spark, sf):
     """Posted lines through the router, read back from the topics."""
     run = shared_dir(spark, "logs")
@@ -499,7 +533,7 @@ def log_router_stream(spark, sf):
     return spark.read.text(f"{run}/topics").select("topic", "value")
 
 
-@_query
+@_stream_query
 def change_router_stream(spark, sf):
     """Order, detail and user changes through the router, read back from the topics."""
     run = shared_dir(spark, "changes")
@@ -510,7 +544,7 @@ def change_router_stream(spark, sf):
     return spark.read.text(f"{run}/topics").select("topic", "value")
 
 
-@_query
+@_stream_query
 def sale_stream(spark, sf):
     """Two streams joined within the limit, users looked up, wide rows upserted and read back."""
     run = shared_dir(spark, "sales")
@@ -523,7 +557,7 @@ def sale_stream(spark, sf):
     return stored.read(spark).drop("order_arrived")
 
 
-@_query
+@_stream_query
 def alert_stream(spark, sf):
     """Window members kept by a stream, alerts taken from them."""
     run = shared_dir(spark, "alerts")
@@ -535,7 +569,7 @@ def alert_stream(spark, sf):
     )
 
 
-@_query
+@_stream_query
 def batch_counts(spark, sf):
     """Rows per micro-batch, added up."""
     run = shared_dir(spark, "counts")

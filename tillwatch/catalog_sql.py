@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillwatch.catalog import AS_OF, JOIN_SECONDS, REPORT_DAY, REPORT_WORD, SEARCH
+from tillwatch.catalog import AS_OF, CURVE_DAY, JOIN_SECONDS, REPORT_DAY, REPORT_WORD, SEARCH
 from tillwatch.records import AGE_LABELS, AGE_TITLE, FEMALE_LABEL, GENDER_TITLE, KPI_NAMES, MALE_LABEL
 
 LOGS = """
@@ -186,6 +186,18 @@ SELECT dt, 'new_mid', '{KPI_NAMES["new_mid"]}', CAST(count(*) AS DOUBLE)
 FROM (SELECT mid, min(logDate) AS dt FROM active GROUP BY mid) GROUP BY dt
 UNION ALL
 SELECT logDate, 'order_amount', '{KPI_NAMES["order_amount"]}', CAST(sum(value) AS DOUBLE) FROM ({purchases}) GROUP BY logDate""",
+        "day_curves": f"""WITH {ACTIVE},
+dau AS (SELECT logDate AS day, logHour AS h, CAST(count(*) AS VARCHAR) AS v FROM active GROUP BY 1, 2),
+amounts AS (SELECT logDate AS day, logHour AS h, CAST(CAST(sum(value) AS DOUBLE) AS VARCHAR) AS v FROM ({purchases}) GROUP BY 1, 2)
+""" + " UNION ALL ".join(
+            f"SELECT '{metric}' AS metric, " + ", ".join(
+                f"(SELECT '{{' || string_agg('\"' || h || '\":' || v, ',' ORDER BY h) || '}}' FROM {rows} WHERE day = {day}) AS {name}"
+                for day, name in (
+                    (f"'{CURVE_DAY}'", "today"), (f"strftime(CAST('{CURVE_DAY}' AS DATE) - 1, '%Y-%m-%d')", "yesterday")
+                )
+            )
+            for metric, rows in (("dau", "dau"), ("order_amount", "amounts"))
+        ),
         "orders_by_province": f"""WITH {ORDERS}
 SELECT n_name AS province, count(*) AS n_orders, CAST(sum(total_amount) AS DOUBLE) AS amount,
        CAST(least(floor(count(*) / 100) * 100, 500) AS BIGINT) AS bucket
@@ -233,6 +245,10 @@ SELECT 'user', id, '{{"id":"' || id || '","login_name":"' || login_name || '","u
 UNION ALL
 SELECT 'nation', CAST(n_nationkey AS VARCHAR),
        '{{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name || '","n_regionkey":' || n_regionkey || '}}' FROM nation""",
+        "hit_rows": f"WITH {_bm25('part', 'p_partkey', 'p_name', 'red plate')}" + """
+SELECT '{"p_partkey":' || p_partkey || ',"p_name":"' || p_name || '","index":"part","id":"' || p_partkey || '"}' AS hit,
+       CAST(p_partkey AS VARCHAR) AS rank_id
+FROM part JOIN scores ON id = p_partkey ORDER BY score DESC, p_partkey LIMIT 10""",
         "union_columns": """SELECT p_partkey AS id, p_name AS name, p_type, CAST(NULL AS VARCHAR) AS c_mktsegment, 'part' AS index FROM part
 UNION ALL SELECT c_custkey, c_name, NULL, c_mktsegment, 'user' FROM customer""",
         "alert_windows_all": f"WITH {WINDOWS} SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, mid, n_users FROM windows",

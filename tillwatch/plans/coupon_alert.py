@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tillwatch.operators.alerts import (
     KINDS, PART_ENTRIES, alert_documents, alert_windows, throttle, window_members, window_users,
 )
+from tillwatch.session import kept
 from tillwatch.records import ALERT_PERIOD, ALERT_SLIDE, ALERT_USERS, ALERT_WINDOW
 
 
@@ -25,10 +26,11 @@ def documents(
 ) -> DataFrame:
     """The alerts with the users, items and events behind them.
 
-    Only windows that alert are joined back to the events; the wide event rows are never spread over the windows.
+    Only windows that alert are joined back to the events; the wide event rows are never spread over the windows. What
+    is found, small beside the events, is kept, so that they are read once for the alerts and once for the documents.
     """
     found = alerts(events, window, slide, period, least, kinds)
-    return alert_documents(window_members(events, found, slide_seconds), part_entries, kinds)
+    return alert_documents(kept(window_members(events, found, slide_seconds)), part_entries, kinds)
 
 
 def member_counts(

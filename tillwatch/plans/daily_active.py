@@ -21,6 +21,13 @@ def daily_active(logs: DataFrame, order: tuple[str, ...] = ("ts",)) -> DataFrame
     return earliest_per_key(logs, ["logDate", "mid"], list(order))
 
 
+def active_hours(logs: DataFrame) -> DataFrame:
+    """`daily_active` for reports that ask for no more than the hour: it follows from the earliest time, a number, so
+    rows are hashed and not sorted."""
+    first = logs.groupBy("logDate", "mid").agg(F.min("ts").alias("ts"))
+    return first.withColumn("logHour", epoch_hour(F.col("ts")))
+
+
 def active_total(active: DataFrame, day: str | None = None) -> DataFrame:
     """Devices per day; of one day when it is given (one row, 0 if there are none)."""
     if day is not None:

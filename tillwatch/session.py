@@ -5,9 +5,16 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SHARED_DIR = "spark.checkpoint.dir"
+_PARTITIONS = "spark.sql.shuffle.partitions"
+_STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def build_session(app: str = "tillwatch", master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
@@ -19,10 +26,7 @@ def build_session(app: str = "tillwatch", master: str | None = None, conf: dict[
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
-        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        **_STATE,
         **(conf or {}),
     }
     builder = SparkSession.builder.appName(app)
@@ -45,15 +49,45 @@ def prepare(spark: SparkSession, zone: str = "UTC") -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder for one run, below the shared folder the cluster names in spark.checkpoint.dir.
+def stream_session(spark: SparkSession) -> SparkSession:
+    """A session beside `spark` for streams with state.
 
-    Executors must all see it, so a temporary folder is only taken when everything runs in one local process.
+    A checkpoint keeps one state store per shuffle partition for good, so where nobody has set their number it follows
+    the cores of the cluster. State is kept in RocksDB, on disk with a bounded cache, unless another store is set.
     """
+    session = prepare(spark.newSession())
+    given = spark.sparkContext.getConf()
+    if spark.conf.get(_PARTITIONS) == "200" and not given.get(_PARTITIONS):
+        session.conf.set(_PARTITIONS, str(spark.sparkContext.defaultParallelism))
+    else:
+        session.conf.set(_PARTITIONS, spark.conf.get(_PARTITIONS))
+    if not given.get("spark.sql.streaming.stateStore.providerClass"):
+        for key, value in _STATE.items():
+            session.conf.set(key, value)
+    return session
+
+
+def _shared_root(spark: SparkSession) -> str:
     root = spark.conf.get(_SHARED_DIR, None) or spark.sparkContext.getConf().get(_SHARED_DIR)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {_SHARED_DIR} to a folder that every executor can reach")
         root = tempfile.mkdtemp(prefix="tillwatch-")
         spark.conf.set(_SHARED_DIR, root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return root.rstrip("/")
+
+
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A new folder for one run, below the shared folder the cluster names in spark.checkpoint.dir.
+
+    Executors must all see it, so a temporary folder is only taken when everything runs in one local process.
+    """
+    return f"{_shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """Rows computed once and stored in the shared folder, for steps that read them more than once."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(_shared_root(df.sparkSession))
+    return df.checkpoint()
