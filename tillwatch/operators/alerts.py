@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tillwatch.operators.keyed import apart
 from tillwatch.records import ALERT_PERIOD, ALERT_SLIDE, ALERT_USERS, ALERT_WINDOW, BROWSE, COUPON
 
 KINDS = (COUPON, BROWSE)
@@ -111,7 +112,8 @@ def alert_documents(
     An alert with more than `part_entries` events comes as several parts of about that size, together whole, so no
     task ever holds more than a part. `part` is 0 for all others.
     """
-    sizes = members.groupBy("doc_id").agg(F.ceil(F.sum("n") / part_entries).alias("_parts"))
+    totals = members.groupBy("doc_id", apart(["doc_id"])).agg(F.ceil(F.sum("n") / part_entries).alias("_parts"))
+    sizes = totals.select("doc_id", "_parts")
     # A member seen very often is itself cut into runs of at most `part_entries` events.
     runs = F.sequence(F.lit(0).cast("bigint"), F.call_function("div", F.col("n") - 1, F.lit(part_entries)))
     rows = (

@@ -11,21 +11,39 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], choose: Callable) -> DataFrame:
+def apart(keys: Sequence[str]) -> Column:
+    """A number that follows from the keys, to group by beside them.
+
+    Groups stay the same, but their rows are hashed by one more column than a join on the keys asks for. So the join
+    shuffles them anew, which is what lets the adaptive skew join split the hot keys of its other side.
+    """
+    return F.pmod(F.xxhash64(*keys), F.lit(1 << 20)).alias("_apart")
+
+
+def _pick(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], choose: Callable, joined: bool
+) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     row = choose(F.struct(*rest), F.struct(*order)).alias("_row")
-    picked = df.groupBy(*keys).agg(row)
+    picked = df.groupBy(*keys, *([apart(keys)] if joined else [])).agg(row)
     return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
-def earliest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """The row with the smallest `order` of each key; `order` must not tie for the result to be fixed."""
-    return _pick(df, keys, order, F.min_by)
+def earliest_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], joined: bool = False
+) -> DataFrame:
+    """The row with the smallest `order` of each key; `order` must not tie for the result to be fixed.
+
+    `joined` says that the result is next joined on its keys, to rows that may be skewed.
+    """
+    return _pick(df, keys, order, F.min_by, joined)
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+def latest_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], joined: bool = False
+) -> DataFrame:
     """The row with the greatest `order` of each key."""
-    return _pick(df, keys, order, F.max_by)
+    return _pick(df, keys, order, F.max_by, joined)
 
 
 def unseen(rows: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -34,4 +52,5 @@ def unseen(rows: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:
     `seen` is cut to one row per key, so a hot key only weighs on the `rows` side, which a left-anti join lets Spark
     split over several tasks.
     """
-    return rows.join(seen.select(*keys).distinct(), list(keys), "left_anti")
+    known = seen.groupBy(*keys, apart(keys)).agg(F.lit(1)).select(*keys)
+    return rows.join(known, list(keys), "left_anti")

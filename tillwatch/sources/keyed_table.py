@@ -38,10 +38,10 @@ class KeyedTable:
         self.keys = list(dict.fromkeys([*partition_by, *keys]))
         self.partition_by, self.keep = list(partition_by), keep
 
-    def _resolved(self, rows: DataFrame) -> DataFrame:
+    def _resolved(self, rows: DataFrame, joined: bool = False) -> DataFrame:
         if self.keep == "first":
-            return earliest_per_key(rows, self.keys, self.order)
-        return latest_per_key(rows, self.keys, [_VERSION, *self.order])
+            return earliest_per_key(rows, self.keys, self.order, joined)
+        return latest_per_key(rows, self.keys, [_VERSION, *self.order], joined)
 
     def _write(self, rows: DataFrame, version: int) -> None:
         out = rows.drop(_VERSION).withColumn(_VERSION, F.lit(version).cast("bigint"))
@@ -66,9 +66,12 @@ class KeyedTable:
                 raise
             return spark.createDataFrame([], f"{self.schema}, {_VERSION} BIGINT")
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """One row per key. A filter on a partition column skips the other folders."""
-        return self._resolved(self._all_versions(spark)).drop(_VERSION)
+    def read(self, spark: SparkSession, joined: bool = False) -> DataFrame:
+        """One row per key. A filter on a partition column skips the other folders.
+
+        `joined` says that the rows are next joined on their keys, to rows that may be skewed.
+        """
+        return self._resolved(self._all_versions(spark), joined).drop(_VERSION)
 
     def compact(self, spark: SparkSession, upto_batch: int, where: str = "true") -> None:
         """Fold the batches up to `upto_batch` of the partitions that match `where`, then drop their folders.
