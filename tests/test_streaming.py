@@ -135,6 +135,23 @@ def test_first_arrivals_free_their_state(spark, feed, run, rows):
     assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= 2
 
 
+def test_work_on_a_batch_is_adaptive_and_state_is_not(spark, feed, run):
+    source = feed("logs")
+    source.add(log("a", T0), log("b", T0))
+    source.add(log("a", T0 + DAY))
+    logs, _ = active_pieces(spark, source, run)
+    seen = []
+
+    def look(batch, _):
+        again = batch.groupBy("mid").count()
+        seen.append("AdaptiveSparkPlan" in again._jdf.queryExecution().executedPlan().toString())
+        again.collect()
+
+    query = finish(start(active.earliest_so_far(logs, LOG_COLUMNS), look, f"{run}/state", mode="update", interval=None))
+    assert seen and all(seen)
+    assert all(o["numShufflePartitions"] == 4 for p in query.recentProgress for o in p["stateOperators"])
+
+
 # Sale detail
 
 

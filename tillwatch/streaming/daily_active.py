@@ -23,10 +23,17 @@ def earliest_so_far(
     return groups.agg(row.alias("_row")).select("logDate", "mid", "_row.*")
 
 
-def first_arrivals(logs: DataFrame, late: str = "10 minutes") -> DataFrame:
-    """Day and device when first seen, appended at once; which log was earliest is not kept."""
-    days = logs.withWatermark("event_time", late).select(F.window("event_time", "1 day").alias("_w"), "logDate", "mid")
-    return days.dropDuplicates(["_w", "logDate", "mid"]).select("logDate", "mid")
+def first_arrivals(logs: DataFrame, late: str = "10 minutes", salts: int = 4) -> DataFrame:
+    """Day and device when first seen, appended at once; which log was earliest is not kept.
+
+    Duplicates are dropped under a salt first: dropping them sends every row to its key's task, and a busy device would
+    send all of its rows to one.
+    """
+    watched = logs.withWatermark("event_time", late)
+    salt = F.pmod(F.xxhash64("ts"), F.lit(salts)).alias("_salt")
+    days = watched.select(F.window("event_time", "1 day").alias("_w"), "logDate", "mid", salt)
+    keys = ["_w", "logDate", "mid"]
+    return days.dropDuplicates([*keys, "_salt"]).dropDuplicates(keys).select("logDate", "mid")
 
 
 def active_table(path: str, schema: str, order: tuple[str, ...] = ("ts",), by_day: bool = True) -> KeyedTable:

@@ -10,6 +10,27 @@ from pyspark.sql.streaming import StreamingQuery
 from tillwatch.records import BATCH_INTERVAL
 
 
+_ADAPTIVE = "spark.sql.adaptive.enabled"
+
+
+def _adaptive(each: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """Turn adaptive execution on for what is done with a batch.
+
+    Spark turns it off for a stream with state, whose partitions must stay as they are. The batch handed over is past
+    that; lookups and writes made with it may have their hot keys split like any other job's.
+    """
+    def run(batch: DataFrame, batch_id: int) -> None:
+        conf = batch.sparkSession.conf
+        before = conf.get(_ADAPTIVE)
+        conf.set(_ADAPTIVE, "true")
+        try:
+            each(batch, batch_id)
+        finally:
+            conf.set(_ADAPTIVE, before)
+
+    return run
+
+
 def start(
     stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append",
     interval: str | None = BATCH_INTERVAL, name: str | None = None,
@@ -19,7 +40,7 @@ def start(
     The checkpoint keeps offsets and state; `each` must write a batch id to the same place each time, so that a batch
     repeated after a failure leaves no second copy.
     """
-    writer = stream.writeStream.foreachBatch(each).outputMode(mode).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.foreachBatch(_adaptive(each)).outputMode(mode).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
