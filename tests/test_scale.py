@@ -95,13 +95,16 @@ def test_hot_user_is_split_in_the_lookup_of_a_keyed_table(spark, small_partition
     assert got.count() == 20_000
 
 
-def test_every_group_is_cut_before_its_shuffle(spark):
-    """No exchange by day and device without a partial aggregate below it."""
-    for name in ("dau_rows", "dau_hourly", "new_devices", "gmv_daily", "alert_throttled", "terms_gender", "user_latest"):
-        text = plan(catalog.queries()[name](spark, SF))
-        aggregates = re.findall(r"Exchange hashpartitioning\([^\n]*\n[^\n]*?(\w+Aggregate)", text)
-        assert aggregates, name
-        assert "partial_" in text or "functions=[])" in text, name
+@pytest.mark.parametrize("name", ["dau_hourly", "new_devices", "gmv_daily", "alert_throttled", "terms_gender", "orders_by_province"])
+def test_groups_are_summed_in_each_task_before_their_shuffle(spark, name):
+    below = re.findall(r"Exchange hashpartitioning\([^\n]*\n([^\n]*)", plan(catalog.queries()[name](spark, SF)))
+    assert any("partial_" in line or "functions=[]" in line for line in below)
+
+
+@pytest.mark.parametrize("name", ["dau_rows", "user_latest", "gmv_by_order_date"])
+def test_one_row_per_key_is_cut_in_each_task_before_the_shuffle(spark, name):
+    below = re.findall(r"Exchange hashpartitioning\([^\n]*\n([^\n]*)", plan(catalog.queries()[name](spark, SF)))
+    assert any("WindowGroupLimit" in line and "Partial" in line for line in below)
 
 
 def test_scans_read_the_columns_and_rows_asked_for(spark):

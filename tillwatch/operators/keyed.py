@@ -1,14 +1,14 @@
 """One row per key.
 
-Both forms are aggregates, not windows over a sorted group: each task first cuts its own rows to one per key, so a key
-that holds a large part of all rows sends one row per task through the shuffle.
+Asked for place 1 only, Spark limits each group in every task before the shuffle and again after it, so a key that holds
+a large part of all rows sends one row per task. (Streams have no such windows; they take min_by.)
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def apart(keys: Sequence[str]) -> Column:
@@ -20,30 +20,27 @@ def apart(keys: Sequence[str]) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(1 << 20)).alias("_apart")
 
 
-def _pick(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], choose: Callable, joined: bool
-) -> DataFrame:
-    rest = [c for c in df.columns if c not in keys]
-    row = choose(F.struct(*rest), F.struct(*order)).alias("_row")
-    picked = df.groupBy(*keys, *([apart(keys)] if joined else [])).agg(row)
-    return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+def _first(df: DataFrame, keys: Sequence[str], order: Sequence[Column], joined: bool) -> DataFrame:
+    group = [*keys, apart(keys)] if joined else keys
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    return df.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
 
 
 def earliest_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], joined: bool = False
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], joined: bool = False
 ) -> DataFrame:
     """The row with the smallest `order` of each key; `order` must not tie for the result to be fixed.
 
     `joined` says that the result is next joined on its keys, to rows that may be skewed.
     """
-    return _pick(df, keys, order, F.min_by, joined)
+    return _first(df, keys, [F.asc_nulls_first(c) for c in order], joined)
 
 
 def latest_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], joined: bool = False
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], joined: bool = False
 ) -> DataFrame:
     """The row with the greatest `order` of each key."""
-    return _pick(df, keys, order, F.max_by, joined)
+    return _first(df, keys, [F.desc_nulls_last(c) for c in order], joined)
 
 
 def unseen(rows: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:
