@@ -263,6 +263,13 @@ def test_report_without_rows_has_null_shares(sales):
     assert json.loads(reports.sale_report(sales, "2024-01-01", "").first()["report"])["total"] == 0
 
 
+def test_report_parameters_have_defaults(sales):
+    dated = sales.withColumn("dt", F.lit("2019-03-04"))
+    for blank in (None, ""):
+        assert json.loads(reports.sale_report(dated, blank, "red plate").first()["report"])["total"] == 4
+        assert json.loads(reports.sale_report(dated, "2019-03-04", blank).first()["report"])["total"] == 0
+
+
 def test_page_two_of_five_rows(spark):
     got = page(spark.range(5).orderBy(F.desc("id")), ["id"], 2, 2).collect()
     assert [(r["id"], r["total"]) for r in got] == [(2, 5), (3, 5)]

@@ -12,7 +12,6 @@ from tillwatch.functions.text import mask_prefix, match_all, match_any, query_wo
 from tillwatch.functions.times import (
     age_years, epoch_day, epoch_hour, epoch_minute, next_day, previous_day, text_day, text_hour,
 )
-from tillwatch.operators.hours import blank_to
 from tillwatch.records import EVENT_LOG, ORDER_RECORD, STARTUP_LOG, USER_RECORD
 
 
@@ -129,7 +128,3 @@ def test_words_of_other_scripts(spark):
     assert query_words("篮球 Été x_1 été") == ["篮球", "été", "x", "1"]
     text = spark.createDataFrame([("喜欢 篮球",), ("l'ÉTÉ",), ("étés",)], "n STRING")
     assert [r["n"] for r in text.where(match_any(F.col("n"), "篮球 été")).collect()] == ["喜欢 篮球", "l'ÉTÉ"]
-
-
-def test_blank_parameters_take_their_default(spark):
-    assert [value(spark, blank_to(v, "2019-03-04")) for v in (None, "", "2020-01-01")] == ["2019-03-04", "2019-03-04", "2020-01-01"]

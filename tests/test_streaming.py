@@ -15,7 +15,7 @@ from tillwatch.plans import coupon_alert
 from tillwatch.plans.daily_active import daily_active, read_logs
 from tillwatch.plans.order_amount import SALE_MASK, read_orders
 from tillwatch.records import (
-    CHANGE_DDL, DETAIL_RECORD, EVENT_LOG, ORDER_DETAIL, ORDER_INFO, STARTUP_LOG, USER_INFO, USER_RECORD,
+    CHANGE_DDL, DAILY_ACTIVE_COLUMNS, DETAIL_RECORD, EVENT_LOG, ORDER_DETAIL, ORDER_INFO, STARTUP_LOG, USER_INFO, USER_RECORD,
 )
 from tillwatch.session import shared_dir
 from tillwatch.sources.keyed_table import KeyedTable, one_document, with_doc_id
@@ -68,8 +68,7 @@ LOG_COLUMNS = ("uid", "appid", "area", "os", "ch", "logType", "vs", "logHour", "
 
 def active_pieces(spark, source, run):
     logs = read_logs(source.lines(spark), STARTUP_LOG).withColumn("event_time", F.timestamp_millis("ts"))
-    schema = f"{STARTUP_LOG.ddl()}"
-    return logs, active.active_table(f"{run}/table", schema)
+    return logs, active.active_table(f"{run}/table")
 
 
 def play_active(spark, source, run, late="10 minutes"):
@@ -89,6 +88,7 @@ def test_daily_active_over_batches(spark, feed, run, rows):
     source.add(log("m", T0 + 14 * HOUR + MINUTE))
     table, _ = play_active(spark, source, run)
     assert rows(table.read(spark), "logDate", "ts") == [("2024-01-01", T0), ("2024-01-02", T0 + 14 * HOUR + MINUTE)]
+    assert table.read(spark).select(*DAILY_ACTIVE_COLUMNS).first()["uid"] == "1"
 
 
 def test_row_behind_the_watermark_is_counted_and_changes_nothing(spark, feed, run, rows):
@@ -327,6 +327,19 @@ def test_change_feed_to_topics_to_tables(spark, feed, run, rows):
     assert spark.read.text(f"{run}/topics").where(F.col("topic") == ORDER_DETAIL).count() == 1
 
 
+def test_malformed_lines_are_set_aside_and_the_stream_goes_on(spark, feed, run):
+    source = feed("logs")
+    source.add(log("a", T0), "{broken")
+    source.add("plain", log("b", T0))
+    logs = source.lines(spark)
+    table = active.active_table(f"{run}/table")
+    rows_ = read_logs(logs, STARTUP_LOG).withColumn("event_time", F.timestamp_millis("ts"))
+    finish(active.run_daily_active(rows_, LOG_COLUMNS, table, f"{run}/state", interval=None))
+    finish(routers.run_bad_lines(logs, STARTUP_LOG, f"{run}/bad", f"{run}/badstate", interval=None))
+    assert table.read(spark).count() == 2
+    assert sorted(r["value"] for r in spark.read.text(f"{run}/bad").collect()) == ["plain", "{broken"]
+
+
 def test_writing_a_batch_again_leaves_one_copy(spark, run):
     batch = spark.createDataFrame([("t", "a"), ("t", "b")], "topic STRING, value STRING")
     for _ in range(2):
@@ -406,7 +419,9 @@ def test_day_filter_prunes_a_keyed_table(spark, run):
 
 def test_documents_without_id_get_one(spark, run):
     docs = spark.createDataFrame([("1", "a"), (None, "b"), (None, "c")], "doc_id STRING, v STRING")
-    assert with_doc_id(docs).select("doc_id").distinct().count() == 3
+    first, again = (sorted(r["doc_id"] for r in with_doc_id(docs, 4).collect()) for _ in range(2))
+    assert first == again and len(set(first)) == 3 and "1" in first
+    assert not set(first) & {r["doc_id"] for r in with_doc_id(docs, 5).where("v <> 'a'").collect()}
     table = KeyedTable(f"{run}/docs", "doc_id STRING, id INT, name STRING", ["doc_id"], [])
     for batch, name in enumerate(("lisi", "wang")):
         table.upsert(one_document(spark, {"id": 1, "name": name}, "1003", "id INT, name STRING"), batch)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tillwatch.functions.times import epoch_minute
 from tillwatch.operators.keyed import apart
 from tillwatch.records import ALERT_PERIOD, ALERT_SLIDE, ALERT_USERS, ALERT_WINDOW, BROWSE, COUPON
 
@@ -66,7 +67,7 @@ def throttle(windows: DataFrame, period: str = ALERT_PERIOD) -> DataFrame:
 
 def alert_id(mid: Column, period: Column) -> Column:
     """`device_minute`, the key alerts are stored under."""
-    return F.concat_ws("_", mid, F.call_function("div", F.unix_millis(period), F.lit(60_000)).cast("string"))
+    return F.concat_ws("_", mid, epoch_minute(F.unix_millis(period)).cast("string"))
 
 
 def window_members(events: DataFrame, alerts: DataFrame, slide_seconds: int) -> DataFrame:

@@ -55,8 +55,3 @@ def day_against_previous(
         F.max("asked").alias("asked"),
     )
     return both.where("asked").drop("asked")
-
-
-def blank_to(value: str | None, default: str) -> Column:
-    """A report parameter, or its default where it is missing or blank."""
-    return F.coalesce(F.nullif(F.lit(value), F.lit("")), F.lit(default))

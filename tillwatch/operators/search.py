@@ -73,9 +73,5 @@ def page(df: DataFrame, order: Sequence[str | Column], number: int, size: int) -
     """Page `number` (from 1) of `size` rows in a total order, each with the `total` of all rows."""
     total = df.agg(F.count("*").alias("total"))
     rows = df.orderBy(*order).offset((number - 1) * size).limit(size)
-    return rows.withColumn("total", totals_of(total))
-
-
-def totals_of(one_row: DataFrame) -> Column:
-    """A one-row, one-column DataFrame as a scalar subquery: evaluated once, no join."""
-    return one_row.scalar()
+    # A one-row DataFrame as a scalar subquery: evaluated once, no join.
+    return rows.withColumn("total", total.scalar())

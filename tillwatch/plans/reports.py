@@ -12,7 +12,9 @@ from tillwatch.operators.hours import hour_map
 from tillwatch.operators.search import scored
 from tillwatch.plans.daily_active import active_hourly, active_total, new_devices
 from tillwatch.plans.order_amount import amount_hourly, amount_total
-from tillwatch.records import AGE_LABELS, AGE_TITLE, FEMALE_LABEL, GENDER_TITLE, KPI_NAMES, MALE_LABEL
+from tillwatch.records import (
+    AGE_LABELS, AGE_TITLE, DEFAULT_REPORT_DATE, FEMALE_LABEL, GENDER_TITLE, KPI_NAMES, MALE_LABEL,
+)
 from tillwatch.sources.tables import on_day
 
 
@@ -123,8 +125,11 @@ def sale_page(sales: DataFrame, day: str, keyword: str, number: int, size: int)
     return kept.orderBy(F.desc("score"), F.asc("doc_id")).offset((number - 1) * size).limit(size)
 
 
-def sale_report(sales: DataFrame, day: str, keyword: str, number: int = 1, size: int = 20) -> DataFrame:
-    """The whole report as one JSON document: total, shares and one page of rows."""
+def sale_report(
+    sales: DataFrame, day: str | None, keyword: str | None, number: int = 1, size: int = 20
+) -> DataFrame:
+    """The whole report as one JSON document: total, shares and one page of rows. Blank parameters take their default."""
+    day, keyword = day or DEFAULT_REPORT_DATE, keyword or ""
     page = sale_page(sales, day, keyword, number, size)
     shown = page.agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("_rank"), *page.columns))).alias("d"))
     detail = F.transform(F.col("_page"), lambda r: r.dropFields("_rank", "score"))

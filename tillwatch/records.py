@@ -64,7 +64,7 @@ DETAIL_RECORD = Record(
 )
 USER_RECORD = Record(USER_INFO, ("id", "login_name", "user_level", "birthday", "gender"))
 
-# Column order of the two keyed tables that positional readers rely on.
+# Column order of the two stored tables, for readers that go by position.
 DAILY_ACTIVE_COLUMNS = (
     "mid", "uid", "appid", "area", "os", "ch", "logType", "vs", "logDate", "logHour", "ts",
 )

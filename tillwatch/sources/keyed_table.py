@@ -92,9 +92,10 @@ class KeyedTable:
             path.getFileSystem(hadoop).delete(path, True)
 
 
-def with_doc_id(docs: DataFrame, column: str = "doc_id") -> DataFrame:
-    """Documents without an id get one, as a bulk index would give them."""
-    return docs.withColumn(column, F.coalesce(F.col(column), F.uuid()))
+def with_doc_id(docs: DataFrame, batch_id: int, column: str = "doc_id") -> DataFrame:
+    """Documents without an id get one, from their batch and place in it: a task that runs again gives the same one."""
+    place = F.concat_ws("-", F.lit("auto"), F.lit(batch_id), F.monotonically_increasing_id())
+    return docs.withColumn(column, F.coalesce(F.col(column), place))
 
 
 def one_document(spark: SparkSession, document: dict, doc_id: str, schema: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tillwatch.records import STARTUP_LOG
 from tillwatch.sources.keyed_table import KeyedTable
 from tillwatch.streaming.run import start
 
@@ -36,7 +37,7 @@ def first_arrivals(logs: DataFrame, late: str = "10 minutes", salts: int = 4) ->
     return days.dropDuplicates([*keys, "_salt"]).dropDuplicates(keys).select("logDate", "mid")
 
 
-def active_table(path: str, schema: str, order: tuple[str, ...] = ("ts",), by_day: bool = True) -> KeyedTable:
+def active_table(path: str, schema: str = STARTUP_LOG.ddl(), order: tuple[str, ...] = ("ts",), by_day: bool = True) -> KeyedTable:
     """`mid`, `logDate` and the log's columns, the earliest log winning whichever batch brings it."""
     return KeyedTable(path, schema, ["logDate", "mid"], list(order), ["logDate"] if by_day else [], keep="first")
 
