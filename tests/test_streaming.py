@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillwatch.functions.json import parse
-from tillwatch.operators.alerts import alert_windows, throttle, users_of_members, window_users
+from tillwatch.operators.alerts import alert_windows, over_windows, throttle, users_of_members, window_users
 from tillwatch.plans import coupon_alert
 from tillwatch.plans.daily_active import daily_active, read_logs
 from tillwatch.plans.order_amount import SALE_MASK, read_orders
@@ -278,8 +278,8 @@ def test_member_replay_gives_open_windows_too(spark, feed, run, rows):
     source = feed("events")
     event_feed(source, rng, random_events(5), 3)
     table = alerts.member_table(f"{run}/members")
-    finish(alerts.run_member_replay(event_rows(source.lines(spark)), table, f"{run}/state", "30 seconds", "5 seconds", late="1 hour"))
-    got = throttle(alert_windows(users_of_members(table.read(spark))))
+    finish(alerts.run_member_replay(event_rows(source.lines(spark)), table, f"{run}/state", late="1 hour"))
+    got = throttle(alert_windows(users_of_members(over_windows(table.read(spark), 30, 5))))
     want = throttle(alert_windows(window_users(event_rows(spark.read.text(str(source.path))))))
     assert rows(got) == rows(want) != []
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillwatch.functions.json import parse, row_json
 from tillwatch.functions.text import mask_prefix, match_all, match_any
 from tillwatch.functions.times import age_years
-from tillwatch.operators.alerts import alert_windows, throttle, users_of_members, window_users
+from tillwatch.operators.alerts import alert_windows, over_windows, throttle, users_of_members, window_users
 from tillwatch.operators.hours import day_against_previous, hour_map
 from tillwatch.operators.joins import interval_join
 from tillwatch.operators.keyed import latest_per_key, unseen
@@ -35,7 +35,8 @@ REPORT_DAY, REPORT_WORD = "1998-10-03", "red"
 SEARCH = "elle und the"
 JOIN_SECONDS = 300 * 86400
 # Devices of the test data log about twice a day, so windows are days and hours, not seconds.
-WINDOW, SLIDE, SLIDE_SECONDS, PERIOD = "3 days", "6 hours", 6 * 3600, "1 day"
+WINDOW, SLIDE, PERIOD = "3 days", "6 hours", "1 day"
+WINDOW_SECONDS, SLIDE_SECONDS = 3 * 86400, 6 * 3600
 _SECOND = "yyyy-MM-dd HH:mm:ss"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -562,8 +563,9 @@ def alert_stream(spark, sf):
     """Window members kept by a stream, alerts taken from them."""
     run = shared_dir(spark, "alerts")
     stored = alert_stream_.member_table(f"{run}/table")
-    finish(alert_stream_.run_member_replay(_event_stream(spark, sf), stored, f"{run}/state", WINDOW, SLIDE))
-    rows = throttle(alert_windows(users_of_members(stored.read(spark), shop.KINDS)), PERIOD)
+    finish(alert_stream_.run_member_replay(_event_stream(spark, sf), stored, f"{run}/state", SLIDE))
+    members = over_windows(stored.read(spark), WINDOW_SECONDS, SLIDE_SECONDS)
+    rows = throttle(alert_windows(users_of_members(members, shop.KINDS)), PERIOD)
     return rows.select(
         F.date_format("period", "yyyy-MM-dd").alias("day"), "mid", F.date_format("window_start", _SECOND).alias("window_start"), "n_users"
     )

@@ -104,6 +104,16 @@ def users_of_members(members: DataFrame, kinds: tuple[str, str] = KINDS) -> Data
     )
 
 
+def over_windows(members: DataFrame, window_seconds: int, slide_seconds: int) -> DataFrame:
+    """Members counted per slide as rows of every window that covers their slide."""
+    back = F.sequence(F.lit(0), F.lit(window_seconds - slide_seconds), F.lit(slide_seconds))
+    start = F.unix_seconds("window_start") - F.col("_back")
+    spread = members.withColumn("_back", F.explode(back))
+    return spread.withColumns({
+        "window_start": F.timestamp_seconds(start), "window_end": F.timestamp_seconds(start + window_seconds)
+    }).drop("_back")
+
+
 def alert_documents(
     members: DataFrame, part_entries: int = PART_ENTRIES, kinds: tuple[str, str] = KINDS
 ) -> DataFrame:

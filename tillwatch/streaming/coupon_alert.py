@@ -74,10 +74,13 @@ def member_table(path: str) -> KeyedTable:
 
 
 def run_member_replay(
-    events: DataFrame, table: KeyedTable, checkpoint: str, window: str, slide: str, late: str = "10 seconds"
+    events: DataFrame, table: KeyedTable, checkpoint: str, slide: str = ALERT_SLIDE, late: str = "10 seconds"
 ) -> StreamingQuery:
-    """Replay stored events to the end: update mode also hands over windows that are still open then."""
+    """Replay stored events to the end: update mode also hands over what is still open then.
+
+    Members are counted per slide, each event once; `operators.alerts.over_windows` puts slides together to windows.
+    """
     def save(batch: DataFrame, batch_id: int) -> None:
         table.upsert(batch, batch_id, unique=True)
 
-    return start(window_member_counts(events, window, slide, late), save, checkpoint, mode="update", interval=None)
+    return start(window_member_counts(events, slide, slide, late), save, checkpoint, mode="update", interval=None)
