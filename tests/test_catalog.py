@@ -35,6 +35,12 @@ def cells(frame, columns):
     return sorted(tuple(cell(v) for v in row) for row in frame[columns].itertuples(index=False))
 
 
+def test_entry_gives_rows(spark):
+    from __spark_entry__ import entry
+
+    assert entry(spark).count() > 0
+
+
 def test_every_query_has_its_sql():
     assert set(queries()) == set(oracle_sql())
 

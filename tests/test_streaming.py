@@ -7,6 +7,7 @@ import os
 import random
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tillwatch.functions.json import parse
@@ -124,6 +125,25 @@ def test_restart_from_the_checkpoint_adds_nothing_twice(spark, feed, run, rows):
     assert rows(table.read(spark), "mid", "ts") == [("a", T0), ("b", T0), ("c", T0 + 2)]
 
 
+def test_a_batch_that_fails_after_its_write_is_replayed_without_copies(spark, feed, run, rows):
+    source = feed("logs")
+    source.add(log("a", T0), log("b", T0))
+    source.add(log("a", T0 - 5), log("c", T0 + 2))
+    logs, table = active_pieces(spark, source, run)
+
+    def save_and_fail(batch, batch_id):
+        table.upsert(batch, batch_id, unique=True)
+        if batch_id == 1:
+            raise RuntimeError("lost")
+
+    updates = active.earliest_so_far(logs, LOG_COLUMNS)
+    with pytest.raises(StreamingQueryException):
+        finish(start(updates, save_and_fail, f"{run}/state", mode="update", interval=None))
+    play_active(spark, source, run)
+    assert rows(table.read(spark), "mid", "ts") == [("a", T0 - 5), ("b", T0), ("c", T0 + 2)]
+    assert table._all_versions(spark).count() == 4
+
+
 def test_first_arrivals_free_their_state(spark, feed, run, rows):
     source = feed("logs")
     for day in range(5):

@@ -26,7 +26,7 @@ def read_orders(lines: DataFrame, mask: tuple[int, int] = ORDER_MASK, keep: tupl
 
 
 def amount(money: str | Column = "total_amount") -> Column:
-    """An exact sum: double addition would depend on the order rows arrive in."""
+    """An exact sum of money with two decimals: double addition would depend on the order rows arrive in."""
     return F.sum(F.col(money).cast("decimal(18,2)") if isinstance(money, str) else money).cast("double")
 
 

@@ -45,7 +45,10 @@ def matched_pairs(
 def matched_and_lone(
     orders: DataFrame, details: DataFrame, seconds: int = JOIN_TTL_SECONDS, late: str = "10 seconds"
 ) -> DataFrame:
-    """Pairs, and once the watermark has passed their reach also orders and details that found nothing."""
+    """Pairs, and once the watermark has passed their reach also orders and details that found nothing.
+
+    Not salted: a copy of an order would count as alone under each salt that none of its details fell to.
+    """
     left, right = _sides(orders, details, late, salts=1)
     both = left.alias("left").join(right.alias("right"), _condition(seconds), "full_outer").drop("_salt")
     return both.withColumn("order_id", F.coalesce("order_id", "_order")).drop("_order")
