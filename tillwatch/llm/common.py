@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Sequence
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from tillwatch.session import shared_dir
 
@@ -30,3 +35,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def map_texts(
+    df: DataFrame, kept: Sequence[str], added: str, start: Callable[[], Callable[[object], tuple]], of: str = "text",
+) -> DataFrame:
+    """The columns `kept` and those of the DDL `added`, which a function makes of each value of the column `of`.
+
+    `start` runs once per task and returns the function. Kept columns pass through as Arrow arrays, untouched by Python.
+    """
+    new = StructType.fromDDL(added)
+    schema = StructType([*(df.schema[name] for name in kept), *new])
+    types = [to_arrow_type(field.dataType) for field in new]
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = start()
+        for batch in batches:
+            rows = [make(value.as_py()) for value in batch.column(of)]
+            columns = zip(*rows) if rows else [()] * len(types)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(name) for name in kept), *(pa.array(own, kind) for own, kind in zip(columns, types))],
+                names=[field.name for field in schema],
+            )
+
+    return df.select(*dict.fromkeys([*kept, of])).mapInArrow(mapped, schema)
