@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwatch.llm import bpe, quality, secret_scan
+from tillwatch.llm import bpe, mixing, quality, secret_scan
 from tillwatch.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(table(spark, sf_dir, "documents"))
 
@@ -26,6 +30,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_bpe": op4_bpe,
         "op5_quality_rules": op5_quality_rules,
+        "op8_mixing": op8_mixing,
         "op9_secret_scan": op9_secret_scan,
     }
 
@@ -60,6 +65,38 @@ select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_s
 from measured
 """
 
+_OP8 = rf"""
+with sized as (
+    select doc_id, source, len({_WORDS})::hugeint as size, md5(coalesce(doc_id::varchar, '')) as place from documents
+), by_source as (
+    select source, sum(size)::hugeint as source_size from sized group by source
+), weighed as (
+    select *, [3, 1, 2][1 + (row_number() over (order by source nulls last) - 1) % 3] as weight from by_source
+), filling as (
+    select *, row_number() over fill as nth,
+        150 * sum(source_size) over () - 200 * coalesce(sum(source_size) over before, 0) as rest,
+        sum(weight) over () - coalesce(sum(weight) over before, 0) as weight_rest
+    from weighed
+    window fill as (order by source_size::double / weight, source nulls last),
+        before as (order by source_size::double / weight, source nulls last rows between unbounded preceding and 1 preceding)
+), first_within as (
+    select nth, rest, weight_rest from filling where rest * weight <= 200 * source_size * weight_rest order by nth limit 1
+), targets as (
+    select source, source_size, case when filling.nth >= first_within.nth
+        then (first_within.rest * weight)::double / (100 * first_within.weight_rest)::double
+        else (2 * source_size)::double end as target
+    from filling left join first_within on true
+), placed as (
+    select doc_id, size, source_size, target,
+        (sum(size) over (partition by sized.source order by place, size, doc_id rows unbounded preceding))::double - size / 2.0
+            as middle
+    from sized join targets on sized.source is not distinct from targets.source
+)
+select doc_id, size::bigint as size, source_size::bigint as source_size, target,
+    (size * ((middle <= target)::int + (middle + source_size <= target)::int))::bigint as taken
+from placed
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality_rules": _OP5}
+    return {"op5_quality_rules": _OP5, "op8_mixing": _OP8}
