@@ -5,11 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillwatch.llm import bpe, mixing, quality, secret_scan
+from tillwatch.llm import bpe, chat, mixing, quality, secret_scan, topk
 from tillwatch.llm.common import table
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and conversation -7, whose two turns say what the template itself is made of."""
+    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    probe = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"),
+    )
+    return chat.report(turns.union(probe))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
@@ -18,6 +30,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"))
 
 
+def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.search(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
@@ -28,8 +45,10 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_chat_format": op3_chat_format,
         "op4_bpe": op4_bpe,
         "op5_quality_rules": op5_quality_rules,
+        "op6_topk_search": op6_topk_search,
         "op8_mixing": op8_mixing,
         "op9_secret_scan": op9_secret_scan,
     }
@@ -37,6 +56,30 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+_CONTROL = "(### (?:User|Assistant|System|=)|</turn>)"
+
+_OP3 = rf"""
+with turns as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+    union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), doubled as (
+    select *, regexp_replace(text, '(\\{{2,}})', '\1\1', 'g') as t1 from turns
+), before_control as (
+    select *, regexp_replace(regexp_replace(t1, '(^|[^\\])\\{_CONTROL}', '\1\\\\\2', 'g'), '(^|[^\\])\\$', '\1\\\\') as t2
+    from doubled
+), formatted as (
+    select *, length('### ' || role || ': ' || regexp_replace(t2, '{_CONTROL}', '\\\1', 'g') || '</turn>') + 1 as chars
+    from before_control
+)
+select conv_id::bigint as conv_id, count(*)::bigint as n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+    coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+    sum(chars)::bigint as formatted_chars
+from formatted group by conv_id
+"""
+
 _OP5 = rf"""
 with split as (
     select doc_id, coalesce(text, '') as body, {_WORDS} as w,
@@ -65,6 +108,19 @@ select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_s
 from measured
 """
 
+_OP6 = """
+with whole as (
+    select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as parts from embeddings
+    where vec_id is not null and len(list_filter(embedding, lambda x: coalesce(abs(1024 * x::double) < 134217728, false))) = len(embedding)
+), scored as (
+    select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.parts, c.parts), lambda z: z[1] * z[2]))::bigint as score
+    from whole q join whole c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0
+)
+select query_id, rank::int as rank, vec_id, score from (
+    select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored
+) where rank <= 10
+"""
+
 _OP8 = rf"""
 with sized as (
     select doc_id, source, len({_WORDS})::hugeint as size, md5(coalesce(doc_id::varchar, '')) as place from documents
@@ -99,4 +155,6 @@ from placed
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality_rules": _OP5, "op8_mixing": _OP8}
+    return {
+        "op3_chat_format": _OP3, "op5_quality_rules": _OP5, "op6_topk_search": _OP6, "op8_mixing": _OP8,
+    }
