@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwatch.llm import bpe, chat, mixing, quality, secret_scan, topk
+from tillwatch.llm import bpe, chat, mixing, ngram_join, quality, secret_scan, topk
 from tillwatch.llm.common import table
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classified(table(spark, sf_dir, "documents"))
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -7, whose two turns say what the template itself is made of."""
     turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
@@ -45,6 +49,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_ngram_join": op2_ngram_join,
         "op3_chat_format": op3_chat_format,
         "op4_bpe": op4_bpe,
         "op5_quality_rules": op5_quality_rules,
@@ -56,6 +61,31 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+_OP2 = rf"""
+with recursive split as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') as w
+    from documents
+), shingles as (
+    select distinct doc_id, array_to_string(w[i : i + 4], ' ') as gram
+    from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) as i from split where len(w) > 0)
+), sizes as (
+    select doc_id, count(*) as n from shingles group by doc_id
+), links as (
+    select a.doc_id as a, b.doc_id as b
+    from shingles a join shingles b on a.gram = b.gram and a.doc_id < b.doc_id
+    join sizes x on x.doc_id = a.doc_id join sizes y on y.doc_id = b.doc_id
+    group by a.doc_id, b.doc_id, x.n, y.n having 100 * count(*) >= 80 * (x.n + y.n - count(*))
+), edges as (
+    select a, b from links union all select b, a from links
+), reached(id, other) as (
+    select doc_id, doc_id from documents union select id, b from reached join edges on other = a
+)
+select documents.doc_id, coalesce(n, 0)::bigint as n_shingles, min(other) as component_id
+from documents left join sizes using (doc_id) left join reached on reached.id = documents.doc_id
+group by documents.doc_id, n
+"""
+
 _CONTROL = "(### (?:User|Assistant|System|=)|</turn>)"
 
 _OP3 = rf"""
@@ -156,5 +186,5 @@ from placed
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op3_chat_format": _OP3, "op5_quality_rules": _OP5, "op6_topk_search": _OP6, "op8_mixing": _OP8,
+        "op2_ngram_join": _OP2, "op3_chat_format": _OP3, "op5_quality_rules": _OP5, "op6_topk_search": _OP6, "op8_mixing": _OP8,
     }
