@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwatch.llm import bpe, chat, mixing, ngram_join, quality, secret_scan, topk
+from tillwatch.llm import bpe, chat, mixing, ngram_join, quality, secret_scan, topk, toxicity
 from tillwatch.llm.common import table
 
 
@@ -47,6 +47,10 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_ngram_join": op2_ngram_join,
@@ -56,6 +60,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_topk_search": op6_topk_search,
         "op8_mixing": op8_mixing,
         "op9_secret_scan": op9_secret_scan,
+        "op10_toxicity": op10_toxicity,
     }
 
 
