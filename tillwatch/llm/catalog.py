@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwatch.llm import bpe, chat, mixing, ngram_join, quality, secret_scan, topk, toxicity
+from tillwatch.llm import bpe, chat, mixing, ngram_join, quality, secret_scan, topk, toxicity, url_filter
 from tillwatch.llm.common import table
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.report(table(spark, sf_dir, "pages"))
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.classified(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_url_filter": op1_url_filter,
         "op2_ngram_join": op2_ngram_join,
         "op3_chat_format": op3_chat_format,
         "op4_bpe": op4_bpe,
