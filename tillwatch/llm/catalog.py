@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwatch.llm import bpe, chat, mixing, ngram_join, quality, secret_scan, topk, toxicity, url_filter
+from tillwatch.llm import bpe, chat, licenses, mixing, ngram_join, quality, secret_scan, topk, toxicity, url_filter
 from tillwatch.llm.common import table
 
 
@@ -43,6 +43,10 @@ def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
@@ -63,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_bpe": op4_bpe,
         "op5_quality_rules": op5_quality_rules,
         "op6_topk_search": op6_topk_search,
+        "op7_license_scan": op7_license_scan,
         "op8_mixing": op8_mixing,
         "op9_secret_scan": op9_secret_scan,
         "op10_toxicity": op10_toxicity,
