@@ -8,10 +8,11 @@ Documents with the same set of n-grams form a class; what follows joins classes,
    same members count once.
 3. Classes that share blocks are dealt to chunks of bounded expected size, and each pair of chunks that meets in a block
    is a unit of work, with just the members of these blocks. A very large block is so cut into many units, and no task
-   ever holds it as a whole.
-4. In a unit, prefixes are joined; length, positional and suffix filters drop pairs that cannot be alike enough; each pair
-   that is left is verified once by counting common n-grams. Of the links found, a unit hands on a spanning forest, which
-   joins the same documents with as many rows as members instead of as many as pairs.
+   ever holds it as a whole. The length filter and the suffix filter, which bounds what two sets can have in common by
+   their counts per hash class, drop members that can be like no other in the unit.
+4. Only then are the n-grams themselves sent to the units. Prefixes are joined, length and positional filters drop pairs,
+   and each pair that is left is verified once by counting common n-grams. Of the links found, a unit hands on a spanning
+   forest, which joins the same documents with as many rows as members instead of as many as pairs.
 5. Connected components over these links give each document the smallest id reachable.
 
 Words are split at ASCII blanks with A to Z lower-cased. A text with fewer words than n is one n-gram; a null or empty text
@@ -49,47 +50,64 @@ CHUNK = 256
 BITMAP_BITS = 23
 #: Pairs that verification expands at a time.
 _EXPANDED = 4_000_000
-#: Words whose hashes a task remembers.
+#: Sets that a task remembers to have indexed.
 _REMEMBERED = 1_000_000
 _ENTRY = np.dtype([("gram", "<u8"), ("high", "<u8"), ("low", "<u8")])
 
 
 class Grams:
-    """Distinct n-gram hashes of texts, ascending."""
+    """Distinct n-gram hashes of texts, ascending.
+
+    All words of a text are hashed at once: a word's hash is the difference of two running sums of its bytes' numbers times
+    powers of a factor, brought to the same power.
+    """
 
     def __init__(self, n: int = NGRAM):
         self.n = n
-        self.known: dict[bytes, int] = {}
-        self.factors = [np.uint64(xxhash.xxh64_intdigest(b"factor", seed) | 1) for seed in range(n)]
+        number = lambda seed: np.uint64(xxhash.xxh64_intdigest(b"gram", seed) | 1)
+        self.factors = [number(seed) for seed in range(n)]
+        self.letters = np.array([number(1000 + byte) for byte in range(256)], np.uint64)
+        self.blank = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+        factor = int(number(999))
+        self.steps = np.array([factor, pow(factor, -1, 1 << 64)], np.uint64)
+        self.powers = np.ones((2, 1), np.uint64)
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode("utf-8").lower().split()
-        hashes = self._hashed(words)
-        if len(words) >= self.n:
-            steps = len(words) - self.n + 1
+        hashes = self.words(text or "")
+        if len(hashes) >= self.n:
+            steps = len(hashes) - self.n + 1
             mixed = hashes[:steps] * self.factors[0]
             for step in range(1, self.n):
                 mixed += hashes[step:step + steps] * self.factors[step]
-        elif words:
-            mixed = np.array([xxhash.xxh64_intdigest(hashes.tobytes(), len(words))], np.uint64)
+        elif len(hashes):
+            mixed = np.array([xxhash.xxh64_intdigest(hashes.tobytes(), len(hashes))], np.uint64)
         else:
-            return np.zeros(0, np.uint64)
-        mixed ^= mixed >> np.uint64(32)
-        mixed *= np.uint64(0x9E3779B97F4A7C15)
-        mixed ^= mixed >> np.uint64(29)
-        return np.unique(mixed)
-
-    def _hashed(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        try:
-            return np.array([known[word] for word in words], np.uint64)
-        except KeyError:
-            if len(known) > _REMEMBERED:
-                known.clear()
-            for word in words:
-                if word not in known:
-                    known[word] = xxhash.xxh64_intdigest(word)
-            return np.array([known[word] for word in words], np.uint64)
+            return hashes
+        mixed = np.sort(_stirred(mixed))
+        return mixed[np.r_[True, mixed[1:] != mixed[:-1]]]
+
+    def words(self, text: str) -> np.ndarray:
+        letters = np.frombuffer(text.encode("utf-8").lower() + b" ", np.uint8)
+        edges = np.flatnonzero(np.diff(self.blank[letters], prepend=True))
+        starts, ends = edges[::2], edges[1::2]
+        if len(letters) > self.powers.shape[1]:
+            grown = np.ones((2, 2 * len(letters)), np.uint64)
+            grown[:, 1:] = self.steps[:, None]
+            self.powers = np.cumprod(grown, axis=1, dtype=np.uint64)
+        sums = np.cumsum(np.r_[np.uint64(0), self.letters[letters] * self.powers[0, :len(letters)]], dtype=np.uint64)
+        return _stirred((sums[ends] - sums[starts]) * self.powers[1, starts])
+
+
+def _stirred(numbers: np.ndarray) -> np.ndarray:
+    numbers = (numbers ^ (numbers >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+    return numbers ^ (numbers >> np.uint64(29))
+
+
+def signature(grams: np.ndarray) -> bytes:
+    """How many n-grams fall into each hash class, a byte each (255 for more); about eight n-grams to a class."""
+    bits = max(0, len(grams) // 8).bit_length()
+    counts = np.bincount((grams & np.uint64((1 << bits) - 1)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
 def set_key(grams: np.ndarray) -> bytes:
@@ -113,7 +131,9 @@ def rare_first(grams: np.ndarray, ranks: np.ndarray) -> np.ndarray:
 # Step 1: sets of documents, and the sketch.
 
 def _surveyed(n: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("size", pa.int64()), ("part", pa.int32()), ("counts", pa.binary())])
+    schema = pa.schema([
+        ("doc_id", pa.int64()), ("key", pa.binary()), ("size", pa.int64()), ("signature", pa.binary()), ("part", pa.int32()), ("counts", pa.binary()),
+    ])
 
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams_of, counts, waiting, held = Grams(n), np.zeros(1 << SKETCH_BITS, np.int64), [], 0
@@ -127,24 +147,25 @@ def _surveyed(n: int):
                 held = 0
 
         for batch in batches:
-            keys, sizes = [], []
+            keys, sizes, signatures = [], [], []
             for text in batch.column("text"):
                 grams = grams_of(text.as_py())
                 keys.append(set_key(grams) if len(grams) else None)
                 sizes.append(len(grams))
+                signatures.append(signature(grams))
                 waiting.append(grams)
                 held += len(grams)
                 if held > 1 << SKETCH_BITS:
                     count()
             rows = batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.nulls(rows, pa.int32()),
-                 pa.nulls(rows, pa.binary())], schema=schema)
+                [batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
+                 pa.array(signatures, pa.binary()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], schema=schema)
         count()
         pieces = [(at, piece) for at, piece in enumerate(np.split(counts, SKETCH_PARTS)) if piece.any()]
         if pieces:
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(pieces), pa.int64()), pa.nulls(len(pieces), pa.binary()), pa.nulls(len(pieces), pa.int64()),
+                [*(pa.nulls(len(pieces), schema.field(at).type) for at in range(4)),
                  pa.array([at for at, _ in pieces], pa.int32()),
                  pa.array([zlib.compress(piece.astype("<i8").tobytes(), 1) for _, piece in pieces], pa.binary())], schema=schema)
 
@@ -336,14 +357,6 @@ def linked_pairs(sets: list[np.ndarray], across: np.ndarray | None = None, perce
     x, y = last[0][pairs], last[1][pairs]
     keep &= np.minimum(x, y) + 1 + np.minimum(sizes[i] - x - 1, sizes[j] - y - 1) >= need
     i, j, need = i[keep], j[keep], need[keep]
-    # Suffix filter: sets divided by hash class can have no more in common than the smaller share of each class.
-    classes = np.zeros((m, 32), np.int64)
-    np.add.at(classes, (owner, (grams >> np.uint64(3)).astype(np.int64) & 31), 1)
-    keep = np.zeros(len(i), bool)
-    for at in range(0, len(i), 100_000):
-        part = slice(at, at + 100_000)
-        keep[part] = np.minimum(classes[i[part]], classes[j[part]]).sum(1) >= need[part]
-    i, j = i[keep], j[keep]
     if not len(i):
         return i, j
     # Verification of what is left, all pairs at once.
@@ -379,35 +392,87 @@ def spanning(ids: list[int], i: np.ndarray, j: np.ndarray) -> list[tuple[int, in
     return [(ids[root(x)], ids[x]) for x in range(len(ids)) if root(x) != x]
 
 
-def _worked(percent: int):
-    """Links found in units, whose rows come together."""
+def _possible(sizes: np.ndarray, signatures: list[bytes], across: np.ndarray | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs that the length filter and the suffix filter leave.
 
-    def links(rows: list[tuple]) -> list[tuple[int, int]]:
-        ids = [own[0] for own in rows]
-        sets = [np.frombuffer(own[1], "<u8") for own in rows]
-        sides = np.array([own[2] for own in rows])
-        across = sides if (sides != sides[0]).any() else None
-        return spanning(ids, *linked_pairs(sets, across, percent))
-
-    def batch_of(found: list[tuple[int, int]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
+    The suffix filter: two sets have no more in common than the smaller count of each hash class. Signatures of different
+    widths are folded to the smaller; a class with 255 n-grams or more is taken to have any number in common.
+    """
+    order = np.argsort(sizes, kind="stable")
+    sizes = sizes[order]
+    width = np.array([len(signatures[at]) for at in order])  # grows with the size
+    found = []
+    for narrow in np.unique(width):
+        first, until = np.searchsorted(width, narrow), np.searchsorted(width, 2 * narrow, "right")
+        table = np.stack([_folded(signatures[at], narrow) for at in order[first:until]])
+        for row in range(first, np.searchsorted(width, narrow, "right")):
+            end = min(until, np.searchsorted(sizes, sizes[row] * 100 // percent, "right"))
+            others = np.arange(row + 1, end)
+            if across is not None:
+                others = others[across[order[others]] != across[order[row]]]
+            need = -(-percent * (sizes[row] + sizes[others]) // (100 + percent))
+            common = np.minimum(table[row - first], table[others - first]).sum(1, dtype=np.int64)
+            good = others[common >= need]
+            found.append(np.stack([np.full(len(good), order[row]), order[good]]))
+    pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+    return pairs[0], pairs[1]
+
+
+def _folded(own: bytes, width: int) -> np.ndarray:
+    counts = np.frombuffer(own, np.uint8).astype(np.uint16)
+    counts[counts == 255] = 1 << 14
+    return counts.reshape(-1, width).sum(0, dtype=np.uint16)
+
+
+def _units(make, columns: tuple[str, ...]):
+    """What `make` finds in each unit; the rows of a unit come together."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit, waiting = None, []
         for batch in batches:
-            for found, *row in zip(*(batch.column(name).to_pylist() for name in ("unit", "class_id", "grams", "side"))):
+            for found, *row in zip(*(batch.column(name).to_pylist() for name in ("unit", *columns))):
                 if found != unit:
                     if len(waiting) > 1:
-                        yield batch_of(links(waiting))
+                        yield make(unit, waiting)
                     unit, waiting = found, []
                 waiting.append(row)
         if len(waiting) > 1:
-            yield batch_of(links(waiting))
+            yield make(unit, waiting)
 
     return work
 
 
+def _sides(rows: list) -> np.ndarray | None:
+    sides = np.array([own[-1] for own in rows])
+    return sides if (sides != sides[0]).any() else None
+
+
+def _sifted(percent: int):
+    """The members of a unit that may be alike with another by length and signature."""
+
+    def sift(unit: int, rows: list) -> pa.RecordBatch:
+        pairs = _possible(np.array([own[1] for own in rows]), [own[2] for own in rows], _sides(rows), percent)
+        left = np.unique(np.concatenate(pairs)).tolist()
+        return pa.RecordBatch.from_arrays([
+            pa.array([unit] * len(left), pa.int64()), pa.array([rows[at][0] for at in left], pa.binary()),
+            pa.array([rows[at][-1] for at in left], pa.int32()),
+        ], names=["unit", "key", "side"])
+
+    return _units(sift, ("key", "size", "signature", "side"))
+
+
+def _worked(percent: int):
+    """Links found in units."""
+
+    def links(unit: int, rows: list) -> pa.RecordBatch:
+        ids = [own[0] for own in rows]
+        found = spanning(ids, *linked_pairs([np.frombuffer(own[1], "<u8") for own in rows], _sides(rows), percent))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
+
+    return _units(links, ("class_id", "grams", "side"))
+
+
 def _wanted(ranks, bitmap, n: int):
     """key and n-grams, rare first, of documents that the bitmap marks."""
     schema = pa.schema([("key", pa.binary()), ("grams", pa.binary())])
@@ -464,7 +529,7 @@ def components(links: DataFrame) -> DataFrame:
                 break
         there = lambda name: leads.select(F.col("id").alias(name), F.col("to").alias(f"{name}_to"))
         found = leads if found is None else stored(
-            found.join(leads.withColumnsRenamed({"id": "to", "to": "then"}), "to", "left").select(
+            found.join(leads.select(F.col("id").alias("to"), F.col("to").alias("then")), "to", "left").select(
                 "id", F.coalesce("then", "to").alias("to")), "found")
         links = stored(
             links.join(there("a"), "a").join(there("b"), "b").filter("a_to <> b_to").select(
@@ -479,12 +544,13 @@ def classified(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT, hot: int
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), "text")
     survey = stored(texts.mapInArrow(
-        _surveyed(n), "doc_id long, key binary, size long, part int, counts binary"), "surveyed")
-    sized = survey.filter("size is not null").select("doc_id", "key", "size")
+        _surveyed(n), "doc_id long, key binary, size long, signature binary, part int, counts binary"), "surveyed")
+    sized = survey.filter("size is not null").select("doc_id", "key", "size", "signature")
     ranks, hot = gram_ranks(survey.filter("part is not null").select("part", "counts"), hot)
     ranks = spark.sparkContext.broadcast(ranks)
     linkable = sized.filter("key is not null and doc_id is not null")
-    classes = stored(linkable.groupBy("key").agg(F.min("doc_id").alias("class_id"), F.max("size").alias("size")), "classes")
+    classes = stored(linkable.groupBy("key").agg(
+        F.min("doc_id").alias("class_id"), F.max("size").alias("size"), F.max("signature").alias("signature")), "classes")
 
     entries = sized.agg(F.sum(F.col("size") * (100 - percent) / 100 + 1)).first()[0] or 0
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -519,12 +585,19 @@ def _links(texts: DataFrame, blocks: DataFrame, classes: DataFrame, ranks, n: in
     met = one.join(other, "block").filter(
         (F.col("c") < F.col("d")) | ((F.col("c") == F.col("d")) & (F.size("c_keys") > 1)))
     unit = F.xxhash64("c", "d").alias("unit")
-    members = stored(
+    members = (
         met.select(unit, "c", F.explode(F.col("c_keys")).alias("key")).withColumn("side", F.lit(0))
         .unionByName(met.filter("c < d").select(unit, "d", F.explode("d_keys").alias("key"))
                      .withColumn("side", F.lit(1)).withColumnRenamed("d", "c"))
-        .select("unit", "key", "side").distinct(), "members")
-    needed = stored(classes.join(members.select("key").distinct(), "key", "left_semi"), "needed")
+        .select("unit", "key", "side").distinct()
+    )
+    # Signatures are small; only what they leave is worth the n-grams themselves.
+    members = stored(
+        members.join(classes.select("key", "size", "signature"), "key")
+        .repartition("unit").sortWithinPartitions("unit", "key").select("unit", "key", "size", "signature", "side")
+        .mapInArrow(_sifted(percent), "unit long, key binary, side int"), "members")
+    needed = stored(
+        classes.select("key", "class_id").join(members.select("key").distinct(), "key", "left_semi"), "needed")
     bitmap = spark.sparkContext.broadcast(_marked(needed))
     sets = (
         texts.filter("doc_id is not null")
