@@ -9,17 +9,18 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tillwatch.operators.alerts import alert_documents, throttle, window_users
+from tillwatch.operators.alerts import throttle, window_users
+from tillwatch.functions.text import match_all, match_any
 from tillwatch.operators.hours import day_against_previous, hour_map
 from tillwatch.operators.joins import full_outer, interval_join, with_users
 from tillwatch.operators.keyed import earliest_per_key, latest_per_key, unseen
-from tillwatch.operators.search import max_score, page, ranked, scored
+from tillwatch.operators.search import max_score, page, page_after, ranked, scored, word_counts
 from tillwatch.operators.terms import top_terms
 from tillwatch.plans import coupon_alert, reports
 from tillwatch.plans.change_feed import routed
-from tillwatch.plans.daily_active import active_hourly, active_total, daily_active, new_devices, read_logs
+from tillwatch.plans.daily_active import active_hourly, active_total, bad_logs, daily_active, new_devices, read_logs
 from tillwatch.plans.log_feed import stamped
-from tillwatch.plans.order_amount import amount_hourly, amount_total, by_province, by_user_province, read_orders
+from tillwatch.plans.order_amount import amount_hourly, amount_total, bad_orders, by_province, by_user_province, read_orders
 from tillwatch.plans.sale_detail import order_coverage, sale_detail
 from tillwatch.records import CHANGE_DDL, SALE_DETAIL_DDL, STARTUP_LOG
 from tillwatch.sources.tables import hit_json, on_day, read_table, scan_all, union_all
@@ -313,7 +314,7 @@ def events(spark, *data):
 def test_three_users_taking_coupons_alert_once_a_minute(spark):
     df = events(spark, (0, "m", "a", "coupon", "1"), (5, "m", "b", "coupon", "2"), (10, "m", "c", "coupon", "2"), (11, "m", "c", "addCart", "3"))
     (got,) = coupon_alert.documents(df).collect()
-    assert (got["doc_id"], got["part"]) == (f"m_{T0 // MINUTE}", 0)
+    assert got["doc_id"] == f"m_{T0 // MINUTE}"
     assert (got["uids"], got["itemIds"], got["events"]) == (["a", "b", "c"], ["1", "2"], ["coupon", "coupon", "coupon", "addCart"])
     assert got["ts"] == T0 + 29_999
 
@@ -361,15 +362,20 @@ def test_alerts_match_brute_force(spark, seed):
     assert want and got == want
 
 
-def test_large_alerts_come_in_whole_parts(spark):
+def test_alerts_are_stored_alike_at_every_size(spark):
     data = [(30 + i % 29, "m", f"u{i % 50}", "coupon", f"i{i % 40}") for i in range(400)] + [(33, "m", "u0", "addCart", "x")] * 55
-    df = events(spark, *data)
-    whole = coupon_alert.documents(df).where(f"doc_id = 'm_{T0 // MINUTE}'").first()
-    parts = coupon_alert.documents(df, part_entries=20).where(f"doc_id = 'm_{T0 // MINUTE}'").collect()
-    assert len(parts) > 10 and max(len(p["events"]) for p in parts) < 120
-    assert sorted(e for p in parts for e in p["events"]) == sorted(whole["events"])
-    for column in ("uids", "itemIds"):
-        assert {v for p in parts for v in p[column]} == set(whole[column])
+    headers, rows = coupon_alert.stored_alerts(events(spark, *data))
+    at = f"doc_id = 'm_{T0 // MINUTE}'"
+    header = headers.where(at).first()
+    assert (header["n_users"], header["n_items"], header["n_events"]) == (50, 40, 455)
+    assert rows.where(at).agg(F.sum("n")).first()[0] == 455
+
+
+def test_events_of_an_alert_keep_their_order(spark):
+    data = [(0, "m", "a", "coupon", "1"), (1, "m", "a", "addCart", "9"), (2, "m", "a", "coupon", "1"), (3, "m", "b", "coupon", "1"), (4, "m", "c", "coupon", "2")]
+    (alert,) = coupon_alert.documents(events(spark, *data)).collect()
+    assert alert["events"] == ["coupon", "addCart", "coupon", "coupon", "coupon"]
+    assert alert["uids"] == ["a", "b", "c"] and alert["itemIds"] == ["1", "2"]
 
 
 def test_throttle_keeps_the_last_window(spark):
@@ -384,10 +390,11 @@ def test_scanning_all_tables(spark):
     b = spark.createDataFrame([(2, "male", "ball")], "id INT, sex STRING, favo STRING")
     got = {(r["index"], r["id"]): json.loads(r["source"]) for r in scan_all({"a": (a, F.col("id")), "b": (b, F.col("id"))}).collect()}
     assert got == {("a", "1"): {"id": 1, "name": "x"}, ("b", "2"): {"id": 2, "sex": "male", "favo": "ball"}}
+    assert {(r["type"], r["score"]) for r in scan_all({"a": (a, F.col("id"))}).collect()} == {("_doc", 1.0)}
     side = union_all({"a": a, "b": b})
     assert set(side.columns) == {"id", "name", "sex", "favo", "index"} and side.count() == 2
-    hit = json.loads(hit_json(side.where("index = 'a'").withColumn("score", F.lit(1.5))).first()["hit"])
-    assert hit == {"id": 1, "name": "x", "index": "a", "score": 1.5}
+    hit = json.loads(hit_json(a.select("name").withColumn("score", F.lit(1.5)), "a", F.lit(1)).first()["hit"])
+    assert hit == {"name": "x", "index": "a", "type": "_doc", "id": "1", "score": 1.5}
 
 
 def test_search_over_people(spark):
@@ -395,10 +402,50 @@ def test_search_over_people(spark):
         [(1, "lisi", "male", "篮球 足球"), (2, "wang", "male", "足球"), (3, "zhao", "female", "篮球")], "id INT, name STRING, sex STRING, favo STRING"
     )
     hits = scored(people, "favo", "篮球").where("sex = 'male'")
-    assert [r["id"] for r in hits.collect()] == [1]
+    # Each Han character is a word, so a row with one of them is found too, and ranks behind.
+    assert [r["id"] for r in hits.orderBy(F.desc("score")).collect()] == [1, 2]
+    hits = hits.where(match_all(F.col("favo"), "篮球"))
     assert [tuple(r) for r in top_terms(hits, "sex", 2).collect()] == [("male", 1)]
 
 
+def test_words_of_mixed_scripts(spark):
+    goods = spark.createDataFrame([(1, "荣耀手机 X10"), (2, "小米手环"), (3, "手机壳phone case"), (4, "smartphone")], "id INT, name STRING")
+
+    def found(match, keyword):
+        return [r["id"] for r in goods.where(match(F.col("name"), keyword)).orderBy("id").collect()]
+
+    assert found(match_all, "手机") == [1, 3] and found(match_any, "手机") == [1, 2, 3]
+    assert found(match_all, "phone") == [3] and found(match_all, "壳 Phone") == [3] and found(match_any, "x10 环") == [1, 2]
+
+
+def test_pages_after_a_row_and_counts_of_parts(spark):
+    docs = spark.createDataFrame([(i, "red " * (i % 4) + "plate", f"d{i % 3}") for i in range(40)], "id INT, name STRING, dt STRING")
+    everything = ranked(docs, "name", "red", "id", 40).select("id", "score").collect()
+    seen, last = [], (None, None)
+    while part := page_after(scored(docs, "name", "red"), "id", 7, *last).select("score", "id").collect():
+        seen += [r["id"] for r in part]
+        last = (part[-1]["score"], part[-1]["id"])
+    assert seen == [r["id"] for r in everything]
+    by_day = word_counts(docs, "name", "red", "dt")
+    assert by_day.count() == 3
+    one = docs.where("dt = 'd1'")
+    assert {r["id"]: r["score"] for r in scored(one, "name", "red", counts=by_day).collect()} == {
+        r["id"]: r["score"] for r in everything if r["id"] % 3 == 1}
+
+
+def test_bad_rows_do_not_end_a_report(spark):
+    lines = spark.createDataFrame([(v,) for v in (
+        '{"mid":"a","ts":1704103200000}', '{"mid":"b","ts":"soon"}', '{"mid":"c"}', "{", None)], "value STRING")
+    logs = read_logs(lines, STARTUP_LOG)
+    assert [r["mid"] for r in logs.collect()] == ["a"] and bad_logs(lines, STARTUP_LOG).count() == 4
+    assert hour_map(active_hourly(daily_active(logs)), "logDate", "logHour", "n").first()["hours"] == {"10": 1}
+    orders = spark.createDataFrame([(v,) for v in (
+        '{"id":"1","total_amount":"1e17","create_time":"2024-01-01 10:00:00"}', '{"id":"2","total_amount":5,"create_time":"2024-01-01"}',
+        '{"id":"3","total_amount":"much","create_time":"2024-01-01 11:00:00"}', '{"id":"4","total_amount":2.5,"create_time":"2024-01-01 10:30:00"}')], "value STRING")
+    assert amount_total(read_orders(orders), "2024-01-01").first()["amount"] == 1e17 + 2.5
+    assert bad_orders(orders).count() == 2
+
+
 def test_day_filter_reaches_the_folders(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.createDataFrame([("2024-01-01", 1), ("2024-01-02", 2)], "dt STRING, n INT").write.partitionBy("dt").parquet(path)

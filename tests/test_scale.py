@@ -117,8 +117,6 @@ def test_scans_read_the_columns_and_rows_asked_for(spark):
 
 def test_no_cross_joins_and_no_python_in_any_batch_plan(spark):
     for name, query in catalog.queries().items():
-        if name.endswith("_stream") or name in ("batch_counts", "upsert_last_wins", "alert_documents"):
-            continue
         text = plan(query(spark, SF))
         for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
             assert word not in text, (name, word)

@@ -9,17 +9,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillwatch.functions.json import parse, row_json
 from tillwatch.functions.text import mask_prefix, match_all, match_any
 from tillwatch.functions.times import age_years
-from tillwatch.operators.alerts import alert_windows, over_windows, throttle, users_of_members, window_users
+from tillwatch.operators.alerts import alert_windows, as_documents, over_windows, throttle, users_of_members, window_users
 from tillwatch.operators.hours import day_against_previous, hour_map
 from tillwatch.operators.joins import interval_join
 from tillwatch.operators.keyed import latest_per_key, unseen
 from tillwatch.operators.search import max_score, page, ranked
-from tillwatch.operators.terms import top_terms
+from tillwatch.operators.terms import terms_of, top_terms
 from tillwatch.plans import change_feed, coupon_alert, daily_active, log_feed, order_amount, reports, sale_detail
 from tillwatch.records import (
     DETAIL_RECORD, EVENT_LOG, ORDER_DETAIL, ORDER_INFO, STARTUP_LOG, USER_INFO, USER_RECORD,
 )
-from tillwatch.session import prepare, shared_dir, stream_session
+from tillwatch.session import kept, prepare, shared_dir, stream_session
 from tillwatch.sources import shop_tables as shop
 from tillwatch.sources.keyed_table import KeyedTable
 from tillwatch.sources.tables import hit_json, scan_all, union_all
@@ -31,11 +31,12 @@ from tillwatch.streaming.run import finish
 # Parameters of the registered queries; the SQL they are checked with uses the same ones.
 AS_OF = "2001-08-01"
 CURVE_DAY = "2024-01-10"
-REPORT_DAY, REPORT_WORD = "1998-10-03", "red"
+REPORT_DAY, REPORT_WORD, REPORT_WORDS = "1998-10-03", "red", "red ring"
 SEARCH = "elle und the"
 JOIN_SECONDS = 300 * 86400
 # Devices of the test data log about twice a day, so windows are days and hours, not seconds.
 WINDOW, SLIDE, PERIOD = "3 days", "6 hours", "1 day"
+ALERT_LATE = "1 hour"
 WINDOW_SECONDS, SLIDE_SECONDS = 3 * 86400, 6 * 3600
 _SECOND = "yyyy-MM-dd HH:mm:ss"
 
@@ -140,6 +141,42 @@ def cdc_route(spark, sf):
     return change_feed.routed(_changes(spark, sf))
 
 
+def _broken_logs(spark: SparkSession, sf: str) -> DataFrame:
+    """Stamped lines of which every seventh has no readable time and every eleventh is cut short."""
+    lines = log_feed.stamped(shop.log_lines(shop.table(spark, sf, "events")), F.col("arrived_ms"))
+    value, key = F.col("value"), F.col("event_id")
+    return lines.withColumn("value", F.when(key % 11 == 0, F.left(value, F.lit(20))).when(
+        key % 7 == 0, F.regexp_replace(value, r'"ts":\d+', '"ts":"soon"')).otherwise(value))
+
+
+@_query
+def log_split(spark, sf):
+    """Devices and logs per day of lines of which some are bad, and how many those are."""
+    lines = _broken_logs(spark, sf)
+    good = daily_active.read_logs(lines, EVENT_LOG).groupBy("logDate").agg(
+        F.count("*").alias("n_lines"), F.count_distinct("mid").alias("devices"))
+    bad = daily_active.bad_logs(lines, EVENT_LOG).agg(F.lit("bad").alias("logDate"), F.count("*").alias("n_lines"))
+    return good.unionByName(bad.withColumn("devices", F.lit(0).cast("bigint")))
+
+
+@_query
+def order_split(spark, sf):
+    """Orders and amount per hour where some lines have a huge amount, no time, no readable amount, or no end."""
+    rows, key = _orders(spark, sf), F.col("id").cast("bigint")
+    odd = rows.withColumns({
+        "total_amount": F.when(key % 13 == 0, "1e17").when(key % 17 == 0, "much").otherwise(F.col("total_amount").cast("string")),
+        "create_time": F.when(key % 7 == 0, F.col("create_date")).otherwise(F.col("create_time")),
+    })
+    value = row_json("id", "user_id", "order_status", "total_amount", "create_time")
+    lines = odd.select(F.when(key % 11 == 0, F.left(value, F.lit(20))).otherwise(value).alias("value"))
+    hourly = order_amount.read_orders(lines).groupBy("create_date", "create_hour").agg(
+        F.count("*").alias("n"), order_amount.amount().alias("amount"))
+    bad = order_amount.bad_orders(lines).agg(
+        F.lit("bad").alias("create_date"), F.lit(None).cast("string").alias("create_hour"), F.count("*").alias("n"),
+        F.lit(None).cast("double").alias("amount"))
+    return hourly.unionByName(bad)
+
+
 @_query
 def order_parse(spark, sf):
     """Order lines of the change feed as orders."""
@@ -324,7 +361,7 @@ def age_ratio(spark, sf):
 @_query
 def sale_page(spark, sf):
     """Third page of all sale rows, with their total."""
-    return page(_sales(spark, sf).select("doc_id", "dt", "sku_name", "sku_price"), ["doc_id"], 3, 20)
+    return page(kept(_sales(spark, sf).select("doc_id", "dt", "sku_name", "sku_price")), ["doc_id"], 3, 20)
 
 
 @_query
@@ -344,6 +381,28 @@ def sale_report_page(spark, sf):
     return rows.select("doc_id", "sku_name", "user_gender", "user_age", "score")
 
 
+@_query
+def sale_report_words(spark, sf):
+    """First page of the report for a day and two words, ranked with the word counts of all days."""
+    rows = reports.sale_page(_sales(spark, sf), REPORT_DAY, REPORT_WORDS, 1, 20)
+    return rows.select("doc_id", "sku_name", "score")
+
+
+@_query
+def sale_report(spark, sf):
+    """The report document, read again from its JSON, for a day and word, and for blank parameters."""
+    sales = kept(_sales(spark, sf))
+    layout = "total BIGINT, stat ARRAY<STRUCT<title: STRING, options: ARRAY<STRUCT<name: STRING, value: DOUBLE>>>>, detail ARRAY<STRUCT<doc_id: STRING>>"
+    found = [
+        reports.sale_report(sales, day, word).select(F.lit(name).alias("asked"), F.from_json("report", layout).alias("r"))
+        for name, day, word in (("day", REPORT_DAY, REPORT_WORD), ("blank", "", None))
+    ]
+    return found[0].unionByName(found[1]).select(
+        "asked", F.col("r.total").alias("total"), F.array_join("r.detail.doc_id", ",").alias("doc_ids"),
+        F.col("r.stat")[0]["options"][0]["value"].alias("under_20"), F.col("r.stat")[1]["options"][1]["value"].alias("women"),
+    )
+
+
 # Search
 
 
@@ -359,6 +418,21 @@ def match_or(spark, sf):
     return parts.where(match_any(F.col("p_name"), "Red plate")).select("p_partkey", "p_name")
 
 
+# The words of the part names as Chinese words, to search in.
+HAN_WORDS = {"red": "红色", "plate": "盘子", "ring": "戒指", "blue": "蓝色", "widget": "部件", "bolt": "螺栓", "gear": "齿轮"}
+HAN_KEYWORD = "红盘"
+
+
+@_query
+def match_han(spark, sf):
+    """Part names carried into Chinese, found by single characters: all of them, or any."""
+    name = F.col("p_name")
+    for word, han in HAN_WORDS.items():
+        name = F.replace(name, F.lit(word), F.lit(han))
+    parts = shop.table(spark, sf, "part").select("p_partkey", F.replace(name, F.lit(" "), F.lit("")).alias("name"))
+    return parts.where(match_any(F.col("name"), HAN_KEYWORD)).withColumn("all_of_them", match_all(F.col("name"), HAN_KEYWORD))
+
+
 @_query
 def bool_filter(spark, sf):
     """An exact term and a full-text match together."""
@@ -391,8 +465,14 @@ def union_index_scan(spark, sf):
 def hit_rows(spark, sf):
     """Ranked articles as JSON objects, the hit's own fields among the article's."""
     best = ranked(shop.table(spark, sf, "part").select("p_partkey", "p_name"), "p_name", "red plate", "p_partkey", 10)
-    hits = best.withColumns({"index": F.lit("part"), "id": F.col("p_partkey").cast("string")})
-    return hit_json(hits.select("p_partkey", "p_name", "index", "id")).withColumn("rank_id", F.get_json_object("hit", "$.id"))
+    return hit_json(best, "part", F.col("p_partkey")).withColumn("rank_id", F.get_json_object("hit", "$.id"))
+
+
+@_query
+def match_terms(spark, sf):
+    """The most frequent brands and types among the articles that a search finds."""
+    parts = shop.table(spark, sf, "part")
+    return terms_of(parts.where(match_any(F.col("p_name"), "red plate")), ["p_brand", "p_type"], 5)
 
 
 @_query
@@ -407,6 +487,14 @@ def union_columns(spark, sf):
 # Alerts
 
 
+def _few_items(logs: DataFrame) -> DataFrame:
+    return logs.withColumn("itemid", (F.col("event_id") % 5).cast("string"))
+
+
+def _listed(docs: DataFrame) -> DataFrame:
+    return docs.withColumns({c: F.array_join(c, ",") for c in ("uids", "itemIds", "events")})
+
+
 @_query
 def alert_windows_all(spark, sf):
     rows = alert_windows(window_users(_logs(spark, sf), WINDOW, SLIDE, shop.KINDS))
@@ -431,9 +519,16 @@ def alert_member_counts(spark, sf):
 
 @_query
 def alert_documents(spark, sf):
-    docs = coupon_alert.documents(_logs(spark, sf), WINDOW, SLIDE, SLIDE_SECONDS, PERIOD, kinds=shop.KINDS)
-    lists = {c: F.array_join(c, ",") for c in ("uids", "itemIds", "events")}
-    return docs.withColumns(lists).select("doc_id", "part", "mid", "uids", "itemIds", "events", "ts")
+    """Alerts with their lists; items are few, so that the same ones come again, as in a shop."""
+    logs = _few_items(_logs(spark, sf))
+    return _listed(coupon_alert.documents(logs, WINDOW, SLIDE, SLIDE_SECONDS, PERIOD, kinds=shop.KINDS))
+
+
+@_query
+def alert_headers(spark, sf):
+    """The header rows that alerts are stored as."""
+    return coupon_alert.stored_alerts(
+        _few_items(_logs(spark, sf)), WINDOW, SLIDE, SLIDE_SECONDS, PERIOD, kinds=shop.KINDS)[0]
 
 
 # Keyed tables
@@ -457,9 +552,10 @@ def upsert_last_wins(spark, sf):
     schema = "l_orderkey BIGINT, l_linestatus STRING, l_linenumber INT, l_partkey BIGINT, l_suppkey BIGINT, shipped TIMESTAMP"
     order = ["shipped", "l_linenumber", "l_partkey", "l_suppkey"]
     stored = KeyedTable(shared_dir(spark, "upsert"), schema, ["l_orderkey"], order)
-    stored.upsert(lines.where(F.col("l_linestatus") == "F"), 0)
-    stored.upsert(lines.where(F.col("l_linestatus") == "O"), 1)
-    stored.upsert(lines.where(F.col("l_linestatus") == "O"), 1)
+    first = F.coalesce(F.col("l_linestatus") == "F", F.lit(False))
+    stored.upsert(lines.where(first), 0)
+    stored.upsert(lines.where(~first), 1)
+    stored.upsert(lines.where(~first), 1)
     return stored.read(spark).withColumn("shipped", F.date_format("shipped", "yyyy-MM-dd"))
 
 
@@ -474,13 +570,22 @@ def _stream_query(fn: Query) -> Query:
     return _query(run)
 
 
-def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return shop.logs(shop.table_stream(spark, sf, "events", shop.EVENTS_DDL))
+def _event_stream(spark: SparkSession, sf: str, run: str) -> DataFrame:
+    return shop.logs(shop.sliced_stream(spark, sf, "events", shop.EVENTS_DDL, "ts", f"{run}/events"))
+
+
+def _order_stream(spark: SparkSession, sf: str, run: str) -> DataFrame:
+    return shop.orders(shop.sliced_stream(spark, sf, "orders", shop.ORDERS_DDL, "o_orderdate", f"{run}/orders"))
 
 
-def _order_records(spark: SparkSession, sf: str) -> DataFrame:
+def _detail_stream(spark: SparkSession, sf: str, run: str) -> DataFrame:
+    lines = shop.sliced_stream(spark, sf, "lineitem", shop.LINEITEM_DDL, "l_shipdate", f"{run}/lines")
+    return shop.named(shop.details(lines), shop.table(spark, sf, "part"))
+
+
+def _order_records(spark: SparkSession, sf: str, run: str) -> DataFrame:
     """Orders as they come off their topic: JSON lines, parsed, with arrival."""
-    source = shop.orders(shop.table_stream(spark, sf, "orders", shop.ORDERS_DDL))
+    source = _order_stream(spark, sf, run)
     lines = source.select("arrived", row_json("id", "user_id", "order_status", "total_amount", "create_time").alias("value"))
     return order_amount.read_orders(lines, keep=("arrived",))
 
@@ -489,9 +594,9 @@ def _order_records(spark: SparkSession, sf: str) -> DataFrame:
 def dau_stream(spark, sf):
     run = shared_dir(spark, "dau")
     schema = "logDate STRING, mid STRING, uid STRING, logHour STRING, ts BIGINT, event_id BIGINT"
-    stored = active_stream.active_table(f"{run}/table", schema, ("ts", "event_id"), by_day=False)
+    stored = active_stream.active_table(f"{run}/table", schema, ("ts", "event_id"))
     columns = ("uid", "logHour", "ts", "event_id")
-    finish(active_stream.run_daily_active(_event_stream(spark, sf), columns, stored, f"{run}/state", interval=None))
+    finish(active_stream.run_daily_active(_event_stream(spark, sf, run), columns, stored, f"{run}/state", interval=None))
     return stored.read(spark)
 
 
@@ -499,18 +604,40 @@ def dau_stream(spark, sf):
 def first_arrival_stream(spark, sf):
     run = shared_dir(spark, "first")
     stored = KeyedTable(f"{run}/table", "logDate STRING, mid STRING", ["logDate", "mid"], [])
-    rows = active_stream.first_arrivals(_event_stream(spark, sf))
+    rows = active_stream.first_arrivals(_event_stream(spark, sf, run))
     finish(order_stream.run_upserts(rows, stored, f"{run}/state", interval=None))
     return stored.read(spark)
 
 
+def _gmv(spark: SparkSession, sf: str, by_day: bool) -> DataFrame:
+    run = shared_dir(spark, "gmv")
+    stored = order_stream.order_table(f"{run}/table", by_day)
+    finish(order_stream.run_upserts(_order_records(spark, sf, run), stored, f"{run}/state", interval=None))
+    return order_amount.amount_total(stored.read(spark))
+
+
 @_stream_query
 def gmv_stream(spark, sf):
     """Orders kept by id from a stream, summed per day."""
-    run = shared_dir(spark, "gmv")
-    stored = order_stream.order_table(f"{run}/table", by_day=False)
-    finish(order_stream.run_upserts(_order_records(spark, sf), stored, f"{run}/state", interval=None))
-    return order_amount.amount_total(stored.read(spark))
+    return _gmv(spark, sf, by_day=False)
+
+
+@_stream_query
+def gmv_day_stream(spark, sf):
+    """The same in folders by day, as production keeps them; the test data has a folder for each of 2,400 days."""
+    return _gmv(spark, sf, by_day=True)
+
+
+@_stream_query
+def folded_stream(spark, sf):
+    """Each user's newest row, upserted in two dozen batches, folded on the way and read while they come in."""
+    run = shared_dir(spark, "folded")
+    rows = shop.sliced_stream(spark, sf, "orders", shop.ORDERS_DDL, "o_orderdate", f"{run}/orders", slices=24)
+    feed = rows.select(F.col("o_custkey").alias("id"), F.col("o_orderpriority").alias("user_level"), "o_orderdate", "o_orderkey")
+    schema = "id BIGINT, user_level STRING, o_orderdate TIMESTAMP_NTZ, o_orderkey BIGINT"
+    stored = KeyedTable(f"{run}/table", schema, ["id"], ["o_orderdate", "o_orderkey"], buckets=3)
+    finish(order_stream.run_upserts(feed, stored, f"{run}/state", fold_every=7, interval=None))
+    return stored.read(spark).select("id", "user_level", "o_orderkey")
 
 
 @_stream_query
@@ -545,25 +672,54 @@ def change_router_stream(spark, sf):
     return spark.read.text(f"{run}/topics").select("topic", "value")
 
 
-@_stream_query
-def sale_stream(spark, sf):
-    """Two streams joined within the limit, users looked up, wide rows upserted and read back."""
+def _sale_stream(spark: SparkSession, sf: str, by_day: bool) -> DataFrame:
     run = shared_dir(spark, "sales")
-    lines = shop.named(shop.details(shop.table_stream(spark, sf, "lineitem", shop.LINEITEM_DDL)), shop.table(spark, sf, "part"))
-    stored = sale_stream_.sale_table(f"{run}/table", by_day=False)
+    stored = sale_stream_.sale_table(f"{run}/table", by_day)
     finish(sale_stream_.run_sale_detail(
-        _order_records(spark, sf), lines, lambda session: _users(session, sf), stored, f"{run}/state",
-        F.lit(AS_OF).cast("timestamp"), JOIN_SECONDS, interval=None,
+        _order_records(spark, sf, run), _detail_stream(spark, sf, run), lambda session: _users(session, sf), stored,
+        f"{run}/state", F.lit(AS_OF).cast("timestamp"), JOIN_SECONDS, interval=None,
     ))
     return stored.read(spark).drop("order_arrived")
 
 
+@_stream_query
+def sale_stream(spark, sf):
+    """Two streams joined within the limit, users looked up, wide rows upserted and read back."""
+    return _sale_stream(spark, sf, by_day=False)
+
+
+@_stream_query
+def sale_day_stream(spark, sf):
+    """The same in folders by day."""
+    return _sale_stream(spark, sf, by_day=True)
+
+
+@_stream_query
+def coverage_stream(spark, sf):
+    """Which orders and details found each other in two streams, lone ones once their time is over."""
+    run = shared_dir(spark, "coverage")
+    finish(sale_stream_.run_coverage(
+        _order_stream(spark, sf, run), _detail_stream(spark, sf, run), f"{run}/table", f"{run}/state", JOIN_SECONDS, interval=None))
+    found = spark.read.parquet(f"{run}/table")
+    side = F.when(F.col("order_arrived").isNull(), "detail only").when(F.col("detail_arrived").isNull(), "order only").otherwise("both")
+    return found.select("order_id", F.col("order_detail_id").alias("detail_id"), side.alias("side"))
+
+
+@_stream_query
+def raw_log_stream(spark, sf):
+    """The raw log of stamped lines, by day of arrival."""
+    run = shared_dir(spark, "raw")
+    lines = shop.log_lines(shop.sliced_stream(spark, sf, "events", shop.EVENTS_DDL, "ts", f"{run}/events"))
+    finish(routers.run_log_router(lines, F.col("arrived_ms"), f"{run}/topics", f"{run}/raw", f"{run}/state", interval=None))
+    return spark.read.schema("value STRING, dt STRING").text(f"{run}/raw").select("dt", "value")
+
+
 @_stream_query
 def alert_stream(spark, sf):
     """Window members kept by a stream, alerts taken from them."""
     run = shared_dir(spark, "alerts")
     stored = alert_stream_.member_table(f"{run}/table")
-    finish(alert_stream_.run_member_replay(_event_stream(spark, sf), stored, f"{run}/state", SLIDE))
+    finish(alert_stream_.run_member_replay(_event_stream(spark, sf, run), stored, f"{run}/state", SLIDE))
     members = over_windows(stored.read(spark), WINDOW_SECONDS, SLIDE_SECONDS)
     rows = throttle(alert_windows(users_of_members(members, shop.KINDS)), PERIOD)
     return rows.select(
@@ -571,6 +727,18 @@ def alert_stream(spark, sf):
     )
 
 
+@_stream_query
+def alert_store_stream(spark, sf):
+    """The live alert job over several batches: alerts of all windows that are over, with their lists."""
+    run = shared_dir(spark, "warned")
+    events = shop.sliced_stream(spark, sf, "events", shop.EVENTS_DDL, "ts", f"{run}/events")
+    tables = alert_stream_.alert_tables(f"{run}/table")
+    finish(alert_stream_.run_alerts(
+        _few_items(shop.logs(events)), tables, f"{run}/state", WINDOW, SLIDE, PERIOD, ALERT_LATE, kinds=shop.KINDS, interval=None))
+    headers, rows = (stored.read(spark) for stored in tables)
+    return _listed(as_documents(headers, rows, shop.KINDS))
+
+
 @_stream_query
 def batch_counts(spark, sf):
     """Rows per micro-batch, added up."""

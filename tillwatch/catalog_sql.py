@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillwatch.catalog import AS_OF, CURVE_DAY, JOIN_SECONDS, REPORT_DAY, REPORT_WORD, SEARCH
+from tillwatch.catalog import AS_OF, CURVE_DAY, HAN_KEYWORD, HAN_WORDS, JOIN_SECONDS, REPORT_DAY, REPORT_WORD, REPORT_WORDS, SEARCH
 from tillwatch.records import AGE_LABELS, AGE_TITLE, FEMALE_LABEL, GENDER_TITLE, KPI_NAMES, MALE_LABEL
 
 LOGS = """
@@ -22,7 +22,7 @@ active AS (
 LINES = LOGS + """,
 lines AS (
   SELECT *, '{"type":"' || type || '","mid":"' || mid || '","uid":"' || uid || '","evid":"' || evid
-            || '","itemid":"' || itemid || '","ts":"' || ts || '"}' AS line
+            || '","itemid":' || itemid || ',"at":{"pgid":' || event_id % 50 || ',"who":{"id":"' || uid || '"}},"ts":' || ts || '}' AS line
   FROM logs)"""
 
 USERS = f"""
@@ -87,6 +87,23 @@ throttled AS (
   QUALIFY row_number() OVER (PARTITION BY mid, strftime(ws + INTERVAL 3 DAYS - INTERVAL 1 MICROSECOND, '%Y-%m-%d')
                              ORDER BY ws DESC) = 1)"""
 
+# The windows that a stream has closed: its watermark trails the last event by the lateness allowed.
+WINDOWS_OVER = WINDOWS.replace(
+    "FROM spread GROUP BY ws, mid", "FROM spread WHERE ws + INTERVAL 3 DAYS <= (SELECT max(event_at) FROM logs) - INTERVAL 1 HOUR GROUP BY ws, mid"
+)
+
+ALERT_EVENTS = """
+found AS (
+  SELECT t.mid, t.day, t.ws, s.uid, CAST(s.event_id % 5 AS VARCHAR) AS itemid, s.evid, s.ts,
+         t.mid || '_' || (epoch_ms(CAST(t.day AS TIMESTAMP)) // 60000) AS doc_id
+  FROM throttled t JOIN spread s ON s.ws = t.ws AND s.mid = t.mid)"""
+
+ALERT_LISTS = """
+SELECT doc_id, mid, string_agg(DISTINCT uid, ',' ORDER BY uid) FILTER (WHERE evid = 'purchase') AS uids,
+       string_agg(DISTINCT itemid, ',' ORDER BY itemid) FILTER (WHERE evid = 'purchase') AS itemIds,
+       string_agg(evid, ',' ORDER BY ts, evid) AS events, epoch_us(ws + INTERVAL 3 DAYS - INTERVAL 1 MICROSECOND) // 1000 AS ts
+FROM found GROUP BY doc_id, mid, ws"""
+
 
 def _compare(source: str, value: str) -> str:
     return f""",
@@ -118,6 +135,12 @@ SELECT p_partkey, p_name{{extra}} FROM part
 WHERE {how}(regexp_split_to_array(lower(p_name), '[^\\p{{{{L}}}}\\p{{{{N}}}}]+'), {words.split()})"""
 
 
+def _han(name: str) -> str:
+    for word, han in HAN_WORDS.items():
+        name = f"replace({name}, '{word}', '{han}')"
+    return name
+
+
 def oracle_sql() -> dict[str, str]:
     low = "count(*) FILTER (WHERE user_age < 20)"
     mid = "count(*) FILTER (WHERE user_age BETWEEN 20 AND 29)"
@@ -141,6 +164,10 @@ SELECT day, mid, strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, n_users FROM
     amount_by_day = f"""WITH {ORDERS}
 SELECT create_date, CAST(sum(total_amount) AS DOUBLE) AS amount FROM o GROUP BY create_date"""
     purchases = "SELECT * FROM logs WHERE evid = 'purchase'"
+    user_latest = """SELECT o_custkey AS id, o_orderpriority AS user_level, o_orderkey FROM orders
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1"""
+    sale_pairs = f"""WITH {SALES}
+SELECT {SALE_COLUMNS} FROM sales WHERE abs(epoch_ms(detail_at) - epoch_ms(order_at)) <= {JOIN_SECONDS} * 1000::BIGINT"""
     return {
         "log_route": f"""WITH {LINES}
 SELECT event_id, logDate AS dt, CASE WHEN contains(line, 'startup') THEN 'startup_log' ELSE 'event_log' END AS topic,
@@ -149,6 +176,16 @@ SELECT event_id, logDate AS dt, CASE WHEN contains(line, 'startup') THEN 'startu
         "startup_parse": f"""WITH {LOGS}
 SELECT event_id, mid, uid, CAST(NULL AS VARCHAR) AS logType, ts, logDate, logHour FROM logs WHERE type = 'startup'""",
         "cdc_route": f"WITH {ROUTED} SELECT * FROM routed",
+        "log_split": f"""WITH {LOGS}
+SELECT logDate, count(*) AS n_lines, count(DISTINCT mid) AS devices FROM logs
+WHERE event_id % 7 <> 0 AND event_id % 11 <> 0 GROUP BY logDate
+UNION ALL SELECT 'bad', count(*), 0 FROM logs WHERE event_id % 7 = 0 OR event_id % 11 = 0""",
+        "order_split": f"""WITH {ORDERS}, keyed AS (SELECT *, CAST(id AS BIGINT) AS k FROM o),
+split AS (SELECT *, k % 7 = 0 OR k % 11 = 0 OR (k % 17 = 0 AND k % 13 <> 0) AS bad FROM keyed)
+SELECT create_date, create_hour, count(*) AS n,
+       CAST(sum(CASE WHEN k % 13 = 0 THEN CAST('100000000000000000' AS DECIMAL(38,2)) ELSE total_amount END) AS DOUBLE) AS amount
+FROM split WHERE NOT bad GROUP BY create_date, create_hour
+UNION ALL SELECT 'bad', NULL, count(*), NULL FROM split WHERE bad""",
         "order_parse": f"""WITH {ORDERS}
 SELECT id, user_id, order_status, CAST(total_amount AS DOUBLE) AS total_amount, create_date, create_hour
 FROM o WHERE order_status = 'O'""",
@@ -201,7 +238,7 @@ amounts AS (SELECT logDate AS day, logHour AS h, CAST(CAST(sum(value) AS DOUBLE)
         "orders_by_province": f"""WITH {ORDERS}
 SELECT n_name AS province, count(*) AS n_orders, CAST(sum(total_amount) AS DOUBLE) AS amount,
        CAST(least(floor(count(*) / 100) * 100, 500) AS BIGINT) AS bucket
-FROM o JOIN customer ON CAST(c_custkey AS VARCHAR) = user_id JOIN nation ON n_nationkey = c_nationkey GROUP BY n_name""",
+FROM o LEFT JOIN customer ON CAST(c_custkey AS VARCHAR) = user_id LEFT JOIN nation ON n_nationkey = c_nationkey GROUP BY n_name""",
         "sale_full_outer": f"""WITH {ORDERS},{DETAILS}
 SELECT coalesce(o.id, d.order_id) AS order_id, d.id AS detail_id,
        CASE WHEN o.id IS NULL THEN 'detail only' WHEN d.id IS NULL THEN 'order only' ELSE 'both' END AS side
@@ -227,26 +264,42 @@ SELECT doc_id, dt, sku_name, sku_price, (SELECT count(*) FROM sales) AS total FR
             f" SELECT count(*) AS total, '{title}' AS title, {pos} AS pos, '{name}' AS name, {value} AS value FROM hits"
             for title, pos, name, value in labels
         ),
-        "sale_report_page": f"WITH {SALES}, {day_sales}, {_bm25('day_sales', 'doc_id', 'sku_name', REPORT_WORD)}" + """
+        "sale_report_page": f"WITH {SALES}, {day_sales}, {_bm25('sales', 'doc_id', 'sku_name', REPORT_WORD)}" + """
 SELECT doc_id, sku_name, user_gender, user_age, score FROM day_sales JOIN scores ON doc_id = id
 ORDER BY score DESC, doc_id LIMIT 20""",
+        "sale_report_words": f"WITH {SALES}, {day_sales}, {_bm25('sales', 'doc_id', 'sku_name', REPORT_WORDS)}" + f"""
+SELECT doc_id, sku_name, score FROM day_sales JOIN scores ON doc_id = id
+WHERE list_has_all(string_split(sku_name, ' '), {REPORT_WORDS.split()}) ORDER BY score DESC, doc_id LIMIT 20""",
+        "sale_report": f"""WITH {SALES}, {hits}, {_bm25('sales', 'doc_id', 'sku_name', REPORT_WORD)},
+page AS (SELECT doc_id, score FROM hits JOIN scores ON doc_id = id ORDER BY score DESC, doc_id LIMIT 20)
+SELECT 'day' AS asked, count(*) AS total, (SELECT string_agg(doc_id, ',' ORDER BY score DESC, doc_id) FROM page) AS doc_ids,
+       {cut(low)} AS under_20, {cut(women)} AS women FROM hits
+UNION ALL SELECT 'blank', 0, '', NULL, NULL""",
+        "match_terms": " UNION ALL ".join(
+            f"(SELECT '{column}' AS column, {column} AS value, count(*) AS n FROM ({_matching('red plate', 'list_has_any').format(extra=', p_brand, p_type')})"
+            f" WHERE {column} IS NOT NULL GROUP BY {column} ORDER BY n DESC, {column} LIMIT 5)" for column in ("p_brand", "p_type")
+        ),
         "match_and": _matching("red plate", "list_has_all").format(extra=""),
         "match_or": _matching("red plate", "list_has_any").format(extra=""),
+        "match_han": f"""WITH named AS (
+  SELECT p_partkey, replace({_han("p_name")}, ' ', '') AS name FROM part)
+SELECT p_partkey, name, contains(name, '{HAN_KEYWORD[0]}') AND contains(name, '{HAN_KEYWORD[1]}') AS all_of_them FROM named
+WHERE contains(name, '{HAN_KEYWORD[0]}') OR contains(name, '{HAN_KEYWORD[1]}')""",
         "bool_filter": _matching("red plate", "list_has_any").format(extra=", p_type") + " AND p_type = 'ECONOMY'",
         "bm25_rank": f"WITH {_bm25('documents', 'doc_id', 'text', SEARCH)}"
         " SELECT id AS doc_id, score FROM scores ORDER BY score DESC, id LIMIT 20",
         "bm25_max": f"WITH {_bm25('documents', 'doc_id', 'text', SEARCH)} SELECT max(score) AS max_score FROM scores",
         "union_index_scan": f"""WITH {USERS}
-SELECT 'part' AS index, CAST(p_partkey AS VARCHAR) AS id,
+SELECT 'part' AS index, '_doc' AS type, CAST(p_partkey AS VARCHAR) AS id, 1.0::DOUBLE AS score,
        '{{"p_partkey":' || p_partkey || ',"p_name":"' || p_name || '","p_type":"' || p_type || '"}}' AS source FROM part
 UNION ALL
-SELECT 'user', id, '{{"id":"' || id || '","login_name":"' || login_name || '","user_level":"' || user_level
+SELECT 'user', '_doc', id, 1.0, '{{"id":"' || id || '","login_name":"' || login_name || '","user_level":"' || user_level
        || '","birthday":"' || birthday || '","gender":"' || gender || '"}}' FROM users
 UNION ALL
-SELECT 'nation', CAST(n_nationkey AS VARCHAR),
+SELECT 'nation', '_doc', CAST(n_nationkey AS VARCHAR), 1.0,
        '{{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name || '","n_regionkey":' || n_regionkey || '}}' FROM nation""",
         "hit_rows": f"WITH {_bm25('part', 'p_partkey', 'p_name', 'red plate')}" + """
-SELECT '{"p_partkey":' || p_partkey || ',"p_name":"' || p_name || '","index":"part","id":"' || p_partkey || '"}' AS hit,
+SELECT '{"p_partkey":' || p_partkey || ',"p_name":"' || p_name || '","index":"part","type":"_doc","id":"' || p_partkey || '","score":' || score || '}' AS hit,
        CAST(p_partkey AS VARCHAR) AS rank_id
 FROM part JOIN scores ON id = p_partkey ORDER BY score DESC, p_partkey LIMIT 10""",
         "union_columns": """SELECT p_partkey AS id, p_name AS name, p_type, CAST(NULL AS VARCHAR) AS c_mktsegment, 'part' AS index FROM part
@@ -257,29 +310,37 @@ UNION ALL SELECT c_custkey, c_name, NULL, c_mktsegment, 'user' FROM customer""",
 SELECT strftime(t.ws, '%Y-%m-%d %H:%M:%S') AS window_start, t.mid,
        count(DISTINCT CASE WHEN evid = 'purchase' THEN itemid END) AS n_items, count(*) AS n_events
 FROM throttled t JOIN spread s ON s.ws = t.ws AND s.mid = t.mid GROUP BY t.ws, t.mid""",
-        "alert_documents": f"""WITH {WINDOWS},
-found AS (
-  SELECT t.mid, t.day, t.ws, s.uid, s.itemid, s.evid, s.ts,
-         t.mid || '_' || (epoch_ms(CAST(t.day AS TIMESTAMP)) // 60000) AS doc_id
-  FROM throttled t JOIN spread s ON s.ws = t.ws AND s.mid = t.mid)
-SELECT doc_id, 0 AS part, mid, string_agg(DISTINCT uid, ',' ORDER BY uid) FILTER (WHERE evid = 'purchase') AS uids,
-       string_agg(DISTINCT itemid, ',' ORDER BY itemid) FILTER (WHERE evid = 'purchase') AS itemIds,
-       string_agg(evid, ',' ORDER BY ts, evid) AS events, epoch_us(ws + INTERVAL 3 DAYS - INTERVAL 1 MICROSECOND) // 1000 AS ts
+        "alert_documents": f"WITH {WINDOWS}, {ALERT_EVENTS} {ALERT_LISTS}",
+        "alert_headers": f"""WITH {WINDOWS}, {ALERT_EVENTS}
+SELECT doc_id, mid, count(DISTINCT CASE WHEN evid = 'purchase' THEN uid END) AS n_users,
+       count(DISTINCT CASE WHEN evid = 'purchase' THEN itemid END) AS n_items, count(*) AS n_events,
+       epoch_us(ws + INTERVAL 3 DAYS - INTERVAL 1 MICROSECOND) // 1000 AS ts
 FROM found GROUP BY doc_id, mid, ws""",
-        "user_latest": """SELECT o_custkey AS id, o_orderpriority AS user_level, o_orderkey FROM orders
-QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
+        "alert_store_stream": f"WITH {WINDOWS_OVER}, {ALERT_EVENTS} {ALERT_LISTS}",
+        "user_latest": user_latest,
+        "folded_stream": user_latest,
         "upsert_last_wins": """SELECT l_orderkey, l_linestatus, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y-%m-%d') AS shipped
 FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey
   ORDER BY l_linestatus DESC, l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC) = 1""",
         "dau_stream": dau,
         "first_arrival_stream": f"WITH {LOGS} SELECT DISTINCT logDate, mid FROM logs",
         "gmv_stream": amount_by_day,
+        "gmv_day_stream": amount_by_day,
         "user_snapshot_stream": f"WITH {USERS} SELECT id, login_name, user_level, birthday, gender FROM users",
         "log_router_stream": f"""WITH {LINES}
 SELECT CASE WHEN contains(line, 'startup') THEN 'startup_log' ELSE 'event_log' END AS topic, line AS value FROM lines""",
         "change_router_stream": f"WITH {ROUTED} SELECT * FROM routed",
-        "sale_stream": f"""WITH {SALES}
-SELECT {SALE_COLUMNS} FROM sales WHERE abs(epoch_ms(detail_at) - epoch_ms(order_at)) <= {JOIN_SECONDS} * 1000::BIGINT""",
+        "sale_stream": sale_pairs,
+        "sale_day_stream": sale_pairs,
+        "coverage_stream": f"""WITH {ORDERS},{DETAILS},
+ends AS (SELECT least((SELECT max(order_at) FROM o), (SELECT max(detail_at) FROM d)) - INTERVAL 10 SECONDS
+                - {JOIN_SECONDS // 86400} * INTERVAL 1 DAY AS passed),
+pairs AS (SELECT o.id AS order_id, d.id AS detail_id FROM o JOIN d ON o.id = d.order_id
+          WHERE abs(epoch_ms(detail_at) - epoch_ms(order_at)) <= {JOIN_SECONDS} * 1000::BIGINT)
+SELECT order_id, detail_id, 'both' AS side FROM pairs
+UNION ALL SELECT id, NULL, 'order only' FROM o, ends WHERE order_at < passed AND id NOT IN (SELECT order_id FROM pairs)
+UNION ALL SELECT order_id, id, 'detail only' FROM d, ends WHERE detail_at < passed AND id NOT IN (SELECT detail_id FROM pairs)""",
+        "raw_log_stream": f"WITH {LINES} SELECT logDate AS dt, line AS value FROM lines",
         "alert_stream": alert_rows,
         "batch_counts": "SELECT count(*) AS n_rows FROM events",
     }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwatch.records import Record
@@ -26,17 +28,26 @@ def parse(df: DataFrame, record: Record, value: str = "value", keep: tuple[str,
     return rows.select(*keep, *fields)
 
 
-def bad_lines(df: DataFrame, record: Record, value: str = "value") -> DataFrame:
-    """The lines `parse` leaves out, whole, for a side output."""
+def bad_lines(df: DataFrame, record: Record, value: str = "value", good: Callable[[Column], Column] | None = None) -> DataFrame:
+    """The lines `parse` leaves out, whole, for a side output; with `good`, also those whose fields it turns down.
+
+    `good` gets the parsed record; null counts as false.
+    """
     j = _parsed(F.col(value), record)
-    return df.where(j.isNull() | j.getField(_RAW).isNotNull())
+    bad = j.isNull() | j.getField(_RAW).isNotNull()
+    if good is not None:
+        bad = bad | ~F.coalesce(good(j), F.lit(False))
+    return df.where(bad)
 
 
 def stamp(value: Column, millis: Column) -> Column:
-    """Put `ts` into a JSON object, over a `ts` the client may have sent; null where it is no object."""
-    sent = F.from_json(value, "MAP<STRING, STRING>")
+    """Put `ts` into a JSON object, over a `ts` the client may have sent; null where it is no object.
+
+    The other values stay as they were sent: numbers unquoted, objects nested.
+    """
+    sent = F.from_json(value, "MAP<STRING, VARIANT>")
     rest = F.map_filter(sent, lambda key, _: key != "ts")
-    return F.to_json(F.map_concat(rest, F.create_map(F.lit("ts"), millis.cast("string"))))
+    return F.to_json(F.map_concat(rest, F.create_map(F.lit("ts"), millis.cast("bigint").cast("variant"))))
 
 
 def row_json(*cols: str | Column) -> Column:

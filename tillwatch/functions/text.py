@@ -8,10 +8,15 @@ from operator import and_, or_
 
 from pyspark.sql import Column, functions as F
 
-# Words are runs of letters and digits, the same on both sides of a match.
-_NOT_WORD = r"[^\p{L}\p{N}]+"
-_BOUNDED = r"(?<![\p{{L}}\p{{N}}])(?:{})(?![\p{{L}}\p{{N}}])"
-_WORD = re.compile(r"[^\W_]+")
+# Words, the same on both sides of a match: each Han or Hiragana character by itself, otherwise runs of letters and digits.
+_ALONE = r"\p{IsHan}\p{IsHiragana}"
+_RUN = rf"[\p{{L}}\p{{N}}&&[^{_ALONE}]]"
+_TOKEN = rf"[{_ALONE}]|{_RUN}+"
+_BEFORE, _AFTER = rf"(?<!{_RUN})", rf"(?!{_RUN})"
+# The same characters for a keyword, which is taken apart before it becomes part of a plan.
+_ALONE_RANGES = "\u2e80-\u2fd5\u3005\u3007\u3021-\u3029\u3038-\u303b\u3041-\u309f\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufad9\U00020000-\U000323af"
+_WORD = re.compile(rf"[{_ALONE_RANGES}]|(?:(?![{_ALONE_RANGES}])[^\W_])+")
+_IS_ALONE = re.compile(rf"[{_ALONE_RANGES}]")
 
 
 def mask_prefix(col: Column, keep: int, stars: int) -> Column:
@@ -21,7 +26,7 @@ def mask_prefix(col: Column, keep: int, stars: int) -> Column:
 
 def tokens(low: Column) -> Column:
     """Words of a lower-case text."""
-    return F.array_remove(F.split(low, _NOT_WORD), "")
+    return F.regexp_extract_all(low, F.lit(_TOKEN), F.lit(0))
 
 
 def query_words(keyword: str | None) -> list[str]:
@@ -32,10 +37,16 @@ def query_words(keyword: str | None) -> list[str]:
 def has_word(low: Column, words: list[str]) -> Column:
     """True where one of `words` stands in a lower-case text as a whole word; null where there is no text.
 
-    A plain substring test comes first and lets most rows skip the pattern; no word list is built.
+    A plain substring test comes first and lets most rows skip the pattern; no word list is built. A character that is a
+    word by itself needs no more than that test.
     """
-    mentioned = reduce(or_, [F.contains(low, F.lit(word)) for word in words])
-    return mentioned & F.regexp_like(low, F.lit(_BOUNDED.format("|".join(words))))
+    alone = [F.contains(low, F.lit(word)) for word in words if _IS_ALONE.match(word)]
+    runs = [word for word in words if not _IS_ALONE.match(word)]
+    if not runs:
+        return reduce(or_, alone)
+    mentioned = reduce(or_, [F.contains(low, F.lit(word)) for word in runs])
+    bounded = mentioned & F.regexp_like(low, F.lit(f"{_BEFORE}(?:{'|'.join(runs)}){_AFTER}"))
+    return reduce(or_, [*alone, bounded])
 
 
 def match_all(col: Column, keyword: str | None) -> Column:

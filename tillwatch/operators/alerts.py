@@ -1,7 +1,8 @@
 """Coupon abuse on one device: in a sliding window, coupons by several users and no browsing.
 
 Nothing gathers the events of a device. Users are counted in two steps, distinct (window, device, user) first, so a
-device with a large part of all events is spread over its users; documents of large alerts are cut into parts.
+device with a large part of all events is spread over its users. An alert is stored as one header row and its events as
+rows of their own, whatever its size.
 """
 
 from __future__ import annotations
@@ -9,11 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwatch.functions.times import epoch_minute
-from tillwatch.operators.keyed import apart
 from tillwatch.records import ALERT_PERIOD, ALERT_SLIDE, ALERT_USERS, ALERT_WINDOW, BROWSE, COUPON
 
 KINDS = (COUPON, BROWSE)
-PART_ENTRIES = 10_000
 _ALERT = ("doc_id", "window_start", "window_end", "mid")
 
 
@@ -71,7 +70,7 @@ def alert_id(mid: Column, period: Column) -> Column:
 
 
 def window_members(events: DataFrame, alerts: DataFrame, slide_seconds: int) -> DataFrame:
-    """The events behind the given alerts, one row per distinct (alert, kind, user, item) with its count.
+    """The events behind the given alerts, one row per distinct (alert, time, kind, user, item) with its count.
 
     Windows start and end on slides, so events meet windows by equality on (device, slide) instead of by range, and a
     hot device is split over its slides.
@@ -85,7 +84,7 @@ def window_members(events: DataFrame, alerts: DataFrame, slide_seconds: int) ->
         (second - F.pmod(second, F.lit(slide_seconds))).alias("_at"),
     )
     found = at.join(spans, (F.col("mid") == F.col("_mid")) & (F.col("_at") == F.col("_slide")), "inner")
-    return found.groupBy(*_ALERT, "evid", "uid", "itemid").agg(F.count("*").alias("n"), F.min("ts").alias("first_ts"))
+    return found.groupBy(*_ALERT, "ts", "evid", "uid", "itemid").agg(F.count("*").alias("n"))
 
 
 def members_of(alerts: DataFrame, members: DataFrame) -> DataFrame:
@@ -114,34 +113,35 @@ def over_windows(members: DataFrame, window_seconds: int, slide_seconds: int) ->
     }).drop("_back")
 
 
-def alert_documents(
-    members: DataFrame, part_entries: int = PART_ENTRIES, kinds: tuple[str, str] = KINDS
-) -> DataFrame:
-    """Alerts as documents, from their members: distinct users and items that took coupons, all events in time order,
-    and the alert's time.
+def alert_headers(members: DataFrame, kinds: tuple[str, str] = KINDS) -> DataFrame:
+    """One row per alert, from its members: how many users and items took coupons, how many events, and its time."""
+    coupon = F.col("evid") == kinds[0]
+    return members.groupBy("doc_id", "mid", "window_end").agg(
+        F.count_distinct(F.when(coupon, F.col("uid"))).alias("n_users"),
+        F.count_distinct(F.when(coupon, F.col("itemid"))).alias("n_items"),
+        F.sum("n").alias("n_events"),
+    ).withColumn("ts", F.unix_millis(_last_instant(F.col("window_end")))).drop("window_end")
+
+
+def alert_events(members: DataFrame) -> DataFrame:
+    """The events of each alert, one row per time, kind, user and item with its count, under the alert's id and time."""
+    return members.select(
+        "doc_id", F.unix_millis(_last_instant(F.col("window_end"))).alias("ts"), F.col("ts").alias("event_ts"),
+        "evid", "uid", "itemid", "n",
+    )
+
+
+def as_documents(headers: DataFrame, events: DataFrame, kinds: tuple[str, str] = KINDS) -> DataFrame:
+    """Alerts with their users, items and events as lists: a view for the alerts a reader asks for.
 
-    An alert with more than `part_entries` events comes as several parts of about that size, together whole, so no
-    task ever holds more than a part. `part` is 0 for all others.
+    Headers and event rows are what is stored, whatever an alert's size. Filter the headers by id before the lists are
+    made: an alert's lists stand in one row. Events come in time order, those of one instant by kind.
     """
-    totals = members.groupBy("doc_id", apart(["doc_id"])).agg(F.ceil(F.sum("n") / part_entries).alias("_parts"))
-    sizes = totals.select("doc_id", "_parts")
-    # A member seen very often is itself cut into runs of at most `part_entries` events.
-    runs = F.sequence(F.lit(0).cast("bigint"), F.call_function("div", F.col("n") - 1, F.lit(part_entries)))
-    rows = (
-        members.join(sizes, "doc_id", "inner")
-        .withColumn("_run", F.explode(runs))
-        .withColumn("n", F.least(F.lit(part_entries), F.col("n") - F.col("_run") * part_entries))
-        .withColumn("part", F.pmod(F.xxhash64("evid", "uid", "itemid", "_run"), F.col("_parts")).cast("int"))
-    )
     coupon = F.col("evid") == kinds[0]
-    timed = F.sort_array(F.collect_list(F.struct("first_ts", "evid", F.col("n").cast("int").alias("n"))))
-    return (
-        rows.groupBy("doc_id", "part", "mid", "window_end")
-        .agg(
-            F.sort_array(F.collect_set(F.when(coupon, F.col("uid")))).alias("uids"),
-            F.sort_array(F.collect_set(F.when(coupon, F.col("itemid")))).alias("itemIds"),
-            F.flatten(F.transform(timed, lambda e: F.array_repeat(e["evid"], e["n"]))).alias("events"),
-        )
-        .withColumn("ts", F.unix_millis(_last_instant(F.col("window_end"))))
-        .select("doc_id", "part", "mid", "uids", "itemIds", "events", "ts")
+    timed = F.sort_array(F.collect_list(F.struct("event_ts", "evid", F.col("n").cast("int").alias("n"))))
+    lists = headers.select("doc_id", "mid", "ts").join(events, ["doc_id", "ts"], "inner").groupBy("doc_id", "mid", "ts").agg(
+        F.sort_array(F.collect_set(F.when(coupon, F.col("uid")))).alias("uids"),
+        F.sort_array(F.collect_set(F.when(coupon, F.col("itemid")))).alias("itemIds"),
+        F.flatten(F.transform(timed, lambda e: F.array_repeat(e["evid"], e["n"]))).alias("events"),
     )
+    return lists.select("doc_id", "mid", "uids", "itemIds", "events", "ts")

@@ -14,32 +14,48 @@ from tillwatch.functions.text import has_word, query_words, tokens
 K1, B = 1.2, 0.75
 
 
-def scored(docs: DataFrame, text: str, keyword: str, digits: int = 6) -> DataFrame:
+def _lowered(docs: DataFrame, text: str) -> DataFrame:
+    # Generated, the lower-case text is a column of its own, made once however often it is tested.
+    return docs.where(F.col(text).isNotNull()).withColumn("_low", F.explode(F.array(F.lower(text))))
+
+
+def word_counts(docs: DataFrame, text: str, keyword: str, *by: str) -> DataFrame:
+    """What ranking has to know of a collection: rows, words, and rows with each word of the keyword, per `by`.
+
+    Counts of parts, such as days, add up, so they can be kept beside a table and a new day counted by itself.
+    """
+    lengths = _lowered(docs, text).select(*by, tokens(F.col("_low")).alias("_bag")).select(
+        *by, F.size("_bag").alias("_len"),
+        *[F.array_contains("_bag", w).cast("bigint").alias(f"_has{i}") for i, w in enumerate(query_words(keyword))],
+    )
+    return lengths.groupBy(*by).agg(
+        F.count("*").alias("rows"), F.sum("_len").alias("words"),
+        *[F.sum(f"_has{i}").alias(f"df{i}") for i in range(len(query_words(keyword)))],
+    )
+
+
+def scored(docs: DataFrame, text: str, keyword: str, digits: int = 6, counts: DataFrame | None = None) -> DataFrame:
     """Rows of `docs` that hold a word of `keyword`, with their BM25 `score`.
 
-    Term counts are taken inside each row, so ranking shuffles no text: the collection counts (rows, length, rows per
-    word) come from one aggregate read back as a scalar subquery, and scoring is a second narrow pass that skips rows
-    without any of the words before it splits them.
+    Term counts are taken inside each row, so ranking shuffles no text: the collection's counts come from one aggregate
+    read back as a scalar subquery, and scoring is a second narrow pass that skips rows without any of the words before
+    it splits them. `counts` are those of the collection, of all its parts, where `docs` is only some of it.
     """
     words = query_words(keyword)
     if not words:
         return docs.limit(0).withColumn("score", F.lit(None).cast("double"))
-    # Generated, the lower-case text is a column of its own, made once however often it is tested below.
-    low = docs.where(F.col(text).isNotNull()).withColumn("_low", F.explode(F.array(F.lower(text))))
+    low = _lowered(docs, text)
     bag = tokens(F.col("_low"))
 
     def times(word: str) -> Column:
         return F.size("_bag") - F.size(F.array_remove("_bag", word))
 
-    lengths = low.select(bag.alias("_bag")).select(
-        F.size("_bag").alias("_len"),
-        *[F.array_contains("_bag", w).cast("bigint").alias(f"_has{i}") for i, w in enumerate(words)],
-    )
-    totals = lengths.agg(
+    counts = word_counts(docs, text, keyword) if counts is None else counts
+    totals = counts.agg(
         F.struct(
-            F.count("*").alias("rows"),
-            F.avg("_len").alias("avg_len"),
-            *[F.sum(f"_has{i}").alias(f"df{i}") for i in range(len(words))],
+            F.sum("rows").alias("rows"),
+            (F.sum("words") / F.sum("rows")).alias("avg_len"),
+            *[F.sum(f"df{i}").alias(f"df{i}") for i in range(len(words))],
         ).alias("stats")
     )
     stats = F.col("_stats")
@@ -69,8 +85,21 @@ def max_score(docs: DataFrame, text: str, keyword: str) -> DataFrame:
     return scored(docs, text, keyword).agg(F.max("score").alias("max_score"))
 
 
+def page_after(hits: DataFrame, id_column: str, size: int, score: float | None = None, last_id: object = None) -> DataFrame:
+    """The `size` best scored rows after the one with `score` and `last_id`; the first page without them.
+
+    A reader that turns pages passes on the last row it has seen, so page a thousand costs what the first one costs.
+    """
+    if score is not None:
+        hits = hits.where((F.col("score") < score) | ((F.col("score") == score) & (F.col(id_column) > F.lit(last_id))))
+    return hits.orderBy(F.desc("score"), F.asc(id_column)).limit(size)
+
+
 def page(df: DataFrame, order: Sequence[str | Column], number: int, size: int) -> DataFrame:
-    """Page `number` (from 1) of `size` rows in a total order, each with the `total` of all rows."""
+    """Page `number` (from 1) of `size` rows in a total order, each with the `total` of all rows.
+
+    `df` is evaluated twice, for its rows and their number; where it is costly, pass it stored (`session.kept`).
+    """
     total = df.agg(F.count("*").alias("total"))
     rows = df.orderBy(*order).offset((number - 1) * size).limit(size)
     # A one-row DataFrame as a scalar subquery: evaluated once, no join.

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tillwatch.operators.alerts import (
-    KINDS, PART_ENTRIES, alert_documents, alert_windows, throttle, window_members, window_users,
+    KINDS, alert_events, alert_headers, alert_windows, as_documents, throttle, window_members, window_users,
 )
-from tillwatch.session import kept
 from tillwatch.records import ALERT_PERIOD, ALERT_SLIDE, ALERT_USERS, ALERT_WINDOW
 
 
@@ -19,18 +18,22 @@ def alerts(
     return throttle(alert_windows(window_users(events, window, slide, kinds), least), period)
 
 
-def documents(
+def stored_alerts(
     events: DataFrame, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE, slide_seconds: int = 5,
-    period: str = ALERT_PERIOD, least: int = ALERT_USERS, part_entries: int = PART_ENTRIES,
-    kinds: tuple[str, str] = KINDS,
-) -> DataFrame:
-    """The alerts with the users, items and events behind them.
+    period: str = ALERT_PERIOD, least: int = ALERT_USERS, kinds: tuple[str, str] = KINDS,
+) -> tuple[DataFrame, DataFrame]:
+    """The alerts as they are stored: header rows, and the rows of the events behind them.
 
-    Only windows that alert are joined back to the events; the wide event rows are never spread over the windows. What
-    is found, small beside the events, is kept, so that they are read once for the alerts and once for the documents.
+    Only windows that alert are joined back to the events; the wide event rows are never spread over the windows.
     """
-    found = alerts(events, window, slide, period, least, kinds)
-    return alert_documents(kept(window_members(events, found, slide_seconds)), part_entries, kinds)
+    members = window_members(events, alerts(events, window, slide, period, least, kinds), slide_seconds)
+    return alert_headers(members, kinds), alert_events(members)
+
+
+def documents(events: DataFrame, *how, kinds: tuple[str, str] = KINDS, **settings) -> DataFrame:
+    """The alerts with the users, items and events behind them as lists."""
+    headers, rows = stored_alerts(events, *how, kinds=kinds, **settings)
+    return as_documents(headers, rows, kinds)
 
 
 def member_counts(

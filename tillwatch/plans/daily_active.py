@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tillwatch.functions.json import parse
+from tillwatch.functions.json import bad_lines, parse
 from tillwatch.functions.times import epoch_day, epoch_hour
 from tillwatch.operators.keyed import earliest_per_key
 from tillwatch.records import Record
@@ -12,11 +12,16 @@ from tillwatch.sources.tables import on_day
 
 
 def read_logs(lines: DataFrame, record: Record, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Log lines as rows with day and hour."""
-    rows = parse(lines, record, keep=keep)
+    """Log lines as rows with day and hour; lines without a readable time are `bad_logs`."""
+    rows = parse(lines, record, keep=keep).where(F.col("ts").isNotNull())
     return rows.withColumns({"logDate": epoch_day(F.col("ts")), "logHour": epoch_hour(F.col("ts"))})
 
 
+def bad_logs(lines: DataFrame, record: Record) -> DataFrame:
+    """The lines that `read_logs` leaves out, whole."""
+    return bad_lines(lines, record, good=lambda log: log["ts"].try_cast("bigint").isNotNull())
+
+
 def daily_active(logs: DataFrame, order: tuple[str, ...] = ("ts",)) -> DataFrame:
     return earliest_per_key(logs, ["logDate", "mid"], list(order))
 

@@ -4,20 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillwatch.functions.json import parse
+from tillwatch.functions.json import bad_lines, parse
 from tillwatch.functions.shares import bucket
 from tillwatch.functions.text import mask_prefix
-from tillwatch.functions.times import text_day, text_hour
+from tillwatch.functions.times import readable, text_day, text_hour
 from tillwatch.records import ORDER_RECORD
 from tillwatch.sources.tables import on_day
 
 # Characters kept and stars put in a phone number, by the order store and by the sale detail.
 ORDER_MASK, SALE_MASK = (3, 8), (4, 7)
+MONEY = "decimal(38,2)"
 
 
 def read_orders(lines: DataFrame, mask: tuple[int, int] = ORDER_MASK, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Order lines as rows with day and hour, phone masked."""
-    rows = parse(lines, ORDER_RECORD, keep=keep)
+    """Order lines as rows with day and hour, phone masked; lines without a readable time or amount are `bad_orders`."""
+    rows = parse(lines, ORDER_RECORD, keep=keep).where(readable(F.col("create_time")) & F.col("total_amount").try_cast(MONEY).isNotNull())
     return rows.withColumns({
         "create_date": text_day(F.col("create_time")),
         "create_hour": text_hour(F.col("create_time")),
@@ -25,9 +26,18 @@ def read_orders(lines: DataFrame, mask: tuple[int, int] = ORDER_MASK, keep: tupl
     })
 
 
+def bad_orders(lines: DataFrame) -> DataFrame:
+    """The lines that `read_orders` leaves out, whole."""
+    return bad_lines(lines, ORDER_RECORD, good=lambda order: (
+        readable(order["create_time"]) & order["total_amount"].try_cast("double").try_cast(MONEY).isNotNull()))
+
+
 def amount(money: str | Column = "total_amount") -> Column:
-    """An exact sum of money with two decimals: double addition would depend on the order rows arrive in."""
-    return F.sum(F.col(money).cast("decimal(18,2)") if isinstance(money, str) else money).cast("double")
+    """An exact sum of money with two decimals: double addition would depend on the order rows arrive in.
+
+    No amount is too large to sum; a total beyond 36 digits is null.
+    """
+    return F.try_sum(F.col(money).try_cast(MONEY) if isinstance(money, str) else money).cast("double")
 
 
 def amount_total(orders: DataFrame, day: str | None = None) -> DataFrame:
@@ -52,12 +62,12 @@ def by_user_province(orders: DataFrame, users: DataFrame, province: str) -> Data
     """The same where the province is the user's: `users` maps `id` to `province`.
 
     Orders are summed per user before they meet the users, so the join carries one row per user however many orders
-    one of them holds.
+    one of them holds. Orders whose user or province is unknown come under a null province.
     """
-    money = F.col("total_amount").cast("decimal(18,2)")
-    per_user = orders.groupBy("user_id").agg(F.count("*").alias("n"), F.sum(money).alias("money"))
-    placed = per_user.join(users.select(F.col("id").alias("user_id"), province), "user_id", "inner")
-    return _with_bucket(placed.groupBy(province).agg(F.sum("n").alias("n_orders"), F.sum("money").cast("double").alias("amount")))
+    money = F.col("total_amount").try_cast(MONEY)
+    per_user = orders.groupBy("user_id").agg(F.count("*").alias("n"), F.try_sum(money).alias("money"))
+    placed = per_user.join(users.select(F.col("id").alias("user_id"), province), "user_id", "left")
+    return _with_bucket(placed.groupBy(province).agg(F.sum("n").alias("n_orders"), F.try_sum("money").cast("double").alias("amount")))
 
 
 def _with_bucket(groups: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tillwatch.functions.shares import remainder, share
 from tillwatch.functions.text import match_all
 from tillwatch.operators.hours import hour_map
-from tillwatch.operators.search import scored
+from tillwatch.operators.search import scored, word_counts
 from tillwatch.plans.daily_active import active_hourly, active_total, new_devices
 from tillwatch.plans.order_amount import amount_hourly, amount_total
 from tillwatch.records import (
@@ -116,21 +116,28 @@ def sale_summary(hits: DataFrame) -> DataFrame:
     return counts.select("total", F.array(block(AGE_TITLE, **ages), block(GENDER_TITLE, **genders)).alias("stat"))
 
 
-def sale_page(sales: DataFrame, day: str, keyword: str, number: int, size: int) -> DataFrame:
+def name_counts(sales: DataFrame, keyword: str) -> DataFrame:
+    """Word counts of the article names, one row per day; what a day adds never changes once it is over."""
+    return word_counts(sales, "sku_name", keyword, "dt")
+
+
+def sale_page(sales: DataFrame, day: str, keyword: str, number: int, size: int, counts: DataFrame | None = None) -> DataFrame:
     """Page `number` (from 1) of the hits, best score first, ties by id.
 
-    Word statistics are those of the day, so the report reads the day's folder and nothing else.
+    Scores use the word counts of all sales, as the day only filters. `counts` are those kept per day (`name_counts`);
+    without them the names of all days are counted here.
     """
-    kept = scored(on_day(sales, "dt", day), "sku_name", keyword).where(match_all(F.col("sku_name"), keyword))
+    counts = name_counts(sales, keyword) if counts is None else counts
+    kept = scored(on_day(sales, "dt", day), "sku_name", keyword, counts=counts).where(match_all(F.col("sku_name"), keyword))
     return kept.orderBy(F.desc("score"), F.asc("doc_id")).offset((number - 1) * size).limit(size)
 
 
 def sale_report(
-    sales: DataFrame, day: str | None, keyword: str | None, number: int = 1, size: int = 20
+    sales: DataFrame, day: str | None, keyword: str | None, number: int = 1, size: int = 20, counts: DataFrame | None = None,
 ) -> DataFrame:
     """The whole report as one JSON document: total, shares and one page of rows. Blank parameters take their default."""
     day, keyword = day or DEFAULT_REPORT_DATE, keyword or ""
-    page = sale_page(sales, day, keyword, number, size)
+    page = sale_page(sales, day, keyword, number, size, counts)
     shown = page.agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("_rank"), *page.columns))).alias("d"))
     detail = F.transform(F.col("_page"), lambda r: r.dropFields("_rank", "score"))
     summary = sale_summary(sale_hits(sales, day, keyword)).withColumn("_page", shown.scalar())

@@ -37,31 +37,38 @@ def build_session(app: str = "tillwatch", master: str | None = None, conf: dict[
     return builder.getOrCreate()
 
 
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session beside `spark` with the same settings, to change without the caller's noticing."""
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and session.conf.isModifiable(key) and session.conf.get(key, None) != value:
+            session.conf.set(key, value)
+    return session
+
+
 def prepare(spark: SparkSession, zone: str = "UTC") -> SparkSession:
-    """Set what results depend on, and the skew handling plans count on, in a session built elsewhere.
+    """A session of its own with what results depend on, and the skew handling plans count on.
 
     Days and hours are cut in `zone`; a log that repeats a JSON key keeps the last value; a skewed join is split even
     where the rows are grouped by the same key afterwards.
     """
-    spark.conf.set("spark.sql.session.timeZone", zone)
-    spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
-    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
-    return spark
+    session = own_session(spark)
+    session.conf.set("spark.sql.session.timeZone", zone)
+    session.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+    session.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    return session
 
 
-def stream_session(spark: SparkSession) -> SparkSession:
+def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
     """A session beside `spark` for streams with state.
 
-    A checkpoint keeps one state store per shuffle partition for good, so where nobody has set their number it follows
-    the cores of the cluster. State is kept in RocksDB, on disk with a bounded cache, unless another store is set.
+    A checkpoint keeps one state store per shuffle partition for good. `partitions` is their number; without it, it is
+    what the session has set. State is kept in RocksDB, on disk with a bounded cache, unless another store is set.
     """
-    session = prepare(spark.newSession())
-    given = spark.sparkContext.getConf()
-    if spark.conf.get(_PARTITIONS) == "200" and not given.get(_PARTITIONS):
-        session.conf.set(_PARTITIONS, str(spark.sparkContext.defaultParallelism))
-    else:
-        session.conf.set(_PARTITIONS, spark.conf.get(_PARTITIONS))
-    if not given.get("spark.sql.streaming.stateStore.providerClass"):
+    session = prepare(spark)
+    if partitions is not None:
+        session.conf.set(_PARTITIONS, str(partitions))
+    if not spark.sparkContext.getConf().get("spark.sql.streaming.stateStore.providerClass"):
         for key, value in _STATE.items():
             session.conf.set(key, value)
     return session

@@ -2,7 +2,8 @@
 
 A micro-batch is written once, into folders of its own; a reader takes one row per key. So a write costs what the batch
 holds and never rewrites the table, a batch that runs again replaces its own folders and nothing else, and a lost
-executor only repeats its task. `compact` folds the folders of a partition into one from time to time.
+executor only repeats its task. `fold` puts the batches so far of each partition they touched into one snapshot folder, so
+what a reader reads is bounded by a snapshot and the batches since.
 """
 
 from __future__ import annotations
@@ -11,12 +12,12 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from tillwatch.operators.keyed import earliest_per_key, latest_per_key
 
-_VERSION = "_version"
+_VERSION, _BUCKET = "_version", "_bucket"
 
 
 class KeyedTable:
@@ -25,18 +26,21 @@ class KeyedTable:
     keep="last": the row of the latest batch wins, inside a batch the one with the greatest `order`.
     keep="first": the row with the smallest `order` wins, whichever batch brings it.
     `partition_by` names columns that never change for a key, such as the day an order was made; they count as part of
-    the key, so that a filter on them reaches the folders.
+    the key, so that a filter on them reaches the folders. A table without such a column may be cut into `buckets` by a
+    hash of its keys, so that folding it rewrites no more than the buckets that changed.
     """
 
     def __init__(
         self, path: str, schema: str, keys: Sequence[str], order: Sequence[str],
-        partition_by: Sequence[str] = (), keep: str = "last",
+        partition_by: Sequence[str] = (), keep: str = "last", buckets: int = 0,
     ):
         if keep not in ("first", "last"):
             raise ValueError("keep is 'first' or 'last'")
         self.path, self.schema, self.order = path, schema, list(order)
         self.keys = list(dict.fromkeys([*partition_by, *keys]))
-        self.partition_by, self.keep = list(partition_by), keep
+        self.partition_by, self.keep, self.buckets = list(partition_by), keep, buckets
+        #: Columns that name a partition's folder.
+        self.parts = [*self.partition_by, *([_BUCKET] if buckets else [])]
 
     def _resolved(self, rows: DataFrame, joined: bool = False) -> DataFrame:
         if self.keep == "first":
@@ -45,12 +49,14 @@ class KeyedTable:
 
     def _write(self, rows: DataFrame, version: int) -> None:
         out = rows.drop(_VERSION).withColumn(_VERSION, F.lit(version).cast("bigint"))
-        if self.partition_by and rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        if self.buckets:
+            out = out.withColumn(_BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+        if self.parts and rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
             # Few files per folder, and a folder with most of the rows still written by many tasks.
-            out = out.hint("rebalance", *self.partition_by)
+            out = out.hint("rebalance", *self.parts)
         (
             out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*self.partition_by, _VERSION).parquet(self.path)
+            .partitionBy(*self.parts, _VERSION).parquet(f"{self.path}/rows")
         )
 
     def upsert(self, rows: DataFrame, batch_id: int, unique: bool = False) -> None:
@@ -58,44 +64,91 @@ class KeyedTable:
         batch = rows.select(*StructType.fromDDL(self.schema).fieldNames()).withColumn(_VERSION, F.lit(2 * batch_id).cast("bigint"))
         self._write(batch if unique else self._resolved(batch), 2 * batch_id)
 
-    def _all_versions(self, spark: SparkSession) -> DataFrame:
+    def _stored(self, spark: SparkSession, folder: str, ddl: str) -> DataFrame:
         try:
-            return spark.read.schema(f"{self.schema}, {_VERSION} BIGINT").parquet(self.path)
+            return spark.read.schema(ddl).parquet(f"{self.path}/{folder}")
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return spark.createDataFrame([], f"{self.schema}, {_VERSION} BIGINT")
+            return spark.createDataFrame([], ddl)
+
+    def _versions(self, spark: SparkSession) -> tuple[DataFrame, DataFrame, int]:
+        """All rows of all versions; the finished snapshot of each partition; the batch versions these reach up to.
+
+        Batches have even versions, snapshots odd ones. A fold takes in every partition that batches have touched since
+        the one before, so no reader needs a batch up to the latest fold.
+        """
+        bucket = f", {_BUCKET} INT" if self.buckets else ""
+        rows = self._stored(spark, "rows", f"{self.schema}{bucket}, {_VERSION} BIGINT")
+        folds = self._stored(spark, "folds", self._folds_ddl())
+        latest = folds.agg(F.max(_VERSION)).first()[0]
+        return rows, folds.where("NOT _mark").groupBy(*self.parts).agg(F.max(_VERSION).alias(_VERSION)), -1 if latest is None else latest
+
+    def _folds_ddl(self) -> str:
+        kinds = {field.name: field.dataType.simpleString() for field in StructType.fromDDL(self.schema)} | {_BUCKET: "int"}
+        return ", ".join([*(f"`{name}` {kinds[name]}" for name in self.parts), f"{_VERSION} BIGINT", "_mark BOOLEAN"])
+
+    def _standing(self, spark: SparkSession) -> tuple[DataFrame, int]:
+        rows, snapshots, latest = self._versions(spark)
+        batches = rows.where((F.col(_VERSION) % 2 == 0) & (F.col(_VERSION) > latest))
+        if latest < 0:
+            return batches, latest
+        same = F.lit(True)
+        for name in (*self.parts, _VERSION):
+            same = same & F.col(f"rows.{name}").eqNullSafe(F.col(f"snapshots.{name}"))
+        # One row per partition: Spark broadcasts it if it is small, and prunes the folders of older snapshots by it.
+        kept = rows.where(F.col(_VERSION) % 2 == 1).alias("rows").join(snapshots.alias("snapshots"), same, "left_semi")
+        return batches.unionByName(kept), latest
 
     def read(self, spark: SparkSession, joined: bool = False) -> DataFrame:
         """One row per key. A filter on a partition column skips the other folders.
 
         `joined` says that the rows are next joined on their keys, to rows that may be skewed.
         """
-        return self._resolved(self._all_versions(spark), joined).drop(_VERSION)
+        return self._resolved(self._standing(spark)[0], joined).drop(_VERSION, _BUCKET)
 
-    def compact(self, spark: SparkSession, upto_batch: int, where: str = "true") -> None:
-        """Fold the batches up to `upto_batch` of the partitions that match `where`, then drop their folders.
+    def fold(self, spark: SparkSession, upto_batch: int) -> None:
+        """Put the batches up to `upto_batch` into a new snapshot of each partition that they touched.
 
-        Readers see the same rows before, between and after the two steps: the folded rows are the winners of the
-        folders they stand for. Run it on closed days, when no reader still lists the old folders.
+        Readers see the same rows before, while and after: a snapshot counts once its fold is listed, and the folders it
+        stands for stay where they are until somebody clears them away (`obsolete`).
         """
         version = 2 * upto_batch + 1
-        old = self._all_versions(spark).where(where).where(F.col(_VERSION) < version)
-        folders = old.select(F.regexp_extract(F.input_file_name(), r"^(.*)/[^/]+$", 1).alias("folder")).distinct()
-        stale = [r["folder"] for r in folders.toLocalIterator()]
-        if len(stale) < 2:
+        rows, latest = self._standing(spark)
+        if latest >= version:
             return
-        self._write(self._resolved(old), version)
-        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-        for folder in stale:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(hadoop).delete(path, True)
+        rows = rows.where(F.col(_VERSION) < version)
+        changed = rows.where((F.col(_VERSION) % 2 == 0) & (F.col(_VERSION) > latest))
+        touched = changed.select(*(self.parts or [F.lit(0).alias("_all")])).distinct()
+        if self.parts:
+            same = F.lit(True)
+            for name in self.parts:
+                same = same & F.col(f"rows.{name}").eqNullSafe(F.col(f"touched.{name}"))
+            rows = rows.alias("rows").join(touched.alias("touched"), same, "left_semi")
+        self._write(self._resolved(rows), version)
+        listed = touched.select(*self.parts, F.lit(version).cast("bigint").alias(_VERSION), F.lit(False).alias("_mark"))
+        # The mark lists a fold even if no batch had any row.
+        mark = spark.range(1).select(
+            *[F.lit(None).cast(listed.schema[name].dataType).alias(name) for name in self.parts],
+            F.lit(version).cast("bigint").alias(_VERSION), F.lit(True).alias("_mark"))
+        listed.unionByName(mark).coalesce(1).write.mode("append").parquet(f"{self.path}/folds")
+
+    def obsolete(self, spark: SparkSession) -> DataFrame:
+        """Folders (partition and version) that the latest fold stands for and no new reader opens."""
+        rows, _, latest = self._versions(spark)
+        standing = self._standing(spark)[0].select(*self.parts, _VERSION).distinct()
+        return rows.where(F.col(_VERSION) <= latest).select(*self.parts, _VERSION).distinct().exceptAll(standing)
 
 
 def with_doc_id(docs: DataFrame, batch_id: int, column: str = "doc_id") -> DataFrame:
-    """Documents without an id get one, from their batch and place in it: a task that runs again gives the same one."""
-    place = F.concat_ws("-", F.lit("auto"), F.lit(batch_id), F.monotonically_increasing_id())
-    return docs.withColumn(column, F.coalesce(F.col(column), place))
+    """Documents without an id get one from their batch and content, equal ones numbered: the same batch gives the same
+    ids, however its rows are laid out."""
+    content = F.sha2(F.to_json(F.struct(*[name for name in docs.columns if name != column])), 256)
+    numbered = docs.withColumn("_content", F.when(F.col(column).isNull(), content))
+    lone = numbered.where(F.col("_content").isNotNull()).withColumn(
+        "_copy", F.row_number().over(Window.partitionBy("_content").orderBy(F.lit(0))))
+    made = lone.withColumn(column, F.concat_ws("-", F.lit("auto"), F.lit(batch_id), F.left("_content", F.lit(32)), F.col("_copy")))
+    return docs.where(F.col(column).isNotNull()).unionByName(made.select(*docs.columns))
 
 
 def one_document(spark: SparkSession, document: dict, doc_id: str, schema: str) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tillwatch.sources.topics import read_files
+
 EVENTS_DDL = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 ORDERS_DDL = (
     "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, "
@@ -14,6 +16,8 @@ LINEITEM_DDL = (
     "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
     "l_shipdate TIMESTAMP_NTZ"
 )
+#: Files that a slice of a table is written as, and that a micro-batch reads.
+SLICE_FILES = 2
 # The event kinds that stand for taking a coupon and for browsing.
 KINDS = ("purchase", "click")
 CUSTOMER_DDL = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
@@ -28,6 +32,18 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, ddl: str) -> DataF
     return spark.readStream.schema(ddl).parquet(f"{sf_dir}/{name[:-1]}[{name[-1]}].parquet")
 
 
+def sliced_stream(spark: SparkSession, sf_dir: str, name: str, ddl: str, time: str, where: str, slices: int = 4) -> DataFrame:
+    """A table as a stream of several micro-batches: all its rows, cut by time into folders written one after another."""
+    rows = table(spark, sf_dir, name)
+    at = F.unix_seconds(F.col(time).cast("timestamp"))
+    ends = rows.agg(F.min(at).alias("first"), F.max(at).alias("last")).first()
+    span = max(1, (ends["last"] or 0) - (ends["first"] or 0) + 1)
+    slice_of = F.coalesce(F.call_function("div", (at - F.lit(ends["first"] or 0)) * slices, F.lit(span)), F.lit(0))
+    for number in range(slices):
+        rows.where(slice_of == number).repartition(1 if rows.isEmpty() else SLICE_FILES).write.mode("append").parquet(where)
+    return read_files(spark, where, ddl, most=SLICE_FILES)
+
+
 def _text(name: str) -> Column:
     return F.col(name).cast("string")
 
@@ -59,7 +75,8 @@ def logs(events: DataFrame) -> DataFrame:
 def log_lines(events: DataFrame) -> DataFrame:
     """The lines devices post: JSON without a time, with its arrival beside it."""
     log = logs(events)
-    body = F.struct("type", "mid", "uid", "evid", F.col("event_id").alias("itemid"))
+    at = F.struct((F.col("event_id") % 50).cast("int").alias("pgid"), F.struct(F.col("uid").alias("id")).alias("who"))
+    body = F.struct("type", "mid", "uid", "evid", F.col("event_id").alias("itemid"), at.alias("at"))
     return log.select("event_id", "event_time", F.col("ts").alias("arrived_ms"), F.to_json(body).alias("value"))
 
 

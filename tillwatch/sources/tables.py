@@ -7,6 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
+# Fixed value: the type that stored documents carry.
+DOC_TYPE = "_doc"
+
+
 def read_table(spark: SparkSession, path: str, form: str = "parquet", **options: str) -> DataFrame:
     """A table of files, or a database table with form='jdbc' and its options (url, dbtable, partitionColumn, ...)."""
     reader = spark.read.format(form).options(**options)
@@ -19,13 +23,14 @@ def on_day(df: DataFrame, column: str, day: str | Column) -> DataFrame:
 
 
 def scan_all(tables: dict[str, tuple[DataFrame, Column]]) -> DataFrame:
-    """All tables as one: each row with its table name, its id and its fields as a JSON document.
+    """All tables as one: each row with its table name, type, id, score and its fields as a JSON document.
 
-    `tables` maps a name to (rows, id column).
+    `tables` maps a name to (rows, id column). A scan matches every row alike, so all score 1.
     """
     def tagged(name: str, rows: DataFrame, key: Column) -> DataFrame:
         return rows.select(
-            F.lit(name).alias("index"), key.cast("string").alias("id"), F.to_json(F.struct("*")).alias("source")
+            F.lit(name).alias("index"), F.lit(DOC_TYPE).alias("type"), key.cast("string").alias("id"),
+            F.lit(1.0).alias("score"), F.to_json(F.struct("*")).alias("source"),
         )
 
     return reduce(DataFrame.unionByName, [tagged(n, rows, key) for n, (rows, key) in tables.items()])
@@ -37,6 +42,10 @@ def union_all(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
-def hit_json(rows: DataFrame) -> DataFrame:
-    """Each row, with its `index`, `id` and `score` among its fields, as one JSON object."""
-    return rows.select(F.to_json(F.struct("*")).alias("hit"))
+def hit_json(rows: DataFrame, index: str, key: Column) -> DataFrame:
+    """Each scored row as one JSON object, with its `index`, `type`, `id` and `score` among its fields."""
+    named = rows.select(
+        *[name for name in rows.columns if name != "score"], F.lit(index).alias("index"), F.lit(DOC_TYPE).alias("type"),
+        key.cast("string").alias("id"), "score",
+    )
+    return named.select(F.to_json(F.struct("*")).alias("hit"))

@@ -6,63 +6,61 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillwatch.operators.alerts import (
-    KINDS, PART_ENTRIES, alert_documents, alert_windows, members_of, throttle, users_of_members,
+    KINDS, alert_events, alert_headers, alert_windows, members_of, throttle, users_of_members,
 )
 from tillwatch.records import ALERT_INTERVAL, ALERT_PERIOD, ALERT_SLIDE, ALERT_USERS, ALERT_WINDOW
 from tillwatch.sources.keyed_table import KeyedTable
 from tillwatch.streaming.run import start
 
 MEMBERS_DDL = (
-    "window_start TIMESTAMP, window_end TIMESTAMP, mid STRING, evid STRING, uid STRING, itemid STRING, "
-    "n BIGINT, first_ts BIGINT"
-)
-DOCUMENTS_DDL = (
-    "doc_id STRING, part INT, mid STRING, uids ARRAY<STRING>, itemIds ARRAY<STRING>, events ARRAY<STRING>, ts BIGINT"
+    "window_start TIMESTAMP, window_end TIMESTAMP, mid STRING, ts BIGINT, evid STRING, uid STRING, itemid STRING, n BIGINT"
 )
+HEADERS_DDL = "doc_id STRING, mid STRING, n_users BIGINT, n_items BIGINT, n_events BIGINT, ts BIGINT"
+EVENTS_DDL = "doc_id STRING, ts BIGINT, event_ts BIGINT, evid STRING, uid STRING, itemid STRING, n BIGINT"
 
 
 def window_member_counts(
     events: DataFrame, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE, late: str = "10 seconds"
 ) -> DataFrame:
-    """What happened in each sliding window of each device, one row per (kind, user, item).
+    """What happened in each sliding window of each device, one row per (time, kind, user, item).
 
     The one stateful step of the alert stream. Its key goes down to the item, so a busy device is spread over many
     tasks, and its state goes when the watermark has passed the window.
     """
     groups = events.withWatermark("event_time", late).groupBy(
-        F.window("event_time", window, slide).alias("w"), "mid", "evid", "uid", "itemid"
+        F.window("event_time", window, slide).alias("w"), "mid", "ts", "evid", "uid", "itemid"
     )
-    counts = groups.agg(F.count("*").alias("n"), F.min("ts").alias("first_ts"))
-    return counts.select(
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "mid", "evid", "uid", "itemid", "n", "first_ts"
+    return groups.agg(F.count("*").alias("n")).select(
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "mid", "ts", "evid", "uid", "itemid", "n"
     )
 
 
-def document_table(path: str) -> KeyedTable:
-    """Alerts by `device_minute`; all parts of an alert come from one window, and a later window replaces them."""
-    return KeyedTable(path, DOCUMENTS_DDL, ["doc_id", "part"], ["ts"])
-
-
-def current(documents: DataFrame) -> DataFrame:
-    """Without the parts that a later, smaller version of an alert has left behind."""
-    last = documents.groupBy("doc_id").agg(F.max("ts").alias("ts"))
-    return documents.join(last, ["doc_id", "ts"], "left_semi")
+def alert_tables(path: str) -> tuple[KeyedTable, KeyedTable]:
+    """Alert headers by `device_minute`, a later window replacing an earlier one, and the events of every version."""
+    return (
+        KeyedTable(f"{path}/alerts", HEADERS_DDL, ["doc_id"], ["ts"]),
+        KeyedTable(f"{path}/events", EVENTS_DDL, ["doc_id", "ts", "event_ts", "evid", "uid", "itemid"], []),
+    )
 
 
 def run_alerts(
-    events: DataFrame, table: KeyedTable, checkpoint: str, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE,
-    period: str = ALERT_PERIOD, late: str = "10 seconds", least: int = ALERT_USERS, part_entries: int = PART_ENTRIES,
+    events: DataFrame, tables: tuple[KeyedTable, KeyedTable], checkpoint: str, window: str = ALERT_WINDOW,
+    slide: str = ALERT_SLIDE, period: str = ALERT_PERIOD, late: str = "10 seconds", least: int = ALERT_USERS,
     kinds: tuple[str, str] = KINDS, interval: str | None = ALERT_INTERVAL,
 ) -> StreamingQuery:
-    """Store an alert document as soon as its window is over.
+    """Store an alert, its header and its events, as soon as its window is over.
 
-    Append mode hands over all members of a window in one batch, so alerts and documents come from that batch alone.
+    Append mode hands over all members of a window in one batch, so alerts and their events come from that batch alone.
+    Events carry their alert's time, so readers that join them to the headers see those of the version that stands.
     """
+    headers, rows = tables
+
     def save(batch: DataFrame, batch_id: int) -> None:
         members = batch.persist()
         try:
-            found = throttle(alert_windows(users_of_members(members, kinds), least), period)
-            table.upsert(alert_documents(members_of(found, members), part_entries, kinds), batch_id, unique=True)
+            found = members_of(throttle(alert_windows(users_of_members(members, kinds), least), period), members)
+            rows.upsert(alert_events(found), batch_id, unique=True)
+            headers.upsert(alert_headers(found, kinds), batch_id, unique=True)
         finally:
             members.unpersist()
 
@@ -70,7 +68,7 @@ def run_alerts(
 
 
 def member_table(path: str) -> KeyedTable:
-    return KeyedTable(path, MEMBERS_DDL, ["window_start", "mid", "evid", "uid", "itemid"], [])
+    return KeyedTable(path, MEMBERS_DDL, ["window_start", "mid", "ts", "evid", "uid", "itemid"], [])
 
 
 def run_member_replay(

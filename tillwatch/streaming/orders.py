@@ -16,10 +16,20 @@ def order_table(path: str, by_day: bool = True) -> KeyedTable:
     return KeyedTable(path, schema, ["id"], ["arrived"], ["create_date"] if by_day else [])
 
 
-def user_table(path: str) -> KeyedTable:
-    return KeyedTable(path, f"{USER_RECORD.ddl()}, arrived TIMESTAMP", ["id"], ["arrived"])
+def user_table(path: str, buckets: int = 0) -> KeyedTable:
+    return KeyedTable(path, f"{USER_RECORD.ddl()}, arrived TIMESTAMP", ["id"], ["arrived"], buckets=buckets)
 
 
-def run_upserts(rows: DataFrame, table: KeyedTable, checkpoint: str, **how) -> StreamingQuery:
-    """Keep `table` at the newest row per key. No state: the table resolves keys when it is read."""
-    return start(rows, table.upsert, checkpoint, **how)
+def run_upserts(
+    rows: DataFrame, table: KeyedTable, checkpoint: str, fold_every: int | None = None, **how,
+) -> StreamingQuery:
+    """Keep `table` at the newest row per key. No state: the table resolves keys when it is read.
+
+    Every `fold_every` batches they are folded, which bounds what each read costs.
+    """
+    def save(batch: DataFrame, batch_id: int) -> None:
+        table.upsert(batch, batch_id)
+        if fold_every and (batch_id + 1) % fold_every == 0:
+            table.fold(batch.sparkSession, batch_id)
+
+    return start(rows, save, checkpoint, **how)

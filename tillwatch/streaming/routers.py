@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillwatch.functions.json import bad_lines
 from tillwatch.plans.change_feed import routed
 from tillwatch.plans.log_feed import stamped
-from tillwatch.records import Record
 from tillwatch.sources.topics import write_daily_log, write_topics
 from tillwatch.streaming.run import start
 
@@ -41,12 +39,12 @@ def run_change_router(
     return start(routed(changes, include_updates), save, checkpoint, **how)
 
 
-def run_bad_lines(lines: DataFrame, record: Record, path: str, checkpoint: str, **how) -> StreamingQuery:
-    """Set aside the lines that `parse` leaves out, whole."""
+def run_bad_lines(bad: DataFrame, path: str, checkpoint: str, **how) -> StreamingQuery:
+    """Set aside the lines that a reader leaves out, whole: those of `bad_logs`, `bad_orders` or `bad_lines`."""
     def save(batch: DataFrame, batch_id: int) -> None:
         batch.select("value").write.mode("overwrite").text(f"{path}/batch={batch_id}")
 
-    return start(bad_lines(lines, record).where(F.col("value").isNotNull()), save, checkpoint, **how)
+    return start(bad.where(F.col("value").isNotNull()), save, checkpoint, **how)
 
 
 def run_batch_counts(rows: DataFrame, path: str, checkpoint: str, **how) -> StreamingQuery:

@@ -13,6 +13,7 @@ from tillwatch.records import JOIN_TTL_SECONDS, SALE_DETAIL_DDL
 from tillwatch.sources.keyed_table import KeyedTable
 from tillwatch.streaming.run import start
 
+#: Copies of an order in state, and tasks that a hot order is spread over; at most the number of partitions is of use.
 SALTS = 4
 
 
@@ -20,12 +21,12 @@ def _sides(orders: DataFrame, details: DataFrame, late: str, salts: int) -> tupl
     left = order_side(orders, F.col("arrived").alias("order_arrived")).withWatermark("order_arrived", late)
     right = detail_side(details, F.col("arrived").alias("detail_arrived")).withWatermark("detail_arrived", late)
     left = left.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    right = right.withColumn("_salt", F.pmod(F.xxhash64("order_detail_id"), F.lit(salts)).cast("int"))
+    right = right.withColumn("_own_salt", F.pmod(F.xxhash64("order_detail_id"), F.lit(salts)).cast("int"))
     return left, right
 
 
 def _condition(seconds: int) -> Column:
-    same = (F.col("order_id") == F.col("_order")) & (F.col("left._salt") == F.col("right._salt"))
+    same = (F.col("order_id") == F.col("_order")) & (F.col("_salt") == F.col("_own_salt"))
     return same & within("order_arrived", "detail_arrived", seconds)
 
 
@@ -39,19 +40,40 @@ def matched_pairs(
     streams have no adaptive skew join.
     """
     left, right = _sides(orders, details, late, salts)
-    return left.alias("left").join(right.alias("right"), _condition(seconds), "inner").drop("_salt", "_order")
+    return left.join(right, _condition(seconds), "inner").drop("_salt", "_own_salt", "_order")
 
 
 def matched_and_lone(
-    orders: DataFrame, details: DataFrame, seconds: int = JOIN_TTL_SECONDS, late: str = "10 seconds"
+    orders: DataFrame, details: DataFrame, seconds: int = JOIN_TTL_SECONDS, late: str = "10 seconds", salts: int = SALTS
 ) -> DataFrame:
     """Pairs, and once the watermark has passed their reach also orders and details that found nothing.
 
-    Not salted: a copy of an order would count as alone under each salt that none of its details fell to.
+    Salted like the pairs: an order comes as alone under each salt (`_salt`) that none of its details fell to. All of its
+    copies leave the state with the same watermark, so `settled` sees them in one micro-batch.
     """
-    left, right = _sides(orders, details, late, salts=1)
-    both = left.alias("left").join(right.alias("right"), _condition(seconds), "full_outer").drop("_salt")
-    return both.withColumn("order_id", F.coalesce("order_id", "_order")).drop("_order")
+    left, right = _sides(orders, details, late, salts)
+    both = left.join(right, _condition(seconds), "full_outer")
+    return both.withColumn("order_id", F.coalesce("order_id", "_order")).drop("_order", "_own_salt")
+
+
+def settled(batch: DataFrame, salts: int = SALTS) -> DataFrame:
+    """A micro-batch of `matched_and_lone` without the copies of orders that found a detail under another salt."""
+    alone = F.col("order_detail_id").isNull()
+    keys = [name for name in batch.columns if name != "_salt"]
+    lone = batch.where(alone).groupBy(*keys).agg(F.count_distinct("_salt").alias("_salts")).where(F.col("_salts") == salts)
+    return batch.where(~alone).drop("_salt").unionByName(lone.drop("_salts"))
+
+
+def run_coverage(
+    orders: DataFrame, details: DataFrame, path: str, checkpoint: str, seconds: int = JOIN_TTL_SECONDS,
+    late: str = "10 seconds", salts: int = SALTS, **how,
+) -> StreamingQuery:
+    """Store which orders and details found each other, each micro-batch in a folder of its own."""
+    def save(batch: DataFrame, batch_id: int) -> None:
+        settled(batch, salts).select("order_id", "order_detail_id", "order_arrived", "detail_arrived").write.mode(
+            "overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return start(matched_and_lone(orders, details, seconds, late, salts), save, checkpoint, **how)
 
 
 def sale_table(path: str, by_day: bool = True) -> KeyedTable:
