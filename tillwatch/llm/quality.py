@@ -176,13 +176,26 @@ def estimate(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int =
 def first_rejection(order: Sequence[Rule], text: Column, measured: Mapping[str, Column] | None = None) -> Column:
     """The name of the first rule, in this order, that rejects the text; null if none does.
 
-    Later branches of a CASE are evaluated only where the earlier ones fail, which is the short circuit. Measures
-    that are at hand as columns are used instead of being taken again.
+    Later branches of a CASE are evaluated only where the earlier ones fail, which is the short circuit. The text is split
+    into words once for all rules that count them. Measures that are at hand as columns are used instead.
     """
+    if measured is not None:
+        return _cascade(order, measured)
+    return let(words(text), lambda own: _cascade(order, {name: take(text) for name, take in MEASURES.items()} | of_words(own)))
+
+
+def of_words(own: Column) -> dict[str, Column]:
+    """The measures that are taken of a text's words."""
+    return {
+        "n_words": F.size(own).cast("long"),
+        "n_repeat_words": let(F.transform(own, lambda word: F.xxhash64(word)), _covered_by_repeats).cast("long"),
+    }
+
+
+def _cascade(order: Sequence[Rule], measured: Mapping[str, Column]) -> Column:
     verdict = None
     for rule in order:
-        known = {name: (measured or {}).get(name, MEASURES[name](text)) for name in rule.measures}
-        branch = rule.rejects(known)
+        branch = rule.rejects(measured)
         verdict = F.when(branch, rule.name) if verdict is None else verdict.when(branch, rule.name)
     return verdict
 
@@ -208,8 +221,7 @@ def report(docs: DataFrame) -> DataFrame:
     order = [own.rule for own in estimate(docs)]
     # One pass splits each text once for both counts of words.
     measured = docs.select("doc_id", "text", let(words(text), lambda own: F.struct(
-        F.size(own).cast("long").alias("n_words"),
-        let(F.transform(own, lambda word: F.xxhash64(word)), _covered_by_repeats).cast("long").alias("n_repeat_words"),
+        *[measure.alias(name) for name, measure in of_words(own).items()],
     )).alias("counted"), *[
         MEASURES[name](text).alias(name) for name in ("word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_capitals")
     ])
