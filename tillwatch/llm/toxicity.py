@@ -37,7 +37,9 @@ LEAST_DOCS = 4
 SIZE = 12
 WIDTHS = (1, 2, 3)
 FILTERS = 8
-EPOCHS = 8
+EPOCHS = 20
+#: Share of words left out of each step at random.
+DROPPED = 0.5
 BATCH = 64
 #: Words whose answers a task remembers.
 _REMEMBERED = 200_000
@@ -191,7 +193,9 @@ def fit(texts: Sequence[Sequence[str]], labels: Sequence[int], seed: int = 11, e
         random.shuffle(fitted)
         for start in range(0, len(fitted), BATCH):
             batch = fitted[start:start + BATCH]
-            _step(model, [coded[at] for at in batch], labels[batch], open_rows, state, 0.1 * (1 - epoch / epochs) + 0.01)
+            # Words left out at random keep single ones from standing for a document.
+            shown = [own[random.random(len(own)) >= DROPPED] for own in (coded[at] for at in batch)]
+            _step(model, shown, labels[batch], open_rows, state, 0.1 * (1 - epoch / epochs) + 0.01)
     calibrate(model, texts, labels)
     return model
 
@@ -202,10 +206,11 @@ def _step(
     """One step of adaptive gradients on the logistic loss; gradients flow through each filter's largest answer only."""
     pad = max(WIDTHS) - 1
     sizes = np.array([len(own) for own in batch])
-    starts = np.cumsum(sizes + pad) - (sizes + pad)
+    room = np.maximum(sizes, 1) + pad  # an empty text has one place, with no word in reach
+    starts = np.cumsum(room) - room
     rows = np.concatenate([np.arange(first, first + n) for first, n in zip(starts, sizes)]) if sizes.sum() else np.zeros(0, int)
     codes = np.concatenate(batch)
-    vectors = np.zeros((int((sizes + pad).sum()) + pad, SIZE), np.float32)
+    vectors = np.zeros((int(room.sum()) + pad, SIZE), np.float32)
     vectors[rows] = model.table[codes].sum(1)
     answers = np.concatenate(_answers(vectors @ model.filters, len(vectors) - pad), axis=1)
     peak_at = np.stack([first + answers[first:first + max(n, 1)].argmax(0) for first, n in zip(starts, sizes)])
