@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tillwatch.functions.json import parse
 from tillwatch.operators.alerts import alert_windows, as_documents, over_windows, throttle, users_of_members, window_users
 from tillwatch.plans import coupon_alert
-from tillwatch.plans.daily_active import bad_logs, daily_active, read_logs
+from tillwatch.plans.daily_active import active_total, bad_logs, daily_active, read_logs
 from tillwatch.plans.order_amount import SALE_MASK, read_orders
 from tillwatch.records import (
     CHANGE_DDL, DAILY_ACTIVE_COLUMNS, DETAIL_RECORD, EVENT_LOG, ORDER_DETAIL, ORDER_INFO, STARTUP_LOG, USER_INFO, USER_RECORD,
@@ -145,6 +145,35 @@ def test_a_batch_that_fails_after_its_write_is_replayed_without_copies(spark, fe
     assert table._versions(spark)[0].count() == 4
 
 
+def test_first_days_follow_late_logs_and_are_read_from_one_folder(spark, feed, run, rows):
+    source = feed("logs")
+    source.add(log("a", T0 + DAY), log("b", T0 + DAY))
+    source.add(log("a", T0), log("c", T0 + DAY + 1))
+    logs = read_logs(source.lines(spark), STARTUP_LOG).withColumn("event_time", F.timestamp_millis("ts"))
+    table = active.first_seen_table(f"{run}/seen")
+    finish(active.run_first_seen(logs, table, f"{run}/state", late="2 days", interval=None))
+    seen = table.read(spark)
+    assert rows(seen.where("n = 1"), "mid", "logDate") == [("a", "2024-01-01"), ("b", "2024-01-02"), ("c", "2024-01-02")]
+    # The last batch again: nothing changes.
+    again = active.first_seen_changes(spark.createDataFrame([("2024-01-01", "a"), ("2024-01-02", "c")], "logDate STRING, mid STRING"), seen)
+    assert again.count() == 0
+    plan = active_total(seen.where("n = 1"), "2024-01-02")._jdf.queryExecution().executedPlan().toString()
+    filters = re.search(r"PartitionFilters: \[([^\]]*)\]", plan)[1]
+    assert "logDate" in filters and active_total(seen.where("n = 1"), "2024-01-02").first()["total"] == 2
+
+
+def test_a_hot_order_is_dealt_over_its_salts(spark):
+    orders = spark.createDataFrame([("hot", "2024-01-01"), ("x", "2024-01-01")], "id STRING, create_date STRING").selectExpr(
+        "id", "'new' AS order_status", "'t' AS create_time", "'u' AS user_id", "create_date", "timestamp'2024-01-01 00:00:00' AS arrived")
+    details = spark.range(3000).selectExpr(
+        "CAST(id AS STRING) AS id", "IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS order_id", "'s' AS sku_id", "'1' AS order_price",
+        "'n' AS sku_name", "timestamp'2024-01-01 00:00:00' AS arrived")
+    left, right = sale_detail._sides(orders, details, "1 hour", salts=8)
+    assert left.count() == 16
+    shares = [r["count"] for r in right.where("_order = 'hot'").groupBy("_own_salt").count().collect()]
+    assert len(shares) == 8 and max(shares) < 2 * 1000 / 8
+
+
 def test_first_arrivals_free_their_state(spark, feed, run, rows):
     source = feed("logs")
     for day in range(5):

@@ -600,6 +600,18 @@ def dau_stream(spark, sf):
     return stored.read(spark)
 
 
+@_stream_query
+def kpi_day(spark, sf):
+    """The three figures of one day from the tables that streams keep: that day's folders are read and no others."""
+    run = shared_dir(spark, "kpi")
+    events = _event_stream(spark, sf, run)
+    active = active_stream.active_table(f"{run}/active", "logDate STRING, mid STRING, ts BIGINT, event_id BIGINT", ("ts", "event_id"))
+    finish(active_stream.run_daily_active(events, ("ts", "event_id"), active, f"{run}/state", interval=None))
+    seen = active_stream.first_seen_table(f"{run}/seen")
+    finish(active_stream.run_first_seen(events, seen, f"{run}/seen-state", interval=None))
+    return reports.kpis(active.read(spark), _purchases(spark, sf), CURVE_DAY, seen.read(spark))
+
+
 @_stream_query
 def first_arrival_stream(spark, sf):
     run = shared_dir(spark, "first")

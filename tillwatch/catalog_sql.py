@@ -223,6 +223,13 @@ SELECT dt, 'new_mid', '{KPI_NAMES["new_mid"]}', CAST(count(*) AS DOUBLE)
 FROM (SELECT mid, min(logDate) AS dt FROM active GROUP BY mid) GROUP BY dt
 UNION ALL
 SELECT logDate, 'order_amount', '{KPI_NAMES["order_amount"]}', CAST(sum(value) AS DOUBLE) FROM ({purchases}) GROUP BY logDate""",
+        "kpi_day": f"""WITH {ACTIVE}
+SELECT 'dau' AS id, '{KPI_NAMES["dau"]}' AS name, CAST(count(*) AS DOUBLE) AS value FROM active WHERE logDate = '{CURVE_DAY}'
+UNION ALL
+SELECT 'new_mid', '{KPI_NAMES["new_mid"]}', CAST(count(*) AS DOUBLE)
+FROM (SELECT mid, min(logDate) AS dt FROM active GROUP BY mid) WHERE dt = '{CURVE_DAY}'
+UNION ALL
+SELECT 'order_amount', '{KPI_NAMES["order_amount"]}', CAST(sum(value) AS DOUBLE) FROM ({purchases}) WHERE logDate = '{CURVE_DAY}'""",
         "day_curves": f"""WITH {ACTIVE},
 dau AS (SELECT logDate AS day, logHour AS h, CAST(count(*) AS VARCHAR) AS v FROM active GROUP BY 1, 2),
 amounts AS (SELECT logDate AS day, logHour AS h, CAST(CAST(sum(value) AS DOUBLE) AS VARCHAR) AS v FROM ({purchases}) GROUP BY 1, 2)

@@ -25,11 +25,16 @@ def _kpi(row: DataFrame, key: str, value: str) -> DataFrame:
     )
 
 
-def kpis(active: DataFrame, orders: DataFrame, day: str) -> DataFrame:
-    """The three figures of a day, one row each."""
+def kpis(active: DataFrame, orders: DataFrame, day: str, first_seen: DataFrame | None = None) -> DataFrame:
+    """The three figures of a day, one row each.
+
+    With `first_seen`, the table of first days that the stream keeps, each figure reads the day's folder and no other;
+    without it, new devices are found over all of `active`.
+    """
+    new = new_devices(active, day) if first_seen is None else active_total(first_seen.where("n = 1"), day)
     return reduce(DataFrame.unionByName, [
         _kpi(active_total(active, day), "dau", "total"),
-        _kpi(new_devices(active, day), "new_mid", "total"),
+        _kpi(new, "new_mid", "total"),
         _kpi(amount_total(orders, day), "order_amount", "amount"),
     ])
 

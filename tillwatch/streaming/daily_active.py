@@ -37,6 +37,36 @@ def first_arrivals(logs: DataFrame, late: str = "10 minutes", salts: int = 4) ->
     return days.dropDuplicates([*keys, "_salt"]).dropDuplicates(keys).select("logDate", "mid")
 
 
+def first_seen_table(path: str) -> KeyedTable:
+    """The first day of each device, in folders by day; `n` is 0 where an earlier day has come in later."""
+    return KeyedTable(path, "logDate STRING, mid STRING, n INT", ["mid"], [], ["logDate"])
+
+
+def first_seen_changes(batch: DataFrame, known: DataFrame) -> DataFrame:
+    """What the (day, device) rows of a batch change in the first days known: new ones, and those they take back."""
+    first = batch.groupBy("mid").agg(F.min("logDate").alias("_day"))
+    before = known.where("n = 1").select(F.col("mid").alias("_mid"), F.col("logDate").alias("_known"))
+    found = first.join(before, F.col("mid") == F.col("_mid"), "left").where(F.col("_known").isNull() | (F.col("_day") < F.col("_known")))
+    days = F.array(
+        F.struct(F.col("_day").alias("logDate"), F.lit(1).alias("n")), F.struct(F.col("_known").alias("logDate"), F.lit(0).alias("n")))
+    return found.select("mid", F.inline(days)).where(F.col("logDate").isNotNull())
+
+
+def run_first_seen(logs: DataFrame, table: KeyedTable, checkpoint: str, late: str = "10 minutes", **how) -> StreamingQuery:
+    """Keep the first day of each device, so that a day's new devices are counted in that day's folder alone.
+
+    A batch that runs again finds its own rows there and changes nothing.
+    """
+    def save(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.select("logDate", "mid").persist()
+        try:
+            table.upsert(first_seen_changes(rows, table.read(batch.sparkSession, joined=True)), batch_id, unique=True)
+        finally:
+            rows.unpersist()
+
+    return start(first_arrivals(logs, late), save, checkpoint, **how)
+
+
 def active_table(path: str, schema: str = STARTUP_LOG.ddl(), order: tuple[str, ...] = ("ts",), by_day: bool = True) -> KeyedTable:
     """`mid`, `logDate` and the log's columns, the earliest log winning whichever batch brings it."""
     return KeyedTable(path, schema, ["logDate", "mid"], list(order), ["logDate"] if by_day else [], keep="first")

@@ -47,7 +47,12 @@ def start(
     return writer.start()
 
 
+#: Rows and seconds of each micro-batch of the stream that `finish` has seen last.
+last_batches: list[tuple[int, float]] = []
+
+
 def finish(query: StreamingQuery) -> StreamingQuery:
     """Wait for a stream that ends by itself; its failure is raised here."""
     query.awaitTermination()
+    last_batches[:] = [(own.numInputRows, own.batchDuration / 1000) for own in query.recentProgress]
     return query
