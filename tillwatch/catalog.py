@@ -94,6 +94,11 @@ def _sales(spark: SparkSession, sf: str) -> DataFrame:
     return sale_detail.sale_detail(_orders(spark, sf), named, _users(spark, sf), F.lit(AS_OF).cast("timestamp"))
 
 
+def _sale_users(spark: SparkSession, sf: str) -> DataFrame:
+    return sale_detail.sale_users(
+        _orders(spark, sf), _details(spark, sf), _users(spark, sf), F.lit(AS_OF).cast("timestamp"))
+
+
 def _changes(spark: SparkSession, sf: str) -> DataFrame:
     entries = shop.order_changes(shop.table(spark, sf, "orders"))
     entries = entries.unionByName(shop.detail_changes(shop.table(spark, sf, "lineitem")))
@@ -333,12 +338,12 @@ def user_age(spark, sf):
 
 @_query
 def terms_gender(spark, sf):
-    return top_terms(_sales(spark, sf), "user_gender", 2)
+    return top_terms(_sale_users(spark, sf), "user_gender", 2)
 
 
 @_query
 def terms_age(spark, sf):
-    return top_terms(_sales(spark, sf), "user_age", 100)
+    return top_terms(_sale_users(spark, sf), "user_age", 100)
 
 
 @_query
@@ -349,13 +354,13 @@ def terms_name(spark, sf):
 @_query
 def gender_ratio(spark, sf):
     """Gender shares of every day."""
-    return reports.gender_shares(_sales(spark, sf), ("dt",))
+    return reports.gender_shares(_sale_users(spark, sf), ("dt",))
 
 
 @_query
 def age_ratio(spark, sf):
     """Age shares of every day."""
-    return reports.age_shares(_sales(spark, sf), ("dt",))
+    return reports.age_shares(_sale_users(spark, sf), ("dt",))
 
 
 @_query

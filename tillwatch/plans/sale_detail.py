@@ -48,6 +48,17 @@ def sale_detail(orders: DataFrame, details: DataFrame, users: DataFrame, as_of:
     return _laid_out(lines)
 
 
+def sale_users(orders: DataFrame, details: DataFrame, users: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """The rows of `sale_detail` with their user and day only, for counts that ask for nothing of the line.
+
+    Copies of a detail differ in line columns alone, so they fall together by plain hashing, with no sort by price.
+    """
+    known = with_users(order_side(orders), users, as_of)
+    lines = details.select(F.col("id").alias("order_detail_id"), F.col("order_id").alias("_order")).distinct()
+    pairs = known.join(lines, F.col("order_id") == F.col("_order"), "inner")
+    return pairs.select("order_id", "order_detail_id", "dt", "user_gender", "user_age", "user_level")
+
+
 def order_coverage(orders: DataFrame, details: DataFrame) -> DataFrame:
     """Which orders and details found each other: every pair, every order and every detail left alone."""
     left = orders.select(F.col("id").alias("order_id"))
