@@ -279,7 +279,7 @@ SELECT doc_id, sku_name, score FROM day_sales JOIN scores ON doc_id = id
 WHERE list_has_all(string_split(sku_name, ' '), {REPORT_WORDS.split()}) ORDER BY score DESC, doc_id LIMIT 20""",
         "sale_report": f"""WITH {SALES}, {hits}, {_bm25('sales', 'doc_id', 'sku_name', REPORT_WORD)},
 page AS (SELECT doc_id, score FROM hits JOIN scores ON doc_id = id ORDER BY score DESC, doc_id LIMIT 20)
-SELECT 'day' AS asked, count(*) AS total, (SELECT string_agg(doc_id, ',' ORDER BY score DESC, doc_id) FROM page) AS doc_ids,
+SELECT 'day' AS asked, count(*) AS total, coalesce((SELECT string_agg(doc_id, ',' ORDER BY score DESC, doc_id) FROM page), '') AS doc_ids,
        {cut(low)} AS under_20, {cut(women)} AS women FROM hits
 UNION ALL SELECT 'blank', 0, '', NULL, NULL""",
         "match_terms": " UNION ALL ".join(
