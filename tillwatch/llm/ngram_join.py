@@ -41,7 +41,7 @@ PERCENT = 80
 SKETCH_BITS = 20
 SKETCH_PARTS = 64
 #: Index entries that one bucket of the prefix index holds, about.
-BUCKET_ENTRIES = 2_000_000
+BUCKET_ENTRIES = 1_000_000
 #: An n-gram that so many documents beyond the mean counter share is hot: its entries are dealt out by class.
 HOT = 1_000_000
 #: Classes in a chunk, about.
@@ -49,7 +49,7 @@ CHUNK = 256
 #: Bits of the bitmap that marks which documents' n-grams are needed once more.
 BITMAP_BITS = 23
 #: Pairs that verification expands at a time.
-_EXPANDED = 4_000_000
+_EXPANDED = 500_000
 #: Sets that a task remembers to have indexed.
 _REMEMBERED = 1_000_000
 _ENTRY = np.dtype([("gram", "<u8"), ("high", "<u8"), ("low", "<u8")])
@@ -230,7 +230,7 @@ def _indexed(ranks, hot: int, buckets: int, n: int, percent: int):
                 entries["high"], entries["low"] = np.frombuffer(key, ">u8")
                 waiting.append(entries)
                 held += len(prefix)
-            if held > 1 << 20:
+            if held > 1 << 19:
                 yield emit(waiting)
                 waiting, held = [], 0
         if held:
