@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 import pytest
 
 from tillwatch.llm import licenses
@@ -44,3 +47,20 @@ def test_unusual_rows(spark, docs, classifier):
     rows = spark.createDataFrame([(3, text, "q"), (3, text, "q"), (None, text, "q")], docs.schema)
     assert [row["family"] for row in licenses.scan(rows, classifier).collect()] == ["mit"] * 3
     assert licenses.scan(docs.limit(0)).count() == 0
+
+
+def test_short_proprietary_statement(spark, classifier):
+    docs = spark.createDataFrame(
+        [(1, f"{PROSE}\nAll rights reserved."), (2, "ALL RIGHTS RESERVED"), (3, "all the rights of way are reserved to them")],
+        "doc_id long, text string")
+    assert sorted((row["doc_id"], row["family"]) for row in licenses.scan(docs, classifier).collect()) == [
+        (1, "proprietary"), (2, "proprietary")]
+
+
+def test_every_statement_of_the_test_documents(spark):
+    sf = Path(os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001"))
+    if not sf.exists():
+        pytest.skip("no test tables")
+    docs = spark.read.parquet(str(sf / "documents.parquet"))
+    stated = "GNU General Public License|CC BY-NC|MIT License|Apache License|All rights reserved"
+    assert licenses.scan(docs).count() == docs.filter(docs.text.rlike(stated)).count()

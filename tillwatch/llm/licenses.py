@@ -55,7 +55,8 @@ TEMPLATES = {
     "mit": ("Released under the MIT License.",
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation"),
     "mpl": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
-    "proprietary": ("All rights reserved. No part of this work may be reproduced without permission.",),
+    "proprietary": ("All rights reserved.",
+                    "All rights reserved. No part of this work may be reproduced without permission."),
 }
 FAMILIES = (UNKNOWN, *TEMPLATES)
 FUNCTION_WORDS = (
