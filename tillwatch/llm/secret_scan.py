@@ -4,7 +4,8 @@ A text is scanned for three kinds of secrets. Whatever in it looks encoded (perc
 compressed bytes inside base64) becomes a further layer, which is scanned and unwrapped in turn until no layer yields a
 new one. A layer seen before at the same place ends there, so that content which decodes to itself stops. Spans found in a
 layer are mapped to the source text: character by character through percent signs and escapes, to the whole encoded run
-through base64.
+through base64. Base64 wrapped over lines is one run from its first line to its last, and each line is a run, too; a find of
+a line that its whole run has as well is listed once, for the whole run.
 
 Null text counts as empty and holds no span. Repeated rows get equal results, an empty table an empty result; `redact`
 carries other columns along. A layer that would unpack to more than LAYER_BYTES is not unpacked, but its run is reported
@@ -42,6 +43,12 @@ _HEX = re.compile(r"[0-9a-f]{32,}")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: What may stand between two lines of wrapped base64: a line break, with what quotes or indents the next line.
+_BREAK = re.compile(r"[ \t]*(?:\r\n|\r|\n)[ \t>#*|]*")
+_PIECE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+_LINE_END = re.compile(r"[ \t]*(?:[\r\n]|$)")
+#: Line lengths that encoders wrap base64 at.
+_WIDTHS = frozenset((60, 64, 70, 72, 76))
 _TO_STANDARD = str.maketrans("-_", "+/")
 
 
@@ -79,7 +86,7 @@ def all_spans(text: str) -> list[tuple[str, int, int]]:
     found = set(own)
     base = {(kind, start, end) for kind, start, end in own}
     waiting = [Layer(text, None)]
-    seen = set()
+    seen, joined = set(), set()
     while waiting:
         layer = waiting.pop()
         if layer.places is not None:
@@ -87,28 +94,71 @@ def all_spans(text: str) -> list[tuple[str, int, int]]:
                 place = layer.place(start, end)
                 if (kind, *place) not in base:
                     found.add((f"decoded_{kind}", *place))
-        for below in _unwrapped(layer, found):
+        for below in _unwrapped(layer, found, joined):
             key = (hashlib.blake2b(below.text.encode("utf-8", "replace"), digest_size=16).digest(), below.place(0, len(below.text)))
             if below.text and key not in seen:
                 seen.add(key)
                 waiting.append(below)
+    whole = [span for span in found if span[1:] in joined and span[0] not in BASE_KINDS]
+    for kind, start, end in whole:
+        found -= {span for span in found if span[0] == kind and start <= span[1] and span[2] <= end and span[1:] != (start, end)}
     return sorted(found, key=lambda span: (span[1], KINDS.index(span[0]), span[2]))
 
 
-def _unwrapped(layer: Layer, found: set) -> Iterator[Layer]:
+def _unwrapped(layer: Layer, found: set, joined: set) -> Iterator[Layer]:
     if "%" in layer.text:
         yield from _replaced(layer, _PERCENT, _percent_decoded)
     if "\\" in layer.text:
         yield from _replaced(layer, _ESCAPE, _unescaped)
-    for run in _BASE64.finditer(layer.text):
-        place = layer.place(*run.span())
-        for text in _base64_texts(run[0]):
+    for run, start, end in _base64_runs(layer.text):
+        place = layer.place(start, end)
+        if len(run) < end - start:
+            joined.add(place)
+        for text in _base64_texts(run):
             if text is None:
                 found.add(("decoded_oversized", *place))
             else:
                 yield Layer(text, place)
 
 
+def _base64_runs(text: str) -> Iterator[tuple[str, int, int]]:
+    """Base64 runs with their start and end: each by itself, and those of consecutive lines joined without line breaks."""
+    reached = 0
+    for run in _BASE64.finditer(text):
+        yield run[0], *run.span()
+        if run.start() >= reached:
+            pieces, end = _wrapped(text, run)
+            if len(pieces) > 1:
+                reached = end
+                yield "".join(pieces), run.start(), end
+
+
+def _wrapped(text: str, run: re.Match) -> tuple[list[str], int]:
+    """The lines of wrapped base64 that starts with the run, and their end. All but the last are of one length, except that
+    the first may share its line with other text."""
+    pieces, end, width = [run[0]], run.end(), len(run[0])
+    while not pieces[-1].endswith("="):
+        gap = _BREAK.match(text, end)
+        piece = gap and _PIECE.match(text, gap.end())
+        if not piece:
+            break
+        size = len(piece[0])
+        if len(pieces) == 1 and size in _WIDTHS and width not in _WIDTHS:
+            width = size
+        if size > width:
+            break
+        if size < width and not piece[0].endswith("="):
+            # Without padding, the last line must look like one: the next word of a text may follow a single line, too.
+            whole = (sum(map(len, pieces)) + size) % 4 == 0
+            if not (whole or _LINE_END.match(text, piece.end())) or not (len(pieces) > 1 or width in _WIDTHS):
+                break
+        pieces.append(piece[0])
+        end = piece.end()
+        if size < width:
+            break
+    return pieces, end
+
+
 def _replaced(layer: Layer, pattern: re.Pattern, decoded) -> Iterator[Layer]:
     """The whole layer with its encoded runs decoded, as what names a secret may stand outside the run."""
     parts, places, at = [], [], 0
