@@ -56,6 +56,27 @@ def test_base64_wrapped_over_lines(raw, width, line):
         assert run[:20] not in secret_scan.redacted(text) and run[-8:] not in secret_scan.redacted(text)
 
 
+@pytest.mark.parametrize("text", [
+    *(f"https://h.example/{path}{base(own)} x" for path in ("cb/", "a/cb/", "ab/cb/", "abc/cb/", "a-b_c/", "abcdefgh")
+      for own in (SECRET, gzip.compress(SECRET.encode()), zlib.compress(SECRET.encode()), bz2.compress(SECRET.encode()))),
+    base(b"\xff\x00" + SECRET.encode()), base(SECRET.encode() + b"\xe9"), base(gzip.compress(b"caf\xe9 " + SECRET.encode())),
+    quote(b"caf\xe9 " + SECRET.encode(), safe=""), quote(b"\xc3\xa9\xe9" + SECRET.encode() + b"\xff", safe=""),
+    "\\ud800" + "".join(f"\\u{ord(own):04x}" for own in SECRET),
+    base(gzip.compress(b"clean") + gzip.compress(SECRET.encode())), base(bz2.compress(b"clean") + bz2.compress(SECRET.encode())),
+    base(zlib.compress(b"clean") * 2 + gzip.compress(SECRET.encode())), base(b"head " + gzip.compress(SECRET.encode())),
+    base(gzip.compress(b"clean") + gzip.compress(gzip.compress(b"clean") + zlib.compress(SECRET.encode()))),
+])
+def test_no_layer_is_dropped_whole(text):
+    assert [span[0] for span in secret_scan.all_spans(text) if span[0] == "decoded_assign"] == ["decoded_assign"]
+    assert secret_scan.MASK in secret_scan.redacted(text)
+
+
+def test_stray_bytes_are_mapped_to_themselves():
+    text = "x%E9%C3%A9%FF" + quote(SECRET, safe="")
+    assert [span for span in secret_scan.all_spans(text) if span[0] == "decoded_assign"] == [
+        ("decoded_assign", 13, 13 + len(quote(SECRET[:-1], safe="")))]
+
+
 def test_a_line_of_base64_does_not_take_the_next_word():
     run = base(SECRET).rstrip("=")
     for text in (f"{run}\nThis is prose", f"{run}\nprose"):

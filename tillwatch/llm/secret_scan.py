@@ -4,8 +4,11 @@ A text is scanned for three kinds of secrets. Whatever in it looks encoded (perc
 compressed bytes inside base64) becomes a further layer, which is scanned and unwrapped in turn until no layer yields a
 new one. A layer seen before at the same place ends there, so that content which decodes to itself stops. Spans found in a
 layer are mapped to the source text: character by character through percent signs and escapes, to the whole encoded run
-through base64. Base64 wrapped over lines is one run from its first line to its last, and each line is a run, too; a find of
-a line that its whole run has as well is listed once, for the whole run.
+through base64.
+
+Base64 is read at each of four alignments, as text before it may shift it, and compressed streams are looked for anywhere
+in it; bytes that are no UTF-8 hide nothing beside them. Base64 wrapped over lines is one run from its first line to its
+last, and each line is a run, too; a find of a line that its whole run has as well is listed once, for the whole run.
 
 Null text counts as empty and holds no span. Repeated rows get equal results, an empty table an empty result; `redact`
 carries other columns along. A layer that would unpack to more than LAYER_BYTES is not unpacked, but its run is reported
@@ -15,7 +18,6 @@ as `decoded_oversized`, so a reader never takes it for clean.
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import re
@@ -49,6 +51,10 @@ _PIECE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 _LINE_END = re.compile(r"[ \t]*(?:[\r\n]|$)")
 #: Line lengths that encoders wrap base64 at.
 _WIDTHS = frozenset((60, 64, 70, 72, 76))
+#: How gzip, zlib and bzip2 streams start.
+_PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]")
+#: Compressed bytes are unpacked so many at a time: what stands before a damaged place is kept.
+_PIECE_BYTES = 256
 _TO_STANDARD = str.maketrans("-_", "+/")
 
 
@@ -89,23 +95,28 @@ def all_spans(text: str) -> list[tuple[str, int, int]]:
     seen, joined = set(), set()
     while waiting:
         layer = waiting.pop()
+        if not isinstance(layer, Layer):  # the layers of a base64 run, which are made one at a time
+            runs, layer = layer, next(layer, None)
+            if layer is None:
+                continue
+            waiting.append(runs)
         if layer.places is not None:
+            key = (hashlib.blake2b(layer.text.encode("utf-8", "replace"), digest_size=16).digest(), layer.place(0, len(layer.text)))
+            if key in seen:
+                continue
+            seen.add(key)
             for kind, start, end in base_spans(layer.text):
                 place = layer.place(start, end)
                 if (kind, *place) not in base:
                     found.add((f"decoded_{kind}", *place))
-        for below in _unwrapped(layer, found, joined):
-            key = (hashlib.blake2b(below.text.encode("utf-8", "replace"), digest_size=16).digest(), below.place(0, len(below.text)))
-            if below.text and key not in seen:
-                seen.add(key)
-                waiting.append(below)
+        waiting.extend(_unwrapped(layer, found, joined))
     whole = [span for span in found if span[1:] in joined and span[0] not in BASE_KINDS]
     for kind, start, end in whole:
         found -= {span for span in found if span[0] == kind and start <= span[1] and span[2] <= end and span[1:] != (start, end)}
     return sorted(found, key=lambda span: (span[1], KINDS.index(span[0]), span[2]))
 
 
-def _unwrapped(layer: Layer, found: set, joined: set) -> Iterator[Layer]:
+def _unwrapped(layer: Layer, found: set, joined: set) -> Iterator[Layer | Iterator[Layer]]:
     if "%" in layer.text:
         yield from _replaced(layer, _PERCENT, _percent_decoded)
     if "\\" in layer.text:
@@ -114,11 +125,15 @@ def _unwrapped(layer: Layer, found: set, joined: set) -> Iterator[Layer]:
         place = layer.place(start, end)
         if len(run) < end - start:
             joined.add(place)
-        for text in _base64_texts(run):
-            if text is None:
-                found.add(("decoded_oversized", *place))
-            else:
-                yield Layer(text, place)
+        yield _base64_layers(run, place, found)
+
+
+def _base64_layers(run: str, place: tuple[int, int], found: set) -> Iterator[Layer]:
+    for text in _base64_texts(run):
+        if text is None:
+            found.add(("decoded_oversized", *place))
+        elif text:
+            yield Layer(text, place)
 
 
 def _base64_runs(text: str) -> Iterator[tuple[str, int, int]]:
@@ -162,37 +177,36 @@ def _wrapped(text: str, run: re.Match) -> tuple[list[str], int]:
 def _replaced(layer: Layer, pattern: re.Pattern, decoded) -> Iterator[Layer]:
     """The whole layer with its encoded runs decoded, as what names a secret may stand outside the run."""
     parts, places, at = [], [], 0
+    whole = isinstance(layer.places, tuple)  # all letters stand at the same place
     for run in pattern.finditer(layer.text):
-        pieces = decoded(run[0])
-        if pieces is None:
-            continue
         start, end = run.span()
+        pieces = decoded(run[0])
         parts.append(layer.text[at:start])
-        places += [layer.place(i, i + 1) for i in range(at, start)]
-        for letter, first, last in pieces:
-            parts.append(letter)
-            places.append(layer.place(start + first, start + last))
+        parts += [letter for letter, _, _ in pieces]
+        if not whole:
+            places += [layer.place(i, i + 1) for i in range(at, start)]
+            places += [layer.place(start + first, start + last) for _, first, last in pieces]
         at = end
     if parts:
         parts.append(layer.text[at:])
-        places += [layer.place(i, i + 1) for i in range(at, len(layer.text))]
-        yield Layer("".join(parts), places)
+        if not whole:
+            places += [layer.place(i, i + 1) for i in range(at, len(layer.text))]
+        yield Layer("".join(parts), layer.places if whole else places)
 
 
-def _percent_decoded(run: str) -> list[tuple[str, int, int]] | None:
-    try:
-        text = bytes.fromhex(run.replace("%", "")).decode("utf-8")
-    except UnicodeDecodeError:
-        return None
+def _percent_decoded(run: str) -> list[tuple[str, int, int]]:
+    """The letters of a run; a byte that is no UTF-8 is a letter by itself, by Latin-1."""
     pieces, at = [], 0
-    for letter in text:
-        width = 3 * len(letter.encode("utf-8"))
-        pieces.append((letter, at, at + width))
+    for letter in bytes.fromhex(run.replace("%", "")).decode("utf-8", "surrogateescape"):
+        stray = "\udc80" <= letter <= "\udcff"
+        width = 3 if stray else 3 * len(letter.encode("utf-8"))
+        pieces.append((chr(ord(letter) - 0xDC00) if stray else letter, at, at + width))
         at += width
     return pieces
 
 
-def _unescaped(run: str) -> list[tuple[str, int, int]] | None:
+def _unescaped(run: str) -> list[tuple[str, int, int]]:
+    """The letters of a run; a surrogate without its other half is a letter that stands for none."""
     units, at = [], 0
     while at < len(run):
         width = 6 if run[at + 1] == "u" else 4
@@ -205,48 +219,61 @@ def _unescaped(run: str) -> list[tuple[str, int, int]] | None:
             code = 0x10000 + ((code - 0xD800) << 10) + units[i + 1][0] - 0xDC00
             last = units[i + 1][2]
             i += 1
-        if 0xD800 <= code < 0xE000:
-            return None
-        pieces.append((chr(code), first, last))
+        pieces.append(("\ufffd" if 0xD800 <= code < 0xE000 else chr(code), first, last))
         i += 1
     return pieces
 
 
 def _base64_texts(run: str) -> Iterator[str | None]:
-    """The texts a base64 run stands for, unpacked as often as it is packed; None for one that is too large."""
+    """The texts a base64 run may stand for; None for one that is too large.
+
+    What stands before base64 without a break, such as a path, shifts it: the run is read from its first four places, which
+    are all there are. Bytes that are no UTF-8 are replaced, and hide nothing beside them.
+    """
     plain = run.rstrip("=").translate(_TO_STANDARD)
-    if len(plain) % 4 == 1:
-        plain = plain[:-1]
-    try:
-        raw = base64.b64decode(plain + "=" * (-len(plain) % 4), validate=True)
-    except binascii.Error:
-        return
-    seen = set()
-    while raw not in seen:
-        seen.add(raw)
-        unpacked = _unpacked(raw)
-        if unpacked is None:
-            break
-        if len(unpacked) > LAYER_BYTES:
+    waiting, seen = [_aligned(plain)], set()
+    while waiting:
+        raw = next(waiting[-1], None)
+        if raw is None:
+            waiting.pop()
+        elif len(raw) > LAYER_BYTES and len(waiting) > 1:
             yield None
-            return
-        raw = unpacked
-    try:
-        yield raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return
+        elif (digest := hashlib.blake2b(raw, digest_size=16).digest()) not in seen:
+            seen.add(digest)
+            yield raw.decode("utf-8", "replace")
+            waiting.append(_unpacked(raw))
+
+
+def _aligned(plain: str) -> Iterator[bytes]:
+    for at in range(4):
+        own = plain[at:len(plain) - ((len(plain) - at) % 4 == 1)]
+        yield base64.b64decode(own + "=" * (-len(own) % 4))
+
+
+def _unpacked(raw: bytes) -> Iterator[bytes]:
+    """What gzip, zlib and bzip2 streams anywhere in the bytes hold, each one byte beyond the bound at most."""
+    at = 0
+    while packed := _PACKED.search(raw, at):
+        start = packed.start()
+        unpacked, after = _stream(raw, start)
+        at = max(after, start + 1)
+        if unpacked:
+            yield unpacked
 
 
-def _unpacked(raw: bytes) -> bytes | None:
-    """What gzip, zlib or bzip2 bytes hold, one byte beyond the bound at most; None for other bytes."""
+def _stream(raw: bytes, start: int) -> tuple[bytes, int]:
+    """What a stream holds as far as it can be read, and where to look for the next one."""
+    stream = bz2.BZ2Decompressor() if raw[start:start + 1] == b"B" else zlib.decompressobj(47)
+    parts, size, at = [], 0, start
     try:
-        if raw[:2] == b"\x1f\x8b" or (raw[:1] == b"\x78" and int.from_bytes(raw[:2], "big") % 31 == 0):
-            return zlib.decompressobj(47).decompress(raw, LAYER_BYTES + 1)
-        if raw[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(raw, LAYER_BYTES + 1)
-    except (zlib.error, OSError, ValueError):
-        pass
-    return None
+        while at < len(raw) and not stream.eof and size <= LAYER_BYTES:
+            piece = raw[at:at + _PIECE_BYTES]
+            at += len(piece)
+            parts.append(stream.decompress(piece, LAYER_BYTES + 1 - size))
+            size += len(parts[-1])
+    except (zlib.error, OSError, ValueError, EOFError):
+        return b"".join(parts), start
+    return b"".join(parts), at - len(stream.unused_data) if stream.eof else len(raw)
 
 
 def listed(spans: list[tuple[str, int, int]]) -> str:
