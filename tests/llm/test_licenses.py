@@ -64,3 +64,19 @@ def test_every_statement_of_the_test_documents(spark):
     docs = spark.read.parquet(str(sf / "documents.parquet"))
     stated = "GNU General Public License|CC BY-NC|MIT License|Apache License|All rights reserved"
     assert licenses.scan(docs).count() == docs.filter(docs.text.rlike(stated)).count()
+
+
+def test_over_line_breaks_and_side_by_side(spark, classifier):
+    gpl, agpl, lgpl = (licenses.TEMPLATES[name][0] for name in ("gpl", "agpl", "lgpl"))
+    texts = {
+        1: ("Released under\nthe MIT License.", {"mit"}), 2: (f"{PROSE}\nReleased under the\n  MIT License.\n{PROSE}", {"mit"}),
+        3: ("Licensed under the Apache License, Version 2.0. Released under the MIT License.", {"apache", "mit"}),
+        4: (f"{agpl} {gpl}", {"agpl", "gpl"}), 5: (f"{gpl}\n{lgpl}", {"gpl", "lgpl"}), 6: ("Released under\n\nthe MIT License.", set()),
+        7: ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public\nLicense",
+            {"gpl"}),
+        8: ("\n".join(licenses.TEMPLATES["cc-by-nc"][1].split()), {"cc-by-nc"}),
+        9: ("All rights reserved. Licensed under CC BY 4.0. Licensed under CC BY-SA 4.0.", {"proprietary", "cc-by", "cc-by-sa"}),
+    }
+    docs = spark.createDataFrame([(at, text) for at, (text, _) in texts.items()], "doc_id long, text string")
+    found = [(row["doc_id"], row["family"]) for row in licenses.scan(docs, classifier).collect()]
+    assert sorted(found) == sorted((at, family) for at, (_, families) in texts.items() for family in families)

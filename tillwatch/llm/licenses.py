@@ -1,12 +1,12 @@
 """Licence scans: a paragraph classifier over sparse word n-grams, confirmed by comparison with templates.
 
-Texts are cut into lines, long lines into overlapping windows of words. Word 1-, 2- and 3-grams that the templates have
-go, as a sparse vector, into a multinomial logistic regression over the licence families and `unknown`. n-grams of function
-words alone are no features, so a window without any other word of a template is the zero vector; all of these get the
-same answer, and where it is `unknown`, they need no further look. The model is trained on the templates below, each in
-many mutilated copies among foreign words, and on lines of a bounded sample of the corpus (SAMPLE_DOCS, SAMPLE_LINES) as
+Texts are cut into paragraphs at blank lines, these into overlapping windows of words; a single line break is a blank. Word
+1-, 2- and 3-grams that the templates have go, as a sparse vector, into a multinomial logistic regression over the licence
+families and `unknown`. n-grams of function words alone are no features. The model is trained on the templates below, each in
+many mutilated copies among foreign words, and on windows of a bounded sample of the corpus (SAMPLE_DOCS, SAMPLE_LINES) as
 `unknown`. A quarter of the training rows is kept out of the fit to calibrate what a prediction must reach, so that at most
-one in a thousand unknown rows would. A prediction counts once enough of a template's own 3-grams stand in the paragraph.
+one in a thousand unknown rows would. A licence is confirmed where enough of a template's own 3-grams stand in a window and
+the model predicts its family, for the window or for the place in it where the template stands; so a window may state several.
 
 Null and empty texts have no paragraphs. Repeated rows are scanned each for itself. An empty table gives an empty result.
 Columns beside doc_id and text are not looked at.
@@ -14,6 +14,7 @@ Columns beside doc_id and text are not looked at.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -82,13 +83,26 @@ def ngrams(words: Column) -> Column:
     return F.concat(*[_grams(words, n) for n in (1, 2, 3)])
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """doc_id, paragraph (number of the line), and the words of each of its windows."""
-    lines = docs.select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("paragraph", "line"))
-    windows = let(license_words(F.col("line")), lambda words: F.transform(
+def _windowed(docs: DataFrame) -> DataFrame:
+    """doc_id, paragraph (number of its first line) and windows (the words of each)."""
+
+    def cut(lines: Column) -> Column:
+        filled = lambda line: F.coalesce(line.rlike(r"[^\s]"), F.lit(False))
+        starts = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda at: filled(F.get(lines, at)) & ~filled(F.get(lines, at - 1)))
+        return let(starts, lambda first: F.transform(first, lambda at, number: F.struct(
+            at.alias("paragraph"),
+            F.array_join(F.slice(lines, at + 1, F.coalesce(F.get(first, number + 1), F.size(lines)) - at), "\n").alias("text"))))
+
+    parts = docs.select("doc_id", F.explode(let(F.split(F.coalesce("text", F.lit("")), "\n"), cut)).alias("part"))
+    windows = let(license_words(F.col("part.text")), lambda words: F.transform(
         F.sequence(F.lit(0), F.greatest(F.size(words) - F.lit(WINDOW - STRIDE) - 1, F.lit(0)), F.lit(STRIDE)),
         lambda at: F.slice(words, at + 1, WINDOW)))
-    return lines.select("doc_id", "paragraph", F.explode(windows).alias("words")).filter(F.size("words") >= 3)
+    return parts.select("doc_id", "part.paragraph", windows.alias("windows"))
+
+
+def paragraphs(docs: DataFrame) -> DataFrame:
+    """doc_id, paragraph (number of its first line), and the words of each of its windows."""
+    return _windowed(docs).select("doc_id", "paragraph", F.explode("windows").alias("words")).filter(F.size("words") >= 3)
 
 
 def _templates(spark: SparkSession) -> DataFrame:
@@ -109,32 +123,85 @@ def vocabulary(spark: SparkSession) -> tuple[list[str], list[str]]:
     return sorted(grams), sorted(telling)
 
 
-def _overlap(words: Column, family: Column) -> Column:
-    """The largest share of 3-grams that the paragraph has of one of the family's templates."""
+def _template_grams() -> list[tuple[str, list[str]]]:
+    """Family and distinct 3-grams of each template."""
+    found = []
+    for family, texts in TEMPLATES.items():
+        for text in texts:
+            words = re.findall(r"[a-z0-9]+(?:[.-][a-z0-9]+)*", text.lower())
+            found.append((family, list(dict.fromkeys(" ".join(own) for own in zip(words, words[1:], words[2:])))))
+    return found
+
+
+def _literals(values: list[str]) -> Column:
+    return F.array(*map(F.lit, values))
+
+
+def _holds_a_gram(words: Column) -> Column:
+    """Whether the words have a 3-gram of any template."""
+    return F.arrays_overlap(_grams(words, 3), _literals(sorted({gram for _, grams in _template_grams() for gram in grams})))
+
+
+def _holds_a_licence(words: Column) -> Column:
+    """Whether the words have CONFIRMED of any template's 3-grams."""
+
+    def any_of(own: Column) -> Column:
+        held = F.lit(False)
+        for _, grams in _template_grams():
+            held = held | (F.size(F.array_intersect(own, _literals(grams))) / len(grams) >= CONFIRMED)
+        return held
+
+    return F.coalesce(F.when(_holds_a_gram(words), let(_grams(words, 3), any_of)), F.lit(False))
+
+
+def _stated(words: Column) -> Column:
+    """Each family that has CONFIRMED of a template's 3-grams among the words: family, overlap, and the words it stands at.
+
+    A place starts at one of the template's 3-grams and reaches over the first that follows of each other one. Of the places
+    that confirm, the one with most of the template in the fewest words is taken.
+    """
+
+    def places(own: Column, grams: list[str]) -> Column:
+        template = _literals(grams)
+
+        def place(start: Column) -> Column:
+            rest = F.slice(own, start + 1, F.size(own))
+            ends = F.filter(F.transform(template, lambda gram: F.array_position(rest, gram)), lambda end: end > 0)
+            return let(ends, lambda ends: F.struct(
+                (F.size(ends) * F.size(ends) / (len(grams) * F.array_max(ends))).alias("density"),
+                (F.size(ends) / len(grams)).alias("overlap"), start.alias("start"),
+                (F.array_max(ends) + 2).cast("int").alias("length")))
+
+        starts = F.filter(F.sequence(F.lit(0), F.size(own) - 1), lambda at: F.array_contains(template, F.get(own, at)))
+        return F.filter(F.transform(starts, place), lambda found: found["overlap"] >= CONFIRMED)
+
+    def best(family: str, own: Column) -> Column:
+        found = F.concat(*[places(own, grams) for name, grams in _template_grams() if name == family])
+        return let(found, lambda found: F.struct(
+            F.lit(family).alias("family"), F.array_max(F.transform(found, lambda one: one["overlap"])).alias("overlap"),
+            F.array_max(found)["start"].alias("start"), F.array_max(found)["length"].alias("length"), F.slice(words, F.array_max(found)["start"] + 1, F.array_max(found)["length"]).alias("place")))
 
-    def shares(own: Column) -> Column:
-        found = None
-        for name, texts in TEMPLATES.items():
-            every = []
-            for text in texts:
-                grams = F.array_distinct(_grams(license_words(F.lit(text)), 3))
-                every.append(F.size(F.array_intersect(own, grams)) / F.size(grams))
-            best = F.greatest(*every) if len(every) > 1 else every[0]
-            found = F.when(family == name, best) if found is None else found.when(family == name, best)
-        return found.otherwise(0.0)
+    def families(own: Column) -> Column:
+        every = [best(family, own) for family in TEMPLATES]
+        return F.filter(F.array(*every), lambda one: one["overlap"].isNotNull())
 
-    return let(F.array_distinct(_grams(words, 3)), shares)
+    return let(_grams(words, 3), families)
 
 
 def training_rows(docs: DataFrame, lines: int = SAMPLE_LINES) -> DataFrame:
     """label, words and whether the row is kept out of the fit. Of fixed size: COPIES of each template, and `lines` lines.
 
-    Lines of the corpus that hold half of any template's 3-grams are licences themselves and teach nothing.
+    Windows of the corpus that hold half of any template's 3-grams are licences themselves and teach nothing, nor do the
+    windows beside them, which may have the rest of one.
     """
     spark = docs.sparkSession
     # At most SAMPLE_DOCS ids: a broadcast of bounded size.
     ids = docs.select("doc_id").filter("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    foreign = paragraphs(docs.select("doc_id", "text").join(F.broadcast(ids.distinct()), "doc_id")).select("words").distinct()
+    sample = _windowed(docs.select("doc_id", "text").join(F.broadcast(ids.distinct()), "doc_id"))
+    held = F.transform("windows", _holds_a_licence)
+    near = lambda held, at: F.coalesce(F.get(held, at), F.lit(False))
+    clean = let(held, lambda held: F.filter("windows", lambda words, at: ~(near(held, at - 1) | near(held, at) | near(held, at + 1))))
+    foreign = sample.select(F.explode(clean).alias("words")).filter(F.size("words") >= 3).distinct()
     foreign = stored(foreign.orderBy(F.xxhash64("words"), "words").limit(lines).withColumn(
         "number", F.row_number().over(Window.orderBy(F.xxhash64("words"), "words"))), "foreign")
     # A copy loses some of its words and stands among the first words of a foreign line.
@@ -147,10 +214,8 @@ def training_rows(docs: DataFrame, lines: int = SAMPLE_LINES) -> DataFrame:
     other = F.coalesce("foreign", F.array().cast("array<string>"))
     known = around.select("family", F.concat(F.slice(other, 1, size), kept, F.slice(other, 12, size)).alias("words"), "copy")
     unknown = foreign.select(F.lit(UNKNOWN).alias("family"), "words", F.col("number").alias("copy"))
-    families = F.array(*map(F.lit, TEMPLATES))
-    half = F.exists(families, lambda family: _overlap(F.col("words"), family) >= CONFIRMED)
     label = F.array_position(F.array(*map(F.lit, FAMILIES)), F.col("family")) - 1
-    return known.union(unknown.filter(~half)).select(
+    return known.union(unknown).select(
         label.cast("double").alias("label"), "words", (chance(F.col("words"), F.col("copy")) < 25).alias("held_out"))
 
 
@@ -197,9 +262,28 @@ def train(docs: DataFrame, lines: int = SAMPLE_LINES) -> Classifier:
 
 
 def scan(docs: DataFrame, classifier: Classifier | None = None) -> DataFrame:
-    """One row per window with a confirmed licence: doc_id, paragraph, family, probability and the share of the template."""
+    """One row per window and licence confirmed in it, once where windows overlap: doc_id, paragraph, family, probability and the share of the template."""
     classifier = classifier or train(docs)
-    found = classifier.predicted(paragraphs(docs)).filter(F.col("family") != UNKNOWN)
-    return found.select(
-        "doc_id", "paragraph", "family", "probability", _overlap(F.col("words"), F.col("family")).alias("overlap"),
-    ).filter(F.col("overlap") >= CONFIRMED)
+    # A template's 3-grams hold a word that tells.
+    telling = lambda words: F.exists(words, lambda word: word.isin(classifier.telling)) & _holds_a_gram(words)
+    numbered = F.filter(
+        F.transform("windows", lambda words, number: F.struct(words.alias("words"), (number * STRIDE).alias("at"))),
+        lambda window: telling(window["words"]))
+    each = F.flatten(F.transform(numbered, lambda window: F.transform(_stated(window["words"]), lambda one: F.struct(
+        one["family"].alias("family"), one["overlap"].alias("overlap"), (window["at"] + one["start"]).alias("start"),
+        (window["at"] + one["start"] + one["length"]).alias("end"), one["place"].alias("place"), window["at"].alias("at"),
+        window["words"].alias("words")))))
+    # Where two windows have the same statement, the one with more of it counts, or else the first.
+    once = let(each, lambda each: F.filter(each, lambda one: ~F.exists(each, lambda other: (
+        (other["family"] == one["family"]) & (other["at"] != one["at"]) & (other["start"] < one["end"]) & (one["start"] < other["end"])
+        & ((other["overlap"] > one["overlap"]) | ((other["overlap"] == one["overlap"]) & (other["at"] < one["at"])))))))
+    stated = _windowed(docs).select("doc_id", "paragraph", F.explode(once).alias("stated")).withColumn("words", F.col("stated.words"))
+    # A window may state several licences, so each is also judged by the words of its own place.
+    windows = classifier.predicted(stated).withColumnsRenamed({"family": "by_window", "probability": "window_probability"})
+    both = classifier.predicted(windows.withColumn("words", F.col("stated.place")))
+    family = F.col("stated.family")
+    probability = F.greatest(
+        F.when(F.col("by_window") == family, F.col("window_probability")), F.when(F.col("family") == family, F.col("probability")))
+    return both.select(
+        "doc_id", "paragraph", family.alias("family"), probability.alias("probability"), F.col("stated.overlap").alias("overlap"),
+    ).filter("probability is not null")
