@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwatch.llm import bpe, chat, licenses, mixing, ngram_join, quality, secret_scan, topk, toxicity, url_filter
+from tillwatch.llm import bpe, chat, licenses, mixing, ngram_join, pieces, quality, secret_scan, topk, toxicity, url_filter
 from tillwatch.llm.common import table
 
 
@@ -59,6 +59,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -71,6 +75,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_secret_scan": op9_secret_scan,
         "op10_toxicity": op10_toxicity,
+        "op11_sentencepiece": op11_sentencepiece,
     }
 
 
