@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwatch.llm import bpe, chat, licenses, mixing, ngram_join, pieces, quality, secret_scan, topk, toxicity, url_filter
+from tillwatch.llm import (
+    bpe, chat, licenses, mixing, ngram_join, periodic, pieces, quality, secret_scan, topk, toxicity, url_filter,
+)
 from tillwatch.llm.common import table
 
 
@@ -63,6 +65,13 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, a tenth of them with a tail that repeats itself as their id says; none where it is null."""
+    seed = F.crc32(F.col("doc_id").cast("string"))
+    tail = F.when(seed % 10 == 0, F.floor(seed / 10))
+    return periodic.report(table(spark, sf_dir, "documents"), tail)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -76,6 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_secret_scan": op9_secret_scan,
         "op10_toxicity": op10_toxicity,
         "op11_sentencepiece": op11_sentencepiece,
+        "op12_periodic": op12_periodic,
     }
 
 
