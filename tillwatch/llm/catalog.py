@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwatch.llm import (
-    bpe, chat, licenses, mixing, ngram_join, periodic, pieces, quality, secret_scan, topk, toxicity, url_filter,
+    alignment, bpe, chat, licenses, mixing, ngram_join, periodic, pieces, quality, secret_scan, topk, toxicity, url_filter,
 )
 from tillwatch.llm.common import table
 
@@ -72,6 +72,10 @@ def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.report(table(spark, sf_dir, "documents"), tail)
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -86,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_toxicity": op10_toxicity,
         "op11_sentencepiece": op11_sentencepiece,
         "op12_periodic": op12_periodic,
+        "op13_alignment": op13_alignment,
     }
 
 
