@@ -7,7 +7,8 @@ the left, the longest first (Aho-Corasick over the reversed letters finds the lo
 accepted when merging its letters again gives the same two pieces, a shorter piece follows a refused one, and a place from
 which nothing led on is marked in a bitfield and never tried again. Letters that no piece holds are spelled in bytes.
 
-No piece goes over from a letter to a blank, so a text is encoded word by word, and a task remembers the words it has met.
+No piece goes over from a letter to a blank, or from letters of words to other signs, so a text is cut there and encoded
+word by word, and a worker remembers the words it has met lately.
 Texts are handled in slices of some `SLICE` letters, cut before blanks: what is held beside the text and its ids does not
 grow with it. Only a run of letters without any blank is held whole, at about ten bytes a letter.
 
@@ -20,7 +21,7 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -30,14 +31,13 @@ from pyspark.sql import DataFrame
 from tillwatch.llm.common import map_texts
 
 MODEL = "piece_bpe_32k.model"
-#: Words, and pairs of pieces, that a task remembers; beyond that it starts anew, so that its memory stays bounded.
+#: Words, and pairs of pieces, that a worker remembers at a time, so that its memory stays bounded.
 REMEMBERED = 300_000
 #: Letters of a text that are encoded at a time, to the next place to cut.
 SLICE = 1 << 18
 BLANK = "▁"
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
 
-_WORDS = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+").findall
 #: Where a text may be cut: before a blank that follows another letter.
 _CUT = re.compile(f"(?<=[^ {BLANK}])[ {BLANK}]")
 
@@ -68,6 +68,7 @@ class Pieces:
         pieces = {own.piece: at for at, own in enumerate(model.pieces) if own.type == _NORMAL}
         if any(BLANK in piece.lstrip(BLANK) or not set(piece) <= pieces.keys() for piece in pieces):
             raise ValueError(f"{path} has pieces over word ends, or of letters that are none")
+        self.words = re.compile(self._word_pattern(pieces)).findall
         self.ids, self.pieces = pieces, [own.piece for own in model.pieces]
         self.scores = [own.score for own in model.pieces]
         self.sizes = [len(own.piece) if own.type == _NORMAL else 0 for own in model.pieces]
@@ -82,9 +83,24 @@ class Pieces:
         #: What a piece is in a decoded text; control pieces are nothing.
         self.surface = [self._surface(own, model.trainer_spec.unk_surface) for own in model.pieces]
         self.byte_ids = frozenset(self.bytes.values())
-        self.known: dict[str, list[int]] = {}
+        #: Ids of words as bytes, which the garbage collector need not visit.
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
 
+    @staticmethod
+    def _word_pattern(pieces: Iterable[str]) -> str:
+        """Runs of word letters, and runs of others, each with the blanks before: no piece holds a letter of both kinds.
+
+        A word letter that stands beside another letter in some piece counts as one of the others.
+        """
+        pairs = {pair for piece in pieces for pair in zip(piece, piece[1:]) if BLANK not in pair}
+        inner = {letter for pair in pairs for letter in pair if letter.isalnum()}
+        while loose := {own for pair in pairs for own in pair if own in inner and not inner.issuperset(pair)}:
+            inner -= loose
+        others = re.escape("".join(sorted({"_", *(own for pair in pairs for own in pair if own.isalnum())} - inner)))
+        return rf"{BLANK}*[^\W{others}]+|{BLANK}*(?:[^\w{BLANK}]|[{others}])+|{BLANK}+"
+
     @staticmethod
     def _surface(piece, unknown: str) -> bytes:
         if piece.type == _BYTE:
@@ -100,7 +116,7 @@ class Pieces:
             while at < len(text):
                 cut = _CUT.search(text, at + SLICE)
                 stop = cut.start() if cut else len(text)
-                yield self._encode_words(_WORDS(first + text[at:stop].replace(" ", BLANK)))
+                yield self._encode_words(self.words(first + text[at:stop].replace(" ", BLANK)))
                 at, first = stop, ""
         yield [self.end]
 
@@ -151,34 +167,32 @@ class Pieces:
         return "".join(parts)
 
     def _encode_words(self, words: list[str]) -> list[int]:
-        known = self.known
-        try:
-            return list(chain.from_iterable([known[word] for word in words]))
-        except KeyError:
-            pass
-        if len(known) > REMEMBERED:
-            known.clear()
-        found = []
+        """Words met lately are remembered: when the newer half is full, it becomes the older one, which is forgotten."""
+        known, older, found = self.known, self.older, []
         for word in words:
             ids = known.get(word)
             if ids is None:
-                ids = self._encode_word(word)
+                ids = older.get(word) or array("i", self._encode_word(word)).tobytes()
                 if len(word) <= 64:
                     known[word] = ids
+                    if len(known) > REMEMBERED:
+                        self.older, self.known = older, known = known, {}
             found.append(ids)
-        return list(chain.from_iterable(found))
+        return np.frombuffer(b"".join(found), "=i4").tolist()
 
     def _encode_word(self, word: str) -> list[int]:
         size = len(word)
+        # By their places from the end, in which the reversed word has them; the first one reported is the longest.
         longest = array("i", [-1]) * size
-        # The first piece reported at a place of the reversed word is the longest one.
         for back, own in self.longest.iter(word[::-1]):
-            if longest[size - 1 - back] < 0:
-                longest[size - 1 - back] = own
+            if longest[back] < 0:
+                longest[back] = own
+        if min(longest) >= 0:
+            return self._backtrack(longest, 0, size)
         ids, start = [], 0
         while start < size:
             stop = start
-            while stop < size and longest[stop] >= 0:
+            while stop < size and longest[size - 1 - stop] >= 0:
                 stop += 1
             if stop > start:
                 ids += self._backtrack(longest, start, stop)
@@ -189,38 +203,38 @@ class Pieces:
 
     def _backtrack(self, longest: array, start: int, stop: int) -> list[int]:
         """The pieces of letters that all have some piece."""
-        sizes, shorter, fits = self.sizes, self.shorter, self.fits
-        failed = bytearray((stop - start >> 3) + 1)
-        found, at, last = [], start, -1
-        own = longest[at]
-        while at < stop:
+        sizes, shorter, pairs, top = self.sizes, self.shorter, self.pairs, len(longest) - 1
+        failed = bytearray((stop >> 3) + 1)
+        found, at, last, any_failed = [], start, -1, False
+        own = longest[top - at]
+        while True:
             while own >= 0:
-                end = at + sizes[own] - start
-                if not failed[end >> 3] >> (end & 7) & 1 and fits(last, own):
-                    break
+                end = at + sizes[own]
+                if not (any_failed and failed[end >> 3] >> (end & 7) & 1):
+                    fits = pairs.get((last, own))
+                    if fits or fits is None and self.fits(last, own):
+                        break
                 own = shorter[own]
             if own >= 0:
                 found.append(own)
-                at += sizes[own]
-                last = own
-                own = longest[at] if at < stop else -1
+                if end == stop:
+                    return found
+                at, last = end, own
+                own = longest[top - at]
             else:
-                failed[at - start >> 3] |= 1 << (at - start & 7)
+                failed[at >> 3] |= 1 << (at & 7)
+                any_failed = True
                 found.pop()
                 at -= sizes[last]
                 own = shorter[last]
                 last = found[-1] if found else -1
-        return found
 
     def fits(self, left: int, right: int) -> bool:
         """Whether the letters of both pieces, merged again, give these two; -1 stands for the start of the text."""
-        pair = left, right
-        answer = self.pairs.get(pair)
-        if answer is None:
-            if len(self.pairs) > REMEMBERED:
-                self.pairs.clear()
-            want = [self.pieces[own] for own in pair if own >= 0]
-            answer = self.pairs[pair] = self.merged("".join(want)) == want
+        if len(self.pairs) > REMEMBERED:
+            self.pairs.clear()
+        want = [self.pieces[own] for own in (left, right) if own >= 0]
+        answer = self.pairs[left, right] = self.merged("".join(want)) == want
         return answer
 
     def merged(self, letters: str) -> list[str]:
@@ -273,6 +287,7 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     """
     def start():
         pieces = _loaded(path)
+        names = [str(own) for own in range(len(pieces.pieces))]
 
         def digests(text: str | None) -> tuple[int, str, str]:
             count, numbers, letters = 0, hashlib.sha256(), hashlib.sha256()
@@ -280,7 +295,7 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
             def passing() -> Iterator[list[int]]:
                 nonlocal count
                 for ids in pieces.encoded(text or ""):
-                    numbers.update((" " * (count > 0) + " ".join(map(str, ids))).encode())
+                    numbers.update((" " * (count > 0) + " ".join([names[own] for own in ids])).encode())
                     count += len(ids)
                     yield ids
 
