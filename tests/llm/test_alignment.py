@@ -115,6 +115,15 @@ def test_many_documents_in_many_blocks(spark, libraries):
         assert sorted(map(tuple, alignment.report(docs, most=most).collect())) == sorted(brute(libraries, rows))
 
 
+def test_byte_level_ids_like_the_library(libraries):
+    words = alignment._loaded(None)
+    texts = [f"a{chr(code)}a1{chr(code)}1!{chr(code)}! {chr(code)} x  {chr(code)}{chr(code)} '{chr(code)}"
+             for code in range(0, 0x30000, 7) if not 0xD800 <= code < 0xE000]
+    texts += [text for text in TEXTS if text] + [" " * 500_000 + "x", "\n" * 400_000]
+    for text, (a_ids, _) in zip(texts, [own or ([], 0) for own in words.encode([" " + text for text in texts])]):
+        assert not a_ids or a_ids == libraries[0].encode(" " + text, add_special_tokens=False).ids
+
+
 def test_groups_spell_the_text(spark, libraries):
     docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
     words = alignment._loaded(None)
