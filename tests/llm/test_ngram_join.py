@@ -68,6 +68,37 @@ def test_unusual_rows(spark):
     assert sorted(row["doc_id"] or 0 for row in kept.collect()) == [0, 1, 2, 3, 8]
 
 
+def test_an_id_with_several_texts(spark):
+    """Each text of a repeated id belongs to its own group, and no row is lost that is like no other."""
+    a, b = (" ".join(f"{name}{at}" for at in range(60)) for name in "ab")
+    docs = spark.createDataFrame(
+        [(1, a, "x"), (1, b, "x"), (2, a + " tail", "x"), (5, b + " end", "x"), (7, "", "y"), (7, None, "y"), (8, a, "z"), (1, a, "w")],
+        "doc_id long, text string, label string").repartition(3)
+    found = sorted((row["doc_id"], row["component_id"], row["n_shingles"]) for row in ngram_join.classified(docs).collect())
+    assert found == [(1, 1, 56), (1, 1, 56), (1, 1, 56), (2, 1, 57), (5, 1, 57), (7, 7, 0), (7, 7, 0), (8, 1, 56)]
+    for partitions in (1, 4):
+        kept = ngram_join.without_near_copies(docs.repartition(partitions)).collect()
+        assert sorted(map(tuple, kept), key=repr) == sorted(
+            [(1, a, "w"), (1, b, "x"), (7, "", "y"), (7, None, "y")], key=repr)
+
+
+def test_a_very_long_text_is_hashed_in_pieces(monkeypatch):
+    import tracemalloc
+
+    grams_of = ngram_join.Grams(5)
+    text = " ".join(f"word{at % 9999}" for at in range(3_000_000))
+    tracemalloc.start()
+    found = grams_of(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # 27 MB of text: its bytes, and some 40 bytes a word.
+    assert len(found) == 9_999 and peak < 250 << 20 and grams_of.powers.nbytes <= 32 * ngram_join.PIECE_BYTES
+    short = "A b\x0b c " * 200 + "x" * 5_000 + " d e f g"
+    whole = grams_of(short)
+    monkeypatch.setattr(ngram_join, "PIECE_BYTES", 7)
+    assert (ngram_join.Grams(5)(short) == whole).all()
+
+
 def test_filters_lose_no_pair():
     chance = np.random.default_rng(5)
     for _ in range(40):

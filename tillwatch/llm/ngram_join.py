@@ -17,20 +17,21 @@ Documents with the same set of n-grams form a class; what follows joins classes,
 
 Words are split at ASCII blanks with A to Z lower-cased. A text with fewer words than n is one n-gram; a null or empty text
 has none and is linked with nothing. n-grams are compared by 64-bit hashes, sets by 128-bit hashes. Documents without an
-id link with nothing and have a null component. Rows that repeat an id are linked by each of their texts and keep the
-component of their own text's class. Other columns are not looked at. An empty table gives an empty result.
+id link with nothing and have a null component. Rows that repeat an id are told apart by their texts: each has the
+component of its own text's class. Other columns are not looked at. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwatch.llm.common import stored
@@ -48,6 +49,9 @@ HOT = 1_000_000
 CHUNK = 256
 #: Bits of the bitmap that marks which documents' n-grams are needed once more.
 BITMAP_BITS = 23
+#: Bytes of a text whose words are hashed at a time, to the end of a word.
+PIECE_BYTES = 1 << 18
+_BLANK = re.compile(rb"[ \t-\r]")
 #: Pairs that verification expands at a time.
 _EXPANDED = 500_000
 #: Sets that a task remembers to have indexed.
@@ -87,15 +91,27 @@ class Grams:
         return mixed[np.r_[True, mixed[1:] != mixed[:-1]]]
 
     def words(self, text: str) -> np.ndarray:
-        letters = np.frombuffer(text.encode("utf-8").lower() + b" ", np.uint8)
+        """The words' hashes, taken piece by piece of the text, so that little more than its bytes is held beside them."""
+        raw, found, at = text.encode("utf-8").lower(), [], 0
+        while at < len(raw):
+            cut = _BLANK.search(raw, at + PIECE_BYTES)
+            stop = cut.start() if cut else len(raw)
+            found.append(self._words_of(np.frombuffer(raw[at:stop] + b" ", np.uint8)))
+            at = stop
+        return np.concatenate(found) if found else np.zeros(0, np.uint64)
+
+    def _words_of(self, letters: np.ndarray) -> np.ndarray:
         edges = np.flatnonzero(np.diff(self.blank[letters], prepend=True))
         starts, ends = edges[::2], edges[1::2]
-        if len(letters) > self.powers.shape[1]:
-            grown = np.ones((2, 2 * len(letters)), np.uint64)
-            grown[:, 1:] = self.steps[:, None]
-            self.powers = np.cumprod(grown, axis=1, dtype=np.uint64)
-        sums = np.cumsum(np.r_[np.uint64(0), self.letters[letters] * self.powers[0, :len(letters)]], dtype=np.uint64)
-        return _stirred((sums[ends] - sums[starts]) * self.powers[1, starts])
+        powers = self.powers
+        if len(letters) > powers.shape[1]:
+            powers = np.ones((2, max(len(letters), 2 * PIECE_BYTES)), np.uint64)
+            powers[:, 1:] = self.steps[:, None]
+            powers = np.cumprod(powers, axis=1, dtype=np.uint64)
+            if powers.shape[1] == 2 * PIECE_BYTES:
+                self.powers = powers
+        sums = np.cumsum(np.r_[np.uint64(0), self.letters[letters] * powers[0, :len(letters)]], dtype=np.uint64)
+        return _stirred((sums[ends] - sums[starts]) * powers[1, starts])
 
 
 def _stirred(numbers: np.ndarray) -> np.ndarray:
@@ -132,7 +148,7 @@ def rare_first(grams: np.ndarray, ranks: np.ndarray) -> np.ndarray:
 
 def _surveyed(n: int):
     schema = pa.schema([
-        ("doc_id", pa.int64()), ("key", pa.binary()), ("size", pa.int64()), ("signature", pa.binary()), ("part", pa.int32()), ("counts", pa.binary()),
+        ("doc_id", pa.int64()), ("key", pa.binary()), ("size", pa.int64()), ("signature", pa.binary()), ("part", pa.int32()), ("counts", pa.binary()), ("mark", pa.int64()),
     ])
 
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,14 +176,16 @@ def _surveyed(n: int):
             rows = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
-                 pa.array(signatures, pa.binary()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], schema=schema)
+                 pa.array(signatures, pa.binary()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary()), batch.column("mark")],
+                schema=schema)
         count()
         pieces = [(at, piece) for at, piece in enumerate(np.split(counts, SKETCH_PARTS)) if piece.any()]
         if pieces:
             yield pa.RecordBatch.from_arrays(
                 [*(pa.nulls(len(pieces), schema.field(at).type) for at in range(4)),
                  pa.array([at for at, _ in pieces], pa.int32()),
-                 pa.array([zlib.compress(piece.astype("<i8").tobytes(), 1) for _, piece in pieces], pa.binary())], schema=schema)
+                 pa.array([zlib.compress(piece.astype("<i8").tobytes(), 1) for _, piece in pieces], pa.binary()),
+                 pa.nulls(len(pieces), pa.int64())], schema=schema)
 
     return survey
 
@@ -495,7 +513,7 @@ def _wanted(ranks, bitmap, n: int):
 def _marked(ids: DataFrame) -> np.ndarray:
     """A bitmap of 2^BITMAP_BITS bits, whatever the number of ids: those at an id's hash are set."""
     # Bits and buckets of Spark's bitmaps count from number 1 on.
-    mark = ids.select((F.pmod(F.xxhash64("class_id"), F.lit(1 << BITMAP_BITS)) + 1).alias("mark"))
+    mark = ids.select((F.pmod(F.xxhash64("first_id"), F.lit(1 << BITMAP_BITS)) + 1).alias("mark"))
     blocks = mark.groupBy(F.bitmap_bucket_number("mark").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("mark")).alias("bits"))
     whole = np.zeros((1 << BITMAP_BITS) // 8, np.uint8)
@@ -539,36 +557,55 @@ def components(links: DataFrame) -> DataFrame:
     return found.withColumnRenamed("to", "component")
 
 
-def classified(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT, hot: int = HOT) -> DataFrame:
-    """Per document: doc_id, n_shingles and component_id, null for documents that link with nothing by lack of an id."""
+def _mark() -> Column:
+    """A number for a row's text, by which rows that share an id are told apart."""
+    return F.xxhash64("text").alias("mark")
+
+
+def _by_text(docs: DataFrame, n: int, percent: int, hot: int) -> DataFrame:
+    """`classified`, with the mark of each row's text and the label of its component, null for texts without words."""
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long"), "text")
+    texts = docs.select(F.col("doc_id").cast("long"), "text", _mark())
     survey = stored(texts.mapInArrow(
-        _surveyed(n), "doc_id long, key binary, size long, signature binary, part int, counts binary"), "surveyed")
-    sized = survey.filter("size is not null").select("doc_id", "key", "size", "signature")
+        _surveyed(n), "doc_id long, key binary, size long, signature binary, part int, counts binary, mark long"), "surveyed")
+    sized = survey.filter("size is not null").select("doc_id", "mark", "key", "size", "signature")
     ranks, hot = gram_ranks(survey.filter("part is not null").select("part", "counts"), hot)
     ranks = spark.sparkContext.broadcast(ranks)
     linkable = sized.filter("key is not null and doc_id is not null")
-    classes = stored(linkable.groupBy("key").agg(
-        F.min("doc_id").alias("class_id"), F.max("size").alias("size"), F.max("signature").alias("signature")), "classes")
+    named = stored(linkable.groupBy("key").agg(
+        F.min("doc_id").alias("first_id"), F.max("size").alias("size"), F.max("signature").alias("signature")), "classes")
+    # A class goes by its least id, but where an id has several texts, the classes that share it go by their sets.
+    shared = named.groupBy("first_id").agg(F.count("*").alias("n")).filter("n > 1")
+    classes = stored(named.join(shared, "first_id", "left").withColumn(
+        "class_id", F.when(F.col("n").isNull(), F.col("first_id")).otherwise(F.xxhash64("key"))).drop("n"), "named")
 
     entries = sized.agg(F.sum(F.col("size") * (100 - percent) / 100 + 1)).first()[0] or 0
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(partitions, math.ceil(entries / BUCKET_ENTRIES))
     blocks = stored(
         texts.filter("doc_id is not null").mapInArrow(_indexed(ranks, hot, buckets, n, percent), "bucket long, entries binary")
-        .repartition(buckets, "bucket").sortWithinPartitions("bucket")
+        .repartitionById(buckets, F.col("bucket").cast("int")).sortWithinPartitions("bucket")
         .mapInArrow(_joined_prefixes(ranks, hot), "block binary, key binary, least binary").distinct(), "blocks")
     links = _links(texts, blocks, classes, ranks, n, percent)
     groups = components(links)
     known = stored(
         classes.join(groups.withColumnRenamed("id", "class_id"), "class_id", "left").select(
-            "key", F.coalesce("component", "class_id").alias("component_id")), "components")
-    linked = sized.filter("doc_id is not null").join(known, "key", "left")
+            "key", "first_id", F.coalesce("component", "class_id").alias("label")), "components")
+    least = known.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    linked = sized.filter("doc_id is not null").join(known.join(least, "label").select("key", "label", "component_id"), "key", "left")
     return linked.select(
-        "doc_id", F.col("size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
+        "doc_id", F.col("size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "mark", "label",
     ).unionByName(sized.filter("doc_id is null").select(
-        "doc_id", F.col("size").alias("n_shingles"), F.lit(None).cast("long").alias("component_id")))
+        "doc_id", F.col("size").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"), "mark",
+        F.lit(None).cast("long").alias("label")))
+
+
+def classified(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT, hot: int = HOT) -> DataFrame:
+    """Per document: doc_id, n_shingles and component_id, null for documents that link with nothing by lack of an id.
+
+    Where rows share an id, each row's component is that of its own text.
+    """
+    return _by_text(docs, n, percent, hot).select("doc_id", "n_shingles", "component_id")
 
 
 def _links(texts: DataFrame, blocks: DataFrame, classes: DataFrame, ranks, n: int, percent: int) -> DataFrame:
@@ -597,20 +634,32 @@ def _links(texts: DataFrame, blocks: DataFrame, classes: DataFrame, ranks, n: in
         .repartition("unit").sortWithinPartitions("unit", "key").select("unit", "key", "size", "signature", "side")
         .mapInArrow(_sifted(percent), "unit long, key binary, side int"), "members")
     needed = stored(
-        classes.select("key", "class_id").join(members.select("key").distinct(), "key", "left_semi"), "needed")
+        classes.select("key", "class_id", "first_id").join(members.select("key").distinct(), "key", "left_semi"), "needed")
     bitmap = spark.sparkContext.broadcast(_marked(needed))
     sets = (
         texts.filter("doc_id is not null")
         .select("text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITMAP_BITS)).alias("mark"))
         .mapInArrow(_wanted(ranks, bitmap, n), "key binary, grams binary")
-        .join(needed, "key").dropDuplicates(["key"]).select("key", "class_id", "grams")
+        .join(needed.select("key", "class_id"), "key").dropDuplicates(["key"]).select("key", "class_id", "grams")
     )
     work = members.join(stored(sets, "sets"), "key").select("unit", "class_id", "grams", "side")
     return work.repartition("unit").sortWithinPartitions("unit", "class_id").mapInArrow(_worked(percent), "a long, b long")
 
 
 def without_near_copies(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT) -> DataFrame:
-    """One document of each group, the one with the smallest id; those without an id stay. Columns as they were."""
-    kept = classified(docs, n, percent).filter("doc_id = component_id").select("doc_id")
-    first = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    """One document of each group, the one with the smallest id; those without an id stay. Columns as they were.
+
+    Rows that share an id are told apart by their texts: each belongs to the group of its own text. Of a group's rows with the
+    smallest id, the one with the least hash of its text stays, then the one whose other columns come first as JSON; of rows
+    without words that share id and text, one stays.
+    """
+    rows = _by_text(docs, n, percent, HOT).filter("doc_id is not null")
+    first = F.min(F.struct("doc_id", "mark")).alias("first")
+    kept = rows.filter("label is not null").groupBy("label").agg(first).select("first.*").unionByName(
+        rows.filter("label is null").select("doc_id", "mark").distinct())
+    others = [name for name in docs.columns if name not in ("doc_id", "text")]
+    marked = docs.filter("doc_id is not null").withColumns({"_id": F.col("doc_id").cast("long"), "_mark": _mark()})
+    found = marked.join(kept, (F.col("_id") == kept["doc_id"]) & (F.col("_mark") == kept["mark"]), "left_semi")
+    place = Window.partitionBy("_id", "_mark").orderBy(F.to_json(F.struct(*others)) if others else F.lit(0))
+    one = found.withColumn("_place", F.row_number().over(place)).filter("_place = 1")
+    return one.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
