@@ -79,3 +79,10 @@ def test_trees_learn_and_score_like_the_library(spark):
 def test_the_sample_is_bounded(spark):
     urls = spark.range(500).select(F.col("id").cast("string").alias("url"), (F.col("id") % 2).cast("int").alias("label"))
     assert url_filter.sampled(urls, 40).count() == 80
+
+
+def test_a_url_in_a_third_of_all_rows_takes_one_place_of_the_sample(spark):
+    urls = spark.range(1_000).selectExpr("concat('http://u', id, '.example/') as url", "id % 2 as label")
+    crowd = spark.range(500).selectExpr("'http://u1.example/' as url", "1L as label")
+    sample = url_filter.sampled(urls.union(crowd), 200).collect()
+    assert len(sample) == len({row["url"] for row in sample}) == 400

@@ -175,14 +175,19 @@ from measured
 
 _OP6 = """
 with whole as (
-    select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as parts from embeddings
-    where vec_id is not null and len(list_filter(embedding, lambda x: coalesce(abs(1024 * x::double) < 134217728, false))) = len(embedding)
+    select vec_id, list_transform(embedding, lambda x: try_cast(floor(1024 * x::double) as bigint)) as parts from embeddings
+    where vec_id is not null and embedding is not null
 ), scored as (
-    select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.parts, c.parts), lambda z: z[1] * z[2]))::bigint as score
-    from whole q join whole c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0
+    select q.vec_id as query_id, c.vec_id,
+        coalesce(list_sum(list_transform(list_zip(q.parts, c.parts), lambda z: z[1]::hugeint * z[2])), 0) as score
+    from (select * from whole where len(list_filter(parts, lambda x: x is null)) = 0) q
+    join (select * from whole where len(list_filter(parts, lambda x: x is null)) = 0) c on q.vec_id <> c.vec_id
+    where q.vec_id % 100 = 0
+), fitting as (
+    select query_id, vec_id, least(greatest(score, -9223372036854775808), 9223372036854775807)::bigint as score from scored
 )
 select query_id, rank::int as rank, vec_id, score from (
-    select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored
+    select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from fitting
 ) where rank <= 10
 """
 

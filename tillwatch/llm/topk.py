@@ -7,7 +7,8 @@ over all tasks by a window. Query blocks of bounded size meet all packed blocks,
 and neither queries nor vectors pass through the driver.
 
 A vector that is null or holds a null or a non-finite component takes no part, nor does one without an id, nor one with an
-integer component beyond ±2^27, whose scores need not fit a long. An empty vector takes part and scores 0. Shorter vectors
+integer component that is no long. Where the sizes of a query and a block leave it open whether scores fit a long, they are
+added up in integers of any size; a score beyond a long counts as the largest or smallest long, also in the ranking. An empty vector takes part and scores 0. Shorter vectors
 count as zero in the components they lack. Ties go to the smaller id. Rows that repeat an id are separate candidates, none
 of which the query of that id finds; as a query, the id asks once, with the least of its vectors. An empty table gives an
 empty result; other columns are not looked at.
@@ -28,7 +29,7 @@ from tillwatch.llm.common import stored
 SCALE = 1024
 BLOCK_ROWS = 8_192
 QUERY_ROWS = 1_024
-_LARGEST = 1 << 27
+_LEAST, _MOST = -(1 << 63), (1 << 63) - 1
 _PACKED = "first long, ids binary, parts binary, width int"
 _BEST = "query_id long, vec_id long, score long"
 
@@ -36,18 +37,23 @@ _BEST = "query_id long, vec_id long, score long"
 def whole_vectors(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """vec_id and `parts`, the vector in whole numbers, of every vector that takes part."""
     scaled = F.transform("embedding", lambda x: F.floor(scale * x.cast("double")))
-    sound = F.forall("embedding", lambda x: F.coalesce(F.abs(scale * x.cast("double")) < _LARGEST, F.lit(False)))
+    # Neither end of a long's range but the lower one is a double; NaN is beyond both.
+    sound = F.forall("embedding", lambda x: F.coalesce(
+        (scale * x.cast("double") >= float(_LEAST)) & (scale * x.cast("double") < -float(_LEAST)), F.lit(False)))
     return vectors.filter(F.col("vec_id").isNotNull() & sound).select(F.col("vec_id").cast("long"), scaled.alias("parts"))
 
 
 def _matrix(parts: pa.ListArray) -> np.ndarray:
-    """Ragged lists as rows padded with zeros."""
+    """Ragged lists as rows padded with zeros, in 32 bits a component where all fit."""
     lengths = np.diff(parts.offsets.to_numpy())
     width = int(lengths.max(initial=0))
     values = parts.flatten().to_numpy(zero_copy_only=False)
+    bounds = np.iinfo(np.int32)
+    small = not len(values) or bounds.min <= values.min() and values.max() <= bounds.max
+    values = values.astype("<i4" if small else "<i8")
     if len(lengths) * width == len(values):
-        return values.astype("<i4").reshape(len(lengths), width)
-    matrix = np.zeros((len(lengths), width), "<i4")
+        return values.reshape(len(lengths), width)
+    matrix = np.zeros((len(lengths), width), values.dtype)
     matrix[np.arange(width) < lengths[:, None]] = values
     return matrix
 
@@ -85,7 +91,13 @@ def _packed(rows: int):
 
 def _unpacked(ids: bytes, parts: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
     ids = np.frombuffer(ids, "<i8")
-    return ids, np.frombuffer(parts, "<i4").reshape(len(ids), width).astype(np.int64)
+    kind = "<i8" if len(parts) == 8 * len(ids) * width else "<i4"
+    return ids, np.frombuffer(parts, kind).reshape(len(ids), width).astype(np.int64)
+
+
+def size_of(numbers: np.ndarray) -> np.ndarray:
+    """Sizes as doubles, in which the least long has one, too."""
+    return np.abs(numbers.astype(np.float64))
 
 
 def postings(matrix: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -97,12 +109,22 @@ def postings(matrix: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     return lists
 
 
-def best_of_block(query_id: int, query: np.ndarray, ids: np.ndarray, lists: list, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and scores of the block's best k for one query, ties to smaller ids; `ids` ascend."""
-    scores = np.zeros(len(ids), np.int64)
-    for term in np.flatnonzero(query[:len(lists)]):
-        who, amount = lists[term]
-        scores[who] += query[term] * amount
+def best_of_block(
+    query_id: int, query: np.ndarray, ids: np.ndarray, lists: list, largest: float, k: int,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and scores of the block's best k for one query, ties to smaller ids; `ids` ascend, no component is above `largest`."""
+    terms = np.flatnonzero(query[:len(lists)])
+    if size_of(query).sum() * largest < 1 << 62:
+        scores = np.zeros(len(ids), np.int64)
+        for term in terms:
+            who, amount = lists[term]
+            scores[who] += query[term] * amount
+    else:
+        wide = np.zeros(len(ids), object)
+        for term in terms:
+            who, amount = lists[term]
+            wide[who] += int(query[term]) * amount.astype(object)
+        scores = np.clip(wide, _LEAST, _MOST).astype(np.int64)
     others = ids != query_id
     if not others.all():
         ids, scores = ids[others], scores[others]
@@ -140,9 +162,9 @@ def _searched(k: int):
                     lane, best = row["lane"], {}
                     queries = [(own["vec_id"], np.array(own["parts"], np.int64)) for own in row["asked"]]
                 ids, matrix = _unpacked(row["ids"], row["parts"], row["width"])
-                lists = postings(matrix)
+                lists, largest = postings(matrix), float(size_of(matrix).max(initial=0))
                 for query_id, query in queries:
-                    found = best_of_block(query_id, query, ids, lists, k)
+                    found = best_of_block(query_id, query, ids, lists, largest, k)
                     if query_id in best:
                         both = [np.concatenate(own) for own in zip(best[query_id], found)]
                         order = np.argsort(both[0], kind="stable")

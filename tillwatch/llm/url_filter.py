@@ -119,8 +119,11 @@ def described(urls: DataFrame) -> DataFrame:
 
 
 def sampled(labelled: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """url and label (0 or 1) of at most `rows` urls of each label, the same ones each time."""
-    known = labelled.filter("url is not null and label in (0, 1)").select("url", F.col("label").cast("int"))
+    """url and label (0 or 1) of at most `rows` different urls of each label, the same ones each time.
+
+    A url counts once however many rows it has; one with both labels is unwanted.
+    """
+    known = labelled.filter("url is not null and label in (0, 1)").groupBy("url").agg(F.max("label").cast("int").alias("label"))
     chosen = None
     for label in (0, 1):
         own = known.filter(F.col("label") == label).orderBy(F.xxhash64("url"), "url").limit(rows)
