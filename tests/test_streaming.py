@@ -142,7 +142,7 @@ def test_a_batch_that_fails_after_its_write_is_replayed_without_copies(spark, fe
         finish(start(updates, save_and_fail, f"{run}/state", mode="update", interval=None))
     play_active(spark, source, run)
     assert rows(table.read(spark), "mid", "ts") == [("a", T0 - 5), ("b", T0), ("c", T0 + 2)]
-    assert table._versions(spark)[0].count() == 4
+    assert table._standing(spark).count() == 4
 
 
 def test_first_days_follow_late_logs_and_are_read_from_one_folder(spark, feed, run, rows):
@@ -154,9 +154,13 @@ def test_first_days_follow_late_logs_and_are_read_from_one_folder(spark, feed, r
     finish(active.run_first_seen(logs, table, f"{run}/state", late="2 days", interval=None))
     seen = table.read(spark)
     assert rows(seen.where("n = 1"), "mid", "logDate") == [("a", "2024-01-01"), ("b", "2024-01-02"), ("c", "2024-01-02")]
-    # The last batch again: nothing changes.
-    again = active.first_seen_changes(spark.createDataFrame([("2024-01-01", "a"), ("2024-01-02", "c")], "logDate STRING, mid STRING"), seen)
-    assert again.count() == 0
+    # The last batch again: it is held against what there was before it, and changes nothing.
+    again = spark.createDataFrame([("2024-01-01", "a"), ("2024-01-02", "c")], "logDate STRING, mid STRING")
+    before = rows(seen)
+    table.upsert(active.first_seen_changes(again, table.lookup(again, ["mid"], before=1)), 1, unique=True)
+    seen = table.read(spark)
+    assert rows(seen) == before
+    assert active.first_seen_changes(again, seen).count() == 0
     plan = active_total(seen.where("n = 1"), "2024-01-02")._jdf.queryExecution().executedPlan().toString()
     filters = re.search(r"PartitionFilters: \[([^\]]*)\]", plan)[1]
     assert "logDate" in filters and active_total(seen.where("n = 1"), "2024-01-02").first()["total"] == 2
@@ -459,15 +463,14 @@ def test_folding_keeps_what_readers_see(spark, run, rows, keep):
     table.fold(spark, 2)
     table.fold(spark, 2)
     assert rows(table.read(spark)) == rows(reading) == before
-    assert table.obsolete(spark).count() == 6
+    assert [folder.rsplit("/", 2)[1:] for folder in table.obsolete(spark)] == [["rows", "_version=0"], ["rows", "_version=1"]]
     table.upsert(batch_of(spark, ("a", "d1", -1, "x")), 4)
     expected = rows(table.read(spark))
     table.fold(spark, 4)
     assert rows(table.read(spark)) == expected
     table.upsert(batch_of(spark, ("a", "d1", -2, "z")), 5)
     table.fold(spark, 5)
-    # The other day was not touched and keeps its snapshot.
-    assert rows(table._standing(spark)[0].select("d", "_version").distinct()) == [("d0", 9), ("d1", 11)]
+    assert rows(table._standing(spark).select("_version").distinct()) == [(5,)]
     table.upsert(batch_of(spark, *[(k, "d" + str(ord(k) % 2), -3, "y") for k in "abcdef"]), 6)
     assert rows(table.read(spark), "v") == [("y",)] * 6
 
@@ -479,7 +482,55 @@ def test_reads_do_not_grow_with_the_batches(spark, run, rows):
         if i % 3 == 2:
             table.fold(spark, i)
         assert rows(table.read(spark)) == [(k, i) for k in "abcd"]
-        assert table._standing(spark)[0].count() <= 4 * 3
+        assert table._standing(spark).count() <= 4 * 3
+
+
+def test_a_batch_below_the_snapshot_is_refused_unless_it_is_its_last_one_again(spark, run, rows):
+    table = KeyedTable(f"{run}/t", "id INT, v STRING", ["id"], [], buckets=2)
+
+    def batch(*data):
+        return spark.createDataFrame(list(data), "id INT, v STRING")
+
+    for i in range(6):
+        table.upsert(batch((i, f"v{i}")), i)
+    table.fold(spark, 5)
+    before = rows(table.read(spark))
+    for number, data in ((0, (100, "lost")), (5, (100, "lost")), (0, (0, "v0"))):
+        with pytest.raises(ValueError, match="would be lost"):
+            table.upsert(batch(data), number)
+    table.upsert(batch((5, "v5")), 5)
+    assert rows(table.read(spark)) == before
+    table.upsert(batch((100, "kept")), 6)
+    assert rows(table.read(spark)) == sorted([*before, (100, "kept")], key=repr)
+
+
+def test_unfinished_folders_do_not_count(spark, run, rows, tmp_path):
+    table = KeyedTable(str(tmp_path / "t"), "id INT, v STRING", ["id"], [])
+    for i in range(3):
+        table.upsert(spark.createDataFrame([(i, "v")], "id INT, v STRING"), i)
+    before = rows(table.read(spark))
+    table.fold(spark, 1)
+    (tmp_path / "t" / "snapshots" / "_version=1" / "_SUCCESS").unlink()
+    (tmp_path / "t" / "rows" / "_version=2" / "_SUCCESS").unlink()
+    assert table.obsolete(spark) == [] and rows(table.read(spark)) == before[:2]
+    table.fold(spark, 1)
+    assert rows(table.read(spark)) == before[:2] and len(table.obsolete(spark)) == 1
+
+
+@pytest.mark.parametrize("keep", ["last", "first"])
+def test_a_lookup_reads_the_buckets_of_its_keys(spark, run, rows, keep):
+    table = KeyedTable(f"{run}/t", "k BIGINT, d STRING, v STRING", ["k"], ["v"], ["d"], keep, buckets=8, bucket_by=["k"])
+    for i in range(3):
+        table.upsert(spark.range(40).selectExpr("id AS k", "concat('d', id % 2) AS d", f"concat('v', id % {i + 1}) AS v"), i)
+        if i == 1:
+            table.fold(spark, i)
+    asked = spark.createDataFrame([(3,), (17,)], "who INT")
+    found = table.lookup(asked, ["who"])
+    want = [row for row in rows(table.read(spark)) if row[0] in (3, 17)]
+    assert [row for row in rows(found) if row[0] in (3, 17)] == want != []
+    assert found.count() < 40
+    assert "_bucket" in re.search(r"PartitionFilters: \[([^\]]*)\]", found._jdf.queryExecution().executedPlan().toString())[1]
+    assert rows(table.read(spark, before=1)) != rows(table.read(spark)) or keep == "first"
 
 
 def test_day_filter_prunes_a_keyed_table(spark, run):

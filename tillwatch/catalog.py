@@ -612,8 +612,8 @@ def kpi_day(spark, sf):
     events = _event_stream(spark, sf, run)
     active = active_stream.active_table(f"{run}/active", "logDate STRING, mid STRING, ts BIGINT, event_id BIGINT", ("ts", "event_id"))
     finish(active_stream.run_daily_active(events, ("ts", "event_id"), active, f"{run}/state", interval=None))
-    seen = active_stream.first_seen_table(f"{run}/seen")
-    finish(active_stream.run_first_seen(events, seen, f"{run}/seen-state", interval=None))
+    seen = active_stream.first_seen_table(f"{run}/seen", buckets=2)
+    finish(active_stream.run_first_seen(events, seen, f"{run}/seen-state", fold_every=3, interval=None))
     return reports.kpis(active.read(spark), _purchases(spark, sf), CURVE_DAY, seen.read(spark))
 
 
@@ -711,6 +711,24 @@ def sale_day_stream(spark, sf):
     return _sale_stream(spark, sf, by_day=True)
 
 
+@_stream_query
+def sale_live_stream(spark, sf):
+    """Sale detail whose users come from the table that the user stream keeps, folded on the way."""
+    run = shared_dir(spark, "live")
+    changes = shop.user_changes(shop.sliced_stream(spark, sf, "customer", shop.CUSTOMER_DDL, "c_custkey", f"{run}/customers"))
+    finish(routers.run_change_router(changes, f"{run}/topics", f"{run}/route", interval=None))
+    lines = of_topic(read_topics(spark, "text", [USER_INFO], f"{run}/topics", most=2), USER_INFO)
+    known = order_stream.user_table(f"{run}/users", buckets=4)
+    finish(order_stream.run_upserts(
+        parse(lines, USER_RECORD, keep=("arrived",)), known, f"{run}/users-state", fold_every=2, interval=None))
+    stored = sale_stream_.sale_table(f"{run}/table", by_day=False)
+    finish(sale_stream_.run_sale_detail(
+        _order_records(spark, sf, run), _detail_stream(spark, sf, run), known, stored, f"{run}/state",
+        F.lit(AS_OF).cast("timestamp"), JOIN_SECONDS, interval=None,
+    ))
+    return stored.read(spark).drop("order_arrived")
+
+
 @_stream_query
 def coverage_stream(spark, sf):
     """Which orders and details found each other in two streams, lone ones once their time is over."""

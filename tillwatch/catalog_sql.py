@@ -339,6 +339,7 @@ SELECT CASE WHEN contains(line, 'startup') THEN 'startup_log' ELSE 'event_log' E
         "change_router_stream": f"WITH {ROUTED} SELECT * FROM routed",
         "sale_stream": sale_pairs,
         "sale_day_stream": sale_pairs,
+        "sale_live_stream": sale_pairs,
         "coverage_stream": f"""WITH {ORDERS},{DETAILS},
 ends AS (SELECT least((SELECT max(order_at) FROM o), (SELECT max(detail_at) FROM d)) - INTERVAL 10 SECONDS
                 - {JOIN_SECONDS // 86400} * INTERVAL 1 DAY AS passed),

@@ -1,9 +1,11 @@
 """Tables with one row per key, on plain Parquet.
 
-A micro-batch is written once, into folders of its own; a reader takes one row per key. So a write costs what the batch
-holds and never rewrites the table, a batch that runs again replaces its own folders and nothing else, and a lost
-executor only repeats its task. `fold` puts the batches so far of each partition they touched into one snapshot folder, so
-what a reader reads is bounded by a snapshot and the batches since.
+A micro-batch is written once, to a folder of its own; a reader takes one row per key. So a write costs what the batch holds
+and never rewrites the table, a batch that runs again replaces its own folder and nothing else, and a lost executor only
+repeats its task. `fold` writes the table as it stands after a batch to a snapshot folder; readers take the newest finished
+one and the batches after it, so a read costs a snapshot and the batches since.
+
+Folders are named by their batch, and count once Spark has marked them as finished.
 """
 
 from __future__ import annotations
@@ -11,8 +13,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from tillwatch.operators.keyed import earliest_per_key, latest_per_key
@@ -26,19 +27,20 @@ class KeyedTable:
     keep="last": the row of the latest batch wins, inside a batch the one with the greatest `order`.
     keep="first": the row with the smallest `order` wins, whichever batch brings it.
     `partition_by` names columns that never change for a key, such as the day an order was made; they count as part of
-    the key, so that a filter on them reaches the folders. A table without such a column may be cut into `buckets` by a
-    hash of its keys, so that folding it rewrites no more than the buckets that changed.
+    the key, so that a filter on them reaches the folders. A table may be cut into `buckets` by a hash of `bucket_by` (its
+    keys, if not named), so that a look-up of some keys reads their buckets and no others.
     """
 
     def __init__(
         self, path: str, schema: str, keys: Sequence[str], order: Sequence[str],
-        partition_by: Sequence[str] = (), keep: str = "last", buckets: int = 0,
+        partition_by: Sequence[str] = (), keep: str = "last", buckets: int = 0, bucket_by: Sequence[str] = (),
     ):
         if keep not in ("first", "last"):
             raise ValueError("keep is 'first' or 'last'")
         self.path, self.schema, self.order = path, schema, list(order)
         self.keys = list(dict.fromkeys([*partition_by, *keys]))
         self.partition_by, self.keep, self.buckets = list(partition_by), keep, buckets
+        self.bucket_by = list(bucket_by or keys)
         #: Columns that name a partition's folder.
         self.parts = [*self.partition_by, *([_BUCKET] if buckets else [])]
 
@@ -47,97 +49,105 @@ class KeyedTable:
             return earliest_per_key(rows, self.keys, self.order, joined)
         return latest_per_key(rows, self.keys, [_VERSION, *self.order], joined)
 
-    def _write(self, rows: DataFrame, version: int) -> None:
-        out = rows.drop(_VERSION).withColumn(_VERSION, F.lit(version).cast("bigint"))
+    def _bucket_of(self, columns: Sequence[str]) -> Column:
+        kinds = {field.name: field.dataType for field in StructType.fromDDL(self.schema)}
+        own = [F.col(name).cast(kinds[key]) for key, name in zip(self.bucket_by, columns)]
+        return F.pmod(F.xxhash64(*own), F.lit(self.buckets)).cast("int")
+
+    def _write(self, rows: DataFrame, folder: str) -> None:
+        out = rows.drop(_VERSION)
         if self.buckets:
-            out = out.withColumn(_BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+            out = out.withColumn(_BUCKET, self._bucket_of(self.bucket_by))
         if self.parts and rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
             # Few files per folder, and a folder with most of the rows still written by many tasks.
             out = out.hint("rebalance", *self.parts)
-        (
-            out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*self.parts, _VERSION).parquet(f"{self.path}/rows")
-        )
+        writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (writer.partitionBy(*self.parts) if self.parts else writer).parquet(f"{self.path}/{folder}")
 
-    def upsert(self, rows: DataFrame, batch_id: int, unique: bool = False) -> None:
-        """Store a micro-batch under its id; `unique` says its keys are already one row each."""
-        batch = rows.select(*StructType.fromDDL(self.schema).fieldNames()).withColumn(_VERSION, F.lit(2 * batch_id).cast("bigint"))
-        self._write(batch if unique else self._resolved(batch), 2 * batch_id)
-
-    def _stored(self, spark: SparkSession, folder: str, ddl: str) -> DataFrame:
-        try:
-            return spark.read.schema(ddl).parquet(f"{self.path}/{folder}")
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
+    def _finished(self, spark: SparkSession, kind: str) -> list[int]:
+        """Batches of the finished folders `kind`/_version=…, in their order."""
+        marks = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}/{_VERSION}=*/_SUCCESS")
+        found = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks) or []
+        return sorted(int(own.getPath().getParent().getName().split("=")[1]) for own in found)
+
+    def _stored(self, spark: SparkSession, kind: str, versions: Sequence[int]) -> DataFrame:
+        bucket = f", {_BUCKET} INT" if self.buckets else ""
+        ddl = f"{self.schema}{bucket}, {_VERSION} BIGINT"
+        if not versions:
             return spark.createDataFrame([], ddl)
+        folder = f"{self.path}/{kind}"
+        rows = spark.read.schema(ddl).option("basePath", folder).parquet(*[f"{folder}/{_VERSION}={own}" for own in versions])
+        return rows.select(*StructType.fromDDL(ddl).fieldNames())
 
-    def _versions(self, spark: SparkSession) -> tuple[DataFrame, DataFrame, int]:
-        """All rows of all versions; the finished snapshot of each partition; the batch versions these reach up to.
+    def upsert(self, rows: DataFrame, batch_id: int, unique: bool = False) -> None:
+        """Store a micro-batch under its id; `unique` says its keys are already one row each.
 
-        Batches have even versions, snapshots odd ones. A fold takes in every partition that batches have touched since
-        the one before, so no reader needs a batch up to the latest fold.
+        A snapshot holds all batches up to its own, so one that comes later under such an id would be lost: it is refused.
+        Only the snapshot's last batch may run again, if it brings what it brought before.
         """
-        bucket = f", {_BUCKET} INT" if self.buckets else ""
-        rows = self._stored(spark, "rows", f"{self.schema}{bucket}, {_VERSION} BIGINT")
-        folds = self._stored(spark, "folds", self._folds_ddl())
-        latest = folds.agg(F.max(_VERSION)).first()[0]
-        return rows, folds.where("NOT _mark").groupBy(*self.parts).agg(F.max(_VERSION).alias(_VERSION)), -1 if latest is None else latest
-
-    def _folds_ddl(self) -> str:
-        kinds = {field.name: field.dataType.simpleString() for field in StructType.fromDDL(self.schema)} | {_BUCKET: "int"}
-        return ", ".join([*(f"`{name}` {kinds[name]}" for name in self.parts), f"{_VERSION} BIGINT", "_mark BOOLEAN"])
-
-    def _standing(self, spark: SparkSession) -> tuple[DataFrame, int]:
-        rows, snapshots, latest = self._versions(spark)
-        batches = rows.where((F.col(_VERSION) % 2 == 0) & (F.col(_VERSION) > latest))
-        if latest < 0:
-            return batches, latest
-        same = F.lit(True)
-        for name in (*self.parts, _VERSION):
-            same = same & F.col(f"rows.{name}").eqNullSafe(F.col(f"snapshots.{name}"))
-        # One row per partition: Spark broadcasts it if it is small, and prunes the folders of older snapshots by it.
-        kept = rows.where(F.col(_VERSION) % 2 == 1).alias("rows").join(snapshots.alias("snapshots"), same, "left_semi")
-        return batches.unionByName(kept), latest
-
-    def read(self, spark: SparkSession, joined: bool = False) -> DataFrame:
-        """One row per key. A filter on a partition column skips the other folders.
-
-        `joined` says that the rows are next joined on their keys, to rows that may be skewed.
+        spark = rows.sparkSession
+        batch = rows.select(*StructType.fromDDL(self.schema).fieldNames()).withColumn(_VERSION, F.lit(batch_id).cast("bigint"))
+        batch = batch if unique else self._resolved(batch)
+        latest = max(self._finished(spark, "snapshots"), default=-1)
+        if batch_id > latest:
+            self._write(batch, f"rows/{_VERSION}={batch_id}")
+        elif batch_id < latest or not self._brought(batch, batch_id):
+            raise ValueError(f"{self.path} has a snapshot up to batch {latest}: other rows under batch {batch_id} would be lost")
+
+    def _brought(self, batch: DataFrame, batch_id: int) -> bool:
+        if batch_id not in self._finished(batch.sparkSession, "rows"):
+            return False
+        before = self._stored(batch.sparkSession, "rows", [batch_id]).select(*batch.columns)
+        return batch.exceptAll(before).isEmpty() and before.exceptAll(batch).isEmpty()
+
+    def _standing(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        """The newest snapshot and the batches after it, of those before the batch `before`."""
+        def known(kind: str) -> list[int]:
+            return [own for own in self._finished(spark, kind) if before is None or own < before]
+
+        snapshots = known("snapshots")[-1:]
+        batches = [own for own in known("rows") if own > max(snapshots, default=-1)]
+        rows = self._stored(spark, "rows", batches)
+        return rows.unionByName(self._stored(spark, "snapshots", snapshots)) if snapshots else rows
+
+    def read(self, spark: SparkSession, joined: bool = False, before: int | None = None) -> DataFrame:
+        """One row per key, as the table stands, or as it stood before the batch `before`.
+
+        A filter on a partition column skips the other folders. `joined` says that the rows are next joined on their keys,
+        to rows that may be skewed.
         """
-        return self._resolved(self._standing(spark)[0], joined).drop(_VERSION, _BUCKET)
+        return self._resolved(self._standing(spark, before), joined).drop(_VERSION, _BUCKET)
+
+    def lookup(self, rows: DataFrame, columns: Sequence[str], joined: bool = True, before: int | None = None) -> DataFrame:
+        """`read`, of the buckets alone that the keys in `columns` of `rows` fall into.
+
+        `columns` stand for `bucket_by`. What is collected are numbers of buckets, so at most `buckets` of them.
+        """
+        if not self.buckets:
+            return self.read(rows.sparkSession, joined, before)
+        touched = [own[0] for own in rows.select(self._bucket_of(columns)).distinct().collect()]
+        standing = self._standing(rows.sparkSession, before).where(F.col(_BUCKET).isin(touched))
+        return self._resolved(standing, joined).drop(_VERSION, _BUCKET)
 
     def fold(self, spark: SparkSession, upto_batch: int) -> None:
-        """Put the batches up to `upto_batch` into a new snapshot of each partition that they touched.
+        """Write the table as it stands after `upto_batch` to a snapshot of its own.
+
+        Readers see the same rows before, while and after: a snapshot counts once it is finished, and the folders it stands
+        for stay where they are until somebody clears them away (`obsolete`).
+        """
+        if max(self._finished(spark, "snapshots"), default=-1) < upto_batch:
+            self._write(self._resolved(self._standing(spark, upto_batch + 1)), f"snapshots/{_VERSION}={upto_batch}")
+
+    def obsolete(self, spark: SparkSession) -> list[str]:
+        """Folders that the newest snapshot stands for and no new reader opens.
 
-        Readers see the same rows before, while and after: a snapshot counts once its fold is listed, and the folders it
-        stands for stay where they are until somebody clears them away (`obsolete`).
+        Its last batch is not among them: a stream may run that one again, and is held to what it brought.
         """
-        version = 2 * upto_batch + 1
-        rows, latest = self._standing(spark)
-        if latest >= version:
-            return
-        rows = rows.where(F.col(_VERSION) < version)
-        changed = rows.where((F.col(_VERSION) % 2 == 0) & (F.col(_VERSION) > latest))
-        touched = changed.select(*(self.parts or [F.lit(0).alias("_all")])).distinct()
-        if self.parts:
-            same = F.lit(True)
-            for name in self.parts:
-                same = same & F.col(f"rows.{name}").eqNullSafe(F.col(f"touched.{name}"))
-            rows = rows.alias("rows").join(touched.alias("touched"), same, "left_semi")
-        self._write(self._resolved(rows), version)
-        listed = touched.select(*self.parts, F.lit(version).cast("bigint").alias(_VERSION), F.lit(False).alias("_mark"))
-        # The mark lists a fold even if no batch had any row.
-        mark = spark.range(1).select(
-            *[F.lit(None).cast(listed.schema[name].dataType).alias(name) for name in self.parts],
-            F.lit(version).cast("bigint").alias(_VERSION), F.lit(True).alias("_mark"))
-        listed.unionByName(mark).coalesce(1).write.mode("append").parquet(f"{self.path}/folds")
-
-    def obsolete(self, spark: SparkSession) -> DataFrame:
-        """Folders (partition and version) that the latest fold stands for and no new reader opens."""
-        rows, _, latest = self._versions(spark)
-        standing = self._standing(spark)[0].select(*self.parts, _VERSION).distinct()
-        return rows.where(F.col(_VERSION) <= latest).select(*self.parts, _VERSION).distinct().exceptAll(standing)
+        snapshots = self._finished(spark, "snapshots")
+        if not snapshots:
+            return []
+        batches = [own for own in self._finished(spark, "rows") if own < snapshots[-1]]
+        return [f"{self.path}/{kind}/{_VERSION}={own}" for kind, versions in (("rows", batches), ("snapshots", snapshots[:-1])) for own in versions]
 
 
 def with_doc_id(docs: DataFrame, batch_id: int, column: str = "doc_id") -> DataFrame:

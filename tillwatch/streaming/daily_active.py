@@ -37,9 +37,12 @@ def first_arrivals(logs: DataFrame, late: str = "10 minutes", salts: int = 4) ->
     return days.dropDuplicates([*keys, "_salt"]).dropDuplicates(keys).select("logDate", "mid")
 
 
-def first_seen_table(path: str) -> KeyedTable:
-    """The first day of each device, in folders by day; `n` is 0 where an earlier day has come in later."""
-    return KeyedTable(path, "logDate STRING, mid STRING, n INT", ["mid"], [], ["logDate"])
+def first_seen_table(path: str, buckets: int = 0) -> KeyedTable:
+    """The first day of each device, in folders by day and, so that devices are found in any of them, by `buckets` of devices.
+
+    `n` is 0 where an earlier day has come in later.
+    """
+    return KeyedTable(path, "logDate STRING, mid STRING, n INT", ["mid"], [], ["logDate"], buckets=buckets, bucket_by=["mid"])
 
 
 def first_seen_changes(batch: DataFrame, known: DataFrame) -> DataFrame:
@@ -52,19 +55,24 @@ def first_seen_changes(batch: DataFrame, known: DataFrame) -> DataFrame:
     return found.select("mid", F.inline(days)).where(F.col("logDate").isNotNull())
 
 
-def run_first_seen(logs: DataFrame, table: KeyedTable, checkpoint: str, late: str = "10 minutes", **how) -> StreamingQuery:
+def run_first_seen(
+    logs: DataFrame, table: KeyedTable, checkpoint: str, late: str = "10 minutes", salts: int = 4, fold_every: int | None = None, **how,
+) -> StreamingQuery:
     """Keep the first day of each device, so that a day's new devices are counted in that day's folder alone.
 
-    A batch that runs again finds its own rows there and changes nothing.
+    A batch is held against the table as it stood before it, in the buckets of its devices, so one that runs again writes
+    the same rows again. Every `fold_every` batches the table is folded.
     """
     def save(batch: DataFrame, batch_id: int) -> None:
         rows = batch.select("logDate", "mid").persist()
         try:
-            table.upsert(first_seen_changes(rows, table.read(batch.sparkSession, joined=True)), batch_id, unique=True)
+            table.upsert(first_seen_changes(rows, table.lookup(rows, ["mid"], before=batch_id)), batch_id, unique=True)
         finally:
             rows.unpersist()
+        if fold_every and (batch_id + 1) % fold_every == 0:
+            table.fold(batch.sparkSession, batch_id)
 
-    return start(first_arrivals(logs, late), save, checkpoint, **how)
+    return start(first_arrivals(logs, late, salts), save, checkpoint, **how)
 
 
 def active_table(path: str, schema: str = STARTUP_LOG.ddl(), order: tuple[str, ...] = ("ts",), by_day: bool = True) -> KeyedTable:

@@ -83,12 +83,19 @@ def sale_table(path: str, by_day: bool = True) -> KeyedTable:
 
 
 def run_sale_detail(
-    orders: DataFrame, details: DataFrame, users: Callable[[SparkSession], DataFrame], table: KeyedTable, checkpoint: str,
+    orders: DataFrame, details: DataFrame, users: KeyedTable | Callable[[SparkSession], DataFrame], table: KeyedTable, checkpoint: str,
     as_of: Column | None = None, seconds: int = JOIN_TTL_SECONDS, late: str = "10 seconds", salts: int = SALTS, **how,
 ) -> StreamingQuery:
-    """Match, look users up in the snapshot as it is at each batch, and upsert the wide rows."""
+    """Match, look users up as they are known at each batch, and upsert the wide rows.
+
+    `users` is the table that a stream keeps, of which a batch reads the buckets of its users, or makes users of a session.
+    """
     def save(batch: DataFrame, batch_id: int) -> None:
-        rows = wide(batch, users(batch.sparkSession), as_of, "order_arrived")
-        table.upsert(rows, batch_id)
+        pairs = batch.persist()
+        try:
+            known = users.lookup(pairs, ["user_id"]) if isinstance(users, KeyedTable) else users(batch.sparkSession)
+            table.upsert(wide(pairs, known, as_of, "order_arrived"), batch_id)
+        finally:
+            pairs.unpersist()
 
     return start(matched_pairs(orders, details, seconds, late, salts), save, checkpoint, **how)
