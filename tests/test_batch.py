@@ -10,11 +10,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillwatch.operators.alerts import throttle, window_users
-from tillwatch.functions.text import match_all, match_any
+from tillwatch.functions import text as text_functions
+from tillwatch.functions.text import match_all, match_any, tokens
 from tillwatch.operators.hours import day_against_previous, hour_map
 from tillwatch.operators.joins import full_outer, interval_join, with_users
 from tillwatch.operators.keyed import earliest_per_key, latest_per_key, unseen
 from tillwatch.operators.search import max_score, page, page_after, ranked, scored, word_counts
+from tillwatch.operators import search
 from tillwatch.operators.terms import top_terms
 from tillwatch.plans import coupon_alert, reports
 from tillwatch.plans.change_feed import routed
@@ -452,3 +454,25 @@ def test_day_filter_reaches_the_folders(spark, tmp_path):
     one = on_day(read_table(spark, path), "dt", "2024-01-02")
     assert [r["n"] for r in one.collect()] == [2]
     assert "PartitionFilters: [isnotnull(dt" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pages_are_turned_by_the_token_they_end_with(spark):
+    hits = spark.createDataFrame([(f"d{i}", [3.0, 1.5, 1.5, 0.1 + 0.2][i % 4]) for i in range(23)], "id STRING, score DOUBLE")
+    whole = [tuple(row) for row in hits.orderBy(F.desc("score"), "id").collect()]
+    found, token = [], None
+    while shown := search.next_page(hits, "id", 5, token).collect():
+        assert len(shown) == 5 or len(found) == 20
+        found += [tuple(row) for row in shown]
+        token = search.cursor(shown[-1], "id")
+    assert found == whole
+
+
+def test_words_are_split_alike_with_and_without_signs_of_other_scripts(spark):
+    texts = ["Red plate-2", "  ", "", "Größe ÉTÉ x_y", "红盘 red2盘x", "ひらがな abc", "a\u00a0b", "１２ x"]
+    found = spark.createDataFrame(list(enumerate(texts)), "i INT, t STRING").select("i", tokens(F.lower("t")).alias("w"), F.lower("t").alias("t"))
+    for row in found.collect():
+        assert row["w"] == query_tokens(row["t"])
+
+
+def query_tokens(low):
+    return text_functions._WORD.findall(low)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tillwatch.functions.json import parse
 from tillwatch.operators.alerts import alert_windows, as_documents, over_windows, throttle, users_of_members, window_users
-from tillwatch.plans import coupon_alert
+from tillwatch.plans import coupon_alert, reports
 from tillwatch.plans.daily_active import active_total, bad_logs, daily_active, read_logs
 from tillwatch.plans.order_amount import SALE_MASK, read_orders
 from tillwatch.records import (
@@ -299,6 +299,48 @@ def test_lone_orders_and_details_come_out_after_the_watermark(spark, feed, run,
     assert len(once) == len(set(once)) == 3
 
 
+def test_kept_word_counts_follow_rows_that_come_again(spark, run, rows):
+    """New, re-sent and renamed rows in random batches, one of them run twice, with folds: as if all names were counted."""
+    rng = random.Random(11)
+    schema = "doc_id STRING, sku_name STRING, dt STRING, order_arrived TIMESTAMP"
+    table = KeyedTable(f"{run}/sales", schema, ["doc_id"], ["order_arrived"])
+    names = sale_detail.name_table(f"{run}/names", buckets=4)
+    for batch_id in range(5):
+        data = [(f"d{i}", rng.choice([None, "", "Red plate", "red red ring", "红 plate", "blue"]), rng.choice(["1", "2", None]))
+                for i in rng.sample(range(12), 6)]
+        batch = spark.createDataFrame(data, "doc_id STRING, sku_name STRING, dt STRING").withColumn(
+            "order_arrived", F.timestamp_seconds(F.lit(batch_id)))
+        for _ in range(1 + (batch_id == 3)):
+            sale_detail.count_names(batch, table, names, batch_id)
+            table.upsert(batch, batch_id, unique=True)
+        if batch_id == 2:
+            table.fold(spark, 2)
+            names.fold(spark, 2)
+        for keyword in ("red plate", "红", "none"):
+            want = reports.name_counts(table.read(spark), keyword).where("rows > 0")
+            kept = reports.kept_name_counts(names, spark, keyword).where("rows > 0")
+            assert rows(kept) == rows(want) != []
+    plan = reports.kept_name_counts(names, spark, "red")._jdf.queryExecution().executedPlan().toString()
+    assert "_bucket" in re.search(r"PartitionFilters: \[([^\]]*)\]", plan)[1]
+
+
+def test_a_report_from_kept_counts_reads_no_name_of_another_day(spark, feed, run, rows):
+    orders, details = feed("orders"), feed("details")
+    orders.add(order("1", 0), {**order("2", 0), "create_time": "2024-01-02 10:00:00"})
+    details.add(detail("a", "1", 5), {**detail("b", "2", 5), "sku_name": "red plate"}, {**detail("c", "2", 5), "sku_name": "ring"})
+    orders.add(order("1", 20, "paid"))
+    details.add({**detail("d", "1", 20), "sku_name": "red red plate"})
+    left, right = sale_sides(spark, orders, details)
+    table, names = sale_detail.sale_table(f"{run}/sales"), sale_detail.name_table(f"{run}/names", 4)
+    finish(sale_detail.run_sale_detail(
+        left, right, users_of, table, f"{run}/state", late="10 minutes", names=names, fold_every=2, interval=None))
+    sales = table.read(spark)
+    kept = reports.sale_page(sales, "2024-01-01", "red", 1, 9, reports.kept_name_counts(names, spark, "red"))
+    assert rows(kept, "doc_id", "score") == rows(reports.sale_page(sales, "2024-01-01", "red", 1, 9), "doc_id", "score") != []
+    scans = [line for line in kept._jdf.queryExecution().executedPlan().toString().split("\n") if "sku_name" in line and "FileScan" in line]
+    assert scans and all("2024-01-01" in line for line in scans)
+
+
 # Alerts
 
 

@@ -13,7 +13,7 @@ from tillwatch.operators.alerts import alert_windows, as_documents, over_windows
 from tillwatch.operators.hours import day_against_previous, hour_map
 from tillwatch.operators.joins import interval_join
 from tillwatch.operators.keyed import latest_per_key, unseen
-from tillwatch.operators.search import max_score, page, ranked
+from tillwatch.operators.search import cursor, max_score, next_page, page, ranked, scored
 from tillwatch.operators.terms import terms_of, top_terms
 from tillwatch.plans import change_feed, coupon_alert, daily_active, log_feed, order_amount, reports, sale_detail
 from tillwatch.records import (
@@ -31,8 +31,10 @@ from tillwatch.streaming.run import finish
 # Parameters of the registered queries; the SQL they are checked with uses the same ones.
 AS_OF = "2001-08-01"
 CURVE_DAY = "2024-01-10"
+KEPT_DAY = "1997-05-20"
 REPORT_DAY, REPORT_WORD, REPORT_WORDS = "1998-10-03", "red", "red ring"
 SEARCH = "elle und the"
+PAGED, PAGE_SIZE = "red plate", 40
 JOIN_SECONDS = 300 * 86400
 # Devices of the test data log about twice a day, so windows are days and hours, not seconds.
 WINDOW, SLIDE, PERIOD = "3 days", "6 hours", "1 day"
@@ -451,6 +453,23 @@ def bm25_rank(spark, sf):
     return ranked(shop.table(spark, sf, "documents").select("doc_id", "text"), "text", SEARCH, "doc_id", 20).select("doc_id", "score")
 
 
+@_query
+def search_pages(spark, sf):
+    """All pages of a search, each asked for with the token that the page before it ended with."""
+    parts = shop.table(spark, sf, "part").select("p_partkey", "p_name")
+    hits = kept(scored(parts, "p_name", PAGED).where(match_all(F.col("p_name"), PAGED)))
+    found, token, number = None, None, 1
+    while True:
+        shown = next_page(hits, "p_partkey", PAGE_SIZE, token)
+        rows = shown.select("p_partkey", "score", F.lit(number).alias("page"))
+        found = rows if found is None else found.unionByName(rows)
+        # Only the row that a page ends with comes to the driver.
+        last = shown.orderBy(F.asc("score"), F.desc("p_partkey")).first()
+        if last is None:
+            return found
+        token, number = cursor(last, "p_partkey"), number + 1
+
+
 @_query
 def bm25_max(spark, sf):
     return max_score(shop.table(spark, sf, "documents").select("text"), "text", SEARCH)
@@ -729,6 +748,21 @@ def sale_live_stream(spark, sf):
     return stored.read(spark).drop("order_arrived")
 
 
+@_stream_query
+def sale_report_kept(spark, sf):
+    """The report's page from the tables that the sale stream keeps: sales of that day, and counts of that word."""
+    run = shared_dir(spark, "report")
+    stored = sale_stream_.sale_table(f"{run}/table", by_day=False)
+    names = sale_stream_.name_table(f"{run}/names", buckets=4)
+    finish(sale_stream_.run_sale_detail(
+        _order_records(spark, sf, run), _detail_stream(spark, sf, run), lambda session: _users(session, sf), stored,
+        f"{run}/state", F.lit(AS_OF).cast("timestamp"), JOIN_SECONDS, names=names, fold_every=3, interval=None,
+    ))
+    counts = reports.kept_name_counts(names, spark, REPORT_WORD)
+    rows = reports.sale_page(stored.read(spark), KEPT_DAY, REPORT_WORD, 1, 20, counts)
+    return rows.select("doc_id", "sku_name", "user_gender", "user_age", "score")
+
+
 @_stream_query
 def coverage_stream(spark, sf):
     """Which orders and details found each other in two streams, lone ones once their time is over."""

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tillwatch.catalog import AS_OF, CURVE_DAY, HAN_KEYWORD, HAN_WORDS, JOIN_SECONDS, REPORT_DAY, REPORT_WORD, REPORT_WORDS, SEARCH
+from tillwatch.catalog import (
+    AS_OF, CURVE_DAY, HAN_KEYWORD, HAN_WORDS, JOIN_SECONDS, KEPT_DAY, PAGE_SIZE, PAGED, REPORT_DAY, REPORT_WORD, REPORT_WORDS, SEARCH,
+)
 from tillwatch.records import AGE_LABELS, AGE_TITLE, FEMALE_LABEL, GENDER_TITLE, KPI_NAMES, MALE_LABEL
 
 LOGS = """
@@ -295,6 +297,9 @@ WHERE contains(name, '{HAN_KEYWORD[0]}') OR contains(name, '{HAN_KEYWORD[1]}')""
         "bool_filter": _matching("red plate", "list_has_any").format(extra=", p_type") + " AND p_type = 'ECONOMY'",
         "bm25_rank": f"WITH {_bm25('documents', 'doc_id', 'text', SEARCH)}"
         " SELECT id AS doc_id, score FROM scores ORDER BY score DESC, id LIMIT 20",
+        "search_pages": f"""WITH {_bm25('part', 'p_partkey', 'p_name', PAGED)}
+SELECT id AS p_partkey, score, CAST(1 + (row_number() OVER (ORDER BY score DESC, id) - 1) // {PAGE_SIZE} AS INTEGER) AS page
+FROM scores JOIN bags USING (id) WHERE list_has_all(bag, {PAGED.split()})""",
         "bm25_max": f"WITH {_bm25('documents', 'doc_id', 'text', SEARCH)} SELECT max(score) AS max_score FROM scores",
         "union_index_scan": f"""WITH {USERS}
 SELECT 'part' AS index, '_doc' AS type, CAST(p_partkey AS VARCHAR) AS id, 1.0::DOUBLE AS score,
@@ -340,6 +345,11 @@ SELECT CASE WHEN contains(line, 'startup') THEN 'startup_log' ELSE 'event_log' E
         "sale_stream": sale_pairs,
         "sale_day_stream": sale_pairs,
         "sale_live_stream": sale_pairs,
+        "sale_report_kept": f"""WITH {SALES},
+paired AS (SELECT * FROM sales WHERE abs(epoch_ms(detail_at) - epoch_ms(order_at)) <= {JOIN_SECONDS} * 1000::BIGINT),
+{_bm25('paired', 'doc_id', 'sku_name', REPORT_WORD)}
+SELECT doc_id, sku_name, user_gender, user_age, score FROM paired JOIN scores ON doc_id = id
+WHERE dt = '{KEPT_DAY}' ORDER BY score DESC, doc_id LIMIT 20""",
         "coverage_stream": f"""WITH {ORDERS},{DETAILS},
 ends AS (SELECT least((SELECT max(order_at) FROM o), (SELECT max(detail_at) FROM d)) - INTERVAL 10 SECONDS
                 - {JOIN_SECONDS // 86400} * INTERVAL 1 DAY AS passed),

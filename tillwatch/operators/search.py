@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import base64
+import json
 from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from tillwatch.functions.text import has_word, query_words, tokens
 
@@ -34,6 +36,43 @@ def word_counts(docs: DataFrame, text: str, keyword: str, *by: str) -> DataFrame
     )
 
 
+#: Schema of the counts kept of a collection in parts, such as days: documents with each word, and, under the empty word, all
+#: documents and their words.
+TERMS_DDL = "{by} STRING, word STRING, rows BIGINT, words BIGINT"
+
+
+def term_changes(new: DataFrame, replaced: DataFrame, text: str, by: str) -> DataFrame:
+    """What documents that come in, and those they replace, change in the counts by part and word."""
+    signed = new.select(by, text, F.lit(1).alias("_n")).unionByName(replaced.select(by, text, F.lit(-1).alias("_n")))
+    bags = _lowered(signed, text).select(by, "_n", tokens(F.col("_low")).alias("_bag"))
+    whole = F.array(F.struct(F.lit("").alias("word"), F.size("_bag").alias("size")))
+    each = F.transform(F.array_distinct("_bag"), lambda word: F.struct(word.alias("word"), F.lit(0).alias("size")))
+    counted = bags.select(by, "_n", F.explode(F.concat(whole, each)).alias("_term")).groupBy(by, F.col("_term.word").alias("word")).agg(
+        F.sum("_n").cast("bigint").alias("rows"), F.sum(F.col("_n") * F.col("_term.size")).cast("bigint").alias("words"))
+    return counted.where("rows <> 0 OR words <> 0")
+
+
+def added_up(changes: DataFrame, known: DataFrame, by: str) -> DataFrame:
+    """The counts after `changes`, of the parts and words that change."""
+    before = known.select(F.col(by).alias("_by"), F.col("word").alias("_word"), F.col("rows").alias("_rows"), F.col("words").alias("_words"))
+    same = F.col(by).eqNullSafe(F.col("_by")) & (F.col("word") == F.col("_word"))
+    return changes.join(before, same, "left").select(
+        by, "word", (F.col("rows") + F.coalesce("_rows", F.lit(0))).alias("rows"),
+        (F.col("words") + F.coalesce("_words", F.lit(0))).alias("words"))
+
+
+def kept_word_counts(terms: DataFrame, keyword: str, by: str) -> DataFrame:
+    """`word_counts` from kept counts, of which only the rows of the keyword's words and the empty word are read."""
+    words = query_words(keyword)
+
+    def of(word: str, column: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("word") == word, F.col(column))), F.lit(0))
+
+    return terms.where(F.col("word").isin("", *words)).groupBy(by).agg(
+        of("", "rows").alias("rows"), of("", "words").alias("words"),
+        *[of(word, "rows").alias(f"df{i}") for i, word in enumerate(words)])
+
+
 def scored(docs: DataFrame, text: str, keyword: str, digits: int = 6, counts: DataFrame | None = None) -> DataFrame:
     """Rows of `docs` that hold a word of `keyword`, with their BM25 `score`.
 
@@ -95,6 +134,17 @@ def page_after(hits: DataFrame, id_column: str, size: int, score: float | None =
     return hits.orderBy(F.desc("score"), F.asc(id_column)).limit(size)
 
 
+def cursor(row: Row, id_column: str) -> str:
+    """Where a page ended, as a token that the next page is asked for with."""
+    return base64.urlsafe_b64encode(json.dumps([row["score"], row[id_column]]).encode()).decode()
+
+
+def next_page(hits: DataFrame, id_column: str, size: int, token: str | None = None) -> DataFrame:
+    """The page after the one that ended at `token`; the first page without it."""
+    score, last_id = json.loads(base64.urlsafe_b64decode(token)) if token else (None, None)
+    return page_after(hits, id_column, size, score, last_id)
+
+
 def page(df: DataFrame, order: Sequence[str | Column], number: int, size: int) -> DataFrame:
     """Page `number` (from 1) of `size` rows in a total order, each with the `total` of all rows.
 

@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillwatch.functions.shares import remainder, share
-from tillwatch.functions.text import match_all
+from tillwatch.functions.text import match_all, query_words
 from tillwatch.operators.hours import hour_map
-from tillwatch.operators.search import scored, word_counts
+from tillwatch.operators.search import kept_word_counts, scored, word_counts
 from tillwatch.plans.daily_active import active_hourly, active_total, new_devices
 from tillwatch.plans.order_amount import amount_hourly, amount_total
 from tillwatch.records import (
     AGE_LABELS, AGE_TITLE, DEFAULT_REPORT_DATE, FEMALE_LABEL, GENDER_TITLE, KPI_NAMES, MALE_LABEL,
 )
+from tillwatch.sources.keyed_table import KeyedTable
 from tillwatch.sources.tables import on_day
 
 
@@ -126,10 +127,16 @@ def name_counts(sales: DataFrame, keyword: str) -> DataFrame:
     return word_counts(sales, "sku_name", keyword, "dt")
 
 
+def kept_name_counts(names: KeyedTable, spark: SparkSession, keyword: str) -> DataFrame:
+    """`name_counts` from the table that the sale stream keeps; only the buckets of the keyword's words are read."""
+    asked = spark.range(1).select(F.explode(F.array(F.lit(""), *map(F.lit, query_words(keyword)))).alias("word"))
+    return kept_word_counts(names.lookup(asked, ["word"], joined=False), keyword, "dt")
+
+
 def sale_page(sales: DataFrame, day: str, keyword: str, number: int, size: int, counts: DataFrame | None = None) -> DataFrame:
     """Page `number` (from 1) of the hits, best score first, ties by id.
 
-    Scores use the word counts of all sales, as the day only filters. `counts` are those kept per day (`name_counts`);
+    Scores use the word counts of all sales, as the day only filters. `counts` are those kept per day (`kept_name_counts`);
     without them the names of all days are counted here.
     """
     counts = name_counts(sales, keyword) if counts is None else counts

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillwatch.operators.joins import within
+from tillwatch.operators.keyed import latest_per_key
+from tillwatch.operators.search import TERMS_DDL, added_up, term_changes
 from tillwatch.plans.sale_detail import detail_side, order_side, wide
 from tillwatch.records import JOIN_TTL_SECONDS, SALE_DETAIL_DDL
 from tillwatch.sources.keyed_table import KeyedTable
@@ -82,20 +84,54 @@ def sale_table(path: str, by_day: bool = True) -> KeyedTable:
     return KeyedTable(path, schema, ["doc_id"], ["order_arrived"], ["dt"] if by_day else [])
 
 
+def name_table(path: str, buckets: int = 16) -> KeyedTable:
+    """Word counts of the article names by day and word, cut by word, beside the sale table."""
+    return KeyedTable(path, TERMS_DDL.format(by="dt"), ["dt", "word"], [], buckets=buckets, bucket_by=["word"])
+
+
+def count_names(rows: DataFrame, table: KeyedTable, names: KeyedTable, batch_id: int) -> None:
+    """Bring the word counts of `names` up to date with a batch of sale rows, one for each id.
+
+    Rows that the batch replaces are taken out. Both tables are read as they stood before the batch, so one that runs
+    again writes the same counts again.
+    """
+    keys = F.lit(True)
+    for name in table.keys:
+        keys = keys & F.col(f"old.{name}").eqNullSafe(F.col(f"new.{name}"))
+    before = table.read(rows.sparkSession, joined=True, before=batch_id)
+    replaced = before.alias("old").join(rows.select(*table.keys).alias("new"), keys, "left_semi")
+    changes = term_changes(rows, replaced, "sku_name", "dt").persist()
+    try:
+        names.upsert(added_up(changes, names.lookup(changes, ["word"], before=batch_id), "dt"), batch_id, unique=True)
+    finally:
+        changes.unpersist()
+
+
 def run_sale_detail(
     orders: DataFrame, details: DataFrame, users: KeyedTable | Callable[[SparkSession], DataFrame], table: KeyedTable, checkpoint: str,
-    as_of: Column | None = None, seconds: int = JOIN_TTL_SECONDS, late: str = "10 seconds", salts: int = SALTS, **how,
+    as_of: Column | None = None, seconds: int = JOIN_TTL_SECONDS, late: str = "10 seconds", salts: int = SALTS,
+    names: KeyedTable | None = None, fold_every: int | None = None, **how,
 ) -> StreamingQuery:
     """Match, look users up as they are known at each batch, and upsert the wide rows.
 
     `users` is the table that a stream keeps, of which a batch reads the buckets of its users, or makes users of a session.
+    With `names`, the word counts that reports rank by are kept, too. Every `fold_every` batches the tables are folded.
     """
     def save(batch: DataFrame, batch_id: int) -> None:
         pairs = batch.persist()
         try:
             known = users.lookup(pairs, ["user_id"]) if isinstance(users, KeyedTable) else users(batch.sparkSession)
-            table.upsert(wide(pairs, known, as_of, "order_arrived"), batch_id)
+            rows = wide(pairs, known, as_of, "order_arrived")
+            if names:
+                rows = latest_per_key(rows, table.keys, table.order).persist()
+                count_names(rows, table, names, batch_id)
+            table.upsert(rows, batch_id, unique=names is not None)
+            if names:
+                rows.unpersist()
         finally:
             pairs.unpersist()
+        if fold_every and (batch_id + 1) % fold_every == 0:
+            for kept in filter(None, (table, names)):
+                kept.fold(batch.sparkSession, batch_id)
 
     return start(matched_pairs(orders, details, seconds, late, salts), save, checkpoint, **how)
