@@ -113,6 +113,21 @@ def over_windows(members: DataFrame, window_seconds: int, slide_seconds: int) ->
     }).drop("_back")
 
 
+def users_over_windows(members: DataFrame, window_seconds: int, slide_seconds: int, kinds: tuple[str, str] = KINDS) -> DataFrame:
+    """`window_users` of all windows from members counted per slide, each user of a slide once."""
+    each = over_windows(users_of_members(members, kinds), window_seconds, slide_seconds)
+    return each.groupBy("window_start", "window_end", "mid", "uid").agg(F.max("took").alias("took"), F.max("browsed").alias("browsed"))
+
+
+def members_of_slides(alerts: DataFrame, members: DataFrame, slide_seconds: int) -> DataFrame:
+    """The members of each alert from those counted per slide, which meet by equality on (device, slide)."""
+    first, last = F.unix_seconds("window_start"), F.unix_seconds("window_end")
+    slides = F.sequence(first, last - slide_seconds, F.lit(slide_seconds).cast("bigint"))
+    spans = alerts.select(*_ALERT, F.explode(slides).alias("_slide"))
+    at = members.select(F.col("mid").alias("_mid"), "ts", "evid", "uid", "itemid", "n", F.unix_seconds("window_start").alias("_at"))
+    return at.join(spans, (F.col("mid") == F.col("_mid")) & (F.col("_at") == F.col("_slide")), "inner").drop("_mid", "_at", "_slide")
+
+
 def alert_headers(members: DataFrame, kinds: tuple[str, str] = KINDS) -> DataFrame:
     """One row per alert, from its members: how many users and items took coupons, how many events, and its time."""
     coupon = F.col("evid") == kinds[0]
