@@ -485,11 +485,12 @@ def test_writing_a_batch_again_leaves_one_copy(spark, run):
 
 
 def test_rows_per_batch(spark, feed, run, rows):
-    source = feed("any")
+    source = feed("logs")
     source.add("a", "b")
     source.add("c")
-    finish(routers.run_batch_counts(source.lines(spark), f"{run}/counts", f"{run}/state", interval=None))
-    assert rows(spark.read.parquet(f"{run}/counts"), "batch_id", "n") == [(0, 2), (1, 1)]
+    query = finish(routers.run_batch_counts(source.lines(spark), f"{run}/rows", f"{run}/state", interval=None))
+    assert rows(routers.batch_counts(query, spark)) == [(0, 2), (1, 1)]
+    assert rows(spark.read.parquet(f"{run}/rows"), "value") == [("a",), ("b",), ("c",)]
 
 
 def test_console_and_file_streams_are_set_up(spark, run):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillwatch.functions.json import parse, row_json
@@ -17,16 +18,16 @@ from tillwatch.operators.search import cursor, max_score, next_page, page, ranke
 from tillwatch.operators.terms import terms_of, top_terms
 from tillwatch.plans import change_feed, coupon_alert, daily_active, log_feed, order_amount, reports, sale_detail
 from tillwatch.records import (
-    DETAIL_RECORD, EVENT_LOG, ORDER_DETAIL, ORDER_INFO, STARTUP_LOG, USER_INFO, USER_RECORD,
+    BATCH_INTERVAL, DETAIL_RECORD, EVENT_LOG, ORDER_DETAIL, ORDER_INFO, STARTUP_LOG, USER_INFO, USER_RECORD,
 )
 from tillwatch.session import kept, prepare, shared_dir, stream_session
 from tillwatch.sources import shop_tables as shop
-from tillwatch.sources.keyed_table import KeyedTable
+from tillwatch.sources.keyed_table import KeyedTable, one_document
 from tillwatch.sources.tables import hit_json, scan_all, union_all
-from tillwatch.sources.topics import of_topic, read_topics
+from tillwatch.sources.topics import of_topic, read_files, read_topics
 from tillwatch.streaming import coupon_alert as alert_stream_, daily_active as active_stream, orders as order_stream
 from tillwatch.streaming import routers, sale_detail as sale_stream_
-from tillwatch.streaming.run import finish
+from tillwatch.streaming.run import drain, finish
 
 # Parameters of the registered queries; the SQL they are checked with uses the same ones.
 AS_OF = "2001-08-01"
@@ -810,8 +811,55 @@ def alert_store_stream(spark, sf):
 
 @_stream_query
 def batch_counts(spark, sf):
-    """Rows per micro-batch, added up."""
+    """Rows per micro-batch, as the stream's progress tells them, and added up."""
     run = shared_dir(spark, "counts")
-    rows = shop.table_stream(spark, sf, "events", shop.EVENTS_DDL)
-    finish(routers.run_batch_counts(rows, f"{run}/counts", f"{run}/state", interval=None))
-    return spark.read.parquet(f"{run}/counts").agg(F.sum("n").alias("n_rows"))
+    rows = shop.sliced_stream(spark, sf, "events", shop.EVENTS_DDL, "ts", f"{run}/events")
+    query = finish(routers.run_batch_counts(rows, f"{run}/rows", f"{run}/state", interval=None))
+    return routers.batch_counts(query, spark).agg(F.sum("n").alias("n_rows"))
+
+
+@_stream_query
+def recovered_stream(spark, sf):
+    """Orders kept by a stream whose writer is lost after its third batch is written, and that starts again from its checkpoint."""
+    run = shared_dir(spark, "recovered")
+    stored = order_stream.order_table(f"{run}/table", by_day=False)
+    orders = _order_records(spark, sf, run)
+
+    class LosesOne:
+        def upsert(self, rows: DataFrame, batch_id: int) -> None:
+            stored.upsert(rows, batch_id)
+            if batch_id == 2:
+                raise RuntimeError("lost")
+
+    try:
+        finish(order_stream.run_upserts(orders, LosesOne(), f"{run}/state", interval=None))
+    except StreamingQueryException as lost:
+        if "lost" not in str(lost):
+            raise
+    finish(order_stream.run_upserts(orders, stored, f"{run}/state", interval=None))
+    return order_amount.amount_total(stored.read(spark))
+
+
+@_stream_query
+def paced_stream(spark, sf):
+    """Orders kept by a stream on its interval, which is stopped once all is read."""
+    run = shared_dir(spark, "paced")
+    stored = order_stream.order_table(f"{run}/table", by_day=False)
+    drain(order_stream.run_upserts(_order_records(spark, sf, run), stored, f"{run}/state", interval=BATCH_INTERVAL))
+    return order_amount.amount_total(stored.read(spark))
+
+
+@_stream_query
+def posted_lines_stream(spark, sf):
+    """Lines posted as text files through the router, by topic, with the document of the last batch upserted by itself."""
+    run = shared_dir(spark, "posted")
+    lines = shop.log_lines(shop.table(spark, sf, "events"))
+    lines.select("value").repartition(4).write.text(f"{run}/posted")
+    posted = read_files(spark, f"{run}/posted", "value STRING", "text", most=2)
+    finish(routers.run_log_router(posted, F.lit(0).cast("bigint"), f"{run}/topics", f"{run}/raw", f"{run}/state", interval=None))
+    topics = KeyedTable(f"{run}/topics-table", "doc_id STRING, topic STRING, n BIGINT", ["doc_id"], [])
+    counts = spark.read.text(f"{run}/topics").groupBy("topic").count().collect()
+    for batch_id, row in enumerate([*counts, *counts]):
+        one = {"topic": row["topic"], "n": row["count"]}
+        topics.upsert(one_document(spark, one, row["topic"], "topic STRING, n BIGINT"), batch_id)
+    return topics.read(spark).select("topic", "n")

@@ -361,4 +361,8 @@ UNION ALL SELECT order_id, id, 'detail only' FROM d, ends WHERE detail_at < pass
         "raw_log_stream": f"WITH {LINES} SELECT logDate AS dt, line AS value FROM lines",
         "alert_stream": alert_rows,
         "batch_counts": "SELECT count(*) AS n_rows FROM events",
+        "recovered_stream": amount_by_day,
+        "paced_stream": amount_by_day,
+        "posted_lines_stream": f"""WITH {LINES}
+SELECT CASE WHEN contains(line, 'startup') THEN 'startup_log' ELSE 'event_log' END AS topic, count(*) AS n FROM lines GROUP BY 1""",
     }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillwatch.plans.change_feed import routed
@@ -47,10 +47,21 @@ def run_bad_lines(bad: DataFrame, path: str, checkpoint: str, **how) -> Streamin
     return start(bad.where(F.col("value").isNotNull()), save, checkpoint, **how)
 
 
+def counted(rows: DataFrame, name: str = "rows") -> DataFrame:
+    """The rows, counted on their way to whatever the stream does with them: no job of its own counts a batch."""
+    return rows.observe(name, F.count(F.lit(1)).alias("n"))
+
+
+def batch_counts(query: StreamingQuery, spark: SparkSession, name: str = "rows") -> DataFrame:
+    """batch_id and n, the rows of each micro-batch of a `counted` stream, as far back as the session keeps its progress
+    (spark.sql.streaming.numRecentProgressUpdates)."""
+    found = {own.batchId: own.observedMetrics[name]["n"] for own in query.recentProgress if name in own.observedMetrics}
+    return spark.createDataFrame(list(found.items()), "batch_id BIGINT, n BIGINT")
+
+
 def run_batch_counts(rows: DataFrame, path: str, checkpoint: str, **how) -> StreamingQuery:
-    """Store how many rows each micro-batch had."""
+    """Append the lines of each micro-batch to a folder, and count them on the way (`batch_counts`)."""
     def save(batch: DataFrame, batch_id: int) -> None:
-        count = batch.agg(F.count("*").alias("n")).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        count.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    return start(rows, save, checkpoint, **how)
+    return start(counted(rows), save, checkpoint, **how)

@@ -56,3 +56,13 @@ def finish(query: StreamingQuery) -> StreamingQuery:
     query.awaitTermination()
     last_batches[:] = [(own.numInputRows, own.batchDuration / 1000) for own in query.recentProgress]
     return query
+
+
+def drain(query: StreamingQuery) -> StreamingQuery:
+    """Let a stream with an interval read all there is at its own pace, then stop it; its failure is raised here."""
+    try:
+        query.processAllAvailable()
+        last_batches[:] = [(own.numInputRows, own.batchDuration / 1000) for own in query.recentProgress]
+    finally:
+        query.stop()
+    return query
