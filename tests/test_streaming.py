@@ -26,6 +26,7 @@ from tillwatch.streaming import coupon_alert as alerts
 from tillwatch.streaming import daily_active as active
 from tillwatch.streaming import orders as order_streams
 from tillwatch.streaming import routers, sale_detail
+from tillwatch.streaming.late import run_split_late
 from tillwatch.streaming.run import finish, start
 from test_batch import DAY, HOUR, MINUTE, T0, change, random_events
 
@@ -493,6 +494,35 @@ def test_rows_per_batch(spark, feed, run, rows):
     assert rows(spark.read.parquet(f"{run}/rows"), "value") == [("a",), ("b",), ("c",)]
 
 
+def test_rows_behind_the_watermark_are_set_aside(spark, feed, run, rows):
+    """What a stream of windows drops is what is set aside, batch by batch, also where a batch runs again."""
+    rng = random.Random(12)
+    source = feed("logs")
+    for part in range(5):
+        source.add(*[{"type": "event", "mid": f"m{rng.randrange(4)}", "evid": str(n), "ts": T0 + part * HOUR + rng.randrange(-4 * HOUR, HOUR)}
+                     for n in range(part * 30, part * 30 + 30)])
+    logs = event_rows(source.lines(spark))
+    table = alerts.member_table(f"{run}/t")
+    def split(rows):
+        return finish(run_split_late(rows, f"{run}/split", f"{run}/split-state", "10 minutes", "20 minutes", interval=None))
+
+    split(logs)
+    kept, late = (rows(spark.read.parquet(f"{run}/split/{part}"), "evid") for part in ("kept", "late"))
+    assert sorted(kept + late) == sorted((str(n),) for n in range(150))
+    newest, want = None, []
+    for part in range(5):
+        batch = [json.loads(line) for line in (source.path / f"{part + 1:04d}.txt").read_text().splitlines()]
+        want += [(row["evid"],) for row in batch if newest and (row["ts"] // (10 * MINUTE) + 1) * 10 * MINUTE + 20 * MINUTE <= newest]
+        newest = max([newest or 0, *(row["ts"] for row in batch)])
+    assert late == sorted(want, key=repr) and 20 < len(late) < 130
+    # A stream of windows over what is kept drops nothing, read a batch at a time.
+    ddl = ", ".join(f"`{own.name}` {own.dataType.simpleString()}" for own in logs.schema)
+    on_time = read_files(spark, f"{run}/split/kept", ddl, most=1)
+    query = finish(alerts.run_member_replay(on_time, table, f"{run}/state", "10 minutes", "20 minutes"))
+    assert sum(o["numRowsDroppedByWatermark"] for p in query.recentProgress for o in p["stateOperators"]) == 0
+    assert rows(table.read(spark), "evid") == kept
+
+
 def test_console_and_file_streams_are_set_up(spark, run):
     spark.range(4).withColumn("v", F.lit("x")).write.parquet(f"{run}/in")
     stream = read_files(spark, f"{run}/in", "id BIGINT, v STRING", most=1)

@@ -27,6 +27,7 @@ from tillwatch.sources.tables import hit_json, scan_all, union_all
 from tillwatch.sources.topics import of_topic, read_files, read_topics
 from tillwatch.streaming import coupon_alert as alert_stream_, daily_active as active_stream, orders as order_stream
 from tillwatch.streaming import routers, sale_detail as sale_stream_
+from tillwatch.streaming.late import run_split_late
 from tillwatch.streaming.run import drain, finish
 
 # Parameters of the registered queries; the SQL they are checked with uses the same ones.
@@ -40,6 +41,7 @@ JOIN_SECONDS = 300 * 86400
 # Devices of the test data log about twice a day, so windows are days and hours, not seconds.
 WINDOW, SLIDE, PERIOD = "3 days", "6 hours", "1 day"
 ALERT_LATE = "1 hour"
+DELIVERED = "2024-01-30 23:00:00"
 WINDOW_SECONDS, SLIDE_SECONDS = 3 * 86400, 6 * 3600
 _SECOND = "yyyy-MM-dd HH:mm:ss"
 
@@ -818,6 +820,21 @@ def batch_counts(spark, sf):
     return routers.batch_counts(query, spark).agg(F.sum("n").alias("n_rows"))
 
 
+@_stream_query
+def late_rows_stream(spark, sf):
+    """Events of which every tenth is delivered with the last ones: those in hours still open, and those set aside as late."""
+    run = shared_dir(spark, "late")
+    delivered = F.when(F.col("event_id") % 10 == 0, F.lit(DELIVERED).cast("timestamp")).otherwise(F.col("ts").cast("timestamp"))
+    events = shop.logs(shop.sliced_stream(spark, sf, "events", shop.EVENTS_DDL, delivered, f"{run}/events"))
+    finish(run_split_late(events, f"{run}/split", f"{run}/split-state", "1 hour", ALERT_LATE, interval=None))
+    hours = alert_stream_.member_table(f"{run}/hours")
+    on_time = read_files(spark, f"{run}/split/kept", ", ".join(f"`{own.name}` {own.dataType.simpleString()}" for own in events.schema))
+    finish(alert_stream_.run_member_replay(on_time, hours, f"{run}/state", "1 hour", ALERT_LATE))
+    kept_rows = hours.read(spark).select(F.lit("kept").alias("part"), "mid", "n")
+    late = spark.read.parquet(f"{run}/split/late").select(F.lit("late").alias("part"), "mid", F.lit(1).cast("bigint").alias("n"))
+    return kept_rows.unionByName(late).groupBy("part", "mid").agg(F.sum("n").alias("n"))
+
+
 @_stream_query
 def recovered_stream(spark, sf):
     """Orders kept by a stream whose writer is lost after its third batch is written, and that starts again from its checkpoint."""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tillwatch.catalog import (
-    AS_OF, CURVE_DAY, HAN_KEYWORD, HAN_WORDS, JOIN_SECONDS, KEPT_DAY, PAGE_SIZE, PAGED, REPORT_DAY, REPORT_WORD, REPORT_WORDS, SEARCH,
+    AS_OF, CURVE_DAY, DELIVERED, HAN_KEYWORD, HAN_WORDS, JOIN_SECONDS, KEPT_DAY, PAGE_SIZE, PAGED, REPORT_DAY, REPORT_WORD, REPORT_WORDS, SEARCH,
 )
 from tillwatch.records import AGE_LABELS, AGE_TITLE, FEMALE_LABEL, GENDER_TITLE, KPI_NAMES, MALE_LABEL
 
@@ -361,6 +361,14 @@ UNION ALL SELECT order_id, id, 'detail only' FROM d, ends WHERE detail_at < pass
         "raw_log_stream": f"WITH {LINES} SELECT logDate AS dt, line AS value FROM lines",
         "alert_stream": alert_rows,
         "batch_counts": "SELECT count(*) AS n_rows FROM events",
+        "late_rows_stream": f"""WITH {LOGS},
+sent AS (SELECT *, CASE WHEN event_id % 10 = 0 THEN TIMESTAMP '{DELIVERED}' ELSE event_at END AS sent_at FROM logs),
+bounds AS (SELECT floor(epoch(min(sent_at))) AS first, floor(epoch(max(sent_at))) AS last FROM sent),
+sliced AS (SELECT *, floor((floor(epoch(sent_at)) - first) * 4 / (last - first + 1)) AS slice FROM sent, bounds),
+parts AS (SELECT mid, CASE WHEN date_trunc('hour', event_at) + INTERVAL 1 HOUR + INTERVAL 1 HOUR
+                 <= (SELECT max(b.event_at) FROM sliced b WHERE b.slice < a.slice) THEN 'late' ELSE 'kept' END AS part
+          FROM sliced a)
+SELECT part, mid, count(*) AS n FROM parts GROUP BY part, mid""",
         "recovered_stream": amount_by_day,
         "paced_stream": amount_by_day,
         "posted_lines_stream": f"""WITH {LINES}

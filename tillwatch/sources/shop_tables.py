@@ -32,10 +32,10 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, ddl: str) -> DataF
     return spark.readStream.schema(ddl).parquet(f"{sf_dir}/{name[:-1]}[{name[-1]}].parquet")
 
 
-def sliced_stream(spark: SparkSession, sf_dir: str, name: str, ddl: str, time: str, where: str, slices: int = 4) -> DataFrame:
+def sliced_stream(spark: SparkSession, sf_dir: str, name: str, ddl: str, time: str | Column, where: str, slices: int = 4) -> DataFrame:
     """A table as a stream of several micro-batches: all its rows, cut by time into folders written one after another."""
     rows = table(spark, sf_dir, name)
-    at = F.unix_seconds(F.col(time).cast("timestamp"))
+    at = F.unix_seconds((F.col(time) if isinstance(time, str) else time).cast("timestamp"))
     ends = rows.agg(F.min(at).alias("first"), F.max(at).alias("last")).first()
     span = max(1, (ends["last"] or 0) - (ends["first"] or 0) + 1)
     slice_of = F.coalesce(F.call_function("div", (at - F.lit(ends["first"] or 0)) * slices, F.lit(span)), F.lit(0))
