@@ -3,6 +3,7 @@ from __future__ import annotations
 import base64
 import bz2
 import gzip
+import random
 import re
 import zlib
 from urllib.parse import quote
@@ -113,3 +114,40 @@ def test_rows(spark):
     assert found[1] == found[None] == "" and found[2**62 + 1] == "assign:0:20"
     assert found[2] == "assign:0:49,hex:9:49"
     assert secret_scan.scan(docs).count() == 5 and secret_scan.report(docs.limit(0)).count() == 0
+
+
+def test_a_long_text_with_some_encoded_letters_is_held_in_pieces():
+    import tracemalloc
+
+    text = "plain words and %41 more " * 3 + "filler text " * 400_000 + "pass%77ord=%68unter2hunter2 \\u0070assword: hunter2hunter2"
+    tracemalloc.start()
+    found = secret_scan.all_spans(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    start, other = text.index("pass%77ord"), text.index("\\u0070assword")
+    assert ("decoded_assign", start, start + len("pass%77ord=%68unter2hunter2")) in found
+    assert ("decoded_assign", other, len(text)) in found
+    # A few copies of the 5 MB, as layers are made and lower-cased.
+    assert peak < 60 << 20
+
+
+def test_places_like_a_span_for_each_letter():
+    chance = random.Random(5)
+    for _ in range(300):
+        layer, spans = secret_scan.Layer("x" * 30, None), [(at, at + 1) for at in range(30)]
+        for _ in range(3):
+            places, own, at = secret_scan.Places(), [], 0
+            while at < len(spans):
+                width = min(chance.randrange(1, 6), len(spans) - at)
+                if chance.random() < 0.5:
+                    places.add_from(layer, at, at + width)
+                    own += spans[at:at + width]
+                else:
+                    places.add(1, *layer.place(at, at + width))
+                    own.append((spans[at][0], spans[at + width - 1][1]))
+                at += width
+            layer, spans = secret_scan.Layer("x" * len(own), places), own
+        for _ in range(20):
+            start = chance.randrange(len(spans))
+            end = chance.randrange(start, len(spans)) + 1
+            assert layer.place(start, end) == (spans[start][0], spans[end - 1][1])

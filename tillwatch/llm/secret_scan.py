@@ -22,6 +22,8 @@ import bz2
 import hashlib
 import re
 import zlib
+from array import array
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -58,20 +60,63 @@ _PIECE_BYTES = 256
 _TO_STANDARD = str.maketrans("-_", "+/")
 
 
+class Places:
+    """Where the letters of a layer stand in the source, piece by piece.
+
+    A piece is a run of letters that stand there as they are, or one letter with the span it was decoded from; so a layer
+    takes 24 bytes for each of its decoded letters and runs between them, not for each letter.
+    """
+
+    def __init__(self) -> None:
+        self.at, self.first, self.last, self.size = array("q"), array("q"), array("q"), 0
+
+    def add(self, size: int, first: int, last: int) -> None:
+        if size <= 0:
+            return
+        if self.at and size == last - first and self.last[-1] == first and self.size - self.at[-1] == first - self.first[-1]:
+            self.last[-1] = last
+        else:
+            self.at.append(self.size)
+            self.first.append(first)
+            self.last.append(last)
+        self.size += size
+
+    def pieces(self, start: int, end: int) -> Iterator[tuple[int, int, int]]:
+        """(size, first, last) of the pieces of the letters from `start` to `end`."""
+        number = bisect_right(self.at, start) - 1
+        while start < end:
+            at, first, last = self.at[number], self.first[number], self.last[number]
+            until = self.at[number + 1] if number + 1 < len(self.at) else self.size
+            stop = min(end, until)
+            if until - at == last - first:
+                yield stop - start, first + start - at, first + stop - at
+            else:
+                yield stop - start, first, last
+            start, number = stop, number + 1
+
+    def add_from(self, layer: Layer, start: int, end: int) -> None:
+        if layer.places is None:
+            self.add(end - start, start, end)
+        else:
+            for piece in layer.places.pieces(start, end):
+                self.add(*piece)
+
+    def span(self, start: int, end: int) -> tuple[int, int]:
+        first = next(self.pieces(start, start + 1))[1]
+        return first, next(self.pieces(end - 1, end))[2]
+
+
 @dataclass
 class Layer:
-    """A text and where it stands in the source: `places` has a span per character, or one span for all of them."""
+    """A text and where it stands in the source: letter by letter, or one span for all of them; None for the source."""
 
     text: str
-    places: list[tuple[int, int]] | tuple[int, int] | None
+    places: Places | tuple[int, int] | None
 
     def place(self, start: int, end: int) -> tuple[int, int]:
         if self.places is None:
             return start, end
-        if isinstance(self.places, tuple):
-            return self.places
-        own = self.places[start:end]
-        return min(first for first, _ in own), max(last for _, last in own)
+        return self.places if isinstance(self.places, tuple) else self.places.span(start, end)
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -176,52 +221,53 @@ def _wrapped(text: str, run: re.Match) -> tuple[list[str], int]:
 
 def _replaced(layer: Layer, pattern: re.Pattern, decoded) -> Iterator[Layer]:
     """The whole layer with its encoded runs decoded, as what names a secret may stand outside the run."""
-    parts, places, at = [], [], 0
+    parts, at = [], 0
     whole = isinstance(layer.places, tuple)  # all letters stand at the same place
+    places = layer.places if whole else Places()
     for run in pattern.finditer(layer.text):
         start, end = run.span()
-        pieces = decoded(run[0])
         parts.append(layer.text[at:start])
-        parts += [letter for letter, _, _ in pieces]
         if not whole:
-            places += [layer.place(i, i + 1) for i in range(at, start)]
-            places += [layer.place(start + first, start + last) for _, first, last in pieces]
+            places.add_from(layer, at, start)
+        letters = []
+        for letter, first, last in decoded(run[0]):
+            letters.append(letter)
+            if not whole:
+                places.add(1, *layer.place(start + first, start + last))
+        parts.append("".join(letters))
         at = end
     if parts:
         parts.append(layer.text[at:])
         if not whole:
-            places += [layer.place(i, i + 1) for i in range(at, len(layer.text))]
-        yield Layer("".join(parts), layer.places if whole else places)
+            places.add_from(layer, at, len(layer.text))
+        yield Layer("".join(parts), places)
 
 
-def _percent_decoded(run: str) -> list[tuple[str, int, int]]:
+def _percent_decoded(run: str) -> Iterator[tuple[str, int, int]]:
     """The letters of a run; a byte that is no UTF-8 is a letter by itself, by Latin-1."""
-    pieces, at = [], 0
+    at = 0
     for letter in bytes.fromhex(run.replace("%", "")).decode("utf-8", "surrogateescape"):
         stray = "\udc80" <= letter <= "\udcff"
         width = 3 if stray else 3 * len(letter.encode("utf-8"))
-        pieces.append((chr(ord(letter) - 0xDC00) if stray else letter, at, at + width))
+        yield chr(ord(letter) - 0xDC00) if stray else letter, at, at + width
         at += width
-    return pieces
 
 
-def _unescaped(run: str) -> list[tuple[str, int, int]]:
+def _unescaped(run: str) -> Iterator[tuple[str, int, int]]:
     """The letters of a run; a surrogate without its other half is a letter that stands for none."""
-    units, at = [], 0
-    while at < len(run):
+    def unit(at: int) -> tuple[int, int]:
         width = 6 if run[at + 1] == "u" else 4
-        units.append((int(run[at + 2:at + width], 16), at, at + width))
-        at += width
-    pieces, i = [], 0
-    while i < len(units):
-        code, first, last = units[i]
-        if 0xD800 <= code < 0xDC00 and i + 1 < len(units) and 0xDC00 <= units[i + 1][0] < 0xE000:
-            code = 0x10000 + ((code - 0xD800) << 10) + units[i + 1][0] - 0xDC00
-            last = units[i + 1][2]
-            i += 1
-        pieces.append(("\ufffd" if 0xD800 <= code < 0xE000 else chr(code), first, last))
-        i += 1
-    return pieces
+        return int(run[at + 2:at + width], 16), at + width
+
+    at = 0
+    while at < len(run):
+        code, end = unit(at)
+        if 0xD800 <= code < 0xDC00 and end < len(run):
+            low, after = unit(end)
+            if 0xDC00 <= low < 0xE000:
+                code, end = 0x10000 + ((code - 0xD800) << 10) + low - 0xDC00, after
+        yield "\ufffd" if 0xD800 <= code < 0xE000 else chr(code), at, end
+        at = end
 
 
 def _base64_texts(run: str) -> Iterator[str | None]:
