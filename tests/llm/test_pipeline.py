@@ -79,6 +79,10 @@ def documents():
     return rows
 
 
+def placed(row):
+    return hashlib.md5(f"{row[0]}/{hashlib.md5(row[1].encode()).hexdigest()}".encode()).hexdigest()
+
+
 def plain_pipeline(rows):
     rows = [own for own in rows if judged(own[1])["kept"]]
     smallest = {doc_id: component for doc_id, _, component in groups_of([own[:2] for own in rows])}
@@ -89,7 +93,7 @@ def plain_pipeline(rows):
     targets = water_filled(sizes)
     for source in sizes:
         at = 0
-        for doc_id, text, own in sorted(rows, key=lambda own: hashlib.md5(str(own[0]).encode()).hexdigest()):
+        for doc_id, text, own in sorted(rows, key=placed):
             if own != source:
                 continue
             size = len(WORD.findall(text))

@@ -193,7 +193,8 @@ select query_id, rank::int as rank, vec_id, score from (
 
 _OP8 = rf"""
 with sized as (
-    select doc_id, source, len({_WORDS})::hugeint as size, md5(coalesce(doc_id::varchar, '')) as place from documents
+    select doc_id, source, len({_WORDS})::hugeint as size,
+        md5(coalesce(doc_id::varchar, '') || '/' || md5(coalesce(text, ''))) as place from documents
 ), by_source as (
     select source, sum(size)::hugeint as source_size from sized group by source
 ), weighed as (

@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwatch.llm.common import words
+from tillwatch.llm.common import stored, words
 
 WEIGHTS = (3, 1, 2)
 PERCENT = 150
@@ -64,13 +64,15 @@ def time_of(share: Column, pieces: Column) -> Column:
     return piece["t"] + F.when(rest <= 0, 0.0).otherwise(2 * rest / (piece["w"] + root))
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """`row` (the document as it is), its source as a key without nulls, its size in words and its shuffled place."""
+def sized(docs: DataFrame, carried: Sequence[str] | None = None) -> DataFrame:
+    """`row` (the document as it is, or the columns `carried` of it), its source as a key without nulls, its size in words
+    and its shuffled place, which follows from id and text, so that rows without an id are spread like others."""
+    text = F.md5(F.coalesce("text", F.lit("")))
     return docs.select(
-        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
+        F.struct(*[F.col(f"`{name}`") for name in (docs.columns if carried is None else carried)]).alias("row"),
         F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("source_key"),
         F.size(words(F.col("text"))).cast("long").alias("size"),
-        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("place"),
+        F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("/"), text)).alias("place"),
     ).withColumn("slice", F.substring("place", 1, SLICE_DIGITS))
 
 
@@ -115,7 +117,13 @@ def planned(
     shapes: Sequence[Sequence[tuple[float, float]]] = SHAPES,
 ) -> DataFrame:
     """Per document: `row`, size, source_size, target and `times`, the training times of its copies in the mix."""
-    rows = sized(docs)
+    return _placed(sized(docs), weights, percent, most, shapes)
+
+
+def _placed(
+    rows: DataFrame, weights: Sequence[int] = WEIGHTS, percent: int = PERCENT, most: int = MOST,
+    shapes: Sequence[Sequence[tuple[float, float]]] = SHAPES,
+) -> DataFrame:
     slices = rows.groupBy("source_key", "slice").agg(F.sum("size").alias("size"))
     starts = slices.join(targets(slices, weights, percent, most, shapes), "source_key").select(
         "source_key", "slice", "source_size", "target", "pieces",
@@ -142,7 +150,11 @@ def mix(docs: DataFrame, **settings) -> DataFrame:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """Per document: how many words the mix takes of it; in training order, those that it leaves out last."""
-    plan = planned(docs.select("doc_id", "text", "source"))
-    return plan.orderBy(F.get("times", F.lit(0)).asc_nulls_last(), "row.doc_id").select(
+    """Per document: how many words the mix takes of it; in training order, those that it leaves out
+    last.
+
+    Texts are sized where they are read, once, and go no further.
+    """
+    plan = _placed(stored(sized(docs, ["doc_id"]), "mix-sizes")).withColumn("time", F.get("times", F.lit(0)))
+    return plan.orderBy(F.col("time").asc_nulls_last(), "row.doc_id").select(
         "row.doc_id", "size", "source_size", "target", (F.size("times") * F.col("size")).alias("taken"))
