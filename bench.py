@@ -27,7 +27,7 @@ HEADLINE = (
     "sale_interval_join", "terms_gender", "terms_age", "gender_ratio", "age_ratio", "sale_page", "sale_report_summary",
     "sale_report_page", "match_and", "match_or", "bm25_rank", "alert_windows_all", "alert_throttled", "alert_documents",
     "upsert_last_wins", "match_han", "match_terms", "sale_report", "kpi_day", "folded_stream", "alert_store_stream", "coverage_stream",
-    "dau_stream", "gmv_stream", "log_router_stream", "change_router_stream", "sale_stream", "alert_stream", "sale_live_stream",
+    "dau_stream", "gmv_stream", "log_router_stream", "change_router_stream", "sale_stream", "sale_waiting_stream", "alert_stream", "sale_live_stream",
     "sale_report_kept", "search_pages",
 )
 

@@ -173,7 +173,7 @@ def test_a_hot_order_is_dealt_over_its_salts(spark):
     details = spark.range(3000).selectExpr(
         "CAST(id AS STRING) AS id", "IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS order_id", "'s' AS sku_id", "'1' AS order_price",
         "'n' AS sku_name", "timestamp'2024-01-01 00:00:00' AS arrived")
-    left, right = sale_detail._sides(orders, details, "1 hour", salts=8)
+    left, right = sale_detail._sides(sale_detail._orders_wide(orders), sale_detail._details_wide(details), "1 hour", salts=8)
     assert left.count() == 16
     shares = [r["count"] for r in right.where("_order = 'hot'").groupBy("_own_salt").count().collect()]
     assert len(shares) == 8 and max(shares) < 2 * 1000 / 8
@@ -284,6 +284,44 @@ def test_matching_does_not_depend_on_order_of_arrival(spark, feed, run, rows, se
     assert want and rows(got, "doc_id") == want
 
 
+def test_orders_wait_in_a_table_as_they_would_in_state(spark, feed, run, rows):
+    """Orders and details in random batches, some sent again: the same sales whether orders wait in a table or in state."""
+    rng = random.Random(5)
+    left = [order(str(i % 9), rng.randrange(600), rng.choice(["new", "paid", "sent"])) for i in range(16)]
+    right = [detail(f"d{n}", str(rng.randrange(11)), rng.randrange(600)) for n in range(40)]
+    left.append(left[0])
+    orders, details = feed("orders"), feed("details")
+    for part in chunks(rng, left, 4):
+        orders.add(*part)
+    for part in chunks(rng, right, 4):
+        details.add(*part)
+    want = rows(play_sales(spark, orders, details, f"{run}/state-only", late="1 hour"))
+    for by_day in (True, False):
+        waiting = sale_detail.waiting_table(f"{run}/waiting-{by_day}", buckets=3, by_day=by_day)
+        got = play_sales(spark, orders, details, f"{run}/table-{by_day}", late="1 hour", waiting=waiting, fold_every=2)
+        assert rows(got) == want != []
+        assert waiting.read(spark).count() == len({(o["id"], o["arrived"]) for o in left})
+
+
+def test_an_order_waits_in_state_with_its_id_and_arrival_alone(spark, feed, run):
+    """State bytes do not follow the width of orders, whatever the salts."""
+    orders, details = feed("orders"), feed("details")
+    orders.add(*[{**order(str(i), i), "user_id": "u" * 4000} for i in range(60)])
+    details.add(detail("a", "1", 5))
+    left, right = sale_sides(spark, orders, details)
+
+    def state(stream, name):
+        query = finish(start(stream, lambda batch, _: batch.count(), f"{run}/{name}", interval=None))
+        return next(own["stateOperators"][0] for own in (json.loads(p.json) for p in query.recentProgress) if own["numInputRows"])
+
+    in_state = state(sale_detail.matched_pairs(left, right, late="1 hour", salts=8), "wide")
+    in_table = state(sale_detail.matched_ids_and_orders(left, right, late="1 hour", salts=8), "thin")
+    lone = state(sale_detail.matched_and_lone(left, right, late="1 hour", salts=8), "lone")
+    assert in_state["numRowsTotal"] == in_table["numRowsTotal"] == lone["numRowsTotal"] == 60 * 8 + 1
+    assert in_state["memoryUsedBytes"] > 60 * 8 * 4000
+    assert max(in_table["memoryUsedBytes"], lone["memoryUsedBytes"]) < 60 * 8 * 1000
+
+
 def test_lone_orders_and_details_come_out_after_the_watermark(spark, feed, run, rows):
     orders, details = feed("orders"), feed("details")
     orders.add(order("1", 0), order("2", 0))

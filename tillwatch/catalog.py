@@ -733,6 +733,19 @@ def sale_day_stream(spark, sf):
     return _sale_stream(spark, sf, by_day=True)
 
 
+@_stream_query
+def sale_waiting_stream(spark, sf):
+    """The same, with orders waiting in a table and only their ids in the join's state."""
+    run = shared_dir(spark, "waiting")
+    stored = sale_stream_.sale_table(f"{run}/table", by_day=False)
+    waiting = sale_stream_.waiting_table(f"{run}/orders", buckets=4, by_day=False)
+    finish(sale_stream_.run_sale_detail(
+        _order_records(spark, sf, run), _detail_stream(spark, sf, run), lambda session: _users(session, sf), stored,
+        f"{run}/state", F.lit(AS_OF).cast("timestamp"), JOIN_SECONDS, waiting=waiting, interval=None,
+    ))
+    return stored.read(spark).drop("order_arrived")
+
+
 @_stream_query
 def sale_live_stream(spark, sf):
     """Sale detail whose users come from the table that the user stream keeps, folded on the way."""

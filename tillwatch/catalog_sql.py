@@ -345,6 +345,7 @@ SELECT CASE WHEN contains(line, 'startup') THEN 'startup_log' ELSE 'event_log' E
         "sale_stream": sale_pairs,
         "sale_day_stream": sale_pairs,
         "sale_live_stream": sale_pairs,
+        "sale_waiting_stream": sale_pairs,
         "sale_report_kept": f"""WITH {SALES},
 paired AS (SELECT * FROM sales WHERE abs(epoch_ms(detail_at) - epoch_ms(order_at)) <= {JOIN_SECONDS} * 1000::BIGINT),
 {_bm25('paired', 'doc_id', 'sku_name', REPORT_WORD)}

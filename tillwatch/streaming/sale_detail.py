@@ -17,16 +17,35 @@ from tillwatch.streaming.run import start
 
 #: Copies of an order in state, and tasks that a hot order is spread over; at most the number of partitions is of use.
 SALTS = 4
+#: Columns of a pair that come from its order.
+ORDER_COLUMNS = ("order_id", "order_status", "create_time", "user_id", "dt", "order_arrived")
 
 
 def _sides(orders: DataFrame, details: DataFrame, late: str, salts: int) -> tuple[DataFrame, DataFrame]:
-    left = order_side(orders, F.col("arrived").alias("order_arrived")).withWatermark("order_arrived", late)
-    right = detail_side(details, F.col("arrived").alias("detail_arrived")).withWatermark("detail_arrived", late)
+    left = orders.withWatermark("order_arrived", late)
+    right = details.withWatermark("detail_arrived", late)
     left = left.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     right = right.withColumn("_own_salt", F.pmod(F.xxhash64("order_detail_id"), F.lit(salts)).cast("int"))
     return left, right
 
 
+def _orders_wide(orders: DataFrame) -> DataFrame:
+    return order_side(orders, F.col("arrived").alias("order_arrived"))
+
+
+def _orders_thin(orders: DataFrame) -> DataFrame:
+    return orders.select(F.col("id").alias("order_id"), F.col("arrived").alias("order_arrived"))
+
+
+def _details_wide(details: DataFrame) -> DataFrame:
+    return detail_side(details, F.col("arrived").alias("detail_arrived"))
+
+
+def _details_thin(details: DataFrame) -> DataFrame:
+    return details.select(
+        F.col("id").alias("order_detail_id"), F.col("order_id").alias("_order"), F.col("arrived").alias("detail_arrived"))
+
+
 def _condition(seconds: int) -> Column:
     same = (F.col("order_id") == F.col("_order")) & (F.col("_salt") == F.col("_own_salt"))
     return same & within("order_arrived", "detail_arrived", seconds)
@@ -41,19 +60,35 @@ def matched_pairs(
     detail under one salt that follows from its id, so an order with very many details is spread over `salts` tasks;
     streams have no adaptive skew join.
     """
+    return _matched(_orders_wide(orders), _details_wide(details), seconds, late, salts)
+
+
+def _matched(orders: DataFrame, details: DataFrame, seconds: int, late: str, salts: int) -> DataFrame:
     left, right = _sides(orders, details, late, salts)
     return left.join(right, _condition(seconds), "inner").drop("_salt", "_own_salt", "_order")
 
 
+def matched_ids_and_orders(
+    orders: DataFrame, details: DataFrame, seconds: int = JOIN_TTL_SECONDS, late: str = "10 seconds", salts: int = SALTS
+) -> DataFrame:
+    """The pairs of `matched_pairs` with no more of their order than its id and arrival, and beside them the orders
+    themselves (`order_detail_id` null), to be kept in a table.
+
+    So an order waits in state with its id and arrival alone, however wide it is and however many salts there are.
+    """
+    pairs = _matched(_orders_thin(orders), _details_wide(details), seconds, late, salts)
+    return pairs.unionByName(_orders_wide(orders), allowMissingColumns=True)
+
+
 def matched_and_lone(
     orders: DataFrame, details: DataFrame, seconds: int = JOIN_TTL_SECONDS, late: str = "10 seconds", salts: int = SALTS
 ) -> DataFrame:
-    """Pairs, and once the watermark has passed their reach also orders and details that found nothing.
+    """Ids and arrivals of pairs, and once the watermark has passed their reach also of orders and details that found nothing.
 
-    Salted like the pairs: an order comes as alone under each salt (`_salt`) that none of its details fell to. All of its
+    Nothing else waits in state. Salted like the pairs: an order comes as alone under each salt (`_salt`) that none of its details fell to. All of its
     copies leave the state with the same watermark, so `settled` sees them in one micro-batch.
     """
-    left, right = _sides(orders, details, late, salts)
+    left, right = _sides(_orders_thin(orders), _details_thin(details), late, salts)
     both = left.join(right, _condition(seconds), "full_outer")
     return both.withColumn("order_id", F.coalesce("order_id", "_order")).drop("_order", "_own_salt")
 
@@ -84,6 +119,34 @@ def sale_table(path: str, by_day: bool = True) -> KeyedTable:
     return KeyedTable(path, schema, ["doc_id"], ["order_arrived"], ["dt"] if by_day else [])
 
 
+def waiting_table(path: str, buckets: int = 16, by_day: bool = True) -> KeyedTable:
+    """Orders as they arrived, each version a row, for the details that meet them: cut by order and by day of arrival."""
+    day = ["arrival_day"] if by_day else []
+    schema = "order_id STRING, order_status STRING, create_time STRING, user_id STRING, dt STRING, order_arrived TIMESTAMP"
+    return KeyedTable(
+        path, schema + ", arrival_day STRING" * by_day, ["order_id", "order_arrived"], [], day, buckets=buckets, bucket_by=["order_id"])
+
+
+def with_orders(batch: DataFrame, waiting: KeyedTable, batch_id: int) -> DataFrame:
+    """Keep the orders of a batch of `matched_ids_and_orders`, and give its pairs the columns of their orders.
+
+    Read are the buckets of the pairs' orders and, where the table is cut by day, the days these arrived on.
+    """
+    lone = F.col("order_detail_id").isNull()
+    by_day = bool(waiting.partition_by)
+    day = F.date_format("order_arrived", "yyyy-MM-dd")
+    orders = batch.where(lone)
+    waiting.upsert(orders.withColumn("arrival_day", day) if by_day else orders, batch_id)
+    ids = batch.where(~lone).select("order_id", "order_arrived", *[name for name in batch.columns if name not in ORDER_COLUMNS])
+    known = waiting.lookup(ids, ["order_id"])
+    if by_day:
+        first, last = ids.agg(F.min(day), F.max(day)).first()
+        known = known.where(F.col("arrival_day").between(first, last)).drop("arrival_day")
+    own = known.withColumnsRenamed({"order_id": "_id", "order_arrived": "_arrived"})
+    same = (F.col("order_id") == F.col("_id")) & (F.col("order_arrived") == F.col("_arrived"))
+    return ids.join(own, same, "inner").drop("_id", "_arrived")
+
+
 def name_table(path: str, buckets: int = 16) -> KeyedTable:
     """Word counts of the article names by day and word, cut by word, beside the sale table."""
     return KeyedTable(path, TERMS_DDL.format(by="dt"), ["dt", "word"], [], buckets=buckets, bucket_by=["word"])
@@ -110,16 +173,18 @@ def count_names(rows: DataFrame, table: KeyedTable, names: KeyedTable, batch_id:
 def run_sale_detail(
     orders: DataFrame, details: DataFrame, users: KeyedTable | Callable[[SparkSession], DataFrame], table: KeyedTable, checkpoint: str,
     as_of: Column | None = None, seconds: int = JOIN_TTL_SECONDS, late: str = "10 seconds", salts: int = SALTS,
-    names: KeyedTable | None = None, fold_every: int | None = None, **how,
+    names: KeyedTable | None = None, fold_every: int | None = None, waiting: KeyedTable | None = None, **how,
 ) -> StreamingQuery:
     """Match, look users up as they are known at each batch, and upsert the wide rows.
 
+    With `waiting`, orders are kept in that table and wait in state with their id and arrival alone.
     `users` is the table that a stream keeps, of which a batch reads the buckets of its users, or makes users of a session.
     With `names`, the word counts that reports rank by are kept, too. Every `fold_every` batches the tables are folded.
     """
     def save(batch: DataFrame, batch_id: int) -> None:
-        pairs = batch.persist()
+        batch.persist()
         try:
+            pairs = with_orders(batch, waiting, batch_id) if waiting else batch
             known = users.lookup(pairs, ["user_id"]) if isinstance(users, KeyedTable) else users(batch.sparkSession)
             rows = wide(pairs, known, as_of, "order_arrived")
             if names:
@@ -129,9 +194,10 @@ def run_sale_detail(
             if names:
                 rows.unpersist()
         finally:
-            pairs.unpersist()
+            batch.unpersist()
         if fold_every and (batch_id + 1) % fold_every == 0:
-            for kept in filter(None, (table, names)):
+            for kept in filter(None, (table, names, waiting)):
                 kept.fold(batch.sparkSession, batch_id)
 
-    return start(matched_pairs(orders, details, seconds, late, salts), save, checkpoint, **how)
+    matched = matched_ids_and_orders if waiting else matched_pairs
+    return start(matched(orders, details, seconds, late, salts), save, checkpoint, **how)
