@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import re
 import unicodedata
+from collections import Counter
 
 import pytest
 
@@ -15,7 +16,8 @@ def brute(text):
     text = text or ""
     words = WORD.findall(text)
     windows = [tuple(words[at:at + 8]) for at in range(len(words) - 7)]
-    covered = {at + step for at, own in enumerate(windows) if windows.count(own) > 1 for step in range(8)}
+    times = Counter(windows)
+    covered = {at + step for at, own in enumerate(windows) if times[own] > 1 for step in range(8)}
     lines = [line for line in text.split("\n") if WORD.search(line)]
     measures = {
         "n_words": len(words), "word_chars": sum(map(len, words)), "n_symbols": sum(text.count(own) for own in "#*$%&|<>"),
@@ -46,6 +48,13 @@ def test_like_brute_force(spark, texts):
         assert row.asDict() == {"doc_id": row["doc_id"], **brute(texts[row["doc_id"]])}, texts[row["doc_id"]]
 
 
+def test_measures_of_one_rule_stand_inside_the_cascade(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lines = quality.report(docs)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    asking = [line for line in lines if r"\p{Lu}" in line]
+    assert len(asking) == 1 and "CASE WHEN" in asking[0] and asking[0].index("CASE WHEN") < asking[0].index(r"\p{Lu}")
+
+
 def test_the_order_changes_no_verdict(spark, texts):
     docs = spark.createDataFrame([(at, text, "x") for at, text in enumerate(texts)], "doc_id long, text string, n_words string")
     want = sorted(at for at, text in enumerate(texts) if brute(text)["kept"])

@@ -212,22 +212,21 @@ def keep(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = SAMP
     return docs.filter(first_rejection(order, F.col("text")).isNull())
 
 
-def report(docs: DataFrame) -> DataFrame:
-    """One row per document: measures, base verdict and the cascade's verdict over the measures.
+def report(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """One row per document: measures, base verdict and the cascade's verdict.
 
-    The report lists every measure, so the cascade reads them instead of taking them again.
+    The measures that the report lists are taken of every text. Those that a rule alone asks for stand inside the cascade,
+    so they are taken of texts that no earlier rule has rejected.
     """
     text = F.col("text")
-    order = [own.rule for own in estimate(docs)]
+    order = [own.rule for own in estimate(docs, rules, sample_rows)]
     # One pass splits each text once for both counts of words.
     measured = docs.select("doc_id", "text", let(words(text), lambda own: F.struct(
         *[measure.alias(name) for name, measure in of_words(own).items()],
-    )).alias("counted"), *[
-        MEASURES[name](text).alias(name) for name in ("word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_capitals")
-    ])
-    known = {name: F.col(name) for name in MEASURES} | {
+    )).alias("counted"), *[MEASURES[name](text).alias(name) for name in ("word_chars", "n_symbols", "n_dup_lines")])
+    known = {name: take(text) for name, take in MEASURES.items()} | {
         name: F.col("counted")[name] for name in ("n_words", "n_repeat_words")
-    }
+    } | {name: F.col(name) for name in ("word_chars", "n_symbols", "n_dup_lines")}
     base = F.lit(False)
     for rule in BASE_RULES:
         base = base | rule.rejects(known)
