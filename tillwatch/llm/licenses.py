@@ -7,6 +7,7 @@ many mutilated copies among foreign words, and on windows of a bounded sample of
 `unknown`. A quarter of the training rows is kept out of the fit to calibrate what a prediction must reach, so that at most
 one in a thousand unknown rows would. A licence is confirmed where enough of a template's own 3-grams stand in a window and
 the model predicts its family, for the window or for the place in it where the template stands; so a window may state several.
+Where the words of a place fit several families, only the one that fits best is stated, and none where two fit alike in part.
 
 Null and empty texts have no paragraphs. Repeated rows are scanned each for itself. An empty table gives an empty result.
 Columns beside doc_id and text are not looked at.
@@ -38,7 +39,9 @@ UNKNOWN = "unknown"
 # How licences are commonly stated, by family.
 TEMPLATES = {
     "agpl": ("This work is licensed under the GNU Affero General Public License, version 3.",
-             "This program is free software: you can redistribute it under the terms of the GNU Affero General Public License"),
+             "This program is free software: you can redistribute it under the terms of the GNU Affero General Public License",
+             "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License",
+             "Licensed under AGPLv3."),
     "apache": ("Licensed under the Apache License, Version 2.0.",
                "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
     "bsd": ("Redistribution and use in source and binary forms, with or without modification, are permitted",
@@ -50,25 +53,61 @@ TEMPLATES = {
                  "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     "cc0": ("To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
             "Released under CC0 1.0 Universal."),
+    "epl": ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",),
     "gpl": ("This work is licensed under the GNU General Public License, version 3.",
+            "This work is licensed under the GNU General Public License, version 2.",
+            "Licensed under GPLv2.", "Licensed under GPLv3.",
             "you can redistribute it and/or modify it under the terms of the GNU General Public License"),
-    "lgpl": ("This library is licensed under the GNU Lesser General Public License, version 2.1.",),
+    "isc": ("Released under the ISC License.",
+            "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    "lgpl": ("This library is licensed under the GNU Lesser General Public License, version 2.1.",
+             "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
+             "Licensed under LGPLv2.1.", "Licensed under LGPLv3."),
     "mit": ("Released under the MIT License.",
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation"),
     "mpl": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
     "proprietary": ("All rights reserved.",
                     "All rights reserved. No part of this work may be reproduced without permission."),
+    "unlicense": ("This is free and unencumbered software released into the public domain.",),
+    "zlib": ("Released under the zlib License.",
+             "This software is provided 'as-is', without any express or implied warranty."),
+}
+#: Names that a line `SPDX-License-Identifier: ...` states a family by.
+IDENTIFIERS = {
+    "agpl": ("AGPL-3.0-only", "AGPL-3.0-or-later"),
+    "apache": ("Apache-2.0",),
+    "bsd": ("BSD-2-Clause", "BSD-3-Clause"),
+    "cc-by": ("CC-BY-4.0",),
+    "cc-by-nc": ("CC-BY-NC-4.0",),
+    "cc-by-sa": ("CC-BY-SA-4.0",),
+    "cc0": ("CC0-1.0",),
+    "epl": ("EPL-2.0",),
+    "gpl": ("GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later"),
+    "isc": ("ISC",),
+    "lgpl": ("LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later"),
+    "mit": ("MIT",),
+    "mpl": ("MPL-2.0",),
+    "unlicense": ("Unlicense",),
+    "zlib": ("Zlib",),
+}
+TEMPLATES = {
+    family: (*texts, *(f"SPDX-License-Identifier: {name}" for name in IDENTIFIERS.get(family, ())))
+    for family, texts in TEMPLATES.items()
 }
 FAMILIES = (UNKNOWN, *TEMPLATES)
 FUNCTION_WORDS = (
-    "a all and any are as at be been by following for free from has have in included including is it may no not of on or "
+    "a all and any are as at be been by following for free from has have in included including into is it made may no not of on or "
     "other part person so such that the this to under use used using with without work you"
 )
 
 
+#: The mark of an identifier line and the three words that it counts as.
+MARK = ("spdx-license-identifier", "spdx license identifier")
+
+
 def license_words(text: Column) -> Column:
     """Runs of letters and digits, also joined by points and hyphens, in lower case."""
-    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)*"), F.lit(0))
+    return F.regexp_extract_all(F.replace(F.lower(text), *map(F.lit, MARK)), F.lit(r"[\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)*"), F.lit(0))
 
 
 def _grams(words: Column, n: int) -> Column:
@@ -128,7 +167,7 @@ def _template_grams() -> list[tuple[str, list[str]]]:
     found = []
     for family, texts in TEMPLATES.items():
         for text in texts:
-            words = re.findall(r"[a-z0-9]+(?:[.-][a-z0-9]+)*", text.lower())
+            words = re.findall(r"[a-z0-9]+(?:[.-][a-z0-9]+)*", text.lower().replace(*MARK))
             found.append((family, list(dict.fromkeys(" ".join(own) for own in zip(words, words[1:], words[2:])))))
     return found
 
@@ -261,6 +300,21 @@ def train(docs: DataFrame, lines: int = SAMPLE_LINES) -> Classifier:
     return Classifier(vectors, telling, model, max(0.5, wrong))
 
 
+def _better(other: Column, one: Column) -> Column:
+    """Whether `other` takes the place of `one` among the statements of a paragraph.
+
+    Where two windows have the same statement, the one with more of it counts, or else the first. Where two families share
+    words of the text, the one that has more of its template there counts; as long as neither has all of it, words that
+    fit both alike, such as the mark before a name that no template has, state neither.
+    """
+    same = (other["family"] == one["family"]) & (other["at"] != one["at"])
+    earlier = (other["overlap"] == one["overlap"]) & (other["at"] < one["at"])
+    alike = (other["overlap"] == one["overlap"]) & (one["overlap"] < 1)
+    return (other["start"] < one["end"]) & (one["start"] < other["end"]) & (
+        (same & ((other["overlap"] > one["overlap"]) | earlier))
+        | ((other["family"] != one["family"]) & ((other["overlap"] > one["overlap"]) | alike)))
+
+
 def scan(docs: DataFrame, classifier: Classifier | None = None) -> DataFrame:
     """One row per window and licence confirmed in it, once where windows overlap: doc_id, paragraph, family, probability and the share of the template."""
     classifier = classifier or train(docs)
@@ -273,10 +327,7 @@ def scan(docs: DataFrame, classifier: Classifier | None = None) -> DataFrame:
         one["family"].alias("family"), one["overlap"].alias("overlap"), (window["at"] + one["start"]).alias("start"),
         (window["at"] + one["start"] + one["length"]).alias("end"), one["place"].alias("place"), window["at"].alias("at"),
         window["words"].alias("words")))))
-    # Where two windows have the same statement, the one with more of it counts, or else the first.
-    once = let(each, lambda each: F.filter(each, lambda one: ~F.exists(each, lambda other: (
-        (other["family"] == one["family"]) & (other["at"] != one["at"]) & (other["start"] < one["end"]) & (one["start"] < other["end"])
-        & ((other["overlap"] > one["overlap"]) | ((other["overlap"] == one["overlap"]) & (other["at"] < one["at"])))))))
+    once = let(each, lambda each: F.filter(each, lambda one: ~F.exists(each, lambda other: _better(other, one))))
     stated = _windowed(docs).select("doc_id", "paragraph", F.explode(once).alias("stated")).withColumn("words", F.col("stated.words"))
     # A window may state several licences, so each is also judged by the words of its own place.
     windows = classifier.predicted(stated).withColumnsRenamed({"family": "by_window", "probability": "window_probability"})
