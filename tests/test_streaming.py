@@ -20,6 +20,7 @@ from tillwatch.records import (
     CHANGE_DDL, DAILY_ACTIVE_COLUMNS, DETAIL_RECORD, EVENT_LOG, ORDER_DETAIL, ORDER_INFO, STARTUP_LOG, USER_INFO, USER_RECORD,
 )
 from tillwatch.session import shared_dir
+from tillwatch.sources import shop_tables
 from tillwatch.sources.keyed_table import KeyedTable, one_document, with_doc_id
 from tillwatch.sources.topics import of_topic, read_files, read_topics, show_stream, write_topics
 from tillwatch.streaming import coupon_alert as alerts
@@ -338,6 +339,61 @@ def test_lone_orders_and_details_come_out_after_the_watermark(spark, feed, run,
     assert len(once) == len(set(once)) == 3
 
 
+def late_sides(spark, feed):
+    """Four batches of both sides, the watermark 10 seconds behind."""
+    orders, details = feed("orders"), feed("details")
+    for seconds, more in ((0, []), (700, [order("back", 300)]), (1500, [order("old", 20)]), (2300, [])):
+        orders.add(order(f"o{seconds}", seconds), *more)
+        details.add(detail(f"d{seconds}", f"o{seconds}", seconds), detail(f"b{seconds}", "back", seconds))
+    return sale_sides(spark, orders, details)
+
+
+def test_sides_wait_in_folders_as_they_would_in_state(spark, feed, run, rows):
+    """The pairs of a join of streams in state, with rows behind the watermark, from no store of state and the folders in reach alone."""
+    left, right = late_sides(spark, feed)
+    want = []
+    finish(start(sale_detail.matched_pairs(left, right), lambda batch, _: want.extend(rows(batch, "order_id", "order_detail_id")), f"{run}/state", interval=None))
+    table = sale_detail.sale_table(f"{run}/sales")
+    query = finish(sale_detail.run_sale_detail(left, right, users_of, table, f"{run}/folders", interval=None))
+    assert rows(table.read(spark), "order_id", "order_detail_id") == sorted(want) and len(want) >= 4
+    assert not any(p["stateOperators"] for p in query.recentProgress)
+    held = KeyedTable(f"{run}/folders-waiting/marks", "what STRING, held ARRAY<STRUCT<batch: BIGINT, newest: BIGINT>>", ["what"], []).read(spark).first()["held"]
+    assert [own["batch"] for own in held] == [1, 2, 3]
+
+
+def test_a_batch_of_waiting_sides_runs_again(spark, feed, run, rows):
+    left, right = late_sides(spark, feed)
+
+    class LosesOne(KeyedTable):
+        def upsert(self, rows, batch_id, unique=False):
+            super().upsert(rows, batch_id, unique)
+            if batch_id == 1 and not os.path.exists(f"{run}/lost"):
+                os.mkdir(f"{run}/lost")
+                raise RuntimeError("lost")
+
+    table = sale_detail.sale_table(f"{run}/sales")
+    losing = LosesOne(table.path, table.schema, ["doc_id"], ["order_arrived"], ["dt"])
+    with pytest.raises(StreamingQueryException, match="lost"):
+        finish(sale_detail.run_sale_detail(left, right, users_of, losing, f"{run}/state", interval=None))
+    finish(sale_detail.run_sale_detail(left, right, users_of, losing, f"{run}/state", interval=None))
+    finish(sale_detail.run_coverage(left, right, f"{run}/out", f"{run}/cover", interval=None))
+    pairs = spark.read.parquet(f"{run}/out").where("order_id IS NOT NULL AND order_arrived IS NOT NULL AND detail_arrived IS NOT NULL")
+    assert {("o0", "d0"), ("o700", "d700"), ("o1500", "d1500"), ("o2300", "d2300")} <= set(rows(table.read(spark), "order_id", "order_detail_id"))
+    assert len(rows(table.read(spark))) == len(set(rows(pairs))) == pairs.count()
+
+
+def test_large_slices_are_cut_into_more_files(spark, tmp_path, monkeypatch):
+    """A micro-batch is a slice, whole and alone, however many files it is written as."""
+    monkeypatch.setattr(shop_tables, "FILE_ROWS", 1000)
+    rows_ = spark.range(16000).selectExpr("id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS ts")
+    rows_.write.parquet(str(tmp_path / "events.parquet"))
+    stream = shop_tables.sliced_stream(spark, str(tmp_path), "events", "event_id BIGINT, ts TIMESTAMP_NTZ", "ts", str(tmp_path / "cut"))
+    assert len(list((tmp_path / "cut").glob("*.parquet"))) == 4 * 4
+    seen = []
+    finish(start(stream, lambda batch, _: seen.append(batch.agg(F.min("event_id"), F.max("event_id"), F.count("*")).first()), str(tmp_path / "state"), interval=None))
+    assert [tuple(own) for own in seen] == [(4000 * n, 4000 * n + 3999, 4000) for n in range(4)]
+
+
 def test_kept_word_counts_follow_rows_that_come_again(spark, run, rows):
     """New, re-sent and renamed rows in random batches, one of them run twice, with folds: as if all names were counted."""
     rng = random.Random(11)

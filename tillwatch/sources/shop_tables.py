@@ -16,8 +16,8 @@ LINEITEM_DDL = (
     "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
     "l_shipdate TIMESTAMP_NTZ"
 )
-#: Files that a slice of a table is written as, and that a micro-batch reads.
-SLICE_FILES = 2
+#: Files that a slice of a table is written as, and that a micro-batch reads: so many at least, and rows of one where they are more.
+SLICE_FILES, FILE_ROWS = 2, 250_000
 # The event kinds that stand for taking a coupon and for browsing.
 KINDS = ("purchase", "click")
 CUSTOMER_DDL = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
@@ -33,15 +33,23 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, ddl: str) -> DataF
 
 
 def sliced_stream(spark: SparkSession, sf_dir: str, name: str, ddl: str, time: str | Column, where: str, slices: int = 4) -> DataFrame:
-    """A table as a stream of several micro-batches: all its rows, cut by time into folders written one after another."""
+    """A table as a stream of several micro-batches: all its rows, cut by time into folders written one after another.
+
+    Large slices are written as more files, the same number for each, as that is what a micro-batch takes; only where one
+    of them has too few rows to fill its files, all are left with the least number.
+    """
     rows = table(spark, sf_dir, name)
     at = F.unix_seconds((F.col(time) if isinstance(time, str) else time).cast("timestamp"))
     ends = rows.agg(F.min(at).alias("first"), F.max(at).alias("last")).first()
     span = max(1, (ends["last"] or 0) - (ends["first"] or 0) + 1)
     slice_of = F.coalesce(F.call_function("div", (at - F.lit(ends["first"] or 0)) * slices, F.lit(span)), F.lit(0))
+    sizes = [own["count"] for own in rows.groupBy(slice_of.alias("slice")).count().collect()]
+    files = max(SLICE_FILES, -(-max(sizes, default=0) // FILE_ROWS))
+    if len(sizes) < slices or min(sizes) < 1000 * files:
+        files = SLICE_FILES
     for number in range(slices):
-        rows.where(slice_of == number).repartition(1 if rows.isEmpty() else SLICE_FILES).write.mode("append").parquet(where)
-    return read_files(spark, where, ddl, most=SLICE_FILES)
+        rows.where(slice_of == number).repartition(files if sizes else 1).write.mode("append").parquet(where)
+    return read_files(spark, where, ddl, most=files)
 
 
 def _text(name: str) -> Column:

@@ -14,11 +14,13 @@ from tillwatch.plans.sale_detail import detail_side, order_side, wide
 from tillwatch.records import JOIN_TTL_SECONDS, SALE_DETAIL_DDL
 from tillwatch.sources.keyed_table import KeyedTable
 from tillwatch.streaming.run import start
+from tillwatch.streaming.waiting import LEFT_BATCH, RIGHT_BATCH, WaitingSides, both, left_of
 
 #: Copies of an order in state, and tasks that a hot order is spread over; at most the number of partitions is of use.
 SALTS = 4
 #: Columns of a pair that come from its order.
 ORDER_COLUMNS = ("order_id", "order_status", "create_time", "user_id", "dt", "order_arrived")
+ARRIVALS = ("order_arrived", "detail_arrived")
 
 
 def _sides(orders: DataFrame, details: DataFrame, late: str, salts: int) -> tuple[DataFrame, DataFrame]:
@@ -88,9 +90,13 @@ def matched_and_lone(
     Nothing else waits in state. Salted like the pairs: an order comes as alone under each salt (`_salt`) that none of its details fell to. All of its
     copies leave the state with the same watermark, so `settled` sees them in one micro-batch.
     """
-    left, right = _sides(_orders_thin(orders), _details_thin(details), late, salts)
-    both = left.join(right, _condition(seconds), "full_outer")
-    return both.withColumn("order_id", F.coalesce("order_id", "_order")).drop("_order", "_own_salt")
+    return _matched_or_lone(_orders_thin(orders), _details_thin(details), seconds, late, salts)
+
+
+def _matched_or_lone(orders: DataFrame, details: DataFrame, seconds: int, late: str, salts: int) -> DataFrame:
+    left, right = _sides(orders, details, late, salts)
+    found = left.join(right, _condition(seconds), "full_outer")
+    return found.withColumn("order_id", F.coalesce("order_id", "_order")).drop("_order", "_own_salt")
 
 
 def settled(batch: DataFrame, salts: int = SALTS) -> DataFrame:
@@ -105,12 +111,22 @@ def run_coverage(
     orders: DataFrame, details: DataFrame, path: str, checkpoint: str, seconds: int = JOIN_TTL_SECONDS,
     late: str = "10 seconds", salts: int = SALTS, **how,
 ) -> StreamingQuery:
-    """Store which orders and details found each other, each micro-batch in a folder of its own."""
+    """Store which orders and details found each other, each micro-batch in a folder of its own.
+
+    Their ids and arrivals wait beside the checkpoint, and come out as `matched_and_lone` and `settled` have them.
+    """
+    left, right = _orders_thin(orders), _details_thin(details)
+    sides = WaitingSides(f"{checkpoint}-waiting", ARRIVALS, seconds, late, settles=True)
+
     def save(batch: DataFrame, batch_id: int) -> None:
-        settled(batch, salts).select("order_id", "order_detail_id", "order_arrived", "detail_arrived").write.mode(
+        met = sides.take(batch, batch_id, left.columns, right.columns)
+        lone = F.col("order_arrived").isNull() | F.col("detail_arrived").isNull()
+        found = _matched_or_lone(met.left, met.right, seconds, late, salts)
+        found = found.where(F.when(lone, sides.is_over(met)).otherwise(sides.is_new(batch_id))).drop(LEFT_BATCH, RIGHT_BATCH)
+        settled(found, salts).select("order_id", "order_detail_id", "order_arrived", "detail_arrived").write.mode(
             "overwrite").parquet(f"{path}/batch={batch_id}")
 
-    return start(matched_and_lone(orders, details, seconds, late, salts), save, checkpoint, **how)
+    return start(both(left, right), save, checkpoint, **how)
 
 
 def sale_table(path: str, by_day: bool = True) -> KeyedTable:
@@ -127,24 +143,21 @@ def waiting_table(path: str, buckets: int = 16, by_day: bool = True) -> KeyedTab
         path, schema + ", arrival_day STRING" * by_day, ["order_id", "order_arrived"], [], day, buckets=buckets, bucket_by=["order_id"])
 
 
-def with_orders(batch: DataFrame, waiting: KeyedTable, batch_id: int) -> DataFrame:
-    """Keep the orders of a batch of `matched_ids_and_orders`, and give its pairs the columns of their orders.
+def with_orders(pairs: DataFrame, orders: DataFrame, waiting: KeyedTable, batch_id: int) -> DataFrame:
+    """Keep the orders of a batch, and give its pairs, which hold no more of their order than its id and arrival, its columns.
 
     Read are the buckets of the pairs' orders and, where the table is cut by day, the days these arrived on.
     """
-    lone = F.col("order_detail_id").isNull()
     by_day = bool(waiting.partition_by)
     day = F.date_format("order_arrived", "yyyy-MM-dd")
-    orders = batch.where(lone)
     waiting.upsert(orders.withColumn("arrival_day", day) if by_day else orders, batch_id)
-    ids = batch.where(~lone).select("order_id", "order_arrived", *[name for name in batch.columns if name not in ORDER_COLUMNS])
-    known = waiting.lookup(ids, ["order_id"])
+    known = waiting.lookup(pairs, ["order_id"])
     if by_day:
-        first, last = ids.agg(F.min(day), F.max(day)).first()
+        first, last = pairs.agg(F.min(day), F.max(day)).first()
         known = known.where(F.col("arrival_day").between(first, last)).drop("arrival_day")
     own = known.withColumnsRenamed({"order_id": "_id", "order_arrived": "_arrived"})
     same = (F.col("order_id") == F.col("_id")) & (F.col("order_arrived") == F.col("_arrived"))
-    return ids.join(own, same, "inner").drop("_id", "_arrived")
+    return pairs.join(own, same, "inner").drop("_id", "_arrived")
 
 
 def name_table(path: str, buckets: int = 16) -> KeyedTable:
@@ -177,27 +190,36 @@ def run_sale_detail(
 ) -> StreamingQuery:
     """Match, look users up as they are known at each batch, and upsert the wide rows.
 
-    With `waiting`, orders are kept in that table and wait in state with their id and arrival alone.
+    What comes waits beside the checkpoint, in folders by batch, and a batch is joined to what is within its reach. With
+    `waiting`, orders are kept in that table and wait with their id and arrival alone.
     `users` is the table that a stream keeps, of which a batch reads the buckets of its users, or makes users of a session.
     With `names`, the word counts that reports rank by are kept, too. Every `fold_every` batches the tables are folded.
     """
+    left, right = _orders_wide(orders), _details_wide(details)
+    kept_columns = _orders_thin(orders).columns if waiting else left.columns
+    sides = WaitingSides(f"{checkpoint}-waiting", ARRIVALS, seconds, late)
+
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        held = [batch.persist()] if waiting else []
         try:
-            pairs = with_orders(batch, waiting, batch_id) if waiting else batch
+            met = sides.take(batch, batch_id, kept_columns, right.columns)
+            pairs = _matched(met.left, met.right, seconds, late, salts).where(sides.is_new(batch_id)).drop(LEFT_BATCH, RIGHT_BATCH)
+            if waiting or isinstance(users, KeyedTable):
+                held.append(pairs.persist())
+            if waiting:
+                pairs = with_orders(pairs, left_of(batch).select(*left.columns), waiting, batch_id)
             known = users.lookup(pairs, ["user_id"]) if isinstance(users, KeyedTable) else users(batch.sparkSession)
             rows = wide(pairs, known, as_of, "order_arrived")
             if names:
                 rows = latest_per_key(rows, table.keys, table.order).persist()
+                held.append(rows)
                 count_names(rows, table, names, batch_id)
             table.upsert(rows, batch_id, unique=names is not None)
-            if names:
-                rows.unpersist()
         finally:
-            batch.unpersist()
+            for own in held:
+                own.unpersist()
         if fold_every and (batch_id + 1) % fold_every == 0:
             for kept in filter(None, (table, names, waiting)):
                 kept.fold(batch.sparkSession, batch_id)
 
-    matched = matched_ids_and_orders if waiting else matched_pairs
-    return start(matched(orders, details, seconds, late, salts), save, checkpoint, **how)
+    return start(both(left, right), save, checkpoint, **how)
