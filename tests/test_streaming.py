@@ -512,6 +512,38 @@ def test_member_replay_gives_open_windows_too(spark, feed, run, rows):
     assert rows(got) == rows(want) != []
 
 
+def test_member_replay_adds_batches_up_without_state(spark, feed, run, rows):
+    """Counts, and what is left out as late, are those of a stream with a watermark, also where a batch runs again; nothing waits in state."""
+    rng = random.Random(3)
+    source = feed("events")
+    for part in range(6):
+        source.add(*[{"type": "event", "mid": rng.choice(["m", "n", None]), "uid": rng.choice(["a", None]), "evid": "coupon", "itemid": "1",
+                      "ts": rng.choice([None, T0 + MINUTE * (10 * part - rng.randrange(30))])} for _ in range(40)])
+    events = event_rows(source.lines(spark))
+    stateful = KeyedTable(f"{run}/stateful", alerts.MEMBERS_DDL, ["window_start", *alerts.MEMBER], [])
+    query = finish(start(alerts.window_member_counts(events, "5 minutes", "5 minutes", "2 minutes"),
+                         lambda batch, batch_id: stateful.upsert(batch, batch_id, unique=True), f"{run}/state", "update", interval=None))
+    assert sum(o["numRowsDroppedByWatermark"] for p in query.recentProgress for o in p["stateOperators"]) > 0
+
+    class LosesOne(KeyedTable):
+        def upsert(self, rows, batch_id, unique=False):
+            super().upsert(rows, batch_id, unique)
+            if batch_id == 2 and not os.path.exists(f"{run}/lost"):
+                os.mkdir(f"{run}/lost")
+                raise RuntimeError("lost")
+
+    plain = alerts.member_table(f"{run}/members")
+    table = LosesOne(plain.path, plain.schema, plain.keys, plain.order, keep=plain.keep)
+    with pytest.raises(StreamingQueryException, match="lost"):
+        finish(alerts.run_member_replay(events, table, f"{run}/replay", "5 minutes", "2 minutes"))
+    query = finish(alerts.run_member_replay(events, table, f"{run}/replay", "5 minutes", "2 minutes"))
+    assert [o for p in query.recentProgress for o in p["stateOperators"]] == []
+    want = rows(stateful.read(spark))
+    assert rows(table.read(spark)) == want and max(row[-1] for row in want) > 1
+    table.fold(spark, 3)
+    assert rows(table.read(spark)) == rows(table.read(spark, joined=True)) == want
+
+
 # Feeds and topics
 
 

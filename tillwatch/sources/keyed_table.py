@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
-from tillwatch.operators.keyed import earliest_per_key, latest_per_key
+from tillwatch.operators.keyed import apart, earliest_per_key, latest_per_key
 
 _VERSION, _BUCKET = "_version", "_bucket"
 
@@ -26,6 +26,7 @@ class KeyedTable:
 
     keep="last": the row of the latest batch wins, inside a batch the one with the greatest `order`.
     keep="first": the row with the smallest `order` wins, whichever batch brings it.
+    keep="sum": `order` names the columns that are added up over all batches; all others are keys.
     `partition_by` names columns that never change for a key, such as the day an order was made; they count as part of
     the key, so that a filter on them reaches the folders. A table may be cut into `buckets` by a hash of `bucket_by` (its
     keys, if not named), so that a look-up of some keys reads their buckets and no others.
@@ -35,8 +36,8 @@ class KeyedTable:
         self, path: str, schema: str, keys: Sequence[str], order: Sequence[str],
         partition_by: Sequence[str] = (), keep: str = "last", buckets: int = 0, bucket_by: Sequence[str] = (),
     ):
-        if keep not in ("first", "last"):
-            raise ValueError("keep is 'first' or 'last'")
+        if keep not in ("first", "last", "sum"):
+            raise ValueError("keep is 'first', 'last' or 'sum'")
         self.path, self.schema, self.order = path, schema, list(order)
         self.keys = list(dict.fromkeys([*partition_by, *keys]))
         self.partition_by, self.keep, self.buckets = list(partition_by), keep, buckets
@@ -45,6 +46,10 @@ class KeyedTable:
         self.parts = [*self.partition_by, *([_BUCKET] if buckets else [])]
 
     def _resolved(self, rows: DataFrame, joined: bool = False) -> DataFrame:
+        if self.keep == "sum":
+            group = [*self.keys, apart(self.keys)] if joined else self.keys
+            sums = rows.groupBy(*group).agg(*[F.sum(name).alias(name) for name in self.order])
+            return sums.select(*StructType.fromDDL(self.schema).fieldNames())
         if self.keep == "first":
             return earliest_per_key(rows, self.keys, self.order, joined)
         return latest_per_key(rows, self.keys, [_VERSION, *self.order], joined)

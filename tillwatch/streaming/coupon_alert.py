@@ -15,26 +15,30 @@ from tillwatch.streaming.run import start
 MEMBERS_DDL = (
     "window_start TIMESTAMP, window_end TIMESTAMP, mid STRING, ts BIGINT, evid STRING, uid STRING, itemid STRING, n BIGINT"
 )
+MEMBER = ("mid", "ts", "evid", "uid", "itemid")
 HEADERS_DDL = "doc_id STRING, mid STRING, n_users BIGINT, n_items BIGINT, n_events BIGINT, ts BIGINT"
 EVENTS_DDL = "doc_id STRING, ts BIGINT, event_ts BIGINT, evid STRING, uid STRING, itemid STRING, n BIGINT"
 
 
-def window_member_counts(
-    events: DataFrame, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE, late: str = "10 seconds"
-) -> DataFrame:
+def member_counts(events: DataFrame, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE) -> DataFrame:
     """What happened in each window or slide of each device, one row per (time, kind, user, item).
 
-    The one stateful step of the alert stream. Its key goes down to the item, so a busy device is spread over many
-    tasks, and its state goes when the watermark has passed the window.
+    The key goes down to the item, so a busy device is spread over many tasks.
     """
-    groups = events.withWatermark("event_time", late).groupBy(
-        F.window("event_time", window, slide).alias("w"), "mid", "ts", "evid", "uid", "itemid"
-    )
+    groups = events.groupBy(F.window("event_time", window, slide).alias("w"), *MEMBER)
     return groups.agg(F.count("*").alias("n")).select(
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "mid", "ts", "evid", "uid", "itemid", "n"
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *MEMBER, "n"
     )
 
 
+def window_member_counts(
+    events: DataFrame, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE, late: str = "10 seconds"
+) -> DataFrame:
+    """`member_counts` of a stream: the one stateful step of the live alerts, whose state goes when the watermark has
+    passed the window."""
+    return member_counts(events.withWatermark("event_time", late), window, slide)
+
+
 def alert_tables(path: str) -> tuple[KeyedTable, KeyedTable]:
     """Alert headers by `device_minute`, a later window replacing an earlier one, and the events of every version."""
     return (
@@ -120,17 +124,34 @@ def run_alerts(
 
 
 def member_table(path: str) -> KeyedTable:
-    return KeyedTable(path, MEMBERS_DDL, ["window_start", "mid", "ts", "evid", "uid", "itemid"], [])
+    """Members counted per slide, added up over the batches that brought them."""
+    return KeyedTable(path, MEMBERS_DDL, ["window_start", "window_end", *MEMBER], ["n"], keep="sum")
 
 
 def run_member_replay(
     events: DataFrame, table: KeyedTable, checkpoint: str, slide: str = ALERT_SLIDE, late: str = "10 seconds"
 ) -> StreamingQuery:
-    """Replay stored events to the end: update mode also hands over what is still open then.
+    """Replay stored events to the end, with the members of slides that are still open then.
 
     Members are counted per slide, each event once; `operators.alerts.over_windows` puts slides together to windows.
+    A batch counts its own events and nothing waits in state: the table adds batches up. Events whose slide was over are
+    left out, as a stream with a watermark does: by the newest time that came before the batch before, less `late`.
     """
-    def save(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(batch, batch_id, unique=True)
+    marks = KeyedTable(f"{table.path}-marks", "what STRING, newest BIGINT, passed BIGINT", ["what"], [])
+    late_ms = events.sparkSession.range(1).select(
+        F.expr(f"unix_millis(timestamp_millis(0) + INTERVAL {late})")).first()[0]
+
+    def save(batch: DataFrame, batch_id: int, fold_every: int = 100) -> None:
+        spark = batch.sparkSession
+        before = marks.read(spark, before=batch_id).first()
+        known, over = (before["newest"], before["passed"]) if before else (None, 0)
+        members = member_counts(batch, slide, slide).where(F.col("window_end") > F.timestamp_millis(F.lit(over)))
+        table.upsert(members, batch_id, unique=True)
+        newest = F.greatest(F.unix_millis(F.max("event_time")), F.lit(known).cast("bigint"))
+        passed = over if known is None else max(over, known - late_ms)
+        marks.upsert(batch.agg(newest.alias("newest")).select(
+            F.lit("events").alias("what"), "newest", F.lit(passed).cast("bigint").alias("passed")), batch_id, unique=True)
+        if (batch_id + 1) % fold_every == 0:
+            marks.fold(spark, batch_id)
 
-    return start(window_member_counts(events, slide, slide, late), save, checkpoint, mode="update", interval=None)
+    return start(events.select("event_time", *MEMBER), save, checkpoint, interval=None)
