@@ -12,7 +12,9 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tillwatch.functions.json import parse
-from tillwatch.operators.alerts import alert_windows, as_documents, over_windows, throttle, users_of_members, window_users
+from tillwatch.operators.alerts import (
+    alert_windows, as_documents, over_windows, throttle, users_of_members, window_users, windows_of_slides,
+)
 from tillwatch.plans import coupon_alert, reports
 from tillwatch.plans.daily_active import active_total, bad_logs, daily_active, read_logs
 from tillwatch.plans.order_amount import SALE_MASK, read_orders
@@ -544,6 +546,22 @@ def test_member_replay_adds_batches_up_without_state(spark, feed, run, rows):
     assert rows(table.read(spark)) == rows(table.read(spark, joined=True)) == want
 
 
+@pytest.mark.parametrize("window, slide, least", [(30, 5, 3), (30, 5, 1), (20, 20, 2), (17, 5, 2)])
+def test_windows_of_slides_are_those_of_all_windows(spark, rows, window, slide, least):
+    """The running sums give what a row for every window of every slide gives, and no such rows are made."""
+    rng = random.Random(window + least)
+    events = [(T0 // 1000 + rng.randrange(400), rng.choice(["m", "m", "n", None]), rng.choice(["a", "b", "c", "d", None]),
+               rng.choice(["coupon"] * 8 + ["clickItem", "addCart"])) for _ in range(200)]
+    members = spark.createDataFrame(events, "at LONG, mid STRING, uid STRING, evid STRING").selectExpr(
+        f"timestamp_seconds(at - at % {slide}) AS window_start", f"timestamp_seconds(at - at % {slide} + {slide}) AS window_end",
+        "mid", "1000 * at AS ts", "evid", "uid", "'1' AS itemid", "1L AS n")
+    want = alert_windows(users_of_members(over_windows(members, window, slide)), least)
+    got = windows_of_slides(members, window, slide, least)
+    assert rows(got, *want.columns) == rows(want) != []
+    made = windows_of_slides(members, 10_000_000 * slide, slide, 9).agg(F.count("*").alias("n"))
+    assert rows(made) == [(0,)]
+
+
 # Feeds and topics
 
 

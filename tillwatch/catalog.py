@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillwatch.functions.json import parse, row_json
 from tillwatch.functions.text import mask_prefix, match_all, match_any
 from tillwatch.functions.times import age_years
-from tillwatch.operators.alerts import alert_windows, as_documents, over_windows, throttle, users_of_members, window_users
+from tillwatch.operators.alerts import alert_windows, as_documents, throttle, window_users, windows_of_slides
 from tillwatch.operators.hours import day_against_previous, hour_map
 from tillwatch.operators.joins import interval_join
 from tillwatch.operators.keyed import latest_per_key, unseen
@@ -805,8 +805,7 @@ def alert_stream(spark, sf):
     run = shared_dir(spark, "alerts")
     stored = alert_stream_.member_table(f"{run}/table")
     finish(alert_stream_.run_member_replay(_event_stream(spark, sf, run), stored, f"{run}/state", SLIDE))
-    members = over_windows(stored.read(spark), WINDOW_SECONDS, SLIDE_SECONDS)
-    rows = throttle(alert_windows(users_of_members(members, shop.KINDS)), PERIOD)
+    rows = throttle(windows_of_slides(stored.read(spark), WINDOW_SECONDS, SLIDE_SECONDS, kinds=shop.KINDS), PERIOD)
     return rows.select(
         F.date_format("period", "yyyy-MM-dd").alias("day"), "mid", F.date_format("window_start", _SECOND).alias("window_start"), "n_users"
     )

@@ -7,7 +7,7 @@ rows of their own, whatever its size.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwatch.functions.times import epoch_minute
 from tillwatch.records import ALERT_PERIOD, ALERT_SLIDE, ALERT_USERS, ALERT_WINDOW, BROWSE, COUPON
@@ -113,10 +113,42 @@ def over_windows(members: DataFrame, window_seconds: int, slide_seconds: int) ->
     }).drop("_back")
 
 
-def users_over_windows(members: DataFrame, window_seconds: int, slide_seconds: int, kinds: tuple[str, str] = KINDS) -> DataFrame:
-    """`window_users` of all windows from members counted per slide, each user of a slide once."""
-    each = over_windows(users_of_members(members, kinds), window_seconds, slide_seconds)
-    return each.groupBy("window_start", "window_end", "mid", "uid").agg(F.max("took").alias("took"), F.max("browsed").alias("browsed"))
+def windows_of_slides(
+    members: DataFrame, window_seconds: int, slide_seconds: int, least: int = ALERT_USERS, kinds: tuple[str, str] = KINDS
+) -> DataFrame:
+    """`alert_windows` of all windows from members counted per slide; `least` is 1 or more.
+
+    No row is made for each window that a slide is in: a user counts from the first window that covers their slide to the
+    last one that their next slide is not in, so it takes the two window starts where the number of users changes.
+    Running sums over these give the windows that alert. A device has a row per slide of time in them, however many events.
+    """
+    back = (window_seconds - slide_seconds) // slide_seconds * slide_seconds
+    at, user = F.col("_at"), (F.col("took") & F.col("uid").isNotNull()).cast("int")
+    browsed, none = F.col("browsed").cast("int"), F.lit(0)
+    following = F.lead("_at").over(Window.partitionBy("mid", "uid", "took").orderBy("_at"))
+    users = users_of_members(members, kinds).withColumn("_at", F.unix_seconds("window_start")).withColumn("_next", following)
+
+    def change(second: Column, users: Column, browsers: Column) -> Column:
+        return F.struct(second.alias("_at"), users.alias("_users"), browsers.alias("_browsers"))
+
+    changes = users.select("mid", F.inline(F.array(
+        change(at - back, user, browsed),
+        change(F.least(at + slide_seconds, F.col("_next") - back), -user, none),
+        change(at + slide_seconds, none, -browsed),
+    ))).where((F.col("_users") != 0) | (F.col("_browsers") != 0))
+    sums = changes.groupBy("mid", "_at").agg(F.sum("_users").alias("_users"), F.sum("_browsers").alias("_browsers"))
+    order = Window.partitionBy("mid").orderBy("_at")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spans = sums.select(
+        "mid", "_at", F.lead("_at").over(order).alias("_until"), F.sum("_users").over(so_far).alias("n_users"),
+        F.sum("_browsers").over(so_far).alias("_browsers"),
+    ).where((F.col("n_users") >= least) & (F.col("_browsers") == 0))
+    step = F.lit(slide_seconds).cast("bigint")
+    starts = spans.select("mid", "n_users", F.explode(F.sequence("_at", F.col("_until") - step, step)).alias("_start"))
+    return starts.select(
+        F.timestamp_seconds("_start").alias("window_start"),
+        F.timestamp_seconds(F.col("_start") + window_seconds).alias("window_end"), "mid", "n_users",
+    )
 
 
 def members_of_slides(alerts: DataFrame, members: DataFrame, slide_seconds: int) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillwatch.operators.alerts import (
-    KINDS, alert_events, alert_headers, alert_windows, members_of_slides, throttle, users_over_windows,
+    KINDS, alert_events, alert_headers, members_of_slides, throttle, windows_of_slides,
 )
 from tillwatch.records import ALERT_INTERVAL, ALERT_PERIOD, ALERT_SLIDE, ALERT_USERS, ALERT_WINDOW
 from tillwatch.sources.keyed_table import KeyedTable
@@ -111,8 +111,8 @@ def run_alerts(
             slides.add(over, batch_id)
             members = slides.since(session, min(done + slide_seconds - window_seconds, bounds[0]), batch_id)
             ends = F.unix_seconds("window_end")
-            users = users_over_windows(members, window_seconds, slide_seconds, kinds).where((ends > done) & (ends <= end))
-            found = members_of_slides(throttle(alert_windows(users, least), period), members, slide_seconds).persist()
+            windows = windows_of_slides(members, window_seconds, slide_seconds, least, kinds).where((ends > done) & (ends <= end))
+            found = members_of_slides(throttle(windows, period), members, slide_seconds).persist()
             rows.upsert(alert_events(found), batch_id, unique=True)
             headers.upsert(alert_headers(found, kinds), batch_id, unique=True)
             found.unpersist()
@@ -133,7 +133,7 @@ def run_member_replay(
 ) -> StreamingQuery:
     """Replay stored events to the end, with the members of slides that are still open then.
 
-    Members are counted per slide, each event once; `operators.alerts.over_windows` puts slides together to windows.
+    Members are counted per slide, each event once; `operators.alerts.windows_of_slides` puts slides together to windows.
     A batch counts its own events and nothing waits in state: the table adds batches up. Events whose slide was over are
     left out, as a stream with a watermark does: by the newest time that came before the batch before, less `late`.
     """
