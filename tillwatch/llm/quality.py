@@ -44,7 +44,7 @@ def n_capitals(text: Column) -> Column:
 
 
 def _worded_lines(text: Column) -> Column:
-    return F.filter(F.split(_known(text), "\n"), lambda line: line.rlike(WORD))
+    return F.filter(F.split(_known(text), r"\n"), lambda line: line.rlike(WORD))
 
 
 def n_dup_lines(text: Column) -> Column:
